@@ -1,0 +1,166 @@
+"""Hand-made inputs with hand-made answers (FIXTURES.md section 2)."""
+
+from pyspark.sql import functions as F
+
+from helpers import frame, secs
+from tidemark.functions.hashing import poly_hash
+from tidemark.operators import distinct, limits, matching, patterns, topn, windows
+from tidemark.sources.lines import parse_behaviour, split_rejects
+
+
+def _rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+# F-TOP: window 60 s, slide 30 s, N = 2.
+def _top_input(spark):
+    rows = [(0, 2, "pv"), (10, 1, "pv"), (29, 3, "buy"), (30, 2, "pv"), (60, 3, "pv")]
+    return frame(spark, rows, ["t", "item_id", "behavior"]).where(F.col("behavior") == "pv")
+
+
+def test_top_n_sliding_with_ties(spark):
+    expected = [(30, 1, 1, 1), (30, 2, 2, 1), (60, 1, 2, 2), (60, 2, 1, 1),
+                (90, 1, 2, 1), (90, 2, 3, 1), (120, 1, 3, 1)]
+    for panes in (False, True):
+        counts = windows.window_counts(_top_input(spark), "60 seconds", "30 seconds", ["item_id"], panes=panes)
+        top = topn.top_n_by_count(counts, 2, "item_id")
+        got = _rows(top.select(secs("window_end").cast("int").alias("e"), "rank", "item_id", "cnt"),
+                    "e", "rank", "item_id", "cnt")
+        assert got == expected, panes
+
+
+def test_upsert_keeps_newest_window(spark):
+    counts = windows.window_counts(_top_input(spark), "60 seconds", "30 seconds", ["item_id"])
+    top = topn.top_n_by_count(counts, 2, "item_id")
+    newest = topn.newest_per_key(top, ["item_id"], "window_end", ["cnt"])
+    got = _rows(newest.select("item_id", secs("window_end").cast("int"), "cnt"), "*")
+    assert got == [(1, 60, 1), (2, 90, 1), (3, 120, 1)]
+
+
+# F-UV: window 3600 s.
+def _uv_input(spark):
+    return frame(spark, [(0, 7), (1, 8), (2, 7), (3, 9), (4, 8), (3600, 7)], ["t", "user_id"])
+
+
+def test_distinct_exact_and_bitmap(spark):
+    for fn in (distinct.distinct_count, distinct.bitmap_distinct_count):
+        got = _rows(fn(_uv_input(spark), "1 hour").select(secs("window_end").cast("int"), "uv"), "*")
+        assert got == [(3600, 3), (7200, 1)], fn.__name__
+
+
+def test_running_distinct_repeats_only(spark):
+    r = distinct.running_distinct(_uv_input(spark), "1 hour", bucket="2 seconds")
+    assert _rows(r.select(secs("ts").cast("int"), "uv"), "*") == [(2, 2), (4, 3)]
+    r2 = distinct.running_distinct(_uv_input(spark), "1 hour", key="offset")
+    assert _rows(r2.select(secs("ts").cast("int"), "uv"), "*") == [(2, 2), (4, 3)]
+
+
+def test_approx_distinct_close(spark):
+    got = dict(_rows(distinct.approx_distinct_count(_uv_input(spark), "1 hour")
+                     .select(secs("window_end").cast("int"), "uv"), "*"))
+    assert got == {3600: 3, 7200: 1}
+
+
+# F-HASH.
+def test_poly_hash_values(spark):
+    df = spark.createDataFrame([("",), ("7",), ("12345",)], ["s"])
+    got = dict(df.select("s", poly_hash("s").alias("h")).collect())
+    assert got == {"": 0, "7": 55, "12345": 153117343}
+
+
+# F-CAP: cap 2.
+def _cap_input(spark):
+    rows = [(10, 1, 5, "p"), (20, 1, 5, "p"), (30, 1, 5, "q"), (40, 1, 5, "p"), (50, 1, 6, "q"), (86400, 1, 5, "p")]
+    return frame(spark, rows, ["t", "user_id", "ad_id", "province"])
+
+
+def test_click_cap_and_single_warning(spark):
+    kept = limits.capped_clicks(_cap_input(spark), 2)
+    assert _rows(kept.select(secs("ts").cast("int")), "*") == [(10,), (20,), (50,), (86400,)]
+    warn = limits.blacklist_warnings(_cap_input(spark), 2)
+    assert _rows(warn, "user_id", "ad_id", "msg") == [(1, 5, "Click over 2 times today.")]
+    per_prov = kept.groupBy("province").count()
+    assert _rows(per_prov, "*") == [("p", 3), ("q", 1)]
+
+
+# F-LOGIN: pairs under 2 s, in event-time order.
+def test_login_fail_pairs(spark):
+    rows = [(10, 1, "fail"), (13, 1, "fail"), (12, 1, "fail"), (20, 2, "fail"), (20, 2, "success"),
+            (21, 2, "fail"), (30, 3, "fail"), (32, 3, "fail")]
+    df = frame(spark, rows, ["t", "user_id", "event_type"])
+    for bucket in ("1 hour", "1 second"):
+        w = patterns.login_fail_pairs(df, "2 seconds", bucket=bucket)
+        got = _rows(w.select("user_id", secs("first_fail_time").cast("int"), secs("last_fail_time").cast("int")), "*")
+        assert got == [(1, 12, 13)], bucket
+
+
+# F-PATTERN: create followedBy pay within 2 s.
+def test_order_pattern_matches_and_timeouts(spark):
+    ev = [(1, "create", 0), (1, "other", 1000), (1, "pay", 1500),
+          (2, "create", 0), (2, "pay", 2000),
+          (3, "create", 0), (3, "create", 1000), (3, "pay", 1500),
+          (4, "create", 0), (4, "pay", 1000), (4, "pay", 1500),
+          (5, "pay", 0), (6, "create", 0)]
+    df = frame(spark, [(o, k, t) for o, k, t in ev], ["order_id", "event_type", "t"], millis=True)
+    res = patterns.order_pattern(df, "2 seconds")
+    got = {(r["order_id"], r["outcome"]): r["n"] for r in res.groupBy("order_id", "outcome").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, "match"): 1, (2, "timeout"): 1, (3, "match"): 2, (4, "match"): 1, (6, "timeout"): 1}
+
+
+# F-ORDER: state machine, deadline 900 s.
+def test_order_outcomes(spark):
+    ev = [(1, "create", 0), (1, "pay", 899), (2, "create", 0), (2, "pay", 900), (3, "create", 0),
+          (4, "pay", 0), (5, "pay", 0), (5, "create", 5), (6, "create", 0), (6, "create", 600), (6, "pay", 1000)]
+    df = frame(spark, ev, ["order_id", "event_type", "t"])
+    got = dict(_rows(patterns.order_outcomes(df, "900 seconds"), "order_id", "result"))
+    assert got == {1: "payed successfully", 2: "payed but already timeout", 3: "order timeout",
+                   4: "already pay but not found create", 5: "payed", 6: "payed successfully"}
+
+
+# F-TX: matching +-5 s.
+def _tx(spark):
+    pays = frame(spark, [("a", 10), ("b", 20), ("c", 30), ("d", 40), ("d", 41), ("", 50)], ["tx_id", "t"])
+    recs = frame(spark, [("a", 15), ("b", 26), ("d", 42), ("e", 60)], ["tx_id", "t"])
+    return pays.where(F.col("tx_id") != "").drop("seq"), recs.drop("seq")
+
+
+def _pairs(df):
+    return _rows(df.select("p_tx_id", secs("p_ts").cast("int"), secs("r_ts").cast("int")), "*")
+
+
+def test_interval_join(spark):
+    p, r = _tx(spark)
+    assert _pairs(matching.interval_join(p, r, "tx_id", "-5 seconds", "5 seconds")) == [
+        ("a", 10, 15), ("d", 40, 42), ("d", 41, 42)]
+
+
+def test_one_to_one_and_unmatched(spark):
+    p, r = _tx(spark)
+    out = matching.one_to_one(p, r, "tx_id", "-5 seconds", "5 seconds")
+    assert _pairs(out["matched"]) == [("a", 10, 15), ("d", 40, 42)]
+    assert _rows(out["unmatched_left"].select("tx_id", secs("ts").cast("int")), "*") == [("b", 20), ("c", 30), ("d", 41)]
+    assert _rows(out["unmatched_right"].select("tx_id", secs("ts").cast("int")), "*") == [("b", 26), ("e", 60)]
+    # interval form of the side outputs
+    assert _rows(matching.unmatched_left(p, r, "tx_id", "-5 seconds", "5 seconds").select("tx_id"), "*") == [
+        ("b",), ("c",)]
+    assert _rows(matching.unmatched_right(p, r, "tx_id", "-5 seconds", "5 seconds").select("tx_id"), "*") == [
+        ("b",), ("e",)]
+
+
+# F-BAD: malformed lines go to the reject output.
+def test_malformed_lines_rejected(spark):
+    lines = spark.createDataFrame([("1,10,100,pv,5",), ("x,1,2,pv,5",), ("1,2,3,pv",), ("2,11,100,pv,6",)], ["value"])
+    good, bad = split_rejects(parse_behaviour(lines))
+    assert good.count() == 2
+    assert _rows(bad, "line") == [("1,2,3,pv",), ("x,1,2,pv,5",)]
+
+
+def test_trimmed_parse_and_empty_inner_field(spark):
+    from tidemark.sources.lines import parse_order
+    lines = spark.createDataFrame([(" 1 , 2 , 3 , pv , 5 ",)], ["value"])
+    good, _ = split_rejects(parse_behaviour(lines, trim=True))
+    assert _rows(good, "user_id", "item_id", "behavior") == [(1, 2, "pv")]
+    orders = spark.createDataFrame([("5,create,,1700000000",)], ["value"])
+    good, bad = split_rejects(parse_order(orders))
+    assert _rows(good, "order_id", "event_type", "tx_id") == [(5, "create", "")]
+    assert bad.count() == 0

@@ -1,8 +1,8 @@
 """Line parsers (P1-P6) with a reject output.
 
-A line is split by position and every field is cast with ``try_cast``; a line
-with the wrong number of fields or a field that does not cast is flagged
-``_rejected`` instead of failing the job.  :func:`split_rejects` separates the
+A line is split by position and every field is typed; a line with the wrong
+number of fields or a field that does not parse is flagged ``_rejected``
+instead of failing the job.  :func:`split_rejects` separates the
 two outputs.  Everything is JVM-side column expressions: no Python per row.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.eventtime import to_event_time
 
@@ -23,37 +23,39 @@ class Field:
     unit: str = "s"               # for type == "time": raw epoch unit
 
 
-def _cast(raw: Column, f: Field) -> Column:
-    v = F.trim(raw) if f.trim else raw
-    if f.type == "time":
-        return to_event_time(v.try_cast("long"), f.unit)
-    if f.type == "string":
-        return v
-    return v.try_cast(f.type)
+_SQL_TYPE = {"string": "STRING", "long": "BIGINT", "int": "INT", "double": "DOUBLE", "time": "BIGINT"}
 
 
 def parse_delimited(lines: DataFrame, fields: list[Field], sep: str = ",",
                     value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Split ``value`` on ``sep`` (a literal) and cast each field by position.
+    """Split ``value`` on ``sep`` and type each field by position.
 
-    Empty inner fields stay "" (P5), as with a plain string split.  Output:
-    ``keep`` columns, the typed fields, the raw line and ``_rejected``.
+    One ``from_csv`` call per line (Spark's CSV tokenizer, JVM-side) with
+    quoting switched off, so a line splits exactly as a plain string split
+    does.  Empty inner fields stay "" (P5).  A line is rejected when its
+    field count is wrong or a numeric field is empty or does not parse.
+    Output: ``keep`` columns, the typed fields, the raw line and ``_rejected``.
     """
-    import re
-    parts = F.split(F.col(value), re.escape(sep), -1)
-    typed = [_cast(parts.getItem(i), f).alias(f.name) for i, f in enumerate(fields)]
-    bad_cast = [
-        (parts.getItem(i).isNotNull() & (F.trim(parts.getItem(i)) != "") & _cast(parts.getItem(i), f).isNull())
-        for i, f in enumerate(fields) if f.type != "string"
-    ]
-    # Empty numeric fields are also malformed.
-    empty_num = [
-        (F.trim(parts.getItem(i)) == "") for i, f in enumerate(fields) if f.type != "string"
-    ]
-    rejected = (F.size(parts) != F.lit(len(fields)))
-    for c in bad_cast + empty_num:
-        rejected = rejected | F.coalesce(c, F.lit(True))
-    return lines.select(*keep, *typed, F.col(value).alias("_line"), rejected.alias("_rejected"))
+    trim = any(f.trim for f in fields)
+    schema = ", ".join(f"`{f.name}` {_SQL_TYPE[f.type]}" for f in fields) + ", `_corrupt` STRING"
+    opts = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
+            "quote": "\u0000", "nullValue": "\u0000", "emptyValue": "",
+            "ignoreLeadingWhiteSpace": str(trim).lower(), "ignoreTrailingWhiteSpace": str(trim).lower()}
+    # The one-element explode is a Generate node: filters on its output (the
+    # reject split) stay above it, so the line is parsed once, not once per
+    # referenced field after predicate pushdown inlines the parse.
+    parsed = lines.select(*keep, F.col(value).alias("_line"),
+                          F.explode(F.array(F.from_csv(F.col(value), schema, opts))).alias("_r"))
+    typed = []
+    rejected = F.col("_r._corrupt").isNotNull() | F.col("_line").isNull()
+    for f in fields:
+        c = F.col(f"_r.`{f.name}`")
+        if f.type == "string":
+            typed.append(F.coalesce(c, F.lit("")).alias(f.name))
+            continue
+        rejected = rejected | c.isNull()
+        typed.append((to_event_time(c, f.unit) if f.type == "time" else c).alias(f.name))
+    return parsed.select(*keep, *typed, "_line", rejected.alias("_rejected"))
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
