@@ -1,0 +1,65 @@
+"""Sinks (S3-S5, S7, K4) and sources."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from helpers import frame
+from tidemark import sinks
+from tidemark.operators import topn, windows
+from tidemark.sources import parse_access_log, parse_behaviour, read_lines, split_rejects
+
+
+def _top(spark):
+    rows = [(0, 2), (10, 1), (30, 2), (60, 3)]
+    counts = windows.window_counts(frame(spark, rows, ["t", "item_id"]), "60 seconds", "30 seconds", ["item_id"])
+    return topn.top_n_by_count(counts, 2, "item_id")
+
+
+def test_report_text(spark):
+    rep = {r["window_end"].isoformat()[11:19]: r["report"] for r in sinks.report_text(_top(spark), "item_id", "cnt").collect()}
+    assert rep["00:01:00"] == "Time: 2024-01-01 00:01:00.0\nNo1: item=2 views=2\nNo2: item=1 views=1"
+
+
+def test_upsert_and_documents(spark):
+    top = _top(spark)
+    up = sinks.upsert_rows(top, ["item_id"], "window_end", ["cnt"])
+    assert sorted((r["item_id"], r["cnt"]) for r in up.collect()) == [(1, 1), (2, 1), (3, 1)]
+    out = tempfile.mkdtemp(prefix="tidemark-docs-")
+    sinks.document_writer(out, ["window_end", "item_id"], ["item_id", "window_end", "cnt"])(top, 7)
+    docs = spark.read.json(f"{out}/epoch=7")
+    assert docs.count() == top.count()
+    assert docs.select("id").distinct().count() == top.count()
+
+
+def test_topic_lines_roundtrip(spark):
+    df = frame(spark, [(5, 1, 10, 100, "pv"), (6, 2, 11, 101, "buy")], ["t", "user_id", "item_id", "category_id", "behavior"])
+    lines = sinks.topic_lines(df, ["user_id", "item_id", "category_id", "behavior", F.unix_seconds("ts")])
+    out = tempfile.mkdtemp(prefix="tidemark-topic-") + "/lines"
+    sinks.write_topic(lines, path=out)
+    good, bad = split_rejects(parse_behaviour(read_lines(spark, out)))
+    assert bad.count() == 0
+    assert sorted((r["user_id"], r["item_id"], r["behavior"]) for r in good.collect()) == [(1, 10, "pv"), (2, 11, "buy")]
+    js = sinks.topic_lines(df, ["user_id", "behavior"], as_json=True).first()["value"]
+    assert js == '{"user_id":1,"behavior":"pv"}' or js == '{"user_id":2,"behavior":"buy"}'
+
+
+def test_access_log_parse(spark):
+    lines = spark.createDataFrame([("10.0.0.1 - - 02/01/2024:10:05:03 +0000 GET /a",),
+                                   ("10.0.0.2 7 - 02/01/2024:12:05:03 +0200 GET /b",),
+                                   ("bad line",)], ["value"])
+    p = parse_access_log(lines)
+    good = p.where(~F.col("_rejected")).select("ip", "user_id", F.unix_seconds("ts").alias("s"), "method", "url")
+    assert sorted(good.collect()) == [("10.0.0.1", "-", 1704189903, "GET", "/a"), ("10.0.0.2", "7", 1704189903, "GET", "/b")]
+    assert p.where("_rejected").count() == 1
+
+
+def test_text_stream_source(spark):
+    d = tempfile.mkdtemp(prefix="tidemark-lines-")
+    for i, chunk in enumerate([["1,10,100,pv,5", "2,11,100,pv,6"], ["3,12,100,pv,7", "x,1,2,pv,5"]]):
+        spark.createDataFrame([(c,) for c in chunk], ["value"]).coalesce(1).write.text(f"{d}/f{i}")
+    from tidemark.streaming.runner import run_available
+    s = read_lines(spark, f"{d}/f*", stream=True, max_files_per_trigger=1)
+    good, bad = split_rejects(parse_behaviour(s))
+    run_available(good, "lines_good", checkpoint=tempfile.mkdtemp())
+    assert spark.table("lines_good").count() == 3

@@ -101,19 +101,22 @@ def parse_access_log(lines: DataFrame, value: str = "value", keep: tuple[str, ..
 
     The zone field is honoured when present (D19); without it the time is UTC.
     """
-    parts = F.split(F.col(value), " ", -1)
+    # Split once (one-element explode keeps the split from being inlined per field).
+    split = lines.select(*keep, F.col(value).alias("_line"),
+                         F.explode(F.array(F.split(F.col(value), " ", -1))).alias("_p"))
+    parts = F.col("_p")
     zone = F.trim(parts.getItem(4))
     with_zone = F.try_to_timestamp(F.concat_ws(" ", parts.getItem(3), zone),
                                    F.lit(ACCESS_LOG_TIME + " Z"))
     no_zone = F.try_to_timestamp(parts.getItem(3), F.lit(ACCESS_LOG_TIME))
     ts = F.when(zone.rlike("^[+-][0-9]{4}$"), with_zone).otherwise(no_zone)
-    out = lines.select(
+    return split.select(
         *keep,
         parts.getItem(0).alias("ip"),
         F.trim(parts.getItem(1)).alias("user_id"),
         ts.alias("ts"),
         F.trim(parts.getItem(5)).alias("method"),
         F.trim(parts.getItem(6)).alias("url"),
-        F.col(value).alias("_line"),
+        "_line",
+        ((F.size(parts) < 7) | ts.isNull()).alias("_rejected"),
     )
-    return out.withColumn("_rejected", (F.size(parts) < 7) | F.col("ts").isNull())
