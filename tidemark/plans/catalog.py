@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark import sinks
 from tidemark.functions.formatting import encode_line
 from tidemark.operators import distinct, limits, matching, patterns, topn, windows
 from tidemark.sources import tables
@@ -55,6 +56,12 @@ def hot_items_top10_upsert(spark, sf):
     return topn.newest_per_key(ranked, ["item_id"], "window_end", ["view_count"])
 
 
+def hot_items_report(spark, sf):
+    """Q1 as printed: one text report per window from the typed top 5 (K4)."""
+    ranked = topn.top_n_by_count(_item_counts(spark, sf), HOT_ITEMS["n"], "item_id", "view_count")
+    return sinks.report_text(ranked, "item_id", "view_count")
+
+
 def hot_urls_top5(spark, sf):
     """Q4: top 5 GET urls per sliding window."""
     gets = tables.web_log(_events(spark, sf)).where(F.col("method") == "GET")
@@ -84,6 +91,12 @@ def running_unique_visitors(spark, sf):
     return r.select(F.col("seq").alias("event_id"), "user_id", "ts", "window_start", "window_end", "uv")
 
 
+def running_unique_visitors_bitmap(spark, sf):
+    """Q7 as the reference counts: running distinct over hashed bitmap offsets."""
+    r = distinct.running_distinct(_views(spark, sf), "1 day", key="offset")
+    return r.select(F.col("seq").alias("event_id"), "user_id", "ts", "window_start", "window_end", "uv")
+
+
 def _marketing(spark, sf):
     return tables.marketing(_events(spark, sf)).where(F.col("behavior") != "error")
 
@@ -181,6 +194,23 @@ def tx_unmatched_receipts(spark, sf):
         "tx_id", "ts", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def _one_to_one(spark, sf):
+    p, r = _tx(spark, sf)
+    return matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND,
+                               left_order=["ts", "tx_id"], right_order=_RECEIPT_ORDER)
+
+
+def tx_unmatched_pays_one_to_one(spark, sf):
+    """Q13a side output: pays whose k-th receipt is missing or out of range."""
+    return _one_to_one(spark, sf)["unmatched_left"].select("tx_id", "ts")
+
+
+def tx_unmatched_receipts_one_to_one(spark, sf):
+    """Q13a side output: receipts not paired one-to-one within range."""
+    return _one_to_one(spark, sf)["unmatched_right"].select(
+        "tx_id", "ts", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def topic_lines(spark, sf):
     """S7 + P1: events encoded as behaviour lines, then parsed back by position."""
     b = tables.behaviour(_events(spark, sf))
@@ -195,11 +225,13 @@ def topic_lines(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_top5": hot_items_top5,
     "hot_items_top10_upsert": hot_items_top10_upsert,
+    "hot_items_report": hot_items_report,
     "hot_urls_top5": hot_urls_top5,
     "page_views": page_views,
     "unique_visitors": unique_visitors,
     "unique_visitors_bitmap": unique_visitors_bitmap,
     "running_unique_visitors": running_unique_visitors,
+    "running_unique_visitors_bitmap": running_unique_visitors_bitmap,
     "marketing_by_channel": marketing_by_channel,
     "marketing_total": marketing_total,
     "ad_clicks_capped": ad_clicks_capped,
@@ -212,6 +244,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tx_match_one_to_one": tx_match_one_to_one,
     "tx_unmatched_pays": tx_unmatched_pays,
     "tx_unmatched_receipts": tx_unmatched_receipts,
+    "tx_unmatched_pays_one_to_one": tx_unmatched_pays_one_to_one,
+    "tx_unmatched_receipts_one_to_one": tx_unmatched_receipts_one_to_one,
     "topic_lines": topic_lines,
 }
 

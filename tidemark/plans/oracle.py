@@ -40,6 +40,13 @@ _TX = """SELECT o.o_orderkey AS tx_id, o.o_orderdate AS pay_ts, l.l_shipdate AS
          FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
           AND l.l_shipdate BETWEEN o.o_orderdate - INTERVAL 60 day AND o.o_orderdate + INTERVAL 60 day"""
 
+_FIRST_LINES = """SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                                   ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS k
+                  FROM lineitem"""
+_PAIRED = f"""SELECT o.o_orderkey AS tx_id, l.k FROM orders o JOIN ({_FIRST_LINES}) l
+              ON o.o_orderkey = l.l_orderkey AND l.k = 1
+             AND l.l_shipdate BETWEEN o.o_orderdate - INTERVAL 60 day AND o.o_orderdate + INTERVAL 60 day"""
+
 ORACLE_SQL: dict[str, str] = {
     "hot_items_top5": f"""
         SELECT window_start, window_end, CAST(rk AS INTEGER) AS rank, item_id, view_count
@@ -49,6 +56,13 @@ ORACLE_SQL: dict[str, str] = {
         SELECT item_id, max(window_end) AS window_end, arg_max(view_count, window_end) AS view_count
         FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_id) AS rk
               FROM ({_ITEM_COUNTS})) WHERE rk <= 10 GROUP BY item_id""",
+    "hot_items_report": f"""
+        SELECT window_end,
+               'Time: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10) ||
+               string_agg('No' || CAST(rk AS VARCHAR) || ': item=' || CAST(item_id AS VARCHAR)
+                          || ' views=' || CAST(view_count AS VARCHAR), chr(10) ORDER BY rk) AS report
+        FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_id) AS rk
+              FROM ({_ITEM_COUNTS})) WHERE rk <= 5 GROUP BY window_end""",
     "hot_urls_top5": f"""
         SELECT window_start, window_end, CAST(rk AS INTEGER) AS rank, url, hits
         FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY hits DESC, url) AS rk
@@ -79,6 +93,18 @@ ORACLE_SQL: dict[str, str] = {
         SELECT event_id, user_id, ts, window_start, window_start + INTERVAL 1 day AS window_end,
                CAST(uv AS BIGINT) AS uv
         FROM r WHERE NOT is_first""",
+    "running_unique_visitors_bitmap": f"""
+        WITH v AS (SELECT event_id, user_id, ts, time_bucket(INTERVAL 1 day, ts) AS window_start,
+                          {_HASH} AS off
+                   FROM events WHERE event_type = 'view'),
+             f AS (SELECT *, row_number() OVER (PARTITION BY window_start, off ORDER BY ts, event_id) = 1
+                             AS is_first FROM v),
+             r AS (SELECT *, sum(CASE WHEN is_first THEN 1 ELSE 0 END)
+                             OVER (PARTITION BY window_start ORDER BY ts, event_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS uv FROM f)
+        SELECT event_id, user_id, ts, window_start, window_start + INTERVAL 1 day AS window_end,
+               CAST(uv AS BIGINT) AS uv
+        FROM r WHERE NOT is_first""",
     "marketing_by_channel": _sliding(_MARKET, "channel, behavior", "1 day", "1 hour", "cnt"),
     "marketing_total": f"""
         SELECT window_start, window_end, 'total channel' AS channel, 'total' AS behavior, cnt
@@ -138,6 +164,13 @@ ORACLE_SQL: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey
                           AND l.l_shipdate BETWEEN o.o_orderdate - INTERVAL 60 day
                                                AND o.o_orderdate + INTERVAL 60 day)""",
+    "tx_unmatched_pays_one_to_one": f"""
+        SELECT o_orderkey AS tx_id, o_orderdate AS ts FROM orders
+        WHERE o_orderkey NOT IN (SELECT tx_id FROM ({_PAIRED}))""",
+    "tx_unmatched_receipts_one_to_one": f"""
+        SELECT l.l_orderkey AS tx_id, l.l_shipdate AS ts, l.l_linenumber, l.l_partkey, l.l_suppkey
+        FROM ({_FIRST_LINES}) l
+        WHERE NOT EXISTS (SELECT 1 FROM ({_PAIRED}) p WHERE p.tx_id = l.l_orderkey AND p.k = l.k)""",
     "topic_lines": f"""
         SELECT event_id, user_id, {_ITEM} AS item_id, CAST({_ITEM} % 10 AS INTEGER) AS category_id,
                event_type AS behavior, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s
