@@ -134,3 +134,26 @@ def test_login_stream_equals_batch(spark, events_dir):
         "user_id", F.unix_millis(F.col("first_fail_time").cast("timestamp")).alias("f"),
         F.unix_millis(F.col("last_fail_time").cast("timestamp")).alias("l")).collect()}
     assert got and got <= b and len(b - got) <= 3
+
+
+def test_late_rows_correct_hot_urls(spark):
+    """F-LATE: window 60 s, watermark 1 s disorder + 60 s lateness, update mode."""
+    from helpers import frame
+    arrivals = [(5, "/a"), (8, "/b"), (70, "/a"), (9, "/b"), (190, "/a")]
+    src = tempfile.mkdtemp(prefix="tidemark-late-")
+    rows = frame(spark, arrivals, ["t", "url"])
+    for i in range(len(arrivals)):
+        rows.where(f"seq = {i}").coalesce(1).write.parquet(f"{src}/f{i}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/f*")
+    counts = swindows.windowed_counts(stream, "60 seconds", keys=["url"], delay="61 seconds", out="hits")
+    log = tempfile.mkdtemp(prefix="tidemark-log-")
+    run_available(counts, "late_urls", mode="update", checkpoint=_ck(),
+                  foreach_batch=swindows.change_log_writer(log))
+    top = swindows.corrected_top_n(spark.read.parquet(log), 5, "url", "hits")
+    from helpers import secs
+    got = sorted((int(r["e"]), r["rank"], r["url"], r["hits"]) for r in top.select(
+        secs("window_end").alias("e"), "rank", "url", "hits").collect())
+    assert got == [(60, 1, "/b", 2), (60, 2, "/a", 1), (120, 1, "/a", 1), (240, 1, "/a", 1)]
+    # the first emission of window [0, 60) had /a ahead of /b (a,b -> b,a after the late row)
+    first = spark.read.parquet(log).where("url = '/b'").orderBy("epoch").first()
+    assert first["hits"] == 1

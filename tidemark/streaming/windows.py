@@ -54,3 +54,24 @@ def parquet_epoch_writer(path: str) -> Callable[[DataFrame, int], None]:
     def _write(df: DataFrame, epoch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch_id}")
     return _write
+
+
+def change_log_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """K2 / T4: append this micro-batch's updated counts, stamped with the epoch.
+
+    Run the counts in ``update`` mode with a watermark of out-of-orderness +
+    allowed lateness; a late row re-emits its window's count, and the newest
+    epoch per (window, key) is the corrected value.  A replayed epoch
+    overwrites its own folder, so the log is exactly-once.
+    """
+    def _write(df: DataFrame, epoch_id: int) -> None:
+        (df.withColumn("epoch", F.lit(epoch_id).cast("long"))
+         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch_id}"))
+    return _write
+
+
+def corrected_top_n(log: DataFrame, n: int, key: str, count: str = "cnt",
+                    window_end: str = "window_end", rank: str = "rank") -> DataFrame:
+    """K2: the current top-N per window from a change log (newest epoch per key wins)."""
+    latest = topn.newest_per_key(log, [window_end, key], "epoch", [count, "window_start"])
+    return topn.top_n_by_count(latest.drop("epoch"), n, key, count, window_end, rank)
