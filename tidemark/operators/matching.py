@@ -59,24 +59,27 @@ def _ranked(df: DataFrame, key: str, order: list[str], bucket: str) -> DataFrame
 
 def one_to_one(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str, ts: str = "ts",
                left_order: list[str] | None = None, right_order: list[str] | None = None,
-               lp: str = "p_", rp: str = "r_", bucket: str = DEFAULT_BUCKET) -> dict[str, DataFrame]:
+               lp: str = "p_", rp: str = "r_", bucket: str = DEFAULT_BUCKET,
+               left_unique: bool = False, right_unique: bool = False) -> dict[str, DataFrame]:
     """K-th pairing.  Returns ``matched``, ``unmatched_left``, ``unmatched_right``.
 
     ``left_order`` / ``right_order`` must make the order within a key total
-    (time first); they decide which row is the k-th.
+    (time first); they decide which row is the k-th.  A side whose key is
+    unique (``left_unique`` / ``right_unique``, e.g. a primary key) has k = 1
+    for every row and skips the ranking.
     """
     lo = left_order or [ts]
     ro = right_order or [ts]
-    L = _prefixed(_ranked(left, key, lo, bucket), lp)
-    R = _prefixed(_ranked(right, key, ro, bucket), rp)
+    rank = lambda df, order, unique: (df.withColumn("_k", F.lit(1).cast("long")) if unique
+                                      else _ranked(df, key, order, bucket))
+    L = _prefixed(rank(left, lo, left_unique), lp)
+    R = _prefixed(rank(right, ro, right_unique), rp)
     cond = ((F.col(lp + key) == F.col(rp + key)) & (F.col(lp + "_k") == F.col(rp + "_k"))
             & _in_interval(F.col(lp + ts), F.col(rp + ts), lower, upper))
-    pairs = L.join(R, cond, "inner")
-    matched = pairs.drop(lp + "_k", rp + "_k")
-    keys_l = pairs.select(F.col(lp + key).alias("_mk"), F.col(lp + "_k").alias("_mn"))
-    un_l = (L.join(keys_l, (F.col(lp + key) == F.col("_mk")) & (F.col(lp + "_k") == F.col("_mn")), "left_anti")
-            .drop(lp + "_k"))
-    un_r = (R.join(keys_l, (F.col(rp + key) == F.col("_mk")) & (F.col(rp + "_k") == F.col("_mn")), "left_anti")
-            .drop(rp + "_k"))
+    matched = L.join(R, cond, "inner").drop(lp + "_k", rp + "_k")
+    # A row is unmatched exactly when the same (key, k) on the other side is
+    # missing or out of range: one anti-join per side, no pair set needed.
+    un_l = L.join(R, cond, "left_anti").drop(lp + "_k")
+    un_r = R.join(L, cond, "left_anti").drop(rp + "_k")
     strip = lambda df, p: df.select(*[F.col(c).alias(c[len(p):]) for c in df.columns])
     return {"matched": matched, "unmatched_left": strip(un_l, lp), "unmatched_right": strip(un_r, rp)}

@@ -174,8 +174,8 @@ def tx_interval_join(spark, sf):
 def tx_match_one_to_one(spark, sf):
     """K-th pay pairs with the k-th receipt of its tx, within +-bound."""
     p, r = _tx(spark, sf)
-    m = matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND,
-                            left_order=["ts", "tx_id"], right_order=_RECEIPT_ORDER)["matched"]
+    m = matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, right_order=_RECEIPT_ORDER,
+                            left_unique=True)["matched"]
     return m.select(F.col("p_tx_id").alias("tx_id"), F.col("p_ts").alias("pay_ts"),
                     F.col("r_ts").alias("receipt_ts"), F.col("r_l_linenumber").alias("l_linenumber"),
                     F.col("r_l_partkey").alias("l_partkey"), F.col("r_l_suppkey").alias("l_suppkey"))
@@ -196,8 +196,9 @@ def tx_unmatched_receipts(spark, sf):
 
 def _one_to_one(spark, sf):
     p, r = _tx(spark, sf)
-    return matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND,
-                               left_order=["ts", "tx_id"], right_order=_RECEIPT_ORDER)
+    # o_orderkey is the key of `orders`: one pay per tx, so pays need no ranking.
+    return matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, right_order=_RECEIPT_ORDER,
+                               left_unique=True)
 
 
 def tx_unmatched_pays_one_to_one(spark, sf):
