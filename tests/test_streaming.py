@@ -157,3 +157,48 @@ def test_late_rows_correct_hot_urls(spark):
     # the first emission of window [0, 60) had /a ahead of /b (a,b -> b,a after the late row)
     first = spark.read.parquet(log).where("url = '/b'").orderBy("epoch").first()
     assert first["hits"] == 1
+
+
+def test_pattern_stream_equals_batch(spark, events_dir):
+    s = tables.behaviour(_stream(spark, events_dir)).withColumnRenamed("behavior", "event_type")
+    run_available(processors.pattern_stream(s, "user_id", "click", "purchase", "1 day"), "pattern_stream",
+                  checkpoint=_ck())
+    got = {(r["key"], r["start_ms"], r["end_ms"], r["outcome"]) for r in spark.table("pattern_stream").collect()}
+    b = tables.behaviour(events_dir[1]).withColumnRenamed("behavior", "event_type")
+    batch = patterns.order_pattern(b, "1 day", key="user_id", create=F.col("event_type") == "click",
+                                   pay=F.col("event_type") == "purchase")
+    bset = {(r["user_id"], r["s"], r["e"], r["outcome"]) for r in batch.select(
+        "user_id", F.unix_millis(F.col("start_ts").cast("timestamp")).alias("s"),
+        F.unix_millis(F.col("end_ts").cast("timestamp")).alias("e"), "outcome").collect()}
+    last = events_dir[1].agg(F.unix_millis(F.max("ts"))).first()[0]
+    decidable = {r for r in bset if r[1] + 86_400_000 <= last}
+    assert got and decidable <= got <= bset
+
+
+def test_pattern_stream_fixture(spark):
+    from helpers import frame
+    ev = [(1, "create", 0), (1, "other", 1000), (1, "pay", 1500),
+          (2, "create", 0), (2, "pay", 2000),
+          (3, "create", 0), (3, "create", 1000), (3, "pay", 1500),
+          (4, "create", 0), (4, "pay", 1000), (4, "pay", 1500),
+          (5, "pay", 0), (6, "create", 0), (99, "other", 60000)]
+    d = tempfile.mkdtemp(prefix="tidemark-pat-") + "/data"
+    frame(spark, ev, ["order_id", "event_type", "t"], millis=True).coalesce(1).write.parquet(d)
+    for strict, expected in ((False, {(1, "match"): 1, (2, "timeout"): 1, (3, "match"): 2, (4, "match"): 1,
+                                      (6, "timeout"): 1}),
+                             (True, {(2, "timeout"): 1, (3, "match"): 1, (4, "match"): 1, (6, "timeout"): 1})):
+        src = spark.readStream.schema(spark.read.parquet(d).schema).parquet(d)
+        name = f"pat_fixture_{int(strict)}"
+        run_available(processors.pattern_stream(src, "order_id", "create", "pay", "2 seconds", strict=strict),
+                      name, checkpoint=_ck())
+        got = {}
+        for r in spark.table(name).collect():
+            got[(r["key"], r["outcome"])] = got.get((r["key"], r["outcome"]), 0) + 1
+        assert got == expected, strict
+        batch = patterns.two_step(frame(spark, ev, ["order_id", "event_type", "t"], millis=True), ["order_id"],
+                                  F.col("event_type") == "create", F.col("event_type") == "pay", "2 seconds",
+                                  "strict" if strict else "relaxed")
+        bgot = {}
+        for r in batch.collect():
+            bgot[(r["order_id"], r["outcome"])] = bgot.get((r["order_id"], r["outcome"]), 0) + 1
+        assert bgot == expected, strict

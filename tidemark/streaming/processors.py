@@ -246,3 +246,80 @@ def login_fail_stream(stream: DataFrame, within: str, ts: str = "ts", delay: str
     return s.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=LoginFailPairs(seconds(within) * 1000, message), outputStructType=LOGIN_OUT,
         outputMode="Append", timeMode="EventTime")
+
+
+# ---------------------------------------------------------------- C1-C7 two-step pattern
+PATTERN_OUT = "key LONG, start_ms LONG, end_ms LONG, outcome STRING"
+
+
+class TwoStepPattern(StatefulProcessor):
+    """``begin(first).<next|followedBy>(second).within(limit)`` per key, with timeouts.
+
+    Events wait in list state.  A start is decided when the watermark passes
+    start + limit (a timer there): by then every event that could complete
+    it has arrived, so the answer equals the batch form's.  Events older than
+    every undecided start's window are dropped from state.
+    """
+
+    def __init__(self, first: str, second: str, within_ms: int, strict: bool = False):
+        self.first, self.second = first, second
+        self.within_ms = within_ms
+        self.strict = strict
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("events", "ts_ms LONG, seq LONG, kind STRING, decided BOOLEAN")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows)
+        if len(pdf):
+            vals = [(int(t), int(s), str(k), False) for t, s, k in zip(pdf["ts_ms"], pdf["seq"], pdf["event_type"])]
+            self.buffer.appendList(vals)
+            for t in sorted({v[0] for v in vals if v[2] == self.first}):
+                self.handle.registerTimer(t + self.within_ms)
+        yield pd.DataFrame([], columns=["key", "start_ms", "end_ms", "outcome"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        k = int(key[0])
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        ev = sorted(self.buffer.get()) if self.buffer.exists() else []
+        out, kept = [], []
+        for i, (ts, seq, kind, decided) in enumerate(ev):
+            if kind == self.first and not decided and ts + self.within_ms <= t:
+                later = ev[i + 1:]
+                if self.strict:
+                    nxt = later[0] if later else None
+                    ok = nxt is not None and nxt[2] == self.second
+                else:
+                    nxt = next((e for e in later if e[2] == self.second), None)
+                    ok = nxt is not None
+                in_time = nxt is not None and nxt[0] < ts + self.within_ms
+                if ok and in_time:
+                    out.append((k, ts, nxt[0], patterns.MATCH))
+                elif not (self.strict and nxt is not None and not ok and in_time):
+                    out.append((k, ts, None, patterns.TIMEOUT))
+                decided = True
+            ev[i] = (ts, seq, kind, decided)
+        pending = [e[0] for e in ev if e[2] == self.first and not e[3]]
+        horizon = min(pending) if pending else t
+        kept = [e for e in ev if e[0] >= horizon or (e[2] == self.first and not e[3])]
+        if self.strict and ev and not kept:
+            kept = [ev[-1]]          # the last event still decides "next" for a later start
+        if kept:
+            self.buffer.put(kept)
+        else:
+            self.buffer.clear()
+        yield pd.DataFrame(out, columns=["key", "start_ms", "end_ms", "outcome"]).astype(
+            {"key": "int64", "start_ms": "int64", "end_ms": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def pattern_stream(stream: DataFrame, key: str, first: str, second: str, within: str,
+                   strict: bool = False, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
+    """C1-C7 on a stream: input (key, event_type, ts, seq) -> (key, start_ms, end_ms, outcome)."""
+    s = _with_ms(stream, ts, delay).select(key, "event_type", "ts_ms", "seq", ts)
+    return s.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=TwoStepPattern(first, second, seconds(within) * 1000, strict),
+        outputStructType=PATTERN_OUT, outputMode="Append", timeMode="EventTime")
