@@ -202,3 +202,25 @@ def test_pattern_stream_fixture(spark):
         for r in batch.collect():
             bgot[(r["order_id"], r["outcome"])] = bgot.get((r["order_id"], r["outcome"]), 0) + 1
         assert bgot == expected, strict
+
+
+def test_one_to_one_stream_fixture(spark):
+    """F-TX: +-5 s, k-th pairing, with a trailing row that closes every range."""
+    from helpers import frame
+    pays = frame(spark, [("a", 10), ("b", 20), ("c", 30), ("d", 40), ("d", 41), ("", 50), ("z", 500)], ["tx_id", "t"])
+    recs = frame(spark, [("a", 15), ("b", 26), ("d", 42), ("e", 60)], ["tx_id", "t"])
+    dp, dr = (tempfile.mkdtemp(prefix="tidemark-tx-") + "/d" for _ in range(2))
+    pays.coalesce(1).write.parquet(dp)
+    recs.coalesce(1).write.parquet(dr)
+    sp = spark.readStream.schema(pays.schema).parquet(dp).where(F.col("tx_id") != "")
+    sr = spark.readStream.schema(recs.schema).parquet(dr)
+    run_available(processors.one_to_one_stream(sp, sr, "tx_id", "-5 seconds", "5 seconds"), "tx_one",
+                  checkpoint=_ck())
+    base = 1704067200000
+    got = sorted((r["tag"], r["tx_id"], None if r["pay_ms"] is None else (r["pay_ms"] - base) // 1000,
+                  None if r["receipt_ms"] is None else (r["receipt_ms"] - base) // 1000)
+                 for r in spark.table("tx_one").where("tx_id <> 'z'").collect())
+    assert got == sorted([("matched", "a", 10, 15), ("matched", "d", 40, 42),
+                          ("unmatched_pay", "b", 20, None), ("unmatched_pay", "c", 30, None),
+                          ("unmatched_pay", "d", 41, None),
+                          ("unmatched_receipt", "b", None, 26), ("unmatched_receipt", "e", None, 60)])

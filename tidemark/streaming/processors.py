@@ -323,3 +323,94 @@ def pattern_stream(stream: DataFrame, key: str, first: str, second: str, within:
     return s.groupBy(key).transformWithStateInPandas(
         statefulProcessor=TwoStepPattern(first, second, seconds(within) * 1000, strict),
         outputStructType=PATTERN_OUT, outputMode="Append", timeMode="EventTime")
+
+
+# ---------------------------------------------------------------- J2-J4 one-to-one matching
+TX_OUT = "tx_id STRING, pay_ms LONG, receipt_ms LONG, tag STRING"
+
+
+class OneToOneMatch(StatefulProcessor):
+    """k-th pay with k-th receipt of a tx, within [lower, upper] (J2), with both
+    unmatched outputs (J3, J4) on a tagged union of the two streams.
+
+    Rows are released in (ts, seq) order once the watermark passes them.  A
+    released row pairs with the oldest waiting row of the other side (that is
+    the k-th pairing); a pair out of range reports both sides unmatched.  A
+    waiting row whose range has closed under the watermark is reported
+    unmatched at once and keeps its place, so the k-th row of the other side
+    that comes later is still paired with it (and is unmatched too), exactly as
+    in the batch form.  Every row ends as matched or unmatched (D15).
+    """
+
+    def __init__(self, lower_ms: int, upper_ms: int):
+        self.lower_ms, self.upper_ms = lower_ms, upper_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("held", "ts_ms LONG, seq LONG, side STRING")
+        self.waiting = handle.getListState("waiting", "ts_ms LONG, side STRING, reported BOOLEAN")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows)
+        if len(pdf):
+            vals = [(int(t), int(s), str(d)) for t, s, d in zip(pdf["ts_ms"], pdf["seq"], pdf["side"])]
+            self.buffer.appendList(vals)
+            for t in sorted({v[0] for v in vals}):
+                self.handle.registerTimer(t)
+        yield pd.DataFrame([], columns=["tx_id", "pay_ms", "receipt_ms", "tag"])
+
+    def _closes(self, ts: int, side: str) -> int:
+        # after this time no row of the other side can fall in range
+        return ts + self.upper_ms + 1 if side == "pay" else ts - self.lower_ms + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        tx = str(key[0])
+        # Release and expire up to the current watermark, not only this timer:
+        # a range that closed before this callback must not wait for a later batch.
+        t = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        held = sorted(self.buffer.get()) if self.buffer.exists() else []
+        ready, rest = [v for v in held if v[0] <= t], [v for v in held if v[0] > t]
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        out = []
+        for ts, _, side in ready:
+            if waiting and waiting[0][1] != side:
+                other_ts, other_side, reported = waiting.pop(0)
+                p, r = (ts, other_ts) if side == "pay" else (other_ts, ts)
+                if p + self.lower_ms <= r <= p + self.upper_ms and not reported:
+                    out.append((tx, p, r, "matched"))
+                else:
+                    if not reported:
+                        out.append((tx, p if other_side == "pay" else None,
+                                    r if other_side == "receipt" else None, f"unmatched_{other_side}"))
+                    out.append((tx, p if side == "pay" else None, r if side == "receipt" else None,
+                                f"unmatched_{side}"))
+            else:
+                waiting.append((ts, side, False))
+                self.handle.registerTimer(self._closes(ts, side))
+        for i, (ts, side, reported) in enumerate(waiting):
+            if not reported and self._closes(ts, side) <= t:
+                out.append((tx, ts if side == "pay" else None, ts if side == "receipt" else None, f"unmatched_{side}"))
+                waiting[i] = (ts, side, True)
+        self.buffer.put(rest) if rest else self.buffer.clear()
+        self.waiting.put(waiting) if waiting else self.waiting.clear()
+        yield pd.DataFrame(out, columns=["tx_id", "pay_ms", "receipt_ms", "tag"]).astype(
+            {"pay_ms": "Int64", "receipt_ms": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def one_to_one_stream(pays: DataFrame, receipts: DataFrame, key: str, lower: str, upper: str,
+                      ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
+    """J2-J4 on streams: tagged union of both inputs -> matched / unmatched_pay / unmatched_receipt."""
+    def side(df, name):
+        return df.select(F.col(key).cast("string").alias("tx_id"), F.col(ts).alias("ts"),
+                         F.col("seq"), F.lit(name).alias("side"))
+    u = side(pays, "pay").unionByName(side(receipts, "receipt"))
+    s = _with_ms(u, "ts", delay)
+    sign = lambda d: -1 if d.strip().startswith("-") else 1
+    lo = sign(lower) * seconds(lower.strip().lstrip("-")) * 1000
+    hi = sign(upper) * seconds(upper.strip().lstrip("-")) * 1000
+    return s.groupBy("tx_id").transformWithStateInPandas(
+        statefulProcessor=OneToOneMatch(lo, hi), outputStructType=TX_OUT,
+        outputMode="Append", timeMode="EventTime")
