@@ -51,3 +51,25 @@ def test_bucketed_nearest_equals_lag_and_next_match(spark, rows):
         brute[s] = min(later)[1] if later else None
     got = ordered.nearest(df, ["key"], ["ts", "seq"], F.col("kind") == "b", ["seq"], "nx", "next", bucket="30 seconds")
     assert {r["seq"]: (r["nx"]["seq"] if r["nx"] else None) for r in got.collect()} == brute
+
+
+side_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300)), min_size=0, max_size=25)
+
+
+@SETTINGS
+@given(left=side_st, right=side_st)
+def test_bucketed_interval_join_equals_plain(spark, left, right):
+    from tidemark.operators import matching
+    L = frame(spark, left or [(9, 0)], ["key", "t"]).withColumnRenamed("seq", "id")
+    R = frame(spark, right or [(9, 0)], ["key", "t"]).withColumnRenamed("seq", "id")
+    lo, hi = "-20 seconds", "35 seconds"
+    plain = {(a["id"], b["id"]) for a in L.collect() for b in R.collect()
+             if a["key"] == b["key"] and a["ts"] + __import__("datetime").timedelta(seconds=-20) <= b["ts"]
+             <= a["ts"] + __import__("datetime").timedelta(seconds=35)}
+    for width in (None, 7):
+        got = {(r["p_id"], r["r_id"]) for r in matching.interval_join(L, R, "key", lo, hi, width=width).collect()}
+        assert got == plain, width
+        ul = {r["id"] for r in matching.unmatched_left(L, R, "key", lo, hi, width=width).collect()}
+        assert ul == {r["id"] for r in L.collect()} - {p for p, _ in plain}, width
+        ur = {r["id"] for r in matching.unmatched_right(L, R, "key", lo, hi, width=width).collect()}
+        assert ur == {r["id"] for r in R.collect()} - {q for _, q in plain}, width
