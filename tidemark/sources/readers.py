@@ -1,7 +1,8 @@
 """S1 text-file source and S2 Kafka source, batch or stream.
 
-Both yield one ``value`` string column (plus ``seq``, an arrival sequence
-for tie-breaks in batch).  Kafka needs the connector jar on the cluster's
+Both yield one ``value`` string column plus ``seq``, a tie-break for rows
+with equal event times: the arrival position in a batch file read, the
+message offset from Kafka, a content hash on a file stream.  Kafka needs the connector jar on the cluster's
 classpath; it is not bundled here, so only the reader options are set.
 """
 
@@ -17,7 +18,9 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False,
         r = spark.readStream.format("text")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        return r.load(path)
+        # Row ids are refused on streams; a content hash is a deterministic
+        # tie-break for rows with equal times (identical lines are interchangeable).
+        return r.load(path).withColumn("seq", F.xxhash64("value"))
     return spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
 
 
@@ -32,4 +35,5 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str, stream: bool = T
         r = r.option("kafka.group.id", group_id)
     for k, v in (extra or {}).items():
         r = r.option(k, v)
-    return r.load().select(F.col("value").cast("string").alias("value"), "timestamp")
+    return r.load().select(F.col("value").cast("string").alias("value"), "timestamp",
+                           F.col("offset").alias("seq"))
