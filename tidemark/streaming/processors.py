@@ -134,9 +134,10 @@ class ClickCap(StatefulProcessor):
     (plus ``grace``) clears the state: the daily reset of ST3 on event time (D7).
     """
 
-    def __init__(self, cap: int, grace_ms: int = 0):
+    def __init__(self, cap: int, grace_ms: int = 0, processing_reset: bool = False):
         self.cap = cap
         self.grace_ms = grace_ms
+        self.processing_reset = processing_reset      # ST8: reset at wall-clock UTC midnight
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -144,7 +145,7 @@ class ClickCap(StatefulProcessor):
         self.warned = handle.getValueState("warned", "w BOOLEAN")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        user, ad, day = (int(k) for k in key)
+        user, ad = int(key[0]), int(key[1])
         pdf = _frame(rows)
         out = []
         if len(pdf):
@@ -152,7 +153,11 @@ class ClickCap(StatefulProcessor):
             n = self.count.get()[0] if self.count.exists() else 0
             warned = self.warned.get()[0] if self.warned.exists() else False
             if n == 0 and not warned:
-                self.handle.registerTimer((day + 1) * DAY_MS + self.grace_ms)
+                if self.processing_reset:
+                    now = timerValues.getCurrentProcessingTimeInMs()
+                    self.handle.registerTimer((now // DAY_MS + 1) * DAY_MS)
+                else:
+                    self.handle.registerTimer((int(key[2]) + 1) * DAY_MS + self.grace_ms)
             msg = limits.WARNING_TEXT.format(cap=self.cap)
             for prov, t, s in zip(pdf["province"], pdf["ts_ms"], pdf["seq"]):
                 if n < self.cap:
@@ -175,10 +180,21 @@ class ClickCap(StatefulProcessor):
 
 
 def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = "0 seconds",
-                     grace: str = "0 seconds") -> DataFrame:
-    """Q10 on a stream: tagged output rows ``pass`` / ``warning`` (one query, split by tag, ST13)."""
-    s = (_with_ms(stream, ts, delay)
-         .withColumn("day", F.floor(F.col("ts_ms") / DAY_MS).cast("long"))
+                     grace: str = "0 seconds", reset: str = "event") -> DataFrame:
+    """Q10 on a stream: tagged output rows ``pass`` / ``warning`` (one query, split by tag, ST13).
+
+    ``reset='event'`` (default, D7) keys the state by the event's UTC day and
+    clears it with an event-time timer; ``reset='processing'`` keys by
+    (user, ad) only and clears at the next wall-clock UTC midnight (ST8), as
+    the reference does, at the price of answers that depend on when it runs.
+    """
+    s = _with_ms(stream, ts, delay)
+    if reset == "processing":
+        s = s.select("user_id", "ad_id", "province", "ts_ms", "seq", ts)
+        return s.groupBy("user_id", "ad_id").transformWithStateInPandas(
+            statefulProcessor=ClickCap(cap, processing_reset=True), outputStructType=CAP_OUT,
+            outputMode="Append", timeMode="ProcessingTime")
+    s = (s.withColumn("day", F.floor(F.col("ts_ms") / DAY_MS).cast("long"))
          .select("user_id", "ad_id", "day", "province", "ts_ms", "seq", ts))
     return s.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
         statefulProcessor=ClickCap(cap, seconds(grace) * 1000), outputStructType=CAP_OUT,

@@ -8,16 +8,23 @@ from tidemark.session import checkpoint_location
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append", sink: str = "memory",
-                  foreach_batch=None, path: str | None = None, checkpoint: str | None = None) -> None:
-    """Process everything available with ``availableNow``, then stop.
+                  foreach_batch=None, path: str | None = None, checkpoint: str | None = None,
+                  available_now: bool = True, until=None, poll_seconds: float = 1.0,
+                  max_seconds: float = 120.0) -> None:
+    """Process everything available, then stop.
 
+    ``availableNow`` by default.  A query with pending processing-time timers
+    (ST8) never becomes idle, under ``availableNow`` or ``processAllAvailable``;
+    pass ``available_now=False`` and ``until``, a callable that says when the
+    output is complete (polled every ``poll_seconds``, at most ``max_seconds``).
     The checkpoint lives under the shared checkpoint folder, so a restarted
     query resumes from the last committed micro-batch.
     """
     spark: SparkSession = df.sparkSession
     w = (df.writeStream.outputMode(mode).queryName(name)
-         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
-         .trigger(availableNow=True))
+         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name)))
+    if available_now:
+        w = w.trigger(availableNow=True)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
@@ -25,6 +32,15 @@ def run_available(df: DataFrame, name: str, mode: str = "append", sink: str = "m
         if path:
             w = w.option("path", path)
     q = w.start()
-    q.awaitTermination()
+    if available_now:
+        q.awaitTermination()
+    else:
+        import time
+        deadline = time.monotonic() + max_seconds
+        try:
+            while q.isActive and time.monotonic() < deadline and not (until and until()):
+                time.sleep(poll_seconds)
+        finally:
+            q.stop()
     if q.exception() is not None:
         raise q.exception()
