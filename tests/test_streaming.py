@@ -238,3 +238,16 @@ def test_click_cap_stream_processing_reset(spark):
     out = spark.table("cap_stream_p")
     assert sorted(r["seq"] for r in out.where("tag = 'pass'").collect()) == [0, 1, 4]
     assert out.where("tag = 'warning'").count() == 1
+
+
+def test_running_unique_stream_equals_batch(spark, events_dir):
+    from tidemark.operators.distinct import running_distinct
+    views = _stream(spark, events_dir).where(F.col("event_type") == "view").withColumnRenamed("event_id", "seq")
+    totals, out = tempfile.mkdtemp(prefix="tidemark-tot-"), tempfile.mkdtemp(prefix="tidemark-ru-")
+    from tidemark.streaming.windows import parquet_epoch_writer
+    run_available(sdistinct.first_sightings(views, "1 day"), "ru_stream", checkpoint=_ck(),
+                  foreach_batch=sdistinct.running_unique_writer(totals, parquet_epoch_writer(out)))
+    got = {(r["seq"], r["uv"]) for r in spark.read.parquet(out).collect()}
+    bv = events_dir[1].where(F.col("event_type") == "view").withColumnRenamed("event_id", "seq")
+    batch = {(r["seq"], r["uv"]) for r in running_distinct(bv, "1 day").collect()}
+    assert got and got == batch

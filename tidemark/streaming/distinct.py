@@ -20,3 +20,99 @@ def unique_visitors(stream: DataFrame, size: str, user: str = "user_id", ts: str
     d = s.withColumn("_u", u).dropDuplicates(["_w", "_u"])
     return (d.groupBy("_w").agg(F.count(F.lit(1)).alias(out))
             .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), out))
+
+
+# ---------------------------------------------------------------- A9 / T8 running count per event
+import pandas as pd  # noqa: E402
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle  # noqa: E402
+
+from tidemark.operators.ordered import DEFAULT_BUCKET, running_sum  # noqa: E402
+
+FIRST_OUT = "window_end_ms LONG, user STRING, ts_ms LONG, seq LONG, is_first BOOLEAN"
+
+
+class FirstSighting(StatefulProcessor):
+    """Per (window, user): flag the first event, pass repeats through (A6 state, S6).
+
+    Keyed by (window, user), so the seen-set of a window is spread over all
+    tasks instead of living in one bitmap; an event-time timer at the window
+    end drops the key's state."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "s BOOLEAN")
+
+    def handleInputRows(self, key, rows, timerValues):
+        parts = [b for b in rows if len(b)]
+        pdf = pd.concat(parts, ignore_index=True).sort_values(["ts_ms", "seq"]) if parts else None
+        out = []
+        if pdf is not None:
+            w_end, user = int(key[0]), str(key[1])
+            seen = self.seen.exists()
+            if not seen:
+                self.handle.registerTimer(w_end)
+            for t, s in zip(pdf["ts_ms"], pdf["seq"]):
+                out.append((w_end, user, int(t), int(s), not seen))
+                seen = True
+            self.seen.update((True,))
+        yield pd.DataFrame(out, columns=["window_end_ms", "user", "ts_ms", "seq", "is_first"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.seen.clear()
+        yield pd.DataFrame([], columns=["window_end_ms", "user", "ts_ms", "seq", "is_first"])
+
+    def close(self) -> None:
+        pass
+
+
+def first_sightings(stream: DataFrame, size: str, user: str = "user_id", ts: str = "ts",
+                    delay: str = "0 seconds", bitmap: bool = False) -> DataFrame:
+    """Stage 1 of the streaming running count: every event with its first-sighting flag."""
+    s = watermark(stream, ts, delay)
+    u = bitmap_offset(user) if bitmap else F.col(user)
+    s = s.select(F.unix_millis(F.window(ts, size).end).alias("window_end_ms"), u.cast("string").alias("user"),
+                 F.unix_millis(F.col(ts)).alias("ts_ms"), "seq", ts)
+    return s.groupBy("window_end_ms", "user").transformWithStateInPandas(
+        statefulProcessor=FirstSighting(), outputStructType=FIRST_OUT, outputMode="Append", timeMode="EventTime")
+
+
+def _latest_epoch_before(spark, path: str, epoch: int):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    found = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(p)
+             if st.getPath().getName().startswith("epoch=")]
+    older = [e for e in found if e < epoch and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/epoch={e}/_SUCCESS"))]
+    return max(older) if older else None
+
+
+def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bucket: str = DEFAULT_BUCKET):
+    """Stage 2 (``foreachBatch``): running distinct count at every event of the micro-batch.
+
+    count = distinct users of the window before this micro-batch (a totals
+    table, one row per window, written per epoch) + first sightings of this
+    micro-batch up to the event (bucketed running sum, no single-task
+    window).  Replaying an epoch rewrites the same files (exactly once)."""
+    def _batch(df: DataFrame, epoch_id: int) -> None:
+        spark = df.sparkSession
+        prev_epoch = _latest_epoch_before(spark, totals_path, epoch_id)
+        if prev_epoch is None:
+            prev = spark.createDataFrame([], "window_end_ms LONG, total LONG")
+        else:
+            prev = spark.read.parquet(f"{totals_path}/epoch={prev_epoch}")
+        ev = df.withColumn("ts", F.timestamp_millis("ts_ms"))
+        run = running_sum(ev, ["window_end_ms"], ["ts", "seq"], F.col("is_first").cast("long"), "_run", bucket)
+        res = (run.join(prev, "window_end_ms", "left")
+               .withColumn("uv", F.coalesce(F.col("total"), F.lit(0)) + F.col("_run"))
+               .drop("total", "_run"))
+        if repeats_only:
+            res = res.where(~F.col("is_first"))
+        write(res, epoch_id)
+        batch_tot = df.groupBy("window_end_ms").agg(F.sum(F.col("is_first").cast("long")).alias("_add"))
+        new = (prev.join(batch_tot, "window_end_ms", "full")
+               .select("window_end_ms", (F.coalesce(F.col("total"), F.lit(0))
+                                         + F.coalesce(F.col("_add"), F.lit(0))).alias("total")))
+        new.write.mode("overwrite").parquet(f"{totals_path}/epoch={epoch_id}")
+    return _batch

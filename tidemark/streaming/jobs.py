@@ -104,3 +104,12 @@ def tx_match(order_lines: DataFrame, receipt_lines: DataFrame, bound: str = "5 s
     from tidemark.streaming.matching import match_streams
     return match_streams(pays.select("tx_id", "ts", "order_id"), recs.select("tx_id", "ts", "pay_channel"),
                          "tx_id", f"-{bound}", bound), bad_p.unionByName(bad_r)
+
+
+def running_unique_visitors(lines: DataFrame, totals_path: str, size: str = "1 hour", bitmap: bool = True):
+    """Q7 per event: first-sighting stream plus the ``foreachBatch`` writer factory that
+    emits the running distinct count at every repeat visit (the reference's output)."""
+    good, bad = split_rejects(parse_behaviour(_seq(lines), trim=True, keep=("seq",)))
+    pv = good.where(keep_for_watermark(F.col("behavior") == "pv"))
+    return (distinct.first_sightings(pv, size, bitmap=bitmap),
+            (lambda write: distinct.running_unique_writer(totals_path, write)), bad)
