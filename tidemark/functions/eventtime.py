@@ -30,14 +30,23 @@ def to_event_time(c: Column | str, unit: str) -> Column:
     return _UNITS[unit](col.cast("long"))
 
 
+def ntz_as_utc(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP, reading the wall time as UTC in any session zone.
+
+    A plain cast would read it in the session zone; the micro-second distance
+    from the NTZ epoch does not depend on any zone."""
+    col = F.col(c) if isinstance(c, str) else c
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
+    return F.timestamp_micros(micros)
+
+
 def as_watermarkable(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Streams need TIMESTAMP (not TIMESTAMP_NTZ) for ``withWatermark`` (7.5.1).
 
-    The cast reads the wall time in the session zone, which this package pins
-    to UTC, so the instant equals the NTZ value read as UTC.
+    The NTZ wall time is read as UTC (D19), whatever the session zone.
     """
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+        return df.withColumn(ts, ntz_as_utc(ts))
     return df
 
 
