@@ -32,6 +32,29 @@ def _with_ms(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     return s.withColumn("ts_ms", F.unix_millis(F.col(ts)))
 
 
+class _OneTimer:
+    """One pending event-time timer per key, moved earlier when needed and re-armed
+    after each callback; callbacks work up to the current watermark.  This keeps
+    Python callbacks to about one per key and micro-batch instead of one per row."""
+
+    def _init_timer(self, handle: StatefulProcessorHandle) -> None:
+        self._pending = handle.getValueState("pending_timer", "t LONG")
+
+    def _arm(self, t) -> None:
+        if t is None:
+            return
+        cur = self._pending.get()[0] if self._pending.exists() else None
+        if cur is None or t < cur:
+            if cur is not None:
+                self.handle.deleteTimer(cur)
+            self.handle.registerTimer(int(t))
+            self._pending.update((int(t),))
+
+    def _fired(self, timerValues, expiredTimerInfo) -> int:
+        self._pending.clear()
+        return max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+
+
 # ---------------------------------------------------------------- ST5 order machine
 ORDER_OUT = "order_id LONG, result STRING, ts_ms LONG"
 
@@ -205,7 +228,7 @@ def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = "
 LOGIN_OUT = "user_id LONG, first_fail_ms LONG, last_fail_ms LONG, warning STRING"
 
 
-class LoginFailPairs(StatefulProcessor):
+class LoginFailPairs(_OneTimer, StatefulProcessor):
     """Two failures in a row per user less than ``within`` apart, in event-time order (ST4, C7).
 
     Rows wait in list state until the watermark passes them (a timer at
@@ -221,19 +244,19 @@ class LoginFailPairs(StatefulProcessor):
         self.handle = handle
         self.buffer = handle.getListState("buffer", "ts_ms LONG, seq LONG, fail BOOLEAN")
         self.last = handle.getValueState("last", "ts_ms LONG, seq LONG, fail BOOLEAN")
+        self._init_timer(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows)
         if len(pdf):
             vals = [(int(t), int(s), bool(e == "fail")) for t, s, e in zip(pdf["ts_ms"], pdf["seq"], pdf["event_type"])]
             self.buffer.appendList(vals)
-            for t in sorted({v[0] for v in vals}):
-                self.handle.registerTimer(t)
+            self._arm(min(v[0] for v in vals))
         yield pd.DataFrame([], columns=["user_id", "first_fail_ms", "last_fail_ms", "warning"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         user = int(key[0])
-        t_exp = expiredTimerInfo.getExpiryTimeInMs()
+        t_exp = self._fired(timerValues, expiredTimerInfo)
         held = sorted(self.buffer.get()) if self.buffer.exists() else []
         ready = [v for v in held if v[0] <= t_exp]
         rest = [v for v in held if v[0] > t_exp]
@@ -247,6 +270,7 @@ class LoginFailPairs(StatefulProcessor):
             self.last.update(tuple(last))
         if rest:
             self.buffer.put(rest)
+            self._arm(rest[0][0])
         else:
             self.buffer.clear()
         yield pd.DataFrame(out, columns=["user_id", "first_fail_ms", "last_fail_ms", "warning"])
@@ -268,7 +292,7 @@ def login_fail_stream(stream: DataFrame, within: str, ts: str = "ts", delay: str
 PATTERN_OUT = "key LONG, start_ms LONG, end_ms LONG, outcome STRING"
 
 
-class TwoStepPattern(StatefulProcessor):
+class TwoStepPattern(_OneTimer, StatefulProcessor):
     """``begin(first).<next|followedBy>(second).within(limit)`` per key, with timeouts.
 
     Events wait in list state.  A start is decided when the watermark passes
@@ -285,19 +309,21 @@ class TwoStepPattern(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buffer = handle.getListState("events", "ts_ms LONG, seq LONG, kind STRING, decided BOOLEAN")
+        self._init_timer(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows)
         if len(pdf):
             vals = [(int(t), int(s), str(k), False) for t, s, k in zip(pdf["ts_ms"], pdf["seq"], pdf["event_type"])]
             self.buffer.appendList(vals)
-            for t in sorted({v[0] for v in vals if v[2] == self.first}):
-                self.handle.registerTimer(t + self.within_ms)
+            starts = [v[0] for v in vals if v[2] == self.first]
+            if starts:
+                self._arm(min(starts) + self.within_ms)
         yield pd.DataFrame([], columns=["key", "start_ms", "end_ms", "outcome"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         k = int(key[0])
-        t = expiredTimerInfo.getExpiryTimeInMs()
+        t = self._fired(timerValues, expiredTimerInfo)
         ev = sorted(self.buffer.get()) if self.buffer.exists() else []
         out, kept = [], []
         for i, (ts, seq, kind, decided) in enumerate(ev):
@@ -325,6 +351,8 @@ class TwoStepPattern(StatefulProcessor):
             self.buffer.put(kept)
         else:
             self.buffer.clear()
+        if pending:
+            self._arm(min(pending) + self.within_ms)
         yield pd.DataFrame(out, columns=["key", "start_ms", "end_ms", "outcome"]).astype(
             {"key": "int64", "start_ms": "int64", "end_ms": "Int64"})
 
@@ -345,7 +373,7 @@ def pattern_stream(stream: DataFrame, key: str, first: str, second: str, within:
 TX_OUT = "tx_id STRING, pay_ms LONG, receipt_ms LONG, tag STRING"
 
 
-class OneToOneMatch(StatefulProcessor):
+class OneToOneMatch(_OneTimer, StatefulProcessor):
     """k-th pay with k-th receipt of a tx, within [lower, upper] (J2), with both
     unmatched outputs (J3, J4) on a tagged union of the two streams.
 
@@ -365,14 +393,14 @@ class OneToOneMatch(StatefulProcessor):
         self.handle = handle
         self.buffer = handle.getListState("held", "ts_ms LONG, seq LONG, side STRING")
         self.waiting = handle.getListState("waiting", "ts_ms LONG, side STRING, reported BOOLEAN")
+        self._init_timer(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows)
         if len(pdf):
             vals = [(int(t), int(s), str(d)) for t, s, d in zip(pdf["ts_ms"], pdf["seq"], pdf["side"])]
             self.buffer.appendList(vals)
-            for t in sorted({v[0] for v in vals}):
-                self.handle.registerTimer(t)
+            self._arm(min(v[0] for v in vals))
         yield pd.DataFrame([], columns=["tx_id", "pay_ms", "receipt_ms", "tag"])
 
     def _closes(self, ts: int, side: str) -> int:
@@ -383,7 +411,7 @@ class OneToOneMatch(StatefulProcessor):
         tx = str(key[0])
         # Release and expire up to the current watermark, not only this timer:
         # a range that closed before this callback must not wait for a later batch.
-        t = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        t = self._fired(timerValues, expiredTimerInfo)
         held = sorted(self.buffer.get()) if self.buffer.exists() else []
         ready, rest = [v for v in held if v[0] <= t], [v for v in held if v[0] > t]
         waiting = list(self.waiting.get()) if self.waiting.exists() else []
@@ -402,13 +430,14 @@ class OneToOneMatch(StatefulProcessor):
                                 f"unmatched_{side}"))
             else:
                 waiting.append((ts, side, False))
-                self.handle.registerTimer(self._closes(ts, side))
         for i, (ts, side, reported) in enumerate(waiting):
             if not reported and self._closes(ts, side) <= t:
                 out.append((tx, ts if side == "pay" else None, ts if side == "receipt" else None, f"unmatched_{side}"))
                 waiting[i] = (ts, side, True)
         self.buffer.put(rest) if rest else self.buffer.clear()
         self.waiting.put(waiting) if waiting else self.waiting.clear()
+        nxt = [v[0] for v in rest] + [self._closes(ts, side) for ts, side, rep in waiting if not rep]
+        self._arm(min(nxt) if nxt else None)
         yield pd.DataFrame(out, columns=["tx_id", "pay_ms", "receipt_ms", "tag"]).astype(
             {"pay_ms": "Int64", "receipt_ms": "Int64"})
 
