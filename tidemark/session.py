@@ -26,6 +26,43 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (order of 1000 executors, ~100 TB of input).
+# Apply with :func:`tune_for_cluster`; nothing here is forced on a session.
+CLUSTER_CONF = {
+    # Start wide and let adaptive execution merge small partitions to ~256 MB.
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Split skewed join partitions (hot keys) at run time.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Scan splits sized to fit an executor core's memory comfortably.
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # Broadcast only what is measured small; no hand-placed broadcast in this package.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Streams: RocksDB state with changelog checkpoints (small incremental uploads).
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def tune_for_cluster(spark: SparkSession, overrides: dict | None = None) -> dict:
+    """Apply :data:`CLUSTER_CONF` (plus ``overrides``) to a session; returns what was set.
+
+    The shuffle partition count of a streaming query is fixed at its first
+    start (it sizes the state store), so set it before starting streams.
+    """
+    conf = dict(CLUSTER_CONF)
+    conf.update(overrides or {})
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tidemark", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
