@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.eventtime import watermark
+from tidemark.functions.eventtime import keep_for_watermark, watermark
 from tidemark.operators import limits, patterns
 from tidemark.operators.windows import seconds
 
@@ -364,6 +364,10 @@ def pattern_stream(stream: DataFrame, key: str, first: str, second: str, within:
                    strict: bool = False, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
     """C1-C7 on a stream: input (key, event_type, ts, seq) -> (key, start_ms, end_ms, outcome)."""
     s = _with_ms(stream, ts, delay).select(key, "event_type", "ts_ms", "seq", ts)
+    if not strict:
+        # Only starts and partners matter under relaxed contiguity: drop the rest
+        # JVM-side, in a filter that still lets them move the watermark.
+        s = s.where(keep_for_watermark(F.col("event_type").isin(first, second), ts))
     return s.groupBy(key).transformWithStateInPandas(
         statefulProcessor=TwoStepPattern(first, second, seconds(within) * 1000, strict),
         outputStructType=PATTERN_OUT, outputMode="Append", timeMode="EventTime")
