@@ -251,3 +251,18 @@ def test_running_unique_stream_equals_batch(spark, events_dir):
     bv = events_dir[1].where(F.col("event_type") == "view").withColumnRenamed("event_id", "seq")
     batch = {(r["seq"], r["uv"]) for r in running_distinct(bv, "1 day").collect()}
     assert got and got == batch
+
+
+def test_ad_clicks_job_counts_per_province(spark):
+    """Q10 end to end: click cap, then passing clicks per province in the same query."""
+    from helpers import frame
+    from tidemark.streaming import jobs
+    rows = [(10, 1, 5, "p"), (20, 1, 5, "p"), (30, 1, 5, "q"), (40, 1, 5, "p"), (50, 1, 6, "q"),
+            (86400, 1, 5, "p"), (200000, 9, 9, "z")]
+    d = tempfile.mkdtemp(prefix="tidemark-adjob-") + "/data"
+    frame(spark, rows, ["t", "user_id", "ad_id", "province"]).coalesce(1).write.parquet(d)
+    src = spark.readStream.schema(spark.read.parquet(d).schema).parquet(d)
+    _, counts = jobs.ad_clicks(src, cap=2, size="1 day", slide="1 day")
+    run_available(counts, "ad_prov", checkpoint=_ck())
+    got = sorted((r["province"], r["cnt"]) for r in spark.table("ad_prov").collect())
+    assert got == [("p", 1), ("p", 2), ("q", 1)]

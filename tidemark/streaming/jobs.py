@@ -71,9 +71,16 @@ def marketing(events: DataFrame, size: str = "1 hour", slide: str = "10 seconds"
     return windows.windowed_counts(kept, size, slide, keys=keys, out="cnt")
 
 
-def ad_clicks(clicks: DataFrame, cap: int = 10):
-    """Q10: tagged click-cap stream (``pass`` / ``warning``); count passes per province downstream."""
-    return processors.click_cap_stream(_seq(clicks), cap)
+def ad_clicks(clicks: DataFrame, cap: int = 10, size: str = "1 hour", slide: str = "5 seconds"):
+    """Q10: (tagged click-cap stream, passing clicks counted per province and sliding window).
+
+    Both come from one stateful step; start the tagged stream for the
+    warnings (tag ``warning``) and the counts as a second query, or write both
+    from one ``foreachBatch``."""
+    tagged = processors.click_cap_stream(_seq(clicks), cap)
+    passed = tagged.where(F.col("tag") == "pass")
+    counts = windows.windowed_counts(passed, size, slide, keys=["province"], out="cnt", upstream_watermark=True)
+    return tagged, counts
 
 
 def login_failures(lines: DataFrame, within: str = "2 seconds", disorder: str = "5 seconds", strict_pattern=True):

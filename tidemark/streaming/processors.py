@@ -147,7 +147,8 @@ def order_outcomes_stream(stream: DataFrame, deadline: str, key: str = "order_id
 
 
 # ---------------------------------------------------------------- ST1-ST3 click cap
-CAP_OUT = "user_id LONG, ad_id LONG, province STRING, ts_ms LONG, seq LONG, tag STRING, msg STRING"
+CAP_OUT = "user_id LONG, ad_id LONG, province STRING, ts_ms LONG, seq LONG, tag STRING, msg STRING, ts TIMESTAMP"
+_CAP_COLS = ["user_id", "ad_id", "province", "ts_ms", "seq", "tag", "msg", "ts"]
 
 
 class ClickCap(StatefulProcessor):
@@ -182,21 +183,21 @@ class ClickCap(StatefulProcessor):
                 else:
                     self.handle.registerTimer((int(key[2]) + 1) * DAY_MS + self.grace_ms)
             msg = limits.WARNING_TEXT.format(cap=self.cap)
-            for prov, t, s in zip(pdf["province"], pdf["ts_ms"], pdf["seq"]):
+            for prov, t, s, ts in zip(pdf["province"], pdf["ts_ms"], pdf["seq"], pdf["ts"]):
                 if n < self.cap:
                     n += 1
-                    out.append((user, ad, prov, int(t), int(s), "pass", None))
+                    out.append((user, ad, prov, int(t), int(s), "pass", None, ts))
                 elif not warned:
                     warned = True
-                    out.append((user, ad, prov, int(t), int(s), "warning", msg))
+                    out.append((user, ad, prov, int(t), int(s), "warning", msg, ts))
             self.count.update((n,))
             self.warned.update((warned,))
-        yield pd.DataFrame(out, columns=["user_id", "ad_id", "province", "ts_ms", "seq", "tag", "msg"])
+        yield pd.DataFrame(out, columns=_CAP_COLS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.count.clear()
         self.warned.clear()
-        yield pd.DataFrame([], columns=["user_id", "ad_id", "province", "ts_ms", "seq", "tag", "msg"])
+        yield pd.DataFrame([], columns=_CAP_COLS)
 
     def close(self) -> None:
         pass
@@ -213,15 +214,16 @@ def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = "
     """
     s = _with_ms(stream, ts, delay)
     if reset == "processing":
-        s = s.select("user_id", "ad_id", "province", "ts_ms", "seq", ts)
+        s = s.select("user_id", "ad_id", "province", "ts_ms", "seq", F.col(ts).alias("ts"))
         return s.groupBy("user_id", "ad_id").transformWithStateInPandas(
             statefulProcessor=ClickCap(cap, processing_reset=True), outputStructType=CAP_OUT,
             outputMode="Append", timeMode="ProcessingTime")
     s = (s.withColumn("day", F.floor(F.col("ts_ms") / DAY_MS).cast("long"))
-         .select("user_id", "ad_id", "day", "province", "ts_ms", "seq", ts))
+         .select("user_id", "ad_id", "day", "province", "ts_ms", "seq", F.col(ts).alias("ts")))
+    # The output keeps its event time, so windowed counts can follow in the same query.
     return s.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
         statefulProcessor=ClickCap(cap, seconds(grace) * 1000), outputStructType=CAP_OUT,
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
 
 
 # ---------------------------------------------------------------- ST4 login failures

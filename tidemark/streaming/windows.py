@@ -31,9 +31,11 @@ STREAM_PANE_THRESHOLD = 48
 
 def windowed_counts(stream: DataFrame, size: str, slide: str | None = None, keys=(), ts: str = "ts",
                     delay: str = "0 seconds", out: str = "cnt", panes: bool | None = None,
-                    weight: Column | None = None) -> DataFrame:
+                    weight: Column | None = None, upstream_watermark: bool = False) -> DataFrame:
+    """Counts per key and window; ``upstream_watermark`` reuses the event time an
+    earlier stateful operator propagates (no second ``withWatermark``)."""
     keys = list(keys)
-    s = watermark(stream, ts, delay)
+    s = stream if upstream_watermark else watermark(stream, ts, delay)
     measure = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
     ratio = seconds(size) // seconds(slide) if slide else 1
     if panes is None:
