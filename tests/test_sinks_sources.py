@@ -63,3 +63,21 @@ def test_text_stream_source(spark):
     good, bad = split_rejects(parse_behaviour(s))
     run_available(good, "lines_good", checkpoint=tempfile.mkdtemp())
     assert spark.table("lines_good").count() == 3
+
+
+def test_merge_statement():
+    sql = sinks.merge_statement("hot_items", "hot_items_stage", ["item_id"], "window_end", ["cnt"])
+    assert sql == ("MERGE INTO hot_items t USING hot_items_stage s ON t.item_id = s.item_id "
+                   "WHEN MATCHED AND s.window_end >= t.window_end THEN UPDATE SET window_end = s.window_end, "
+                   "cnt = s.cnt WHEN NOT MATCHED THEN INSERT (item_id, window_end, cnt) "
+                   "VALUES (s.item_id, s.window_end, s.cnt)")
+
+
+def test_console_sink_starts(spark):
+    from tidemark.streaming.runner import run_available  # noqa: F401
+    d = tempfile.mkdtemp(prefix="tidemark-con-")
+    spark.createDataFrame([("a",)], ["value"]).write.text(f"{d}/f")
+    s = read_lines(spark, f"{d}/f", stream=True)
+    q = sinks.console(s, "agg").option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert q.exception() is None and q.name == "agg"

@@ -48,26 +48,33 @@ def upsert_rows(df: DataFrame, key: list[str], version: str, cols: list[str]) ->
     return newest_per_key(df, key, version, cols)
 
 
+def merge_statement(table: str, stage: str, key: list[str], version: str, cols: list[str]) -> str:
+    """One MERGE from the staging table; the stored row wins when it is newer."""
+    names = [*key, version, *cols]
+    on = " AND ".join(f"t.{k} = s.{k}" for k in key)
+    sets = ", ".join(f"{c} = s.{c}" for c in [version, *cols])
+    return (f"MERGE INTO {table} t USING {stage} s ON {on} "
+            f"WHEN MATCHED AND s.{version} >= t.{version} THEN UPDATE SET {sets} "
+            f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) "
+            f"VALUES ({', '.join('s.' + n for n in names)})")
+
+
 def jdbc_upsert_writer(url: str, table: str, key: list[str], version: str, cols: list[str],
                        properties: dict | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer doing staging write + one MERGE per micro-batch.
 
-    Credentials come from ``properties`` (D20).  The MERGE keeps the stored
-    row when it is newer than the incoming one, so replays are idempotent.
+    Executors write the staging table in parallel through Spark's JDBC writer;
+    the driver sends one MERGE statement (metadata, not data).  Credentials
+    come from ``properties`` (D20).  Replays are idempotent: the MERGE keeps
+    the stored row when it is newer than the incoming one.
     """
     props = dict(properties or {})
-    names = [*key, version, *cols]
 
     def _write(df: DataFrame, epoch_id: int) -> None:
         staged = upsert_rows(df, key, version, cols)
         stage = f"{table}_stage"
         staged.write.jdbc(url, stage, mode="overwrite", properties=props)
-        on = " AND ".join(f"t.{k} = s.{k}" for k in key)
-        sets = ", ".join(f"{c} = s.{c}" for c in [version, *cols])
-        merge = (f"MERGE INTO {table} t USING {stage} s ON {on} "
-                 f"WHEN MATCHED AND s.{version} >= t.{version} THEN UPDATE SET {sets} "
-                 f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) "
-                 f"VALUES ({', '.join('s.' + n for n in names)})")
+        merge = merge_statement(table, stage, key, version, cols)
         jvm = df.sparkSession.sparkContext._jvm
         jprops = jvm.java.util.Properties()
         for k, v in props.items():
