@@ -63,3 +63,21 @@ def test_tx_and_order_jobs_on_sample_files(spark):
     warn, _ = jobs.login_failures(read_lines(spark, LOGIN_D, stream=True))
     run_available(warn, "login_job", checkpoint=tempfile.mkdtemp())
     assert spark.table("login_job").count() >= 1
+
+
+def test_hot_urls_job_from_access_log(spark):
+    lines = ["10.0.0.1 - - 01/01/2024:00:00:05 +0000 GET /a", "10.0.0.1 - - 01/01/2024:00:00:08 +0000 GET /b",
+             "10.0.0.1 - - 01/01/2024:00:01:10 +0000 GET /a", "10.0.0.1 - - 01/01/2024:00:00:09 +0000 GET /b",
+             "10.0.0.1 - - 01/01/2024:00:03:10 +0000 POST /a", "10.0.0.1 - - 01/01/2024:00:03:10 +0000 GET /a",
+             "not a log line"]
+    src = read_lines(spark, _lines_dir(spark, [[x] for x in lines]), stream=True, max_files_per_trigger=1)
+    counts, bad = jobs.hot_urls(src, size="60 seconds", slide="60 seconds")
+    from tidemark.streaming.windows import change_log_writer, corrected_top_n
+    log = tempfile.mkdtemp(prefix="tidemark-urls-")
+    run_available(counts, "urls_job", mode="update", foreach_batch=change_log_writer(log), checkpoint=tempfile.mkdtemp())
+    top = corrected_top_n(spark.read.parquet(log), 5, "url")
+    got = sorted((r["window_end"].isoformat()[11:19], r["rank"], r["url"], r["cnt"]) for r in top.collect())
+    assert got == [("00:01:00", 1, "/b", 2), ("00:01:00", 2, "/a", 1), ("00:02:00", 1, "/a", 1),
+                   ("00:04:00", 1, "/a", 1)]
+    run_available(bad, "urls_bad", checkpoint=tempfile.mkdtemp())
+    assert spark.table("urls_bad").count() == 1

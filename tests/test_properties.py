@@ -73,3 +73,39 @@ def test_bucketed_interval_join_equals_plain(spark, left, right):
         assert ul == {r["id"] for r in L.collect()} - {p for p, _ in plain}, width
         ur = {r["id"] for r in matching.unmatched_right(L, R, "key", lo, hi, width=width).collect()}
         assert ur == {r["id"] for r in R.collect()} - {q for _, q in plain}, width
+
+
+@SETTINGS
+@given(rows=rows_st, seed=st.integers(0, 1000))
+def test_input_order_does_not_change_answers(spark, rows, seed):
+    from tidemark.operators import limits, patterns
+    df = _df(spark, rows)
+    shuffled = df.orderBy(F.rand(seed)).repartition(3)
+    for fn in (lambda d: limits.capped_clicks(d.withColumnRenamed("key", "user_id").withColumn("ad_id", F.lit(1)), 2),
+               lambda d: patterns.two_step(d, ["key"], F.col("kind") == "a", F.col("kind") == "b", "50 seconds"),
+               lambda d: windows.window_counts(d, "60 seconds", "20 seconds", ["key"])):
+        assert sorted(fn(df).collect()) == sorted(fn(shuffled).collect())
+
+
+@SETTINGS
+@given(users=st.lists(st.integers(0, 10**12), min_size=1, max_size=60))
+def test_bitmap_distinct_at_most_exact(spark, users):
+    from tidemark.operators import distinct
+    df = frame(spark, [(u, i) for i, u in enumerate(users)], ["user_id", "t"])
+    exact = {r["window_end"]: r["uv"] for r in distinct.distinct_count(df, "1 hour").collect()}
+    bitmap = {r["window_end"]: r["uv"] for r in distinct.bitmap_distinct_count(df, "1 hour").collect()}
+    assert exact.keys() == bitmap.keys()
+    assert all(bitmap[k] <= exact[k] for k in exact)
+
+
+@SETTINGS
+@given(left=side_st, right=side_st)
+def test_one_to_one_every_row_matched_or_unmatched(spark, left, right):
+    from tidemark.operators import matching
+    L = frame(spark, left or [(9, 0)], ["key", "t"]).withColumnRenamed("seq", "id")
+    R = frame(spark, right or [(9, 0)], ["key", "t"]).withColumnRenamed("seq", "id")
+    out = matching.one_to_one(L, R, "key", "-20 seconds", "35 seconds", left_order=["ts", "id"],
+                              right_order=["ts", "id"])
+    m = out["matched"].count()
+    assert m + out["unmatched_left"].count() == L.count()
+    assert m + out["unmatched_right"].count() == R.count()
