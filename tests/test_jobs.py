@@ -81,3 +81,13 @@ def test_hot_urls_job_from_access_log(spark):
                    ("00:04:00", 1, "/a", 1)]
     run_available(bad, "urls_bad", checkpoint=tempfile.mkdtemp())
     assert spark.table("urls_bad").count() == 1
+
+
+def test_filtered_rows_still_move_the_watermark(spark):
+    """A dropped 'buy' row far ahead in time still closes the earlier window."""
+    base = 1704067200
+    rows = [[f"1,7,1,pv,{base + 10}"], [f"2,8,1,buy,{base + 7200}"]]
+    src = read_lines(spark, _lines_dir(spark, rows), stream=True, max_files_per_trigger=1)
+    counts, _, _ = jobs.hot_items(src, n=5, size="60 seconds", slide="60 seconds")
+    run_available(counts, "d23_counts", checkpoint=tempfile.mkdtemp())
+    assert [(r["item_id"], r["cnt"]) for r in spark.table("d23_counts").collect()] == [(7, 1)]

@@ -14,8 +14,9 @@ from tidemark.operators.distinct import bitmap_offset
 
 
 def unique_visitors(stream: DataFrame, size: str, user: str = "user_id", ts: str = "ts",
-                    delay: str = "0 seconds", out: str = "uv", bitmap: bool = False) -> DataFrame:
-    s = watermark(stream, ts, delay).withColumn("_w", F.window(ts, size))
+                    delay: str = "0 seconds", out: str = "uv", bitmap: bool = False,
+                    upstream_watermark: bool = False) -> DataFrame:
+    s = (stream if upstream_watermark else watermark(stream, ts, delay)).withColumn("_w", F.window(ts, size))
     u = bitmap_offset(user) if bitmap else F.col(user)
     d = s.withColumn("_u", u).dropDuplicates(["_w", "_u"])
     return (d.groupBy("_w").agg(F.count(F.lit(1)).alias(out))
@@ -66,9 +67,9 @@ class FirstSighting(StatefulProcessor):
 
 
 def first_sightings(stream: DataFrame, size: str, user: str = "user_id", ts: str = "ts",
-                    delay: str = "0 seconds", bitmap: bool = False) -> DataFrame:
+                    delay: str = "0 seconds", bitmap: bool = False, upstream_watermark: bool = False) -> DataFrame:
     """Stage 1 of the streaming running count: every event with its first-sighting flag."""
-    s = watermark(stream, ts, delay)
+    s = stream if upstream_watermark else watermark(stream, ts, delay)
     u = bitmap_offset(user) if bitmap else F.col(user)
     s = s.select(F.unix_millis(F.window(ts, size).end).alias("window_end_ms"), u.cast("string").alias("user"),
                  F.unix_millis(F.col(ts)).alias("ts_ms"), "seq", ts)

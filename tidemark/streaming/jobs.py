@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.eventtime import keep_for_watermark
+from tidemark.functions.eventtime import keep_for_watermark, watermark
 from tidemark.sources.lines import parse_access_log, parse_behaviour, parse_login, parse_order, parse_receipt
 from tidemark.sources.lines import split_rejects
 from tidemark.streaming import distinct, processors, windows
@@ -29,8 +29,8 @@ def hot_items(lines: DataFrame, n: int = 5, size: str = "1 hour", slide: str = "
     The filter names the event-time column so dropped rows still move the
     watermark (D23)."""
     good, bad = split_rejects(parse_behaviour(_seq(lines), keep=("seq",)))
-    views = good.where(keep_for_watermark(F.col("behavior") == behavior))
-    counts = windows.windowed_counts(views, size, slide, keys=["item_id"], out="cnt")
+    views = watermark(good).where(keep_for_watermark(F.col("behavior") == behavior))
+    counts = windows.windowed_counts(views, size, slide, keys=["item_id"], out="cnt", upstream_watermark=True)
     return counts, (lambda write: windows.top_n_writer(n, "item_id", "cnt", write)), bad
 
 
@@ -40,9 +40,9 @@ def hot_urls(lines: DataFrame, size: str = "1 minute", slide: str = "5 seconds",
     p = parse_access_log(_seq(lines), keep=("seq",))
     good, bad = p.where(~F.col("_rejected")).drop("_line", "_rejected"), p.where("_rejected").select(
         F.col("_line").alias("line"))
-    gets = good.where(keep_for_watermark(F.col("method") == "GET"))
     delay = f"{_ms(disorder) + _ms(lateness)} milliseconds"
-    return windows.windowed_counts(gets, size, slide, keys=["url"], delay=delay, out="cnt"), bad
+    gets = watermark(good, "ts", delay).where(keep_for_watermark(F.col("method") == "GET"))
+    return windows.windowed_counts(gets, size, slide, keys=["url"], out="cnt", upstream_watermark=True), bad
 
 
 def _ms(d: str) -> int:
@@ -53,22 +53,22 @@ def _ms(d: str) -> int:
 def page_views(lines: DataFrame, size: str = "1 hour"):
     """Q5: ``pv`` count per tumbling window (with window bounds, D18)."""
     good, bad = split_rejects(parse_behaviour(_seq(lines), trim=True, keep=("seq",)))
-    pv = good.where(keep_for_watermark(F.col("behavior") == "pv"))
-    return windows.windowed_counts(pv, size, out="pv"), bad
+    pv = watermark(good).where(keep_for_watermark(F.col("behavior") == "pv"))
+    return windows.windowed_counts(pv, size, out="pv", upstream_watermark=True), bad
 
 
 def unique_visitors(lines: DataFrame, size: str = "1 hour", bitmap: bool = False):
     """Q6 / Q7: distinct visitors per window (exact, or over bitmap offsets)."""
     good, bad = split_rejects(parse_behaviour(_seq(lines), trim=True, keep=("seq",)))
-    pv = good.where(keep_for_watermark(F.col("behavior") == "pv"))
-    return distinct.unique_visitors(pv, size, bitmap=bitmap), bad
+    pv = watermark(good).where(keep_for_watermark(F.col("behavior") == "pv"))
+    return distinct.unique_visitors(pv, size, bitmap=bitmap, upstream_watermark=True), bad
 
 
 def marketing(events: DataFrame, size: str = "1 hour", slide: str = "10 seconds", by_channel: bool = True):
     """Q8 / Q9: counts per (channel, behaviour) or in total, all but ``uninstall``; pane form."""
-    kept = events.where(keep_for_watermark(F.col("behavior") != "uninstall"))
+    kept = watermark(events).where(keep_for_watermark(F.col("behavior") != "uninstall"))
     keys = ["channel", "behavior"] if by_channel else []
-    return windows.windowed_counts(kept, size, slide, keys=keys, out="cnt")
+    return windows.windowed_counts(kept, size, slide, keys=keys, out="cnt", upstream_watermark=True)
 
 
 def ad_clicks(clicks: DataFrame, cap: int = 10, size: str = "1 hour", slide: str = "5 seconds"):
@@ -117,6 +117,6 @@ def running_unique_visitors(lines: DataFrame, totals_path: str, size: str = "1 h
     """Q7 per event: first-sighting stream plus the ``foreachBatch`` writer factory that
     emits the running distinct count at every repeat visit (the reference's output)."""
     good, bad = split_rejects(parse_behaviour(_seq(lines), trim=True, keep=("seq",)))
-    pv = good.where(keep_for_watermark(F.col("behavior") == "pv"))
-    return (distinct.first_sightings(pv, size, bitmap=bitmap),
+    pv = watermark(good).where(keep_for_watermark(F.col("behavior") == "pv"))
+    return (distinct.first_sightings(pv, size, bitmap=bitmap, upstream_watermark=True),
             (lambda write: distinct.running_unique_writer(totals_path, write)), bad)
