@@ -17,6 +17,13 @@ every key by a time bucket:
 
 Results equal the plain window function exactly; the bucket width only moves
 work between the two parts.
+
+The bucket aggregate reads the input a second time, but column pruning
+limits that scan to the key, time and condition columns, and it is partially
+aggregated before its shuffle.  Sharing one shuffle between the two parts
+(an explicit repartition) was measured: pruning gives the branches different
+scans, so Spark cannot reuse the exchange, and the aggregate loses its
+map-side combine, so it is not done.
 """
 
 from __future__ import annotations
