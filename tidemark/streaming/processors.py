@@ -66,7 +66,9 @@ class OrderMachine(StatefulProcessor):
     D13).  A pay before the deadline is ``payed successfully``, at or after it
     ``payed but already timeout``.  A pay with no create waits ``pay_wait``
     for one (D2).  After ``order timeout`` fires, a pay that still arrives
-    within ``retention`` is reported as late (D14).
+    within ``retention`` is reported as late (D14).  Once a pay has decided an
+    order, its later events are ignored for ``retention`` (one pay result per
+    order, as in the batch form), so extra pays do not open a new wait.
     """
 
     def __init__(self, deadline_ms: int, pay_wait_ms: int | None = None, retention_ms: int | None = None):
@@ -79,10 +81,15 @@ class OrderMachine(StatefulProcessor):
         self.deadline = handle.getValueState("deadline", "v LONG")
         self.paid = handle.getValueState("paid", "v LONG")
         self.expired = handle.getValueState("expired", "v LONG")
+        self.done = handle.getValueState("done", "v LONG")
 
     def _get(self, st):
         return st.get()[0] if st.exists() else None
 
+    def _finish(self, t: int) -> None:
+        self.done.update((t,))
+        self.handle.registerTimer(t + self.retention_ms)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         order_id = int(key[0])
         pdf = _frame(rows)
@@ -91,12 +98,15 @@ class OrderMachine(StatefulProcessor):
             pdf = pdf.assign(_o=(pdf["event_type"] != "create").astype(int)).sort_values(["ts_ms", "_o", "seq"])
             for kind, t in zip(pdf["event_type"], pdf["ts_ms"]):
                 t = int(t)
+                if self.done.exists():
+                    continue
                 deadline, paid, expired = self._get(self.deadline), self._get(self.paid), self._get(self.expired)
                 if kind == "create":
                     if paid is not None:
                         out.append((order_id, patterns.PAY_BEFORE_CREATE, t))
                         self.handle.deleteTimer(paid + self.pay_wait_ms)
                         self.paid.clear()
+                        self._finish(t)
                         continue
                     if deadline is not None:
                         self.handle.deleteTimer(deadline)
@@ -108,9 +118,12 @@ class OrderMachine(StatefulProcessor):
                         out.append((order_id, msg, t))
                         self.handle.deleteTimer(deadline)
                         self.deadline.clear()
+                        self._finish(t)
                     elif expired is not None:
                         out.append((order_id, patterns.PAYED_LATE, t))
+                        self.handle.deleteTimer(expired + self.retention_ms)
                         self.expired.clear()
+                        self._finish(t)
                     elif paid is None:
                         self.paid.update((t,))
                         self.handle.registerTimer(t + self.pay_wait_ms)
@@ -119,7 +132,8 @@ class OrderMachine(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         order_id = int(key[0])
         t = expiredTimerInfo.getExpiryTimeInMs()
-        deadline, paid, expired = self._get(self.deadline), self._get(self.paid), self._get(self.expired)
+        deadline, paid = self._get(self.deadline), self._get(self.paid)
+        expired, done = self._get(self.expired), self._get(self.done)
         out = []
         if deadline is not None and deadline == t:
             out.append((order_id, patterns.ORDER_TIMEOUT, t))
@@ -129,8 +143,11 @@ class OrderMachine(StatefulProcessor):
         elif paid is not None and paid + self.pay_wait_ms == t:
             out.append((order_id, patterns.PAY_WITHOUT_CREATE, t))
             self.paid.clear()
+            self._finish(t)
         elif expired is not None and expired + self.retention_ms == t:
             self.expired.clear()
+        elif done is not None and done + self.retention_ms == t:
+            self.done.clear()
         yield pd.DataFrame(out, columns=["order_id", "result", "ts_ms"])
 
     def close(self) -> None:
