@@ -109,3 +109,45 @@ def test_one_to_one_every_row_matched_or_unmatched(spark, left, right):
     m = out["matched"].count()
     assert m + out["unmatched_left"].count() == L.count()
     assert m + out["unmatched_right"].count() == R.count()
+
+
+pattern_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200), st.sampled_from(["c", "p", "x"])),
+                      min_size=1, max_size=30)
+
+
+def _brute_pattern(rows, within, strict):
+    """Per key, in (ts, seq) order: each 'c' starts a match; its partner is the next
+    event (strict) or the next 'p' (relaxed), in time if partner.ts < start.ts + within."""
+    out = {}
+    by_key = {}
+    for seq, (k, t, e) in enumerate(rows):
+        by_key.setdefault(k, []).append((t, seq, e))
+    for k, evs in by_key.items():
+        evs.sort()
+        for i, (t, seq, e) in enumerate(evs):
+            if e != "c":
+                continue
+            later = evs[i + 1:]
+            if strict:
+                nxt = later[0] if later else None
+                ok = nxt is not None and nxt[2] == "p"
+            else:
+                nxt = next((x for x in later if x[2] == "p"), None)
+                ok = nxt is not None
+            in_time = nxt is not None and nxt[0] < t + within
+            if ok and in_time:
+                out[seq] = "match"
+            elif not (strict and nxt is not None and not ok and in_time):
+                out[seq] = "timeout"
+    return out
+
+
+@SETTINGS
+@given(rows=pattern_st)
+def test_two_step_equals_brute_force(spark, rows):
+    from tidemark.operators import patterns
+    df = frame(spark, rows, ["key", "t", "kind"])
+    for strict in (False, True):
+        got = patterns.two_step(df, ["key"], F.col("kind") == "c", F.col("kind") == "p", "30 seconds",
+                                "strict" if strict else "relaxed", bucket="20 seconds")
+        assert {r["seq"]: r["outcome"] for r in got.collect()} == _brute_pattern(rows, 30, strict), strict
