@@ -267,3 +267,39 @@ def test_ad_clicks_job_counts_per_province(spark):
     run_available(counts, "ad_prov", checkpoint=_ck())
     got = sorted((r["province"], r["cnt"]) for r in spark.table("ad_prov").collect())
     assert got == [("p", 1), ("p", 2), ("q", 1)]
+
+
+def test_order_machine_stream_on_driver_tables(spark):
+    """ST5 at data scale: create = order date, pay = each ship date (first decides), 365 days.
+
+    A stream may report ``order timeout`` before a late pay (D14); everything
+    else equals the batch answer on orders the watermark has decided."""
+    from tidemark.operators.patterns import order_outcomes
+    ev = tables.order_events(tables.table(spark, SF, "orders"), tables.table(spark, SF, "lineitem"))
+    ev = as_watermarkable(ev.withColumn("seq", F.xxhash64("order_id", "event_type", "ts")))
+    d = tempfile.mkdtemp(prefix="tidemark-ordev-")
+    b = ev.select(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    step = (b["z"] - b["a"]) / 6
+    for i in range(6):
+        hi = (F.col("ts") < b["a"] + step * (i + 1)) if i < 5 else F.lit(True)
+        ev.where((F.col("ts") >= b["a"] + step * i) & hi).coalesce(1).write.parquet(f"{d}/part={i}")
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/part=*")
+    # In this data the line items of an order ship up to ~2,500 days apart, and a first
+    # ship date can precede the order date by years.  A retention and a pay wait above
+    # that keep one result per order and let a pay wait for its create, as in batch.
+    run_available(processors.order_outcomes_stream(src, "365 days", pay_wait="3650 days",
+                                                   retention="3650 days"), "orders_big", checkpoint=_ck())
+    streamed = {}
+    for r in spark.table("orders_big").collect():
+        streamed.setdefault(r["order_id"], []).append(r["result"])
+    batch = {r["order_id"]: r["result"] for r in order_outcomes(ev, "365 days").collect()}
+    allowed = {"payed successfully": [["payed successfully"]], "payed": [["payed"]],
+               "payed but already timeout": [["payed but already timeout"], ["order timeout"],
+                                             ["order timeout", "payed but already timeout"]],
+               "order timeout": [["order timeout"]],
+               "already pay but not found create": [["already pay but not found create"]]}
+    assert streamed
+    for order_id, results in streamed.items():
+        assert sorted(results) in [sorted(x) for x in allowed[batch[order_id]]], (order_id, results)
+    decided = [o for o, r in batch.items() if r in ("payed successfully", "payed")]
+    assert all(o in streamed for o in decided)

@@ -155,10 +155,16 @@ class OrderMachine(StatefulProcessor):
 
 
 def order_outcomes_stream(stream: DataFrame, deadline: str, key: str = "order_id", ts: str = "ts",
-                          delay: str = "0 seconds", pay_wait: str | None = None) -> DataFrame:
-    """Q12b on a stream: input (key, event_type, ts, seq) -> (order_id, result, ts_ms)."""
+                          delay: str = "0 seconds", pay_wait: str | None = None,
+                          retention: str | None = None) -> DataFrame:
+    """Q12b on a stream: input (key, event_type, ts, seq) -> (order_id, result, ts_ms).
+
+    ``retention`` (default: the deadline) is how long a decided order keeps a
+    marker that swallows its later events; it bounds the state.  Events of an
+    order that come later than that start a new create/pay cycle."""
     s = _with_ms(stream, ts, delay).select(F.col(key).alias("order_id"), "event_type", "ts_ms", "seq", ts)
-    proc = OrderMachine(seconds(deadline) * 1000, seconds(pay_wait) * 1000 if pay_wait else None)
+    proc = OrderMachine(seconds(deadline) * 1000, seconds(pay_wait) * 1000 if pay_wait else None,
+                        seconds(retention) * 1000 if retention else None)
     return s.groupBy("order_id").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=ORDER_OUT, outputMode="Append", timeMode="EventTime")
 
