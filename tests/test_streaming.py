@@ -303,3 +303,47 @@ def test_order_machine_stream_on_driver_tables(spark):
         assert sorted(results) in [sorted(x) for x in allowed[batch[order_id]]], (order_id, results)
     decided = [o for o, r in batch.items() if r in ("payed successfully", "payed")]
     assert all(o in streamed for o in decided)
+
+
+def test_click_cap_stream_equals_batch_on_events(spark, events_dir):
+    from tidemark.operators import limits
+    ads = tables.ad_clicks(_stream(spark, events_dir))
+    run_available(processors.click_cap_stream(ads, 2), "cap_big", checkpoint=_ck())
+    out = spark.table("cap_big")
+    passed = {r["seq"] for r in out.where("tag = 'pass'").collect()}
+    warned = {r["seq"] for r in out.where("tag = 'warning'").collect()}
+    b_ads = tables.ad_clicks(events_dir[1])
+    assert passed == {r["seq"] for r in limits.capped_clicks(b_ads, 2).collect()}
+    b_warn = limits.blacklist_warnings(b_ads, 2).select("user_id", "ad_id", "ts")
+    assert len(warned) == b_warn.count()
+
+
+def test_one_to_one_stream_equals_batch_on_tables(spark):
+    """J2-J4 at data scale: pays = orders, receipts = line items, +-60 days, k-th pairing."""
+    from tidemark.operators import matching
+    orders = tables.table(spark, SF, "orders")
+    lines = tables.table(spark, SF, "lineitem")
+    pays = as_watermarkable(orders.select(F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("ts"))
+                            .withColumn("seq", F.col("tx_id")))
+    recs = as_watermarkable(lines.select(F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").alias("ts"),
+                                         "l_linenumber", "l_partkey", "l_suppkey")
+                            .withColumn("seq", F.xxhash64("tx_id", "l_linenumber", "l_partkey", "l_suppkey", "ts")))
+    dp, dr = tempfile.mkdtemp(prefix="tidemark-p-"), tempfile.mkdtemp(prefix="tidemark-r-")
+    for df, d in ((pays, dp), (recs, dr)):
+        b = df.select(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+        step = (b["z"] - b["a"]) / 4
+        for i in range(4):
+            hi = (F.col("ts") < b["a"] + step * (i + 1)) if i < 3 else F.lit(True)
+            df.where((F.col("ts") >= b["a"] + step * i) & hi).coalesce(1).write.parquet(f"{d}/part={i}")
+    sp = spark.readStream.schema(pays.schema).option("maxFilesPerTrigger", 1).parquet(f"{dp}/part=*")
+    sr = spark.readStream.schema(recs.schema).option("maxFilesPerTrigger", 1).parquet(f"{dr}/part=*")
+    run_available(processors.one_to_one_stream(sp, sr, "tx_id", "-60 days", "60 days"), "tx_big", checkpoint=_ck())
+    got = spark.table("tx_big")
+    out = matching.one_to_one(pays, recs, "tx_id", "-60 days", "60 days", right_order=["ts", "seq"])
+    ms = lambda c: F.unix_millis(F.col(c))
+    b_matched = {(str(r[0]), r[1], r[2]) for r in out["matched"].select("p_tx_id", ms("p_ts"), ms("r_ts")).collect()}
+    s_matched = {(r["tx_id"], r["pay_ms"], r["receipt_ms"]) for r in got.where("tag = 'matched'").collect()}
+    assert s_matched == b_matched
+    s_unpaid = {(r["tx_id"], r["pay_ms"]) for r in got.where("tag = 'unmatched_pay'").collect()}
+    b_unpaid = {(str(r[0]), r[1]) for r in out["unmatched_left"].select("tx_id", ms("ts")).collect()}
+    assert s_unpaid and s_unpaid <= b_unpaid
