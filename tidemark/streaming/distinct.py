@@ -52,10 +52,12 @@ class FirstSighting(StatefulProcessor):
             seen = self.seen.exists()
             if not seen:
                 self.handle.registerTimer(w_end)
-            for t, s in zip(pdf["ts_ms"], pdf["seq"]):
-                out.append((w_end, user, int(t), int(s), not seen))
-                seen = True
+            # Vectorised: only the first row can be a first sighting.
+            first = [not seen] + [False] * (len(pdf) - 1)
             self.seen.update((True,))
+            yield pd.DataFrame({"window_end_ms": w_end, "user": user, "ts_ms": pdf["ts_ms"].astype("int64").values,
+                                "seq": pdf["seq"].astype("int64").values, "is_first": first})
+            return
         yield pd.DataFrame(out, columns=["window_end_ms", "user", "ts_ms", "seq", "is_first"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
