@@ -20,6 +20,9 @@ from tidemark.operators import limits, patterns
 from tidemark.operators.windows import seconds
 
 DAY_MS = 86_400_000
+# Above this many rows in one callback a processor switches to vectorised pandas;
+# below it a plain loop is cheaper than building frames.
+VECTOR_MIN_ROWS = 64
 
 
 def _frame(batches) -> pd.DataFrame:
@@ -287,10 +290,11 @@ class LoginFailPairs(_OneTimer, StatefulProcessor):
         ready = [v for v in held if v[0] <= t_exp]
         rest = [v for v in held if v[0] > t_exp]
         last = self.last.get() if self.last.exists() else None
-        out = pd.DataFrame([], columns=["user_id", "first_fail_ms", "last_fail_ms", "warning"])
-        if ready:
-            # Vectorised walk: each released row against the row before it (the last
-            # released row of the user carries over between callbacks).
+        cols = ["user_id", "first_fail_ms", "last_fail_ms", "warning"]
+        out = pd.DataFrame([], columns=cols)
+        if len(ready) > VECTOR_MIN_ROWS:
+            # Many rows (a hot user): a vectorised walk, each released row against the
+            # row before it; the last released row of the user carries over.
             seq = ([tuple(last)] if last is not None else []) + ready
             arr = pd.DataFrame(seq, columns=["ts_ms", "seq", "fail"])
             prev_t, prev_f = arr["ts_ms"].shift(1), arr["fail"].shift(1, fill_value=False).astype(bool)
@@ -299,6 +303,14 @@ class LoginFailPairs(_OneTimer, StatefulProcessor):
             out = pd.DataFrame({"user_id": user, "first_fail_ms": prev_t[hit].astype("int64"),
                                 "last_fail_ms": arr["ts_ms"][hit].astype("int64"), "warning": self.message})
             last = ready[-1]
+        elif ready:
+            # A few rows (the common case): a plain walk is cheaper than building frames.
+            found = []
+            for v in ready:
+                if last is not None and last[2] and v[2] and 0 <= v[0] - last[0] < self.within_ms:
+                    found.append((user, int(last[0]), int(v[0]), self.message))
+                last = v
+            out = pd.DataFrame(found, columns=cols)
         if last is not None:
             self.last.update(tuple(last))
         if rest:
