@@ -347,3 +347,18 @@ def test_one_to_one_stream_equals_batch_on_tables(spark):
     s_unpaid = {(r["tx_id"], r["pay_ms"]) for r in got.where("tag = 'unmatched_pay'").collect()}
     b_unpaid = {(str(r[0]), r[1]) for r in out["unmatched_left"].select("tx_id", ms("ts")).collect()}
     assert s_unpaid and s_unpaid <= b_unpaid
+
+
+def test_login_stream_hot_user_equals_batch(spark, events_dir):
+    """A user with a third of the events: the vectorised processor path, same pairs as batch."""
+    def hot(df):
+        return df.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id") + 1))
+    logins = tables.logins(hot(_stream(spark, events_dir)))
+    run_available(processors.login_fail_stream(logins, "6 hours", message="x"), "login_hot", checkpoint=_ck())
+    got = {(r["user_id"], r["first_fail_ms"], r["last_fail_ms"]) for r in spark.table("login_hot").collect()}
+    batch = patterns.login_fail_pairs(tables.logins(hot(events_dir[1])), "6 hours")
+    b = {(r["user_id"], r["f"], r["l"]) for r in batch.select(
+        "user_id", F.unix_millis(F.col("first_fail_time").cast("timestamp")).alias("f"),
+        F.unix_millis(F.col("last_fail_time").cast("timestamp")).alias("l")).collect()}
+    assert any(u == 0 for u, _, _ in got)
+    assert got and got <= b and len(b - got) <= 3
