@@ -362,3 +362,13 @@ def test_login_stream_hot_user_equals_batch(spark, events_dir):
         F.unix_millis(F.col("last_fail_time").cast("timestamp")).alias("l")).collect()}
     assert any(u == 0 for u, _, _ in got)
     assert got and got <= b and len(b - got) <= 3
+
+
+def test_approx_unique_visitors_stream_equals_batch(spark, events_dir):
+    from tidemark.operators.distinct import approx_distinct_count
+    views = _stream(spark, events_dir).where(F.col("event_type") == "view")
+    run_available(sdistinct.approx_unique_visitors(views, "1 day"), "hll_stream", checkpoint=_ck())
+    got = {(r["window_end"], r["uv"]) for r in spark.table("hll_stream").collect()}
+    batch = {(r["window_end"], r["uv"]) for r in approx_distinct_count(
+        as_watermarkable(events_dir[1]).where(F.col("event_type") == "view"), "1 day").collect()}
+    assert got and got <= batch

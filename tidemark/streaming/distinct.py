@@ -23,6 +23,16 @@ def unique_visitors(stream: DataFrame, size: str, user: str = "user_id", ts: str
             .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), out))
 
 
+def approx_unique_visitors(stream: DataFrame, size: str, user: str = "user_id", ts: str = "ts",
+                           delay: str = "0 seconds", out: str = "uv", lg_k: int = 12) -> DataFrame:
+    """A7 estimate on a stream: an HLL sketch per window, a mergeable aggregate, so
+    state per window is one small sketch instead of a set of users."""
+    s = watermark(stream, ts, delay)
+    return (s.groupBy(F.window(ts, size).alias("_w"))
+            .agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(user), lg_k)).alias(out))
+            .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), out))
+
+
 # ---------------------------------------------------------------- A9 / T8 running count per event
 import pandas as pd  # noqa: E402
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle  # noqa: E402
