@@ -390,8 +390,6 @@ class TwoStepPattern(_OneTimer, StatefulProcessor):
         pending = [e[0] for e in ev if e[2] == self.first and not e[3]]
         horizon = min(pending) if pending else t
         kept = [e for e in ev if e[0] >= horizon or (e[2] == self.first and not e[3])]
-        if self.strict and ev and not kept:
-            kept = [ev[-1]]          # the last event still decides "next" for a later start
         if kept:
             self.buffer.put(kept)
         else:
