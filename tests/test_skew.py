@@ -61,3 +61,48 @@ def test_hot_user_running_distinct_exact(spark):
          .withColumn("uv", F.sum("f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .where("f = 0").select("seq", "uv"))
     assert got.exceptAll(b).count() == 0 and b.exceptAll(got).count() == 0
+
+
+def test_burst_in_one_bucket_is_split_and_exact(spark):
+    """A third of the rows for one user inside one hour: the hot (key, bucket) is
+    re-bucketed by minute, spread over tasks, and the running count is still exact."""
+    ev = _skewed(spark).withColumnRenamed("event_id", "seq")
+    squeezed = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + "
+                      "make_dt_interval(0, 0, 0, (unix_timestamp(ts) - 1704067200) / 720.0)")
+    ev = ev.withColumn("ts", F.when(F.col("user_id") == 0, squeezed).otherwise(F.col("ts")))
+    got = ordered.running_sum(ev, ["user_id"], ["ts", "seq"], F.lit(1), "n", bucket="1 hour",
+                              hot_bucket="1 minute", hot_rows=500)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        placed = got.withColumn("pid", F.spark_partition_id()).where("user_id = 0")
+        pids = len(placed.groupBy("pid").agg(F.max("n")).collect())
+    finally:
+        spark.conf.set(key, old)
+    assert pids >= 4
+    w = Window.partitionBy("user_id").orderBy("ts", "seq")
+    plain = ev.select("seq", F.row_number().over(w).cast("long").alias("n"))
+    assert got.select("seq", "n").exceptAll(plain).count() == 0
+    assert plain.exceptAll(got.select("seq", "n")).count() == 0
+    # the same input without the split keeps the burst in one bucket
+    one = ordered.running_sum(ev, ["user_id"], ["ts", "seq"], F.lit(1), "n", bucket="1 hour")
+    spark.conf.set(key, "false")
+    try:
+        placed = one.withColumn("pid", F.spark_partition_id()).where("user_id = 0")
+        assert len(placed.groupBy("pid").agg(F.max("n")).collect()) == 1
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_burst_split_for_nearest_is_exact(spark):
+    ev = tables.logins(_skewed(spark))
+    squeezed = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + "
+                      "make_dt_interval(0, 0, 0, (unix_timestamp(ts) - 1704067200) / 720.0)")
+    ev = ev.withColumn("ts", F.when(F.col("user_id") == 0, squeezed).otherwise(F.col("ts")))
+    got = ordered.nearest(ev, ["user_id"], ["ts", "seq"], F.lit(True), ["seq"], "prev", "prev",
+                          bucket="1 hour", hot_bucket="1 minute", hot_rows=500)
+    w = Window.partitionBy("user_id").orderBy("ts", "seq")
+    plain = ev.select("seq", F.lag("seq").over(w).alias("p"))
+    g = got.select("seq", F.col("prev.seq").alias("p"))
+    assert g.exceptAll(plain).count() == 0 and plain.exceptAll(g).count() == 0

@@ -56,7 +56,8 @@ def approx_distinct_count(df: DataFrame, size: str, user: str = "user_id", ts: s
 
 def running_distinct(df: DataFrame, size: str, user: str = "user_id", ts: str = "ts",
                      seq: str = "seq", out: str = "uv", repeats_only: bool = True,
-                     key: str | None = None, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                     key: str | None = None, bucket: str = DEFAULT_BUCKET,
+                     hot_bucket: str | None = None) -> DataFrame:
     """After each event, the number of distinct users seen so far in its window.
 
     ``key`` None dedups on ``user`` exactly; ``key='offset'`` dedups on the
@@ -75,7 +76,8 @@ def running_distinct(df: DataFrame, size: str, user: str = "user_id", ts: str =
     flagged = (base.join(first, ["window_end", "_u"])
                .withColumn("_is_first", (F.col("_first.t") == F.col(ts)) & (F.col("_first.s") == F.col(seq)))
                .drop("_first"))
-    counted = running_sum(flagged, ["window_end"], [ts, seq], F.col("_is_first").cast("long"), out, bucket)
+    counted = running_sum(flagged, ["window_end"], [ts, seq], F.col("_is_first").cast("long"), out, bucket,
+                          hot_bucket)
     if repeats_only:
         counted = counted.where(~F.col("_is_first"))
     return counted.drop("_u", "_is_first")

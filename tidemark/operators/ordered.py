@@ -37,19 +37,39 @@ def _bucket(ts: str, width: str) -> Column:
     return F.window(ts, width).start
 
 
+def with_buckets(df: DataFrame, keys: list[str], ts: str, width: str, hot_width: str | None = None,
+                 hot_rows: int = 1_000_000) -> DataFrame:
+    """Add ``_bk``: the time bucket of each row, finer inside hot (key, bucket) groups.
+
+    With ``hot_width`` set, (key, bucket) groups holding more than ``hot_rows``
+    rows are re-bucketed at ``hot_width`` (a burst of one key no longer lands
+    in one task).  Finer buckets nest inside the coarse one, so buckets stay
+    ordered in time and the scans below are unchanged.  The hot list has at
+    most total_rows / hot_rows entries, which bounds the broadcast of it.
+    """
+    b = df.withColumn("_bk", _bucket(ts, width))
+    if not hot_width:
+        return b
+    hot = (b.groupBy(*keys, "_bk").count().where(F.col("count") > hot_rows)
+           .select(*keys, "_bk", F.lit(True).alias("_hot")))
+    return (b.join(F.broadcast(hot), [*keys, "_bk"], "left")
+            .withColumn("_bk", F.when(F.col("_hot"), _bucket(ts, hot_width)).otherwise(F.col("_bk")))
+            .drop("_hot"))
+
+
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str,
-                bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None,
+                hot_rows: int = 1_000_000) -> DataFrame:
     """Inclusive running sum of ``value`` per key in ``order`` (order[0] is the time column).
 
     With ``value = lit(1)`` this is ``row_number()`` per key, exactly, when
-    ``order`` is total.
+    ``order`` is total.  ``hot_bucket`` splits bursts (see :func:`with_buckets`).
     """
     ts = order[0]
-    b = df.withColumn("_bk", _bucket(ts, bucket)).withColumn("_val", value)
+    based = with_buckets(df, keys, ts, bucket, hot_bucket, hot_rows).withColumn("_val", value)
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("_in", F.sum("_val").over(inner))
-    totals = (df.withColumn("_bk", _bucket(ts, bucket)).withColumn("_val", value)
-              .groupBy(*keys, "_bk").agg(F.sum("_val").alias("_tot")))
+    b = based.withColumn("_in", F.sum("_val").over(inner))
+    totals = based.groupBy(*keys, "_bk").agg(F.sum("_val").alias("_tot"))
     before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
     return (b.join(offsets, [*keys, "_bk"], "left")
@@ -58,7 +78,8 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column,
 
 
 def nearest(df: DataFrame, keys: list[str], order: list[str], cond: Column, payload: list[str],
-            out: str, direction: str = "next", bucket: str = DEFAULT_BUCKET) -> DataFrame:
+            out: str, direction: str = "next", bucket: str = DEFAULT_BUCKET,
+            hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
     """Add ``out``: struct of ``payload`` from the nearest other row of the same key,
     strictly before (``prev``) or after (``next``) in ``order``, for which ``cond`` holds.
 
@@ -69,7 +90,8 @@ def nearest(df: DataFrame, keys: list[str], order: list[str], cond: Column, payl
         raise ValueError("direction is 'next' or 'prev'")
     ts = order[0]
     pl = F.struct(*[F.col(c).alias(c) for c in payload])
-    b = df.withColumn("_bk", _bucket(ts, bucket)).withColumn("_cand", F.when(cond, pl))
+    based = with_buckets(df, keys, ts, bucket, hot_bucket, hot_rows)
+    b = based.withColumn("_cand", F.when(cond, pl))
     if direction == "next":
         sort = [F.col(c).desc() for c in order]
     else:
@@ -79,8 +101,7 @@ def nearest(df: DataFrame, keys: list[str], order: list[str], cond: Column, payl
 
     edge_key = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], pl.alias("p"))
     pick = F.min if direction == "next" else F.max
-    edges = (df.withColumn("_bk", _bucket(ts, bucket))
-             .groupBy(*keys, "_bk").agg(pick(F.when(cond, edge_key)).alias("_edge")))
+    edges = based.groupBy(*keys, "_bk").agg(pick(F.when(cond, edge_key)).alias("_edge"))
     across_sort = F.col("_bk").desc() if direction == "next" else F.col("_bk").asc()
     across = Window.partitionBy(*keys).orderBy(across_sort).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.select(*keys, "_bk", F.last(F.col("_edge.p"), ignorenulls=True).over(across).alias("_cross"))

@@ -23,7 +23,8 @@ TIMEOUT = "timeout"
 
 def two_step(df: DataFrame, keys: list[str], first: Column, second: Column, within: str,
              contiguity: str = "relaxed", ts: str = "ts", seq: str = "seq",
-             payload: list[str] | None = None, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+             payload: list[str] | None = None, bucket: str = DEFAULT_BUCKET,
+             hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
     """Evaluate ``begin(first).<next|followedBy>(second).within(within)``.
 
     Returns one row per start event with ``second_`` (struct of the partner's
@@ -33,12 +34,13 @@ def two_step(df: DataFrame, keys: list[str], first: Column, second: Column, with
     """
     payload = payload or [ts, seq]
     if contiguity == "relaxed":
-        scanned = nearest(df, keys, [ts, seq], second, payload, "_partner", "next", bucket)
+        scanned = nearest(df, keys, [ts, seq], second, payload, "_partner", "next", bucket, hot_bucket, hot_rows)
         ok_partner = F.col("_partner").isNotNull()
         discarded = F.lit(False)
     elif contiguity == "strict":
         marked = df.withColumn("_ok2", second)
-        scanned = nearest(marked, keys, [ts, seq], F.lit(True), payload + ["_ok2"], "_partner", "next", bucket)
+        scanned = nearest(marked, keys, [ts, seq], F.lit(True), payload + ["_ok2"], "_partner", "next", bucket,
+                          hot_bucket, hot_rows)
         ok_partner = F.col("_partner").isNotNull() & F.col("_partner._ok2")
         discarded = F.col("_partner").isNotNull() & ~F.col("_partner._ok2")
     else:
@@ -62,11 +64,11 @@ LOGIN_WARNING = "login fail in 2 seconds"
 
 def login_fail_pairs(logins: DataFrame, within: str = "2 seconds", user: str = "user_id",
                      ts: str = "ts", seq: str = "seq", message: str = LOGIN_WARNING,
-                     bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                     bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None) -> DataFrame:
     """ST4 / Q11: a failure directly followed (next event of the user) by another
     failure less than ``within`` later, in event-time order (D9)."""
     is_fail = F.col("event_type") == "fail"
-    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq], bucket)
+    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq], bucket, hot_bucket)
     return (m.where(F.col("outcome") == MATCH)
             .select(user, F.col(ts).alias("first_fail_time"),
                     F.col(f"second_.{ts}").alias("last_fail_time"), F.lit(message).alias("warning")))
@@ -74,11 +76,11 @@ def login_fail_pairs(logins: DataFrame, within: str = "2 seconds", user: str = "
 
 def order_pattern(orders: DataFrame, within: str, key: str = "order_id", ts: str = "ts", seq: str = "seq",
                   create: Column | None = None, pay: Column | None = None,
-                  bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                  bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None) -> DataFrame:
     """Create followedBy pay within the limit; matches and timeouts."""
     create = create if create is not None else F.col("event_type") == "create"
     pay = pay if pay is not None else F.col("event_type") == "pay"
-    m = two_step(orders, [key], create, pay, within, "relaxed", ts, seq, [ts, seq], bucket)
+    m = two_step(orders, [key], create, pay, within, "relaxed", ts, seq, [ts, seq], bucket, hot_bucket)
     return m.select(key, F.col(ts).alias("start_ts"), F.col(f"second_.{ts}").alias("end_ts"), "outcome")
 
 
