@@ -23,3 +23,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["window_start", "window_end", "rank", "item_id", "view_count"]
     assert df.count() > 0
+
+
+def test_all_queries_without_broadcast_or_adaptive(spark):
+    """The plans a large run uses (sort-merge joins, no adaptive re-planning) give the same answers."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        res = compare(spark, SF)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [k for k, v in res.items() if not v["match"]] == []
