@@ -372,3 +372,23 @@ def test_approx_unique_visitors_stream_equals_batch(spark, events_dir):
     batch = {(r["window_end"], r["uv"]) for r in approx_distinct_count(
         as_watermarkable(events_dir[1]).where(F.col("event_type") == "view"), "1 day").collect()}
     assert got and got <= batch
+
+
+def test_bucketed_interval_match_stream_equals_batch(spark, events_dir):
+    s = _stream(spark, events_dir)
+    pays = s.where(F.col("event_type") == "purchase").select("user_id", "ts", "event_id")
+    recs = s.where(F.col("event_type") == "view").select("user_id", "ts", "event_id")
+    run_available(smatching.match_streams_bucketed(pays, recs, "user_id", "-1 hour", "1 hour", width="30 minutes"),
+                  "tx_bucketed", checkpoint=_ck())
+    got = spark.table("tx_bucketed")
+    ev = events_dir[1]
+    bp = ev.where(F.col("event_type") == "purchase").select("user_id", "ts", "event_id")
+    br = ev.where(F.col("event_type") == "view").select("user_id", "ts", "event_id")
+    pairs = matching.interval_join(bp, br, "user_id", "-1 hour", "1 hour")
+    m = [(r["p_event_id"], r["r_event_id"]) for r in got.where("tag = 'matched'").collect()]
+    assert len(m) == len(set(m)) and set(m) == {(r["p_event_id"], r["r_event_id"]) for r in pairs.collect()}
+    up = [r["p_event_id"] for r in got.where("tag = 'unmatched_pay'").collect()]
+    ur = [r["r_event_id"] for r in got.where("tag = 'unmatched_receipt'").collect()]
+    assert len(up) == len(set(up)) and len(ur) == len(set(ur))
+    assert set(up) <= {r["event_id"] for r in matching.unmatched_left(bp, br, "user_id", "-1 hour", "1 hour").collect()}
+    assert ur and set(ur) <= {r["event_id"] for r in matching.unmatched_right(bp, br, "user_id", "-1 hour", "1 hour").collect()}
