@@ -91,3 +91,17 @@ def test_filtered_rows_still_move_the_watermark(spark):
     counts, _, _ = jobs.hot_items(src, n=5, size="60 seconds", slide="60 seconds")
     run_available(counts, "d23_counts", checkpoint=tempfile.mkdtemp())
     assert [(r["item_id"], r["cnt"]) for r in spark.table("d23_counts").collect()] == [(7, 1)]
+
+
+@pytest.mark.skipif(not (ORDER and os.path.exists(ORDER)), reason="sample files not present")
+def test_tx_interval_job_on_sample_files(spark):
+    import shutil
+    dirs = []
+    for path in (ORDER, RECEIPT):
+        d = tempfile.mkdtemp(prefix="tidemark-sample-")
+        shutil.copy(path, d)
+        dirs.append(d)
+    out, _ = jobs.tx_match(read_lines(spark, dirs[0], stream=True), read_lines(spark, dirs[1], stream=True),
+                           bound="5 seconds", one_to_one=False)
+    run_available(out, "tx_interval_job", checkpoint=tempfile.mkdtemp())
+    assert spark.table("tx_interval_job").where("tag = 'matched'").count() == 5

@@ -108,9 +108,9 @@ def tx_match(order_lines: DataFrame, receipt_lines: DataFrame, bound: str = "5 s
     pays = pays.where(F.col("tx_id") != "")             # F3: before event time, a plain filter
     if one_to_one:
         return processors.one_to_one_stream(pays, recs, "tx_id", f"-{bound}", bound), bad_p.unionByName(bad_r)
-    from tidemark.streaming.matching import match_streams
-    return match_streams(pays.select("tx_id", "ts", "order_id"), recs.select("tx_id", "ts", "pay_channel"),
-                         "tx_id", f"-{bound}", bound), bad_p.unionByName(bad_r)
+    from tidemark.streaming.matching import match_streams_bucketed
+    return match_streams_bucketed(pays.select("tx_id", "ts", "order_id"), recs.select("tx_id", "ts", "pay_channel"),
+                                  "tx_id", f"-{bound}", bound), bad_p.unionByName(bad_r)
 
 
 def running_unique_visitors(lines: DataFrame, totals_path: str, size: str = "1 hour", bitmap: bool = True):
