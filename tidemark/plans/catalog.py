@@ -31,6 +31,11 @@ ORDER_DEADLINE = "365 days"
 TX_BOUND = "60 days"
 
 
+# The channel and behaviour labels of the reference's total row.
+TOTAL_CHANNEL = "total channel"
+TOTAL_BEHAVIOR = "total"
+
+
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "events")
 
@@ -110,8 +115,8 @@ def marketing_by_channel(spark, sf):
 def marketing_total(spark, sf):
     """Q9: count over all channels per sliding window."""
     c = windows.window_counts(_marketing(spark, sf), MARKET["size"], MARKET["slide"], out="cnt")
-    return c.select("window_start", "window_end", F.lit("total channel").alias("channel"),
-                    F.lit("total").alias("behavior"), "cnt")
+    return c.select("window_start", "window_end", F.lit(TOTAL_CHANNEL).alias("channel"),
+                    F.lit(TOTAL_BEHAVIOR).alias("behavior"), "cnt")
 
 
 def _ads(spark, sf):
