@@ -101,13 +101,19 @@ def _latest_epoch_before(spark, path: str, epoch: int):
     return max(older) if older else None
 
 
-def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bucket: str = DEFAULT_BUCKET):
+def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bucket: str = DEFAULT_BUCKET,
+                          keep: str | None = None):
     """Stage 2 (``foreachBatch``): running distinct count at every event of the micro-batch.
 
     count = distinct users of the window before this micro-batch (a totals
     table, one row per window, written per epoch) + first sightings of this
     micro-batch up to the event (bucketed running sum, no single-task
-    window).  Replaying an epoch rewrites the same files (exactly once)."""
+    window).  Replaying an epoch rewrites the same files (exactly once).
+    ``keep`` drops totals of windows that ended more than ``keep`` before the
+    newest event seen, which bounds the table (use at least the watermark
+    delay: such windows can no longer receive rows)."""
+    from tidemark.operators.windows import seconds
+    keep_ms = seconds(keep) * 1000 if keep else None
     def _batch(df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
         prev_epoch = _latest_epoch_before(spark, totals_path, epoch_id)
@@ -127,5 +133,9 @@ def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bu
         new = (prev.join(batch_tot, "window_end_ms", "full")
                .select("window_end_ms", (F.coalesce(F.col("total"), F.lit(0))
                                          + F.coalesce(F.col("_add"), F.lit(0))).alias("total")))
+        if keep_ms is not None:
+            newest = df.agg(F.max("ts_ms")).first()[0]
+            if newest is not None:
+                new = new.where(F.col("window_end_ms") >= F.lit(int(newest) - keep_ms))
         new.write.mode("overwrite").parquet(f"{totals_path}/epoch={epoch_id}")
     return _batch
