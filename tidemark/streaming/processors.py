@@ -433,8 +433,9 @@ class OneToOneMatch(_OneTimer, StatefulProcessor):
     in the batch form.  Every row ends as matched or unmatched (D15).
     """
 
-    def __init__(self, lower_ms: int, upper_ms: int):
+    def __init__(self, lower_ms: int, upper_ms: int, retention_ms: int | None = None):
         self.lower_ms, self.upper_ms = lower_ms, upper_ms
+        self.retention_ms = retention_ms   # None: keep reported rows for exact k-th pairing
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -481,6 +482,10 @@ class OneToOneMatch(_OneTimer, StatefulProcessor):
             if not reported and self._closes(ts, side) <= t:
                 out.append((tx, ts if side == "pay" else None, ts if side == "receipt" else None, f"unmatched_{side}"))
                 waiting[i] = (ts, side, True)
+        if self.retention_ms is not None:
+            # Bound the state: reported rows older than the retention give up their
+            # place in the k-th pairing (a later row of the other side pairs further on).
+            waiting = [v for v in waiting if not (v[2] and v[0] < t - self.retention_ms)]
         self.buffer.put(rest) if rest else self.buffer.clear()
         self.waiting.put(waiting) if waiting else self.waiting.clear()
         nxt = [v[0] for v in rest] + [self._closes(ts, side) for ts, side, rep in waiting if not rep]
@@ -493,8 +498,11 @@ class OneToOneMatch(_OneTimer, StatefulProcessor):
 
 
 def one_to_one_stream(pays: DataFrame, receipts: DataFrame, key: str, lower: str, upper: str,
-                      ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
-    """J2-J4 on streams: tagged union of both inputs -> matched / unmatched_pay / unmatched_receipt."""
+                      ts: str = "ts", delay: str = "0 seconds", retention: str | None = None) -> DataFrame:
+    """J2-J4 on streams: tagged union of both inputs -> matched / unmatched_pay / unmatched_receipt.
+
+    ``retention`` bounds the state of keys whose other side never comes; without
+    it the pairing is exactly the batch k-th pairing."""
     def side(df, name):
         return df.select(F.col(key).cast("string").alias("tx_id"), F.col(ts).alias("ts"),
                          F.col("seq"), F.lit(name).alias("side"))
@@ -504,5 +512,6 @@ def one_to_one_stream(pays: DataFrame, receipts: DataFrame, key: str, lower: str
     lo = sign(lower) * seconds(lower.strip().lstrip("-")) * 1000
     hi = sign(upper) * seconds(upper.strip().lstrip("-")) * 1000
     return s.groupBy("tx_id").transformWithStateInPandas(
-        statefulProcessor=OneToOneMatch(lo, hi), outputStructType=TX_OUT,
+        statefulProcessor=OneToOneMatch(lo, hi, seconds(retention) * 1000 if retention else None),
+        outputStructType=TX_OUT,
         outputMode="Append", timeMode="EventTime")
