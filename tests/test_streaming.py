@@ -392,3 +392,4 @@ def test_bucketed_interval_match_stream_equals_batch(spark, events_dir):
     assert len(up) == len(set(up)) and len(ur) == len(set(ur))
     assert set(up) <= {r["event_id"] for r in matching.unmatched_left(bp, br, "user_id", "-1 hour", "1 hour").collect()}
     assert ur and set(ur) <= {r["event_id"] for r in matching.unmatched_right(bp, br, "user_id", "-1 hour", "1 hour").collect()}
+

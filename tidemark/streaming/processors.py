@@ -311,13 +311,19 @@ class LoginFailPairs(_OneTimer, StatefulProcessor):
                     found.append((user, int(last[0]), int(v[0]), self.message))
                 last = v
             out = pd.DataFrame(found, columns=cols)
-        if last is not None:
-            self.last.update(tuple(last))
         if rest:
             self.buffer.put(rest)
             self._arm(rest[0][0])
         else:
             self.buffer.clear()
+        if last is not None:
+            # Once the watermark is past last + limit, no later row can pair with it
+            # (it would be at least the limit away): drop it, so state tracks active users.
+            if last[0] + self.within_ms <= t_exp:
+                self.last.clear()
+            else:
+                self.last.update(tuple(last))
+                self._arm(last[0] + self.within_ms)
         yield out[["user_id", "first_fail_ms", "last_fail_ms", "warning"]]
 
     def close(self) -> None:
@@ -326,7 +332,10 @@ class LoginFailPairs(_OneTimer, StatefulProcessor):
 
 def login_fail_stream(stream: DataFrame, within: str, ts: str = "ts", delay: str = "0 seconds",
                       message: str = patterns.LOGIN_WARNING) -> DataFrame:
-    """Q11 on a stream: input (user_id, event_type, ts, seq) -> warnings."""
+    """Q11 on a stream: input (user_id, event_type, ts, seq) -> warnings.
+
+    A user's last row is kept only until the watermark passes it by the limit,
+    so state is bounded by recently active users."""
     s = _with_ms(stream, ts, delay).select("user_id", "event_type", "ts_ms", "seq", ts)
     return s.groupBy("user_id").transformWithStateInPandas(
         statefulProcessor=LoginFailPairs(seconds(within) * 1000, message), outputStructType=LOGIN_OUT,
