@@ -115,6 +115,14 @@ def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bu
     from tidemark.operators.windows import seconds
     keep_ms = seconds(keep) * 1000 if keep else None
     def _batch(df: DataFrame, epoch_id: int) -> None:
+        # Several actions below read this micro-batch; keep it for the callback's duration.
+        df = df.persist()
+        try:
+            _write_batch(df, epoch_id)
+        finally:
+            df.unpersist()
+
+    def _write_batch(df: DataFrame, epoch_id: int) -> None:
         spark = df.sparkSession
         prev_epoch = _latest_epoch_before(spark, totals_path, epoch_id)
         if prev_epoch is None:
