@@ -38,19 +38,22 @@ def _bucket(ts: str, width: str) -> Column:
 
 
 def with_buckets(df: DataFrame, keys: list[str], ts: str, width: str, hot_width: str | None = None,
-                 hot_rows: int = 1_000_000) -> DataFrame:
+                 hot_rows: int = 1_000_000, max_hot: int = 10_000) -> DataFrame:
     """Add ``_bk``: the time bucket of each row, finer inside hot (key, bucket) groups.
 
-    With ``hot_width`` set, (key, bucket) groups holding more than ``hot_rows``
-    rows are re-bucketed at ``hot_width`` (a burst of one key no longer lands
-    in one task).  Finer buckets nest inside the coarse one, so buckets stay
-    ordered in time and the scans below are unchanged.  The hot list has at
-    most total_rows / hot_rows entries, which bounds the broadcast of it.
+    With ``hot_width`` set, the (at most ``max_hot``) largest (key, bucket)
+    groups holding more than ``hot_rows`` rows are re-bucketed at
+    ``hot_width`` (a burst of one key no longer lands in one task).  Finer
+    buckets nest inside the coarse one, so buckets stay ordered in time and
+    the scans below are unchanged; a group left off the list is handled
+    exactly by the coarse path.  The broadcast hot list therefore has a fixed
+    bound (``max_hot`` rows), whatever the data size.
     """
     b = df.withColumn("_bk", _bucket(ts, width))
     if not hot_width:
         return b
     hot = (b.groupBy(*keys, "_bk").count().where(F.col("count") > hot_rows)
+           .orderBy(F.col("count").desc()).limit(max_hot)
            .select(*keys, "_bk", F.lit(True).alias("_hot")))
     return (b.join(F.broadcast(hot), [*keys, "_bk"], "left")
             .withColumn("_bk", F.when(F.col("_hot"), _bucket(ts, hot_width)).otherwise(F.col("_bk")))

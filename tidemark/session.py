@@ -41,7 +41,7 @@ CLUSTER_CONF = {
     # Scan splits sized to fit an executor core's memory comfortably.
     "spark.sql.files.maxPartitionBytes": "512m",
     # Broadcast only what is measured small; the one hand-placed broadcast (the hot
-    # list of ordered.with_buckets) is bounded by total rows / hot_rows.
+    # list of ordered.with_buckets) holds at most max_hot rows.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     # Streams: RocksDB state with changelog checkpoints (small incremental uploads).
     "spark.sql.streaming.stateStore.providerClass":
