@@ -105,3 +105,92 @@ def test_tx_interval_job_on_sample_files(spark):
                            bound="5 seconds", one_to_one=False)
     run_available(out, "tx_interval_job", checkpoint=tempfile.mkdtemp())
     assert spark.table("tx_interval_job").where("tag = 'matched'").count() == 5
+
+
+def _behaviour_lines_dir(spark):
+    """sf0.001 events as behaviour lines (user,item,category,behavior,ts_s), 4 time-ordered files;
+    'view' is written as the reference's 'pv'."""
+    from pyspark.sql import functions as F
+    from tidemark.sources import tables
+    b = tables.behaviour(tables.table(spark, "/root/testdata/sf0.001", "events"))
+    b = b.withColumn("behavior", F.when(F.col("behavior") == "view", F.lit("pv")).otherwise(F.col("behavior")))
+    lines = b.select(F.unix_timestamp("ts").alias("s"), F.concat_ws(
+        ",", "user_id", "item_id", F.lit(1), "behavior", F.unix_timestamp("ts")).alias("value"))
+    lo, hi = lines.agg(F.min("s"), F.max("s")).first()
+    d = tempfile.mkdtemp(prefix="tidemark-blines-")
+    step = (hi - lo) / 4
+    for i in range(4):
+        part = lines.where((F.col("s") >= lo + step * i) & ((F.col("s") < lo + step * (i + 1)) if i < 3 else F.lit(True)))
+        part.select("value").coalesce(1).write.text(f"{d}/f{i}")
+    return f"{d}/f*", b
+
+
+def test_behaviour_jobs_match_batch(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import distinct, windows
+    path, b = _behaviour_lines_dir(spark)
+    pv_rows = b.where(F.col("behavior") == "pv")
+
+    counts, _ = jobs.page_views(read_lines(spark, path, stream=True, max_files_per_trigger=1), size="1 hour")
+    run_available(counts, "job_pv", checkpoint=tempfile.mkdtemp())
+    got = {(r["window_end"].replace(tzinfo=None), r["pv"]) for r in spark.table("job_pv").collect()}
+    batch = {(r["window_end"], r["pv"]) for r in windows.window_counts(pv_rows, "1 hour", out="pv").collect()}
+    assert got and {(e.isoformat(), n) for e, n in got} <= {(e.isoformat(), n) for e, n in batch}
+
+    uv, _ = jobs.unique_visitors(read_lines(spark, path, stream=True, max_files_per_trigger=1), size="1 day")
+    run_available(uv, "job_uv", checkpoint=tempfile.mkdtemp())
+    got = {(r["window_end"].isoformat(), r["uv"]) for r in spark.table("job_uv").collect()}
+    batch = {(r["window_end"].isoformat(), r["uv"]) for r in distinct.distinct_count(pv_rows, "1 day").collect()}
+    assert got and got <= batch
+
+    first, writer_for, _ = jobs.running_unique_visitors(
+        read_lines(spark, path, stream=True, max_files_per_trigger=1), tempfile.mkdtemp(), size="1 day", bitmap=False)
+    out = tempfile.mkdtemp()
+    from tidemark.streaming.windows import parquet_epoch_writer
+    run_available(first, "job_ru", foreach_batch=writer_for(parquet_epoch_writer(out)), checkpoint=tempfile.mkdtemp())
+    got = sorted(r["uv"] for r in spark.read.parquet(out).collect())
+    batch = sorted(r["uv"] for r in distinct.running_distinct(pv_rows, "1 day").collect())
+    assert got == batch
+
+
+def test_marketing_and_pattern_jobs(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import windows
+    from tidemark.sources import tables
+    ev = tables.table(spark, "/root/testdata/sf0.001", "events")
+    mk = tables.marketing(ev).withColumn("behavior", F.when(F.col("behavior") == "error", F.lit("uninstall"))
+                                         .otherwise(F.col("behavior")))
+    d = tempfile.mkdtemp(prefix="tidemark-mk-") + "/d"
+    from tidemark.functions.eventtime import as_watermarkable
+    as_watermarkable(mk).coalesce(1).write.parquet(d)
+    src = spark.readStream.schema(spark.read.parquet(d).schema).parquet(d)
+    run_available(jobs.marketing(src, size="1 day", slide="1 hour"), "job_mk", checkpoint=tempfile.mkdtemp())
+    got = {(r["channel"], r["behavior"], r["window_end"], r["cnt"]) for r in spark.table("job_mk").collect()}
+    batch = {(r["channel"], r["behavior"], r["window_end"], r["cnt"]) for r in windows.window_counts(
+        as_watermarkable(mk).where(F.col("behavior") != "uninstall"), "1 day", "1 hour",
+        keys=["channel", "behavior"]).collect()}
+    assert got and got <= batch
+
+
+def test_order_pattern_and_keyed_login_jobs(spark):
+    """F-PATTERN as order lines (times in ms), and F-LOGIN as login lines through the keyed form."""
+    base = 1704067200000
+    ev = [(1, "create", 0), (1, "other", 1000), (1, "pay", 1500), (2, "create", 0), (2, "pay", 2000),
+          (3, "create", 0), (3, "create", 1000), (3, "pay", 1500), (4, "create", 0), (4, "pay", 1000),
+          (4, "pay", 1500), (5, "pay", 0), (6, "create", 0), (99, "other", 60000)]
+    src = read_lines(spark, _lines_dir(spark, [[f"{o},{k},,{base + t}" for o, k, t in ev]]), stream=True)
+    res, _ = jobs.order_timeout(src, within="2 seconds", unit="ms", pattern=True)
+    run_available(res, "job_pattern", checkpoint=tempfile.mkdtemp())
+    got = {}
+    for r in spark.table("job_pattern").collect():
+        got[(r["key"], r["outcome"])] = got.get((r["key"], r["outcome"]), 0) + 1
+    assert got == {(1, "match"): 1, (2, "timeout"): 1, (3, "match"): 2, (4, "match"): 1, (6, "timeout"): 1}
+
+    b = 1704067200
+    rows = [(1, "fail", 10), (1, "fail", 13), (1, "fail", 12), (2, "fail", 20), (2, "success", 20),
+            (2, "fail", 21), (3, "fail", 30), (3, "fail", 32), (9, "success", 500)]
+    src = read_lines(spark, _lines_dir(spark, [[f"{u},10.0.0.1,{k},{b + t}" for u, k, t in rows]]), stream=True)
+    warn, _ = jobs.login_failures(src, within="2 seconds", disorder="5 seconds", strict_pattern=False)
+    run_available(warn, "job_login_keyed", checkpoint=tempfile.mkdtemp())
+    assert [(r["user_id"], r["first_fail_ms"] // 1000 - b, r["last_fail_ms"] // 1000 - b)
+            for r in spark.table("job_login_keyed").collect()] == [(1, 12, 13)]
