@@ -37,3 +37,18 @@ def test_all_queries_without_broadcast_or_adaptive(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert [k for k, v in res.items() if not v["match"]] == []
+
+
+def test_queries_with_burst_split_on(spark):
+    """The session switch that turns on the burst split keeps every answer equal to the SQL."""
+    conf = {"spark.tidemark.hotBucket": "1 minute", "spark.tidemark.hotRows": "5"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        names = ["running_unique_visitors", "running_unique_visitors_bitmap", "login_fail_pairs",
+                 "order_pattern", "tx_match_one_to_one", "tx_unmatched_pays_one_to_one"]
+        res = compare(spark, SF, names)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert [k for k, v in res.items() if not v["match"]] == []

@@ -83,15 +83,16 @@ def unmatched_right(left: DataFrame, right: DataFrame, key: str, lower: str, upp
     return R.join(L, cond, "left_anti").drop("_b")
 
 
-def _ranked(df: DataFrame, key: str, order: list[str], bucket: str, hot_bucket: str | None = None) -> DataFrame:
-    return running_sum(df, [key], order, F.lit(1), "_k", bucket, hot_bucket)
+def _ranked(df: DataFrame, key: str, order: list[str], bucket: str, hot_bucket: str | None = None,
+            hot_rows: int = 1_000_000) -> DataFrame:
+    return running_sum(df, [key], order, F.lit(1), "_k", bucket, hot_bucket, hot_rows)
 
 
 def one_to_one(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str, ts: str = "ts",
                left_order: list[str] | None = None, right_order: list[str] | None = None,
                lp: str = "p_", rp: str = "r_", bucket: str = DEFAULT_BUCKET,
                left_unique: bool = False, right_unique: bool = False,
-               hot_bucket: str | None = None) -> dict[str, DataFrame]:
+               hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> dict[str, DataFrame]:
     """K-th pairing.  Returns ``matched``, ``unmatched_left``, ``unmatched_right``.
 
     ``left_order`` / ``right_order`` must make the order within a key total
@@ -102,7 +103,7 @@ def one_to_one(left: DataFrame, right: DataFrame, key: str, lower: str, upper: s
     lo = left_order or [ts]
     ro = right_order or [ts]
     rank = lambda df, order, unique: (df.withColumn("_k", F.lit(1).cast("long")) if unique
-                                      else _ranked(df, key, order, bucket, hot_bucket))
+                                      else _ranked(df, key, order, bucket, hot_bucket, hot_rows))
     L = _prefixed(rank(left, lo, left_unique), lp)
     R = _prefixed(rank(right, ro, right_unique), rp)
     cond = ((F.col(lp + key) == F.col(rp + key)) & (F.col(lp + "_k") == F.col(rp + "_k"))

@@ -64,11 +64,13 @@ LOGIN_WARNING = "login fail in 2 seconds"
 
 def login_fail_pairs(logins: DataFrame, within: str = "2 seconds", user: str = "user_id",
                      ts: str = "ts", seq: str = "seq", message: str = LOGIN_WARNING,
-                     bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None) -> DataFrame:
+                     bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None,
+                     hot_rows: int = 1_000_000) -> DataFrame:
     """ST4 / Q11: a failure directly followed (next event of the user) by another
     failure less than ``within`` later, in event-time order (D9)."""
     is_fail = F.col("event_type") == "fail"
-    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq], bucket, hot_bucket)
+    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq], bucket, hot_bucket,
+                 hot_rows)
     return (m.where(F.col("outcome") == MATCH)
             .select(user, F.col(ts).alias("first_fail_time"),
                     F.col(f"second_.{ts}").alias("last_fail_time"), F.lit(message).alias("warning")))
@@ -76,11 +78,12 @@ def login_fail_pairs(logins: DataFrame, within: str = "2 seconds", user: str = "
 
 def order_pattern(orders: DataFrame, within: str, key: str = "order_id", ts: str = "ts", seq: str = "seq",
                   create: Column | None = None, pay: Column | None = None,
-                  bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None) -> DataFrame:
+                  bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None,
+                  hot_rows: int = 1_000_000) -> DataFrame:
     """Create followedBy pay within the limit; matches and timeouts."""
     create = create if create is not None else F.col("event_type") == "create"
     pay = pay if pay is not None else F.col("event_type") == "pay"
-    m = two_step(orders, [key], create, pay, within, "relaxed", ts, seq, [ts, seq], bucket, hot_bucket)
+    m = two_step(orders, [key], create, pay, within, "relaxed", ts, seq, [ts, seq], bucket, hot_bucket, hot_rows)
     return m.select(key, F.col(ts).alias("start_ts"), F.col(f"second_.{ts}").alias("end_ts"), "outcome")
 
 

@@ -36,6 +36,13 @@ TOTAL_CHANNEL = "total channel"
 TOTAL_BEHAVIOR = "total"
 
 
+def _hot(spark: SparkSession) -> dict:
+    """Burst split for the ordered scans, set per session: ``spark.tidemark.hotBucket``
+    (e.g. '1 minute'; off by default) and ``spark.tidemark.hotRows`` (default 1,000,000)."""
+    return {"hot_bucket": spark.conf.get("spark.tidemark.hotBucket", None) or None,
+            "hot_rows": int(spark.conf.get("spark.tidemark.hotRows", "1000000"))}
+
+
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "events")
 
@@ -92,13 +99,13 @@ def unique_visitors_bitmap(spark, sf):
 
 def running_unique_visitors(spark, sf):
     """Q7 per event: the running distinct count, emitted at repeat visits."""
-    r = distinct.running_distinct(_views(spark, sf), "1 day")
+    r = distinct.running_distinct(_views(spark, sf), "1 day", **_hot(spark))
     return r.select(F.col("seq").alias("event_id"), "user_id", "ts", "window_start", "window_end", "uv")
 
 
 def running_unique_visitors_bitmap(spark, sf):
     """Q7 as the reference counts: running distinct over hashed bitmap offsets."""
-    r = distinct.running_distinct(_views(spark, sf), "1 day", key="offset")
+    r = distinct.running_distinct(_views(spark, sf), "1 day", key="offset", **_hot(spark))
     return r.select(F.col("seq").alias("event_id"), "user_id", "ts", "window_start", "window_end", "uv")
 
 
@@ -142,14 +149,16 @@ def ad_clicks_by_province(spark, sf):
 
 def login_fail_pairs(spark, sf):
     """Q11: two failed logins in a row per user, less than the limit apart."""
-    return patterns.login_fail_pairs(tables.logins(_events(spark, sf)), LOGIN_WITHIN, message="login fail")
+    return patterns.login_fail_pairs(tables.logins(_events(spark, sf)), LOGIN_WITHIN, message="login fail",
+                                     **_hot(spark))
 
 
 def order_pattern(spark, sf):
     """Click followedBy purchase per user within the limit; match or timeout."""
     b = tables.behaviour(_events(spark, sf)).withColumnRenamed("behavior", "event_type")
     m = patterns.order_pattern(b, ORDER_WITHIN, key="user_id",
-                               create=F.col("event_type") == "click", pay=F.col("event_type") == "purchase")
+                               create=F.col("event_type") == "click", pay=F.col("event_type") == "purchase",
+                               **_hot(spark))
     return m.select("user_id", "start_ts", "end_ts", "outcome")
 
 
@@ -180,7 +189,7 @@ def tx_match_one_to_one(spark, sf):
     """K-th pay pairs with the k-th receipt of its tx, within +-bound."""
     p, r = _tx(spark, sf)
     m = matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, right_order=_RECEIPT_ORDER,
-                            left_unique=True)["matched"]
+                            left_unique=True, **_hot(spark))["matched"]
     return m.select(F.col("p_tx_id").alias("tx_id"), F.col("p_ts").alias("pay_ts"),
                     F.col("r_ts").alias("receipt_ts"), F.col("r_l_linenumber").alias("l_linenumber"),
                     F.col("r_l_partkey").alias("l_partkey"), F.col("r_l_suppkey").alias("l_suppkey"))
@@ -203,7 +212,7 @@ def _one_to_one(spark, sf):
     p, r = _tx(spark, sf)
     # o_orderkey is the key of `orders`: one pay per tx, so pays need no ranking.
     return matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, right_order=_RECEIPT_ORDER,
-                               left_unique=True)
+                               left_unique=True, **_hot(spark))
 
 
 def tx_unmatched_pays_one_to_one(spark, sf):
