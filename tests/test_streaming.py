@@ -247,7 +247,8 @@ def test_running_unique_stream_equals_batch(spark, events_dir):
     totals, out = tempfile.mkdtemp(prefix="tidemark-tot-"), tempfile.mkdtemp(prefix="tidemark-ru-")
     from tidemark.streaming.windows import parquet_epoch_writer
     run_available(sdistinct.first_sightings(views, "1 day"), "ru_stream", checkpoint=_ck(),
-                  foreach_batch=sdistinct.running_unique_writer(totals, parquet_epoch_writer(out), keep="2 days"))
+                  foreach_batch=sdistinct.running_unique_writer(totals, parquet_epoch_writer(out), keep="2 days",
+                                                                hot_bucket="1 minute", hot_rows=5))
     got = {(r["seq"], r["uv"]) for r in spark.read.parquet(out).collect()}
     bv = events_dir[1].where(F.col("event_type") == "view").withColumnRenamed("event_id", "seq")
     batch = {(r["seq"], r["uv"]) for r in running_distinct(bv, "1 day").collect()}

@@ -102,7 +102,7 @@ def _latest_epoch_before(spark, path: str, epoch: int):
 
 
 def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bucket: str = DEFAULT_BUCKET,
-                          keep: str | None = None):
+                          keep: str | None = None, hot_bucket: str | None = None, hot_rows: int = 1_000_000):
     """Stage 2 (``foreachBatch``): running distinct count at every event of the micro-batch.
 
     count = distinct users of the window before this micro-batch (a totals
@@ -130,7 +130,8 @@ def running_unique_writer(totals_path: str, write, repeats_only: bool = True, bu
         else:
             prev = spark.read.parquet(f"{totals_path}/epoch={prev_epoch}")
         ev = df.withColumn("ts", F.timestamp_millis("ts_ms"))
-        run = running_sum(ev, ["window_end_ms"], ["ts", "seq"], F.col("is_first").cast("long"), "_run", bucket)
+        run = running_sum(ev, ["window_end_ms"], ["ts", "seq"], F.col("is_first").cast("long"), "_run", bucket,
+                          hot_bucket, hot_rows)
         res = (run.join(prev, "window_end_ms", "left")
                .withColumn("uv", F.coalesce(F.col("total"), F.lit(0)) + F.col("_run"))
                .drop("total", "_run"))
