@@ -8,16 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, simhash
 from tidemark.llm.common import scratch, table
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates (3-word shingles, at most 3 bits): one document of each group stays."""
+    return simhash.keep_one(docs, k=3, max_bits=3)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: documents are emitted as often as the mix takes them."""
     return mixing.mix(docs)
 
 
 STAGES = [
+    ("simhash near-dedup", simhash_stage),
     ("mix sources", mix_stage),
 ]
 

@@ -33,6 +33,14 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def salt(key: Column, n: int) -> Column:
     """A salt in [0, n) from the hash of ``key`` (any column, nulls included)."""
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
@@ -46,6 +54,7 @@ def lookup(df: DataFrame, small: DataFrame, on: list[str], spread: Column, n_sal
     a key holding a third of all rows still lands in ``n_salts`` tasks.  No broadcast is asked
     for; the session's size-checked threshold decides.  Keys compare null-safe.
     """
+    df = df.drop("_salt")
     left = df.withColumn("_salt", salt(spread, n_salts))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
     right = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], F.col("_salt").alias("_r_salt"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, simhash
 from tidemark.llm.common import table
 
 
@@ -14,8 +15,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (3-word shingles, at most 3 bits apart)."""
+    return (simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=3)
+            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_simhash_groups": op5_simhash_groups,
 }
 
 ORACLE_SQL = {
