@@ -8,8 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, simhash
-from tidemark.llm.common import scratch, table
+from tidemark.llm import decontaminate, mixing, quality, secrets, simhash
+from tidemark.llm.common import fold, scratch, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents scored under 0.5 go."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,13 +22,26 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs, k=3, max_bits=3)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents with any benchmark window go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), width=10)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: every span is replaced by a mark, all documents stay."""
+    return secrets.redact(docs, secrets.fit(docs))
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: documents are emitted as often as the mix takes them."""
     return mixing.mix(docs)
 
 
 STAGES = [
+    ("quality classifier", quality_stage),
     ("simhash near-dedup", simhash_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("secret scans", secrets_stage),
     ("mix sources", mix_stage),
 ]
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, simhash
-from tidemark.llm.common import table
+from tidemark.llm import decontaminate, langid, lattice, mixing, quality, secrets, simhash
+from tidemark.llm.common import fold, table
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,17 +15,68 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and tagged secret spans of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, secrets.fit(docs), drop_text=True)
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in secrets.KINDS],
+                        F.sha2(secrets.joined("spans", secrets.KINDS[:3]), 256).alias("base_sha256"),
+                        secrets.joined("spans").alias("spans"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 10 words found in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), width=10, drop_text=True)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        decontaminate.items_digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, at most 3 bits apart)."""
     return (simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=3)
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return (langid.predict(docs.select("doc_id", "text"), model, drop_text=True)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 3) == 1
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return (quality.score(docs, model, drop_text=True)
+            .select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subword lattice and word unigram log-probability of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return lattice.score(docs.select("doc_id", "text", (fold("doc_id", 10) == 0).alias("held_out")))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_decontaminate": op3_decontaminate,
     "op5_simhash_groups": op5_simhash_groups,
+    "op6_language": op6_language,
+    "op8_quality": op8_quality,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
+    "op3_decontaminate": decontaminate.ORACLE,
 }
