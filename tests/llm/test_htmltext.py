@@ -1,0 +1,67 @@
+from tidemark.llm import htmltext as ht
+
+SF = "/root/testdata/sf0.01"
+LONG = "Some words that stand for the main text of a page, and a few more of them."
+
+
+def text(page, paths=()):
+    return ht.Page(page).text(list(paths))
+
+
+def test_boilerplate_goes_and_blocks_stay_in_order():
+    page = f"""<!DOCTYPE html><html><head><title>T</title><style>p{{x:1}}</style><script>var a="</p><p>no";</script></head>
+    <body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav>
+    <div class="cookie-notice">We use cookies on this page and so on and on and on and on.</div>
+    <div id="main"><article><header><h1>Title &amp; more</h1></header><p><b>{LONG}<br>second&nbsp;line<p>Third   &lt;tag&gt; x&#233;y
+    z</p><ul><li>one<li>two <i>it</i>alic</ul><!-- hidden <p>no</p> --><div class="ad-box"><p>Buy</p></div>
+    <table><tr><td>a</td><td>b</td></tr></table><form><p>mail</p><input><button>ok</button></form><blockquote>q</blockquote>tail</article>
+    <section id="comments"><p>{LONG} {LONG} {LONG}</p></section></div>
+    <aside><p>{LONG} {LONG}</p></aside><footer>&copy; me</footer></body></html>"""
+    want = ["Title & more", f"{LONG} second line", "Third <tag> xéy z", "one", "two italic", "a b", "q", "tail"]
+    assert text(page).split("\n\n") == want
+
+
+def test_winning_path_beats_a_longer_wrong_container():
+    page = f'<body><div class="post p12"><p>short one</p></div><div class="x"><p>{LONG}</p><p>{LONG}</p></div></body>'
+    assert text(page) == f"{LONG}\n\n{LONG}"
+    assert text(page, [">body>div.nothing", ">body>div.p#.post"]) == "short one"
+
+
+def test_broken_and_empty_pages():
+    assert text(None) == text("") == text("<html><body></body></html>") == text("<script>x") == text("<p hidden>x</p>") == ""
+    assert text("just text &amp; more") == "just text & more"
+    assert text("<p>a<p>b</div></p><b>c") == "a\n\nb\n\nc"
+    assert text("<div>" * 2000 + "deep" + "</div>" * 2000) == "deep"
+    assert text("<p title='a>b' x=\"c<d\">1 < 2 and 3 > 2</p>") == "1 < 2 and 3 > 2"
+
+
+def page(n, path="article", extra=""):
+    return f"<html><body><nav><a href='/'>x</a></nav><{path}><p>{LONG} {n}</p><p>part {n}</p></{path.split()[0]}>{extra}</body></html>"
+
+
+def test_hosts_vote_and_repeated_null_and_odd_rows(spark):
+    side = f"<div class='box7'><p>{LONG} {LONG} {LONG} {LONG}</p></div>"
+    rows = [(i, "http://A.example.com/x", page(i), "k") for i in range(5)]
+    rows += [(9, "https://u@a.example.com:80/y", page(9, extra=side), "k"), (9, "https://u@a.example.com:80/y", page(9, extra=side), "k")]
+    rows += [(20, None, page(20), None), (21, "nonsense", None, None), (None, "http://b.example.com", "", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    out = ht.extract(df)
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    got = sorted(map(tuple, out.collect()), key=str)
+    want = [(i, u, f"{LONG} {i}\n\npart {i}" if h else "", 0) for i, u, h, _ in rows]
+    want = sorted(((i, u, t, len(t)) for i, u, t, _ in want), key=str)
+    assert got == want
+    assert ht.extract(df.limit(0)).count() == 0
+
+
+def test_whole_small_table_is_the_article(spark):
+    import html
+    import re
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = {r["page_id"]: r["html"] for r in df.collect()}
+    for r in ht.extract(df).collect():
+        article = re.search("<article>(.*)</article>", rows[r["page_id"]], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " " if False else "", re.sub("<br>", " ", b))).split())
+                  for b in re.split("</?(?:p|h1)>", article)]
+        assert r["text"].split("\n\n") == [b for b in blocks if b]
+        assert r["n_chars"] == len(r["text"])

@@ -31,6 +31,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -81,7 +82,7 @@ class Pieces:
     def automaton(self):
         a = ahocorasick.Automaton()
         for i, t in enumerate(self.texts):
-            a.add_word(t.decode("latin-1"), (len(t), i))
+            a.add_word(t.decode("latin-1"), len(t) << 32 | i)
         a.make_automaton()
         return a
 
@@ -91,19 +92,21 @@ def _arcs(automaton, words: list[bytes]) -> tuple[np.ndarray, ...]:
     line = b"".join(b"\x00" + START + w for w in words) + b"\x00"
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + len(START)
     first = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))       # position before the word's first byte
-    ends, lens, ids = [], [], []
-    for end, (n, i) in automaton.iter(line.decode("latin-1")):
-        ends.append(end)
-        lens.append(n)
-        ids.append(i)
-    ends, lens, ids = np.array(ends, np.int64), np.array(lens, np.int64), np.array(ids, np.int64)
+    found = np.fromiter(chain.from_iterable(automaton.iter(line.decode("latin-1"))), np.int64).reshape(-1, 2)
+    ends, lens, ids = found[:, 0], found[:, 1] >> 32, found[:, 1] & 0xFFFFFFFF
     a = np.frombuffer(line, np.uint8)
     inside = a[ends] != 0                              # the byte piece of the separator is no arc
     return ends[inside], lens[inside], ids[inside], first, first + sizes
 
 
-def _swept(to: np.ndarray, frm: np.ndarray, weight: np.ndarray, value: np.ndarray, order: np.ndarray, step: np.ndarray) -> None:
-    """value[to] = log sum exp(value[frm] + weight), step by step; all words move at once."""
+def _by(step: np.ndarray) -> np.ndarray:
+    """Stable order by step (a radix sort where steps are small)."""
+    return np.argsort(step.astype(np.uint16) if step.max(initial=0) < 1 << 16 else step, kind="stable")
+
+
+def _swept(to: np.ndarray, frm: np.ndarray, weight: np.ndarray, value: np.ndarray, step: np.ndarray) -> None:
+    """value[to] = log sum exp(value[frm] + weight), step by step (``to`` ascending); all words move at once."""
+    order = _by(step)
     to, frm, weight, step = to[order], frm[order], weight[order], step[order]
     bounds = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1], [True])))
     for a, b in zip(bounds[:-1], bounds[1:]):
@@ -121,7 +124,7 @@ def _forward(arcs, logp: np.ndarray) -> np.ndarray:
     alpha = np.zeros(last[-1] + 1)
     word = np.searchsorted(first, ends, side="left") - 1
     step = ends - first[word]
-    _swept(ends, ends - lens, logp[ids], alpha, np.lexsort((ends, step)), step)
+    _swept(ends, ends - lens, logp[ids], alpha, step)
     return alpha
 
 
@@ -144,8 +147,8 @@ def expected_counts(automaton, logp: np.ndarray, words: list[bytes], counts: np.
         beta = np.zeros(len(alpha))
         word = np.searchsorted(first, ends, side="left") - 1
         start = ends - lens
-        back = last[word] - start
-        _swept(start, ends, logp[ids], beta, np.lexsort((start, back)), back)
+        o = np.argsort(start, kind="stable")
+        _swept(start[o], ends[o], logp[ids[o]], beta, last[word[o]] - start[o])
         use = np.exp(alpha[start] + logp[ids] + beta[ends] - alpha[last[word]]) * counts[i:i + WORDS_AT_ONCE][word]
         total += np.bincount(ids, weights=use, minlength=len(logp))
     return total

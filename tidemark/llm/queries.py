@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, lattice, mixing, quality, secrets, simhash
+from tidemark.llm import decontaminate, htmltext, langid, lattice, mixing, quality, secrets, simhash
 from tidemark.llm.common import fold, table
 
 
@@ -60,6 +60,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subword lattice and word unigram log-probability of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -73,6 +78,7 @@ QUERIES = {
     "op5_simhash_groups": op5_simhash_groups,
     "op6_language": op6_language,
     "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
     "op10_lm_score": op10_lm_score,
 }
 
