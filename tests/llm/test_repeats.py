@@ -1,0 +1,96 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import repeats as rp
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(rows, length):
+    texts = [(t or "").encode() for _, t in rows]
+    count = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for (d, _), t in zip(rows, texts):
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - length + 1):
+            if count[t[i:i + length]] > 1:
+                gone[i:i + length] = True
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        out.append((d, len(t), int(gone.sum()), int((gone[1:] < gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted((tuple(r)[:5] for r in rp.remove_repeats(df, **kw).collect()), key=str)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=80), max_size=5), st.sampled_from([(9, 4), (20, 8), (5, 1)]))
+def test_segments_hold_every_window_once_and_depend_on_content_only(texts, size):
+    length, gram = size
+    data = [t.encode() for t in texts]
+    s = rp.segments(data, length, gram)
+    seen = Counter((int(d), int(at) + j) for d, at, n in zip(s["doc"], s["at"], s["n"]) for j in range(n))
+    assert seen == Counter((d, i) for d, t in enumerate(data) for i in range(len(t) - length + 1))
+    offset = {}
+    for d, at, n, a, key in zip(s["doc"], s["at"], s["n"], s["a"], s["key"]):
+        for j in range(n):
+            w = data[d][at + j:at + j + length]
+            assert offset.setdefault(w, (int(a) - j, int(key))) == (int(a) - j, int(key))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5), st.text(alphabet="ab", max_size=6), st.text(alphabet="ab", max_size=6)), min_size=1, max_size=9),
+       st.integers(3, 6))
+def test_merge_finds_windows_shared_at_the_same_place(parts, length):
+    parts = sorted(set(parts))
+    rows = [(g, len(x), (x + "c" + y).encode()) for g, _, x, y in parts]
+    flags = rp.merge(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [r[2] for r in rows], length)
+    at = Counter((g, i - a, t[i:i + length]) for g, a, t in rows for i in range(len(t) - length + 1))
+    for (g, a, t), f in zip(rows, flags):
+        assert list(f) == [at[g, i - a, t[i:i + length]] > 1 for i in range(len(t) - length + 1)]
+
+
+def made(seed=3):
+    rnd = random.Random(seed)
+    def word():
+        return "".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 7)))
+    def words(n):
+        return " ".join(word() for _ in range(n))
+    passage, whole = words(40), words(150)
+    rows = [(i, words(rnd.randint(0, 60)) + " " + passage + " " + words(rnd.randint(0, 60))) for i in range(40)]
+    rows += [(100 + i, whole) for i in range(5)] + [(100, whole), (None, whole), (None, None), (1, ""), (2, "x")]
+    for i in range(12):
+        w = whole.split()
+        w[rnd.randrange(len(w))] = "zz"
+        rows.append((200 + i, " ".join(w)))
+    rows += [(300, "a" * 500), (301, "ab" * 300 + "c"), (302, words(4000)), (303, "line of text\n" * 40), (304, words(30) * 3)]
+    return rows
+
+
+def test_edges_against_brute_force(spark):
+    rows = made()
+    assert got(spark, rows, length=60, gram=16) == brute(rows, 60)
+    assert got(spark, [], length=60, gram=16) == []
+
+
+def test_hot_anchors_pieces_and_small_blocks_change_nothing(spark, monkeypatch):
+    rows = made(5)
+    want = brute(rows, 40)
+    monkeypatch.setattr(rp, "HOT", 3)
+    assert got(spark, rows, length=40, gram=8) == want
+    assert rp.segments([rows[0][1].encode()], 40, 8)["n"].sum() == len(rows[0][1].encode()) - 39
+    monkeypatch.setattr(rp, "_PIECE", 100)
+    s = rp.segments([r[1].encode() for r in rows if r[1]], 40, 8)
+    assert s["n"].sum() == sum(max(0, len(r[1].encode()) - 39) for r in rows if r[1])
+
+
+def test_whole_small_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(400).collect()]
+    assert got(spark, rows) == brute(rows, 400)

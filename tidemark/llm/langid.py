@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
+from tidemark.llm.common import share_below
 
 BITS = 12
 WIDTH = 2 << BITS
@@ -100,8 +101,11 @@ def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTR
     ``sample_rows`` rows of smallest text hash per language (a documented bound)."""
     train = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
     df, n = ngrams.document_counts(train, WIDTH, vector)
+    # a first cut by hash lets about twice sample_rows of each language through, however many tasks
+    total = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}    # one row per language
+    share = F.create_map(*[F.lit(x) for lang, c in total.items() for x in (lang, min(1.0, (2.0 * sample_rows + 100) / c))])[F.col("lang")] if total else F.lit(1.0)
     first = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (train.withColumn("h", F.xxhash64("text")).withColumn("r", F.row_number().over(first))
+    sample = (train.withColumn("h", F.xxhash64("text")).where(share_below(F.col("h"), share)).withColumn("r", F.row_number().over(first))
               .where(F.col("r") <= sample_rows).select("lang", "text").orderBy("lang", "text").collect())
     by_lang: dict[str, list[str]] = {}
     for r in sample:

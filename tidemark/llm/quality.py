@@ -10,7 +10,7 @@ vote with their similarity.
 Only rows of the training fold give labels.  Labels, lang, source and doc_id are no inputs of a
 score.  Defined cases: null and empty texts are scored by their style terms; rows without a
 label, with a null label or a null doc_id are not learned from; ties in similarity go to the
-neighbour earlier in sample order (hash, doc_id); without any labelled row the score is 1.0
+neighbour earlier in sample order (by hash); without any labelled row the score is 1.0
 (nothing speaks against a text); repeated rows score alike; an empty table gives no rows; input
 columns ``score`` and ``predicted`` are replaced.
 """
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
+from tidemark.llm.common import bounded_sample
 
 BITS, STYLE = 12, 48
 WIDTH = (1 << BITS) + STYLE
@@ -105,12 +106,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: "object", sample_rows: int
     """Fit on the ``sample_rows`` labelled rows of smallest hash among those where ``training`` (a
     condition on doc_id) holds; document counts are over all of ``docs``."""
     df, n = ngrams.document_counts(docs, WIDTH, vector)
-    known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & training)
-             .select("doc_id", "quality", F.xxhash64("doc_id").alias("h")))
+    known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & training).select("doc_id", "quality"))
     # at most sample_rows ids and labels: a proven bound for the broadcast
-    chosen = known.orderBy("h", "doc_id", "quality").limit(sample_rows)
-    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-              .orderBy("h", "doc_id", "quality", "text").limit(sample_rows).collect())
+    chosen = bounded_sample(known, ["doc_id", "quality"], sample_rows)
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = bounded_sample(texts, ["doc_id", "quality", "text"], sample_rows).collect()
     return fit_model([r["text"] for r in sample], [r["quality"] for r in sample], df, n)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, htmltext, langid, lattice, mixing, quality, secrets, simhash
+from tidemark.llm import decontaminate, embeddings, htmltext, langid, lattice, mixing, quality, repeats, secrets, simhash
 from tidemark.llm.common import fold, table
 
 
@@ -36,6 +36,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontaminate.items_digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine >= 0.9 and component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, at most 3 bits apart)."""
     return (simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, max_bits=3)
@@ -51,6 +56,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by 400-byte strings that come more than once."""
+    return (repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from two thirds of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,8 +86,10 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
+    "op4_embedding_groups": op4_embedding_groups,
     "op5_simhash_groups": op5_simhash_groups,
     "op6_language": op6_language,
+    "op7_repeats": op7_repeats,
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_lm_score": op10_lm_score,

@@ -5,7 +5,7 @@ tokens (runs of word characters, runs of punctuation) as secret begin, inside or
 their shape, the kind of the neighbouring tokens (three before, one after) and file features; the
 best tagging is found by Viterbi and its spans that touch no base span are added as kind ``crf``.
 
-Training: a bounded sample of documents (``sample_docs``, the smallest hashes of doc_id) labelled
+Training: a bounded sample of documents (``sample_docs``, the smallest hashes of id and text) labelled
 by the base patterns, with made-up credentials and harmless look-alikes written in at seeded
 places; the conditional likelihood is climbed by forward-backward gradients on the driver.
 
@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import bounded_sample
+
 KINDS = ("assign", "access", "hex", "crf")
 SAMPLE_DOCS = 100
 # The three base patterns of the contract.
@@ -319,8 +321,7 @@ def training_set(docs: list[str], seed: int = 2, extra: int = 60) -> tuple[list[
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 2) -> Field:
     """Train on the ``sample_docs`` documents of smallest hash (a fixed bound, collected)."""
-    sample = (docs.where(F.length("text") > 0).select("text", F.xxhash64("doc_id", F.lit(seed)).alias("h"))
-              .orderBy("h", "text").limit(sample_docs).collect())
+    sample = bounded_sample(docs.where(F.length("text") > 0).select("doc_id", "text"), ["doc_id", "text"], sample_docs).collect()
     return train(*training_set([r["text"] for r in sample], seed))
 
 
