@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, quality, secrets, simhash
+from tidemark.llm import decontaminate, mixing, quality, secretscan, simhash
 from tidemark.llm.common import fold, scratch, table
 
 
@@ -29,7 +29,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: every span is replaced by a mark, all documents stay."""
-    return secrets.redact(docs, secrets.fit(docs))
+    return secretscan.redact(docs, secretscan.fit(docs))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

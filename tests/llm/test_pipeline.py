@@ -8,7 +8,7 @@ from test_decontaminate import brute as contaminated
 from test_mixing import brute_targets
 from test_simhash import slow_fingerprint, slow_groups
 
-from tidemark.llm import queries, quality, secrets
+from tidemark.llm import queries, quality, secretscan
 from tidemark.llm.common import fold, table
 
 SF = "/root/testdata/sf0.001"
@@ -65,10 +65,10 @@ def test_decontamination_stage(spark, run):
 
 def test_secrets_stage(run):
     _, before, after = run[1][3]
-    field, want = secrets.fit(before), []
+    field, want = secretscan.fit(before), []
     for r in before.collect():
         t, end, out = r["text"] or "", 0, ""
-        spans = secrets.scan_texts(field, [t.encode()])[0]
+        spans = secretscan.scan_texts(field, [t.encode()])[0]
         for s in spans:
             if s["start"] >= end:
                 out += t[end:s["start"]] + "[SECRET]"

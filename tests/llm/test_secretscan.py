@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import secrets as sc
+from tidemark.llm import secretscan as sc
 
 SF = "/root/testdata/sf0.01"
 HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"

@@ -174,3 +174,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shards: in
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.when(F.col("k1").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
                       F.coalesce(F.when(F.col("k1").isNull(), F.lit(True)).otherwise(F.col("vec_id") == F.col("component_id")), F.lit(False)).alias("kept"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e,
+         embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings),
+l AS (SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.ok AND b.ok AND a.r <> b.r AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT r, r FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.b = v.r GROUP BY reach.a),
+k AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(k.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c USING (r) LEFT JOIN k USING (r)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embeddings, htmltext, langid, lattice, mixing, quality, repeats, secrets, simhash
+from tidemark.llm import decontaminate, embeddings, htmltext, langid, lattice, mixing, quality, repeats, secretscan, simhash
 from tidemark.llm.common import fold, table
 
 
@@ -18,14 +18,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and tagged secret spans of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.find(docs, secrets.fit(docs), drop_text=True)
+    found = secretscan.find(docs, secretscan.fit(docs), drop_text=True)
 
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *[count(k) for k in secrets.KINDS],
-                        F.sha2(secrets.joined("spans", secrets.KINDS[:3]), 256).alias("base_sha256"),
-                        secrets.joined("spans").alias("spans"))
+    return found.select("doc_id", *[count(k) for k in secretscan.KINDS],
+                        F.sha2(secretscan.joined("spans", secretscan.KINDS[:3]), 256).alias("base_sha256"),
+                        secretscan.joined("spans").alias("spans"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +98,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
+    "op4_embedding_groups": embeddings.ORACLE,
+    "op7_repeats": repeats.ORACLE,
 }

@@ -340,3 +340,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     return (whole.join(by_text.hint("shuffle_hash"), ["d1", "d2"], "left").select("doc_id", "data", "sha", "found")
             .mapInArrow(_finish(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                                          "removed array<struct<lo: long, hi: long>>"))
+
+
+ORACLE = """
+WITH n AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS t,
+                  CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+w AS (SELECT rid, i, md5(t[i + 1:i + 400]) AS k
+      FROM (SELECT rid, t, unnest(range(0, n - 399)) AS i FROM n WHERE n >= 400)),
+r AS (SELECT rid, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT rid, i, sum(CASE WHEN p IS NULL OR i > p + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS island
+      FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS p FROM r)),
+s AS (SELECT rid, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY rid, island),
+cuts AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS e FROM s),
+kept AS (SELECT n.rid, CAST(sum(b - a) AS BIGINT) AS gone, count(*) AS spans,
+                string_agg(CASE WHEN a > e THEN hex(t[e + 1:a]) ELSE '' END, '' ORDER BY a)
+                || CASE WHEN max(b) < any_value(n.n) THEN hex(any_value(t)[max(b) + 1:any_value(n.n)]) ELSE '' END AS h
+         FROM cuts JOIN n USING (rid) GROUP BY n.rid)
+SELECT n.doc_id, n.n AS n_bytes, coalesce(kept.gone, 0) AS n_removed, coalesce(kept.spans, 0) AS n_spans,
+       CASE WHEN kept.rid IS NULL THEN sha256(n.t) ELSE sha256(unhex(kept.h)) END AS kept_sha256
+FROM n LEFT JOIN kept USING (rid)
+"""
