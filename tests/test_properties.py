@@ -37,20 +37,40 @@ def test_bucketed_running_count_equals_row_number(spark, rows):
 
 @SETTINGS
 @given(rows=rows_st)
-def test_bucketed_nearest_equals_lag_and_next_match(spark, rows):
+def test_look_ahead_finds_the_next_match_within_the_limit(spark, rows):
     df = _df(spark, rows)
-    w = Window.partitionBy("key").orderBy("ts", "seq")
-    lag = {r["seq"]: r["p"] for r in df.select("seq", F.lag("seq").over(w).alias("p")).collect()}
-    got = ordered.nearest(df, ["key"], ["ts", "seq"], F.lit(True), ["seq"], "prev", "prev", bucket="30 seconds")
-    assert {r["seq"]: (r["prev"]["seq"] if r["prev"] else None) for r in got.collect()} == lag
-    # nearest later row of kind 'b', by brute force
     data = sorted((k, t, s, e) for s, (k, t, e) in enumerate(rows))
-    brute = {}
-    for k, t, s, e in data:
-        later = [(t2, s2) for k2, t2, s2, e2 in data if k2 == k and e2 == "b" and (t2, s2) > (t, s)]
-        brute[s] = min(later)[1] if later else None
-    got = ordered.nearest(df, ["key"], ["ts", "seq"], F.col("kind") == "b", ["seq"], "nx", "next", bucket="30 seconds")
-    assert {r["seq"]: (r["nx"]["seq"] if r["nx"] else None) for r in got.collect()} == brute
+    for kind in (None, "b"):
+        brute = {}
+        for k, t, s, e in data:
+            later = [(t2, s2) for k2, t2, s2, e2 in data if k2 == k and kind in (None, e2) and (t2, s2) > (t, s)]
+            brute[s] = min(later)[1] if later and min(later)[0] - t <= 30 else None
+        cond = F.lit(True) if kind is None else F.col("kind") == kind
+        at = {s: t for _, t, s, _ in data}
+        got = ordered.next_within(df, ["key"], ["ts", "seq"], cond, ["seq"], "nx", 30)
+        found = {r["seq"]: (r["nx"]["seq"] if r["nx"] and at[r["nx"]["seq"]] - at[r["seq"]] <= 30 else None) for r in got.collect()}
+        assert found == brute
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200), st.integers(0, 2)), min_size=1, max_size=30))
+def test_running_distinct_with_tied_rows(spark, rows):
+    """Rows tie in (ts, seq): a user counts once, at the first place of their earliest rows."""
+    from tidemark.operators.distinct import running_distinct
+    df = spark.createDataFrame([(u, t, s) for u, t, s in rows], "user_id long, t int, seq long").withColumn(
+        "ts", F.timestamp_seconds(F.lit(1704067200) + F.col("t"))).drop("t")
+    got = sorted((int(r["ts"].timestamp()) - 1704067200, r["seq"], r["uv"]) for r in running_distinct(df, "100 seconds", repeats_only=False, bucket="10 seconds").collect())
+    want = []
+    for w in (0, 1, 2):
+        seen = set()
+        mine = sorted((t, s, u) for u, t, s in rows if t // 100 == w)
+        for t, s in sorted({(t, s) for t, s, _ in mine}):
+            tied = [u for t2, s2, u in mine if (t2, s2) == (t, s)]
+            new = [u for u in dict.fromkeys(tied) if u not in seen]
+            for i in range(len(tied)):
+                want.append((t, s, len(seen) + min(i + 1, len(new))))
+            seen |= set(new)
+    assert got == sorted(want)
 
 
 side_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300)), min_size=0, max_size=25)
@@ -149,5 +169,5 @@ def test_two_step_equals_brute_force(spark, rows):
     df = frame(spark, rows, ["key", "t", "kind"])
     for strict in (False, True):
         got = patterns.two_step(df, ["key"], F.col("kind") == "c", F.col("kind") == "p", "30 seconds",
-                                "strict" if strict else "relaxed", bucket="20 seconds")
+                                "strict" if strict else "relaxed")
         assert {r["seq"]: r["outcome"] for r in got.collect()} == _brute_pattern(rows, 30, strict), strict

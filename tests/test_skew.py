@@ -63,46 +63,37 @@ def test_hot_user_running_distinct_exact(spark):
     assert got.exceptAll(b).count() == 0 and b.exceptAll(got).count() == 0
 
 
-def test_burst_in_one_bucket_is_split_and_exact(spark):
-    """A third of the rows for one user inside one hour: the hot (key, bucket) is
-    re-bucketed by minute, spread over tasks, and the running count is still exact."""
-    ev = _skewed(spark).withColumnRenamed("event_id", "seq")
-    squeezed = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + "
-                      "make_dt_interval(0, 0, 0, (unix_timestamp(ts) - 1704067200) / 720.0)")
-    ev = ev.withColumn("ts", F.when(F.col("user_id") == 0, squeezed).otherwise(F.col("ts")))
-    got = ordered.running_sum(ev, ["user_id"], ["ts", "seq"], F.lit(1), "n", bucket="1 hour",
-                              hot_bucket="1 minute", hot_rows=500)
+def test_one_window_runs_in_many_tasks_by_default(spark):
+    """All users of one day: the running count's rows of a window are spread, with no setting."""
+    views = _skewed(spark).where("event_type = 'view'").withColumnRenamed("event_id", "seq")
+    day = views.where("ts < TIMESTAMP_NTZ'2024-01-02 00:00:00'")
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        placed = got.withColumn("pid", F.spark_partition_id()).where("user_id = 0")
-        pids = len(placed.groupBy("pid").agg(F.max("n")).collect())
+        placed = distinct.running_distinct(day, "1 day").withColumn("pid", F.spark_partition_id())
+        pids = len(placed.groupBy("pid").agg(F.max("uv")).collect())
     finally:
         spark.conf.set(key, old)
     assert pids >= 4
-    w = Window.partitionBy("user_id").orderBy("ts", "seq")
-    plain = ev.select("seq", F.row_number().over(w).cast("long").alias("n"))
-    assert got.select("seq", "n").exceptAll(plain).count() == 0
-    assert plain.exceptAll(got.select("seq", "n")).count() == 0
-    # the same input without the split keeps the burst in one bucket
-    one = ordered.running_sum(ev, ["user_id"], ["ts", "seq"], F.lit(1), "n", bucket="1 hour")
-    spark.conf.set(key, "false")
-    try:
-        placed = one.withColumn("pid", F.spark_partition_id()).where("user_id = 0")
-        assert len(placed.groupBy("pid").agg(F.max("n")).collect()) == 1
-    finally:
-        spark.conf.set(key, old)
 
 
-def test_burst_split_for_nearest_is_exact(spark):
-    ev = tables.logins(_skewed(spark))
-    squeezed = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + "
-                      "make_dt_interval(0, 0, 0, (unix_timestamp(ts) - 1704067200) / 720.0)")
-    ev = ev.withColumn("ts", F.when(F.col("user_id") == 0, squeezed).otherwise(F.col("ts")))
-    got = ordered.nearest(ev, ["user_id"], ["ts", "seq"], F.lit(True), ["seq"], "prev", "prev",
-                          bucket="1 hour", hot_bucket="1 minute", hot_rows=500)
-    w = Window.partitionBy("user_id").orderBy("ts", "seq")
-    plain = ev.select("seq", F.lag("seq").over(w).alias("p"))
-    g = got.select("seq", F.col("prev.seq").alias("p"))
-    assert g.exceptAll(plain).count() == 0 and plain.exceptAll(g).count() == 0
+def test_hot_user_patterns_equal_plain_windows(spark):
+    """Look-ahead copies against an unsplit window per user, both contiguities."""
+    ev = _skewed(spark).withColumnRenamed("event_id", "seq")
+    w = Window.partitionBy("user_id").orderBy("ts", "seq").rowsBetween(1, Window.unboundedFollowing)
+    hour = F.expr("INTERVAL 1 hour")
+    for contiguity in ("relaxed", "strict"):
+        got = patterns.two_step(ev, ["user_id"], F.col("event_type") == "click", F.col("event_type") == "purchase", "1 hour",
+                                contiguity).select("seq", "outcome", F.col("second_.ts").alias("e"))
+        if contiguity == "relaxed":
+            nxt, second = F.min(F.when(F.col("event_type") == "purchase", F.col("ts"))).over(w), F.lit(True)
+        else:
+            lead = Window.partitionBy("user_id").orderBy("ts", "seq")
+            nxt, second = F.lead("ts").over(lead), F.lead("event_type").over(lead) == "purchase"
+        b = (ev.withColumn("n", nxt).withColumn("ok", F.col("n").isNotNull() & second).withColumn("near", F.coalesce(F.col("n") < F.col("ts") + hour, F.lit(False)))
+             .where("event_type = 'click'"))
+        plain = b.where("NOT (near AND NOT ok)").select("seq", F.when(F.col("near"), "match").otherwise("timeout").alias("outcome"),
+                                                        F.when(F.col("near"), F.col("n")).alias("e"))
+        assert got.count() > 0
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.functions.eventtime import interval
 from tidemark.functions.hashing import DEFAULT_BITS, DEFAULT_SEED, poly_hash
-from tidemark.operators.ordered import DEFAULT_BUCKET, running_sum
+from tidemark.operators.ordered import running_sum
+
+# Width of the parts a window is always split into for the running count.
+RUNNING_BUCKET = "1 minute"
 
 
 def _tumble(df: DataFrame, size: str, ts: str) -> DataFrame:
@@ -56,28 +60,41 @@ def approx_distinct_count(df: DataFrame, size: str, user: str = "user_id", ts: s
 
 def running_distinct(df: DataFrame, size: str, user: str = "user_id", ts: str = "ts",
                      seq: str = "seq", out: str = "uv", repeats_only: bool = True,
-                     key: str | None = None, bucket: str = DEFAULT_BUCKET,
-                     hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
+                     key: str | None = None, bucket: str = RUNNING_BUCKET) -> DataFrame:
     """After each event, the number of distinct users seen so far in its window.
 
     ``key`` None dedups on ``user`` exactly; ``key='offset'`` dedups on the
     hashed bitmap offset as the reference does.  With ``repeats_only`` only
     events of an already-seen user are returned (the reference emits on a
     repeat, D10).  First sightings come from a (window, user) aggregate, so a
-    hot user is merged map-side; the running count is a bucketed running sum.
+    hot user is merged map-side.  A window is always split into buckets of
+    ``bucket``; the count before a bucket is the number of first sightings in
+    earlier ones, read off the same aggregate.
+
+    Rows may tie in (ts, seq): one row per (window, user) is the first
+    sighting, and it stands before the rows it ties with.
     """
     base = _tumble(df, size, ts)
-    if key == "offset":
-        base = base.withColumn("_u", bitmap_offset(user))
-    else:
-        base = base.withColumn("_u", F.col(user))
+    base = base.withColumn("_u", bitmap_offset(user) if key == "offset" else F.col(user))
     first = (base.groupBy("window_end", "_u")
              .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))).alias("_first")))
-    flagged = (base.join(first, ["window_end", "_u"])
-               .withColumn("_is_first", (F.col("_first.t") == F.col(ts)) & (F.col("_first.s") == F.col(seq)))
-               .drop("_first"))
-    counted = running_sum(flagged, ["window_end"], [ts, seq], F.col("_is_first").cast("long"), out, bucket,
-                          hot_bucket, hot_rows)
+    totals = (first.groupBy("window_end", F.window(F.col("_first.t"), bucket).start.alias("_bk"))
+              .agg(F.count(F.lit(1)).alias("_tot")))
+    earliest = ((F.col("_first.t") == F.col(ts)) & F.col("_first.s").eqNullSafe(F.col(seq)))
+    joined = base.join(first, ["window_end", "_u"]).withColumn("_e", earliest).withColumn("_b", F.window(ts, bucket).start)
+    # Of rows that tie for first only one counts; the tie is looked at inside its bucket, which the
+    # running sum's window needs together anyway.
+    tied = Window.partitionBy("window_end", "_b", "_u").orderBy(F.col("_e").desc())
+    flagged = (joined.drop("_first").repartition("window_end", "_b")
+               .withColumn("_is_first", F.col("_e") & (F.row_number().over(tied) == 1)).drop("_e"))
+    # One row per window and bucket (a window has size / bucket of them), so that buckets without
+    # a first sighting of their own get the count before them.
+    grid = (totals.select("window_end").distinct()
+            .withColumn("_lo", F.window(F.col("window_end") - interval(size), bucket).start)
+            .select("window_end", F.explode(F.sequence("_lo", F.col("window_end") - interval("1 second"), interval(bucket))).alias("_bk")))
+    edges = grid.join(totals, ["window_end", "_bk"], "left").fillna(0, ["_tot"])
+    counted = running_sum(flagged, ["window_end"], [F.col(ts), F.col(seq), F.col("_is_first").desc()],
+                          F.col("_is_first").cast("long"), out, bucket, ts=ts, totals=edges)
     if repeats_only:
         counted = counted.where(~F.col("_is_first"))
-    return counted.drop("_u", "_is_first")
+    return counted.drop("_u", "_is_first", "_b")

@@ -7,10 +7,12 @@
   the interval.  Every row ends up matched or unmatched (D15, D16).
 * J3/J4 unmatched rows on either side, for both forms.
 
-Spark chooses the physical join.  Interval joins add a time bucket to the
-equi-join key (range-join bucketing), so a hot key is split by time and never
-compared pairwise as a whole; adaptive execution splits what skew remains.  Ranks come from the bucketed running count, so a hot key is not
-ranked in one task.
+Spark chooses the physical join.  Interval joins of two sides whose keys repeat
+add a time bucket to the equi-join key (range-join bucketing), so a hot key is
+split by time and never compared pairwise as a whole; ``spread`` names the
+side that is copied into the buckets its range reaches (the narrow one).  When
+the left key is unique (a primary key) a right row meets one left row at most:
+no bucket and no copy is needed, and adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -18,9 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.eventtime import interval
-from tidemark.operators.ordered import DEFAULT_BUCKET, running_sum
+from tidemark.operators.ordered import running_sum
 from tidemark.operators.windows import seconds
 
+# Ranks of a side whose key repeats: wide enough that a (key, bucket) group holds many rows.
+RANK_BUCKET = "1 day"
+
 
 def _in_interval(l_ts: Column, r_ts: Column, lower: str, upper: str) -> Column:
     return (r_ts >= l_ts + interval(lower)) & (r_ts <= l_ts + interval(upper))
@@ -35,83 +40,102 @@ def _signed_seconds(d: str) -> int:
     return -seconds(d[1:]) if d.startswith("-") else seconds(d)
 
 
-def _buckets(left: DataFrame, right: DataFrame, l_ts: str, r_ts: str, lower: str, upper: str,
+def _negated(d: str) -> str:
+    return d.strip()[1:] if d.strip().startswith("-") else "-" + d.strip()
+
+
+def _buckets(one: DataFrame, many: DataFrame, one_ts: str, many_ts: str, lower: str, upper: str,
              width: int | None) -> tuple[DataFrame, DataFrame]:
-    """Range-join bucketing: a left row gets its time bucket, a right row every
-    bucket its range can reach (at most 2 when width = upper - lower).  Joining
-    on (key, bucket) keeps a hot key from comparing all its rows pairwise, and
-    each matching pair meets in exactly one bucket."""
+    """Range-join bucketing: a row of ``one`` gets its time bucket, a row of ``many`` every
+    bucket its range can reach (at most 2 when width = upper - lower; the range is
+    [lower, upper] from ``one`` to ``many``).  Each matching pair meets in exactly one bucket."""
     lo, hi = _signed_seconds(lower), _signed_seconds(upper)
     w = width or max(hi - lo, 1)
-    lb = F.floor(F.unix_timestamp(F.col(l_ts)) / w)
-    rsec = F.unix_timestamp(F.col(r_ts))
-    rb = F.explode(F.sequence(F.floor((rsec - hi) / w), F.floor((rsec - lo) / w)))
-    return left.withColumn("_b", lb), right.withColumn("_b", rb)
+    sec = F.unix_timestamp(F.col(many_ts))
+    return (one.withColumn("_b", F.floor(F.unix_timestamp(F.col(one_ts)) / w)),
+            many.withColumn("_rb", F.explode(F.sequence(F.floor((sec - hi) / w), F.floor((sec - lo) / w)))))
+
+
+def _sides(L: DataFrame, R: DataFrame, l_ts: str, r_ts: str, lower: str, upper: str, width: int | None,
+           left_unique: bool, spread: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides and the bucket part of the join condition."""
+    if left_unique:
+        return L, R, F.lit(True)
+    if spread == "right":
+        L, R = _buckets(L, R, l_ts, r_ts, lower, upper, width)
+    elif spread == "left":
+        R, L = _buckets(R, L, r_ts, l_ts, _negated(upper), _negated(lower), width)
+    else:
+        raise ValueError("spread is 'left' or 'right'")
+    return L, R, F.col("_b") == F.col("_rb")
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str,
-                  ts: str = "ts", lp: str = "p_", rp: str = "r_", width: int | None = None) -> DataFrame:
+                  ts: str = "ts", lp: str = "p_", rp: str = "r_", width: int | None = None,
+                  left_unique: bool = False, spread: str = "right") -> DataFrame:
     """Inner interval join; columns are prefixed ``lp`` / ``rp``."""
-    L, R = _buckets(_prefixed(left, lp), _prefixed(right, rp), lp + ts, rp + ts, lower, upper, width)
-    L, R = L.withColumnRenamed("_b", "_lb"), R.withColumnRenamed("_b", "_rb")
-    cond = ((F.col(lp + key) == F.col(rp + key)) & (F.col("_lb") == F.col("_rb"))
+    L, R, met = _sides(_prefixed(left, lp), _prefixed(right, rp), lp + ts, rp + ts, lower, upper, width, left_unique, spread)
+    cond = ((F.col(lp + key) == F.col(rp + key)) & met
             & _in_interval(F.col(lp + ts), F.col(rp + ts), lower, upper))
-    return L.join(R, cond, "inner").drop("_lb", "_rb")
+    return L.join(R, cond, "inner").drop("_b", "_rb")
 
 
 def unmatched_left(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str,
-                   ts: str = "ts", width: int | None = None) -> DataFrame:
+                   ts: str = "ts", width: int | None = None, left_unique: bool = False) -> DataFrame:
     """J3 (interval form): left rows with no right row of the key in the interval."""
-    L, R = _buckets(left, _prefixed(right.select(key, ts), "_r"), ts, "_r" + ts, lower, upper, width)
-    R = R.withColumnRenamed("_b", "_rb")
-    cond = ((L[key] == F.col("_r" + key)) & (L["_b"] == F.col("_rb"))
-            & _in_interval(L[ts], F.col("_r" + ts), lower, upper))
+    L, R, met = _sides(left, _prefixed(right.select(key, ts), "_r"), ts, "_r" + ts, lower, upper, width, left_unique, "right")
+    cond = (L[key] == F.col("_r" + key)) & met & _in_interval(L[ts], F.col("_r" + ts), lower, upper)
     return L.join(R, cond, "left_anti").drop("_b")
 
 
 def unmatched_right(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str,
-                    ts: str = "ts", width: int | None = None) -> DataFrame:
+                    ts: str = "ts", width: int | None = None, left_unique: bool = False) -> DataFrame:
     """J4 (interval form): right rows with no left row of the key in the interval.
 
-    Mirrored: the right row gets one bucket, the left rows every bucket their
+    Mirrored: the right row keeps one bucket, the left rows go to every bucket their
     range reaches (the interval seen from the right is [-upper, -lower])."""
-    neg = lambda d: d.strip()[1:] if d.strip().startswith("-") else "-" + d.strip()
-    R, L = _buckets(right, _prefixed(left.select(key, ts), "_l"), ts, "_l" + ts, neg(upper), neg(lower), width)
-    L = L.withColumnRenamed("_b", "_lb")
-    cond = ((R[key] == F.col("_l" + key)) & (R["_b"] == F.col("_lb"))
-            & _in_interval(F.col("_l" + ts), R[ts], lower, upper))
+    L, R, met = _sides(_prefixed(left.select(key, ts), "_l"), right, "_l" + ts, ts, lower, upper, width, left_unique, "left")
+    cond = (R[key] == F.col("_l" + key)) & met & _in_interval(F.col("_l" + ts), R[ts], lower, upper)
     return R.join(L, cond, "left_anti").drop("_b")
 
 
-def _ranked(df: DataFrame, key: str, order: list[str], bucket: str, hot_bucket: str | None = None,
-            hot_rows: int = 1_000_000) -> DataFrame:
-    return running_sum(df, [key], order, F.lit(1), "_k", bucket, hot_bucket, hot_rows)
-
-
 def one_to_one(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str, ts: str = "ts",
                left_order: list[str] | None = None, right_order: list[str] | None = None,
-               lp: str = "p_", rp: str = "r_", bucket: str = DEFAULT_BUCKET,
-               left_unique: bool = False, right_unique: bool = False,
-               hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> dict[str, DataFrame]:
+               lp: str = "p_", rp: str = "r_", bucket: str = RANK_BUCKET,
+               left_unique: bool = False, right_unique: bool = False) -> dict[str, DataFrame]:
     """K-th pairing.  Returns ``matched``, ``unmatched_left``, ``unmatched_right``.
 
     ``left_order`` / ``right_order`` must make the order within a key total
-    (time first); they decide which row is the k-th.  A side whose key is
-    unique (``left_unique`` / ``right_unique``, e.g. a primary key) has k = 1
-    for every row and skips the ranking.
+    (time first); they decide which row is the k-th.  With a unique left key
+    (``left_unique``, e.g. a primary key) only the first right row of a key can
+    pair: a minimum per key, partial before its shuffle, replaces the ranking.
     """
-    lo = left_order or [ts]
-    ro = right_order or [ts]
+    lo, ro = left_order or [ts], right_order or [ts]
+    inside = _in_interval(F.col(lp + ts), F.col(rp + ts), lower, upper)
+    if left_unique:
+        rest = [c for c in right.columns if c not in (key, *ro)]
+        first = (right.groupBy(key).agg(F.min(F.struct(*ro, *rest)).alias("_first"))
+                 .select(F.col(key).alias(rp + key), *[F.col(f"_first.{c}").alias(rp + c) for c in (*ro, *rest)]))
+        L, R = _prefixed(left, lp), first.select(*[rp + c for c in right.columns])
+        matched = L.join(R, (F.col(lp + key) == F.col(rp + key)) & inside, "inner")
+        taken = matched.select(*[F.col(rp + c) for c in (key, *ro)])
+        same = F.lit(True)
+        for c in (key, *ro):
+            same = same & right[c].eqNullSafe(F.col(rp + c))
+        return {"matched": matched,
+                "unmatched_left": _bare(L.join(R, (F.col(lp + key) == F.col(rp + key)) & inside, "left_anti"), lp),
+                "unmatched_right": right.join(taken, same, "left_anti")}
     rank = lambda df, order, unique: (df.withColumn("_k", F.lit(1).cast("long")) if unique
-                                      else _ranked(df, key, order, bucket, hot_bucket, hot_rows))
-    L = _prefixed(rank(left, lo, left_unique), lp)
-    R = _prefixed(rank(right, ro, right_unique), rp)
-    cond = ((F.col(lp + key) == F.col(rp + key)) & (F.col(lp + "_k") == F.col(rp + "_k"))
-            & _in_interval(F.col(lp + ts), F.col(rp + ts), lower, upper))
+                                      else running_sum(df, [key], order, F.lit(1), "_k", bucket))
+    L, R = _prefixed(rank(left, lo, False), lp), _prefixed(rank(right, ro, right_unique), rp)
+    cond = (F.col(lp + key) == F.col(rp + key)) & (F.col(lp + "_k") == F.col(rp + "_k")) & inside
     matched = L.join(R, cond, "inner").drop(lp + "_k", rp + "_k")
     # A row is unmatched exactly when the same (key, k) on the other side is
     # missing or out of range: one anti-join per side, no pair set needed.
-    un_l = L.join(R, cond, "left_anti").drop(lp + "_k")
-    un_r = R.join(L, cond, "left_anti").drop(rp + "_k")
-    strip = lambda df, p: df.select(*[F.col(c).alias(c[len(p):]) for c in df.columns])
-    return {"matched": matched, "unmatched_left": strip(un_l, lp), "unmatched_right": strip(un_r, rp)}
+    return {"matched": matched,
+            "unmatched_left": _bare(L.join(R, cond, "left_anti").drop(lp + "_k"), lp),
+            "unmatched_right": _bare(R.join(L, cond, "left_anti").drop(rp + "_k"), rp)}
+
+
+def _bare(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(c[len(prefix):]) for c in df.columns])

@@ -1,29 +1,13 @@
-"""Ordered scans per key that survive a hot key.
+"""Ordered scans per key that survive a hot key, in one exchange of the rows.
 
-Running counts, ranks and "nearest earlier/later row" are naturally window
-functions partitioned by a key (a user, an order, a window).  A plain
-``Window.partitionBy(key)`` puts all rows of one key in one task, so a key
-holding a third of the data would run as a single task.  These helpers split
-every key by a time bucket:
+A plain ``Window.partitionBy(key)`` puts all rows of one key in one task.  These helpers split
+every key by time, always, without looking for hot keys first:
 
-* inside a (key, bucket) the window function runs as usual;
-* what crosses a bucket edge (the running total so far, the nearest row in an
-  earlier or later bucket) comes from a per-(key, bucket) aggregate, which is
-  partially aggregated before its shuffle and has at most span/bucket rows per
-  key, so the window over buckets stays small whatever the data size;
-* the two are joined on (key, bucket).  The big side is already hash
-  partitioned on (key, bucket) by its window, so only the small bucket table
-  moves.
-
-Results equal the plain window function exactly; the bucket width only moves
-work between the two parts.
-
-The bucket aggregate reads the input a second time, but column pruning
-limits that scan to the key, time and condition columns, and it is partially
-aggregated before its shuffle.  Sharing one shuffle between the two parts
-(an explicit repartition) was measured: pruning gives the branches different
-scans, so Spark cannot reuse the exchange, and the aggregate loses its
-map-side combine, so it is not done.
+* :func:`running_sum` works inside (key, time bucket); what came before a bucket is added from a
+  per-bucket aggregate (partial sums before its shuffle, at most span / bucket rows per key).
+* :func:`next_within` finds a partner at most ``within`` later.  A row near the start of a
+  bucket is copied into the bucket before it, so every partner stands in the same
+  (key, bucket) group as the row that looks for it: one scan, one exchange, no join back.
 """
 
 from __future__ import annotations
@@ -31,83 +15,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DEFAULT_BUCKET = "1 hour"
+# A bucket of several limits keeps the copied share small (one part in LOOKAHEAD).
+LOOKAHEAD = 4
 
 
-def _bucket(ts: str, width: str) -> Column:
+def _bucket(ts: str | Column, width: str) -> Column:
     return F.window(ts, width).start
 
 
-def with_buckets(df: DataFrame, keys: list[str], ts: str, width: str, hot_width: str | None = None,
-                 hot_rows: int = 1_000_000, max_hot: int = 10_000) -> DataFrame:
-    """Add ``_bk``: the time bucket of each row, finer inside hot (key, bucket) groups.
-
-    With ``hot_width`` set, the (at most ``max_hot``) largest (key, bucket)
-    groups holding more than ``hot_rows`` rows are re-bucketed at
-    ``hot_width`` (a burst of one key no longer lands in one task).  Finer
-    buckets nest inside the coarse one, so buckets stay ordered in time and
-    the scans below are unchanged; a group left off the list is handled
-    exactly by the coarse path.  The broadcast hot list therefore has a fixed
-    bound (``max_hot`` rows), whatever the data size.
-    """
-    b = df.withColumn("_bk", _bucket(ts, width))
-    if not hot_width:
-        return b
-    hot = (b.groupBy(*keys, "_bk").count().where(F.col("count") > hot_rows)
-           .orderBy(F.col("count").desc()).limit(max_hot)
-           .select(*keys, "_bk", F.lit(True).alias("_hot")))
-    return (b.join(F.broadcast(hot), [*keys, "_bk"], "left")
-            .withColumn("_bk", F.when(F.col("_hot"), _bucket(ts, hot_width)).otherwise(F.col("_bk")))
-            .drop("_hot"))
-
-
-def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str,
-                bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None,
-                hot_rows: int = 1_000_000) -> DataFrame:
-    """Inclusive running sum of ``value`` per key in ``order`` (order[0] is the time column).
+def running_sum(df: DataFrame, keys: list[str], order: list[str | Column], value: Column, out: str,
+                bucket: str = DEFAULT_BUCKET, ts: str | None = None, totals: DataFrame | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` per key in ``order`` (its first column is the time column).
 
-    With ``value = lit(1)`` this is ``row_number()`` per key, exactly, when
-    ``order`` is total.  ``hot_bucket`` splits bursts (see :func:`with_buckets`).
+    With ``value = lit(1)`` this is ``row_number()`` per key, exactly, when ``order`` is total.
+    ``totals`` may give the sums per (keys, ``_bk``) as column ``_tot`` where the caller has them.
     """
-    ts = order[0]
-    based = with_buckets(df, keys, ts, bucket, hot_bucket, hot_rows).withColumn("_val", value)
+    ts = ts or order[0]
+    based = df.withColumn("_bk", _bucket(ts, bucket)).withColumn("_val", value)
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     b = based.withColumn("_in", F.sum("_val").over(inner))
-    totals = based.groupBy(*keys, "_bk").agg(F.sum("_val").alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    if totals is None:
+        totals = based.groupBy(*keys, "_bk").agg(F.sum("_val").alias("_tot"))
+    before = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
+    # The sum of a bucket without rows of its own still counts for later ones, so the
+    # offset is the running total up to the bucket less the bucket's own.
+    offsets = totals.select(*keys, "_bk", (F.sum("_tot").over(before) - F.col("_tot")).alias("_off"))
     return (b.join(offsets, [*keys, "_bk"], "left")
             .withColumn(out, (F.col("_in") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
             .drop("_bk", "_val", "_in", "_off"))
 
 
-def nearest(df: DataFrame, keys: list[str], order: list[str], cond: Column, payload: list[str],
-            out: str, direction: str = "next", bucket: str = DEFAULT_BUCKET,
-            hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
-    """Add ``out``: struct of ``payload`` from the nearest other row of the same key,
-    strictly before (``prev``) or after (``next``) in ``order``, for which ``cond`` holds.
+def next_within(df: DataFrame, keys: list[str], order: list[str], cond: Column, payload: list[str], out: str,
+                within_seconds: int, lookahead: int = LOOKAHEAD) -> DataFrame:
+    """Add ``out``: struct of ``payload`` of the nearest later row of the key (in ``order``, time
+    first) for which ``cond`` holds, looking at least ``within_seconds`` ahead.
 
-    With ``cond = lit(True)`` this is ``lag``/``lead`` by one (C2 strict next);
-    with a predicate it is the relaxed "followed by" step (C3).
+    A row further ahead than the limit may or may not be found; callers compare the times.
     """
-    if direction not in ("next", "prev"):
-        raise ValueError("direction is 'next' or 'prev'")
     ts = order[0]
-    pl = F.struct(*[F.col(c).alias(c) for c in payload])
-    based = with_buckets(df, keys, ts, bucket, hot_bucket, hot_rows)
-    b = based.withColumn("_cand", F.when(cond, pl))
-    if direction == "next":
-        sort = [F.col(c).desc() for c in order]
-    else:
-        sort = [F.col(c).asc() for c in order]
-    inner = Window.partitionBy(*keys, "_bk").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_in", F.last("_cand", ignorenulls=True).over(inner))
-
-    edge_key = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], pl.alias("p"))
-    pick = F.min if direction == "next" else F.max
-    edges = based.groupBy(*keys, "_bk").agg(pick(F.when(cond, edge_key)).alias("_edge"))
-    across_sort = F.col("_bk").desc() if direction == "next" else F.col("_bk").asc()
-    across = Window.partitionBy(*keys).orderBy(across_sort).rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select(*keys, "_bk", F.last(F.col("_edge.p"), ignorenulls=True).over(across).alias("_cross"))
-    return (b.join(edges, [*keys, "_bk"], "left")
-            .withColumn(out, F.coalesce(F.col("_in"), F.col("_cross")))
-            .drop("_bk", "_cand", "_in", "_cross"))
+    width = max(1, within_seconds) * lookahead
+    at = F.unix_timestamp(ts) if dict(df.dtypes)[ts] == "timestamp" else F.timestamp_diff(
+        "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    own = F.floor(F.col("_at") / width)
+    # <=: a time cut down to its second may hide up to one second of the distance
+    early = F.col("_at") - own * width <= within_seconds
+    copies = F.when(early, F.array(own, own - 1)).otherwise(F.array(own))
+    spread = (df.withColumn("_at", at).select("*", F.posexplode(copies).alias("_copy", "_bk"))
+              .withColumn("_cand", F.when(cond, F.struct(*[F.col(c).alias(c) for c in payload]))))
+    w = Window.partitionBy(*keys, "_bk").orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    return (spread.withColumn(out, F.last("_cand", ignorenulls=True).over(w)).where("_copy = 0")
+            .drop("_at", "_copy", "_bk", "_cand"))

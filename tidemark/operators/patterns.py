@@ -6,7 +6,7 @@ contiguity, and a time limit ``within``.  Each row matching the start begins
 its own partial match (C1).  Events are ordered by (ts, seq) per key (C7).
 The limit is strict: second.ts - first.ts < within (D22).
 
-Batch evaluation is one "nearest row" scan per key (see
+Batch evaluation is one look-ahead scan per (key, time bucket) (see
 :mod:`tidemark.operators.ordered`): no automaton, no pairs within a key.
 """
 
@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.eventtime import interval
-from tidemark.operators.ordered import DEFAULT_BUCKET, nearest
+from tidemark.operators.ordered import next_within
+from tidemark.operators.windows import seconds
 
 MATCH = "match"
 TIMEOUT = "timeout"
@@ -23,24 +24,23 @@ TIMEOUT = "timeout"
 
 def two_step(df: DataFrame, keys: list[str], first: Column, second: Column, within: str,
              contiguity: str = "relaxed", ts: str = "ts", seq: str = "seq",
-             payload: list[str] | None = None, bucket: str = DEFAULT_BUCKET,
-             hot_bucket: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
+             payload: list[str] | None = None) -> DataFrame:
     """Evaluate ``begin(first).<next|followedBy>(second).within(within)``.
 
     Returns one row per start event with ``second_`` (struct of the partner's
     ``payload`` or NULL) and ``outcome``: ``match``, or ``timeout`` when no
     partner came within the limit (C6).  Under strict contiguity a start
-    whose very next event fails ``second`` is discarded, not timed out.
+    whose very next event, in time, fails ``second`` is discarded, not timed out.
     """
     payload = payload or [ts, seq]
+    limit = seconds(within)
     if contiguity == "relaxed":
-        scanned = nearest(df, keys, [ts, seq], second, payload, "_partner", "next", bucket, hot_bucket, hot_rows)
+        scanned = next_within(df, keys, [ts, seq], second, payload, "_partner", limit)
         ok_partner = F.col("_partner").isNotNull()
         discarded = F.lit(False)
     elif contiguity == "strict":
-        marked = df.withColumn("_ok2", second)
-        scanned = nearest(marked, keys, [ts, seq], F.lit(True), payload + ["_ok2"], "_partner", "next", bucket,
-                          hot_bucket, hot_rows)
+        marked = df.withColumn("_ok2", F.coalesce(second, F.lit(False)))
+        scanned = next_within(marked, keys, [ts, seq], F.lit(True), payload + ["_ok2"], "_partner", limit)
         ok_partner = F.col("_partner").isNotNull() & F.col("_partner._ok2")
         discarded = F.col("_partner").isNotNull() & ~F.col("_partner._ok2")
     else:
@@ -63,27 +63,24 @@ LOGIN_WARNING = "login fail in 2 seconds"
 
 
 def login_fail_pairs(logins: DataFrame, within: str = "2 seconds", user: str = "user_id",
-                     ts: str = "ts", seq: str = "seq", message: str = LOGIN_WARNING,
-                     bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None,
-                     hot_rows: int = 1_000_000) -> DataFrame:
+                     ts: str = "ts", seq: str = "seq", message: str = LOGIN_WARNING) -> DataFrame:
     """ST4 / Q11: a failure directly followed (next event of the user) by another
     failure less than ``within`` later, in event-time order (D9)."""
     is_fail = F.col("event_type") == "fail"
-    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq], bucket, hot_bucket,
-                 hot_rows)
+    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq])
     return (m.where(F.col("outcome") == MATCH)
             .select(user, F.col(ts).alias("first_fail_time"),
                     F.col(f"second_.{ts}").alias("last_fail_time"), F.lit(message).alias("warning")))
 
 
 def order_pattern(orders: DataFrame, within: str, key: str = "order_id", ts: str = "ts", seq: str = "seq",
-                  create: Column | None = None, pay: Column | None = None,
-                  bucket: str = DEFAULT_BUCKET, hot_bucket: str | None = None,
-                  hot_rows: int = 1_000_000) -> DataFrame:
-    """Create followedBy pay within the limit; matches and timeouts."""
+                  create: Column | None = None, pay: Column | None = None) -> DataFrame:
+    """Create followedBy pay within the limit; matches and timeouts.
+
+    Rows that are neither cannot matter under relaxed contiguity; they are left at the scan."""
     create = create if create is not None else F.col("event_type") == "create"
     pay = pay if pay is not None else F.col("event_type") == "pay"
-    m = two_step(orders, [key], create, pay, within, "relaxed", ts, seq, [ts, seq], bucket, hot_bucket, hot_rows)
+    m = two_step(orders.where(create | pay), [key], create, pay, within, "relaxed", ts, seq, [ts, seq])
     return m.select(key, F.col(ts).alias("start_ts"), F.col(f"second_.{ts}").alias("end_ts"), "outcome")
 
 
@@ -102,27 +99,20 @@ def order_outcomes(events: DataFrame, deadline: str, key: str = "order_id", ts:
     The first pay decides: with a create at or before it, the latest such
     create sets the deadline (create + ``deadline``), and the pay is in time
     when strictly before it; a pay before every create is ``payed``; a pay
-    with no create, or creates with no pay, time out.  Two aggregates and
-    joins on the order key; no per-order sequence is gathered.
+    with no create, or creates with no pay, time out.  One scan of the pays
+    (their minimum, partial before its shuffle), one of the creates, and a
+    full outer join on the order key; no per-order sequence is gathered.
     """
-    first_pay = (events.where(F.col(kind) == pay).groupBy(key)
+    first_pay = (events.where(F.col(kind) == pay).groupBy(F.col(key).alias("_pk"))
                  .agg(F.min(ts).alias("pay_ts")))
-    creates = events.where(F.col(kind) == create).select(key, F.col(ts).alias("_c"))
-    # Creates are the big side of a left join against one row per order, so
-    # adaptive execution can split a hot order; the aggregate is partial.
-    with_creates = (creates.join(first_pay, key, "left")
-                    .groupBy(key)
-                    .agg(F.max(F.when(F.col("pay_ts").isNull() | (F.col("_c") <= F.col("pay_ts")), F.col("_c")))
-                         .alias("create_ts"),
-                         F.lit(1).alias("_has_c"),
-                         F.min("pay_ts").alias("pay_ts")))
-    pay_only = (first_pay.join(creates.select(key).distinct(), key, "left_anti")
-                .select(key, F.lit(None).cast(events.schema[ts].dataType).alias("create_ts"),
-                        F.lit(0).alias("_has_c"), "pay_ts"))
-    per_order = with_creates.unionByName(pay_only)
+    creates = events.where(F.col(kind) == create).select(F.col(key).alias("_ck"), F.col(ts).alias("_c"))
+    both = creates.join(first_pay, F.col("_ck") == F.col("_pk"), "full")
+    per_order = (both.groupBy(F.coalesce("_ck", "_pk").alias(key))
+                 .agg(F.max(F.when(F.col("pay_ts").isNull() | (F.col("_c") <= F.col("pay_ts")), F.col("_c"))).alias("create_ts"),
+                      F.max(F.col("_ck").isNotNull()).alias("_has_c"), F.min("pay_ts").alias("pay_ts")))
     c, p = F.col("create_ts"), F.col("pay_ts")
     result = (F.when(p.isNull(), F.lit(ORDER_TIMEOUT))
-              .when(c.isNull() & (F.col("_has_c") == 1), F.lit(PAY_BEFORE_CREATE))
+              .when(c.isNull() & F.col("_has_c"), F.lit(PAY_BEFORE_CREATE))
               .when(c.isNull(), F.lit(PAY_WITHOUT_CREATE))
               .when(p < c + interval(deadline), F.lit(PAYED_SUCCESSFULLY))
               .otherwise(F.lit(PAYED_LATE)))

@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import sinks
-from tidemark.functions.formatting import encode_line
+from tidemark.functions.formatting import encode_line, text_time
 from tidemark.operators import distinct, limits, matching, patterns, topn, windows
 from tidemark.sources import tables
-from tidemark.sources.lines import parse_behaviour, split_rejects
+from tidemark.sources.lines import (
+    ACCESS_LOG_TIME, parse_access_log, parse_behaviour, parse_login, parse_order, parse_receipt, split_rejects)
+from tidemark.streaming.windows import corrected_top_n
 
 # Parameters of the catalog (longer than the reference's because `events`
 # averages one row per 259 s over 30 days).
@@ -36,13 +38,6 @@ TOTAL_CHANNEL = "total channel"
 TOTAL_BEHAVIOR = "total"
 
 
-def _hot(spark: SparkSession) -> dict:
-    """Burst split for the ordered scans, set per session: ``spark.tidemark.hotBucket``
-    (e.g. '1 minute'; off by default) and ``spark.tidemark.hotRows`` (default 1,000,000)."""
-    return {"hot_bucket": spark.conf.get("spark.tidemark.hotBucket", None) or None,
-            "hot_rows": int(spark.conf.get("spark.tidemark.hotRows", "1000000"))}
-
-
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "events")
 
@@ -99,13 +94,13 @@ def unique_visitors_bitmap(spark, sf):
 
 def running_unique_visitors(spark, sf):
     """Q7 per event: the running distinct count, emitted at repeat visits."""
-    r = distinct.running_distinct(_views(spark, sf), "1 day", **_hot(spark))
+    r = distinct.running_distinct(_views(spark, sf), "1 day")
     return r.select(F.col("seq").alias("event_id"), "user_id", "ts", "window_start", "window_end", "uv")
 
 
 def running_unique_visitors_bitmap(spark, sf):
     """Q7 as the reference counts: running distinct over hashed bitmap offsets."""
-    r = distinct.running_distinct(_views(spark, sf), "1 day", key="offset", **_hot(spark))
+    r = distinct.running_distinct(_views(spark, sf), "1 day", key="offset")
     return r.select(F.col("seq").alias("event_id"), "user_id", "ts", "window_start", "window_end", "uv")
 
 
@@ -149,16 +144,14 @@ def ad_clicks_by_province(spark, sf):
 
 def login_fail_pairs(spark, sf):
     """Q11: two failed logins in a row per user, less than the limit apart."""
-    return patterns.login_fail_pairs(tables.logins(_events(spark, sf)), LOGIN_WITHIN, message="login fail",
-                                     **_hot(spark))
+    return patterns.login_fail_pairs(tables.logins(_events(spark, sf)), LOGIN_WITHIN, message="login fail")
 
 
 def order_pattern(spark, sf):
     """Click followedBy purchase per user within the limit; match or timeout."""
     b = tables.behaviour(_events(spark, sf)).withColumnRenamed("behavior", "event_type")
     m = patterns.order_pattern(b, ORDER_WITHIN, key="user_id",
-                               create=F.col("event_type") == "click", pay=F.col("event_type") == "purchase",
-                               **_hot(spark))
+                               create=F.col("event_type") == "click", pay=F.col("event_type") == "purchase")
     return m.select("user_id", "start_ts", "end_ts", "outcome")
 
 
@@ -177,9 +170,9 @@ _RECEIPT_ORDER = ["ts", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def tx_interval_join(spark, sf):
-    """All (pay, receipt) pairs of a tx within +-bound."""
+    """All (pay, receipt) pairs of a tx within +-bound (o_orderkey is unique: one pay per tx)."""
     p, r = _tx(spark, sf)
-    j = matching.interval_join(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND)
+    j = matching.interval_join(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, left_unique=True)
     return j.select(F.col("p_tx_id").alias("tx_id"), F.col("p_ts").alias("pay_ts"),
                     F.col("r_ts").alias("receipt_ts"), F.col("r_l_linenumber").alias("l_linenumber"),
                     F.col("r_l_partkey").alias("l_partkey"), F.col("r_l_suppkey").alias("l_suppkey"))
@@ -189,7 +182,7 @@ def tx_match_one_to_one(spark, sf):
     """K-th pay pairs with the k-th receipt of its tx, within +-bound."""
     p, r = _tx(spark, sf)
     m = matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, right_order=_RECEIPT_ORDER,
-                            left_unique=True, **_hot(spark))["matched"]
+                            left_unique=True)["matched"]
     return m.select(F.col("p_tx_id").alias("tx_id"), F.col("p_ts").alias("pay_ts"),
                     F.col("r_ts").alias("receipt_ts"), F.col("r_l_linenumber").alias("l_linenumber"),
                     F.col("r_l_partkey").alias("l_partkey"), F.col("r_l_suppkey").alias("l_suppkey"))
@@ -198,13 +191,13 @@ def tx_match_one_to_one(spark, sf):
 def tx_unmatched_pays(spark, sf):
     """Q13 side output: pays with no receipt of the tx within +-bound."""
     p, r = _tx(spark, sf)
-    return matching.unmatched_left(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND).select("tx_id", "ts")
+    return matching.unmatched_left(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, left_unique=True).select("tx_id", "ts")
 
 
 def tx_unmatched_receipts(spark, sf):
     """Q13 side output: receipts with no pay of the tx within +-bound."""
     p, r = _tx(spark, sf)
-    return matching.unmatched_right(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND).select(
+    return matching.unmatched_right(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, left_unique=True).select(
         "tx_id", "ts", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -212,7 +205,7 @@ def _one_to_one(spark, sf):
     p, r = _tx(spark, sf)
     # o_orderkey is the key of `orders`: one pay per tx, so pays need no ranking.
     return matching.one_to_one(p, r, "tx_id", f"-{TX_BOUND}", TX_BOUND, right_order=_RECEIPT_ORDER,
-                               left_unique=True, **_hot(spark))
+                               left_unique=True)
 
 
 def tx_unmatched_pays_one_to_one(spark, sf):
@@ -237,6 +230,82 @@ def topic_lines(spark, sf):
                        F.unix_seconds("ts").alias("ts_s"))
 
 
+def _ts_s(ts="ts"):
+    return F.unix_timestamp(ts)
+
+
+def behaviour_lines_trimmed(spark, sf):
+    """Behaviour lines with blanks around every field and fields beyond the layout."""
+    b = tables.behaviour(_events(spark, sf))
+    spaced = [F.concat(F.lit(" "), F.col(c).cast("string"), F.lit(" ")) for c in ("user_id", "item_id")]
+    lines = b.select("seq", encode_line(*spaced, F.lit(" 7"), F.concat(F.col("behavior"), F.lit("  ")), _ts_s(), F.lit("extra"),
+                                        F.lit("")).alias("value"))
+    good, _ = split_rejects(parse_behaviour(lines, trim=True, keep=("seq",)))
+    return good.select(F.col("seq").alias("event_id"), "user_id", "item_id", "category_id", "behavior",
+                       F.unix_seconds("ts").alias("ts_s"))
+
+
+def access_log_lines(spark, sf):
+    """Events as access-log lines, parsed back with their zone."""
+    w = tables.web_log(_events(spark, sf))
+    lines = w.select("seq", encode_line(F.lit("10.0.0.1"), "user_id", F.lit("-"), F.date_format("ts", ACCESS_LOG_TIME),
+                                        F.lit("+0000"), "method", "url", sep=" ").alias("value"))
+    good, _ = split_rejects(parse_access_log(lines, keep=("seq",)))
+    return good.select(F.col("seq").alias("event_id"), "ip", "user_id", "method", "url", F.unix_seconds("ts").alias("ts_s"))
+
+
+def login_lines(spark, sf):
+    """Login lines; those of every seventh user are cut short and must be rejected."""
+    lg = tables.logins(_events(spark, sf))
+    whole = encode_line("user_id", F.lit("10.0.0.1"), "event_type", _ts_s())
+    lines = lg.select("seq", F.when(F.pmod("user_id", F.lit(7)) == 0, encode_line("user_id", "event_type")).otherwise(whole).alias("value"))
+    good, _ = split_rejects(parse_login(lines, keep=("seq",)))
+    return good.select(F.col("seq").alias("event_id"), "user_id", "ip", "event_type", F.unix_seconds("ts").alias("ts_s"))
+
+
+def order_lines_paid(spark, sf):
+    """P5 + F3: order lines; only those with a transaction id pass."""
+    o = tables.table(spark, sf, "orders")
+    tx = F.when(F.pmod("o_orderkey", F.lit(3)) == 0, F.lit("")).otherwise(F.concat(F.lit("tx"), F.col("o_orderkey").cast("string")))
+    lines = o.select(encode_line("o_orderkey", F.lit("pay"), tx, _ts_s("o_orderdate")).alias("value"))
+    good, _ = split_rejects(parse_order(lines))
+    return good.where(F.col("tx_id") != "").select("order_id", "event_type", "tx_id", F.unix_seconds("ts").alias("ts_s"))
+
+
+def receipt_lines(spark, sf):
+    """Receipt lines of all line items."""
+    li = tables.table(spark, sf, "lineitem")
+    lines = li.select("l_linenumber", encode_line(F.concat(F.lit("tx"), F.col("l_orderkey").cast("string")), "l_returnflag",
+                                                  _ts_s("l_shipdate"), "l_partkey").alias("value"))
+    good, _ = split_rejects(parse_receipt(lines, keep=("l_linenumber",)))
+    return good.select("tx_id", "pay_channel", F.unix_seconds("ts").alias("ts_s"), "l_linenumber")
+
+
+def hot_urls_corrected(spark, sf):
+    """K2: the top 5 from a change log in which every tenth event came late, one epoch after the rest."""
+    gets = tables.web_log(_events(spark, sf)).where(F.col("method") == "GET")
+
+    def epoch(rows, n):
+        counts = windows.window_counts(rows, HOT_URLS["size"], HOT_URLS["slide"], keys=["url"], out="hits")
+        return counts.withColumn("epoch", F.lit(n).cast("long"))
+
+    log = epoch(gets.where(F.pmod("seq", F.lit(10)) != 0), 0).unionByName(epoch(gets, 1))
+    top = corrected_top_n(log, HOT_URLS["n"], "url", "hits")
+    return top.select("window_start", "window_end", "rank", "url", "hits")
+
+
+def hot_items_documents(spark, sf):
+    """S5 / S7 JSON: one document per report row, with a stable id."""
+    top = hot_items_top5(spark, sf).withColumn("window", text_time("window_end"))
+    return sinks.documents(top, ["window", "rank"], ["window", "rank", "item_id", "view_count"])
+
+
+def unique_visitor_lines(spark, sf):
+    """UV rows as text lines with a formatted time (fn6)."""
+    uv = unique_visitors(spark, sf)
+    return uv.select(encode_line(text_time("window_end"), "uv").alias("value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_top5": hot_items_top5,
     "hot_items_top10_upsert": hot_items_top10_upsert,
@@ -262,6 +331,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tx_unmatched_pays_one_to_one": tx_unmatched_pays_one_to_one,
     "tx_unmatched_receipts_one_to_one": tx_unmatched_receipts_one_to_one,
     "topic_lines": topic_lines,
+    "behaviour_lines_trimmed": behaviour_lines_trimmed,
+    "access_log_lines": access_log_lines,
+    "login_lines": login_lines,
+    "order_lines_paid": order_lines_paid,
+    "receipt_lines": receipt_lines,
+    "hot_urls_corrected": hot_urls_corrected,
+    "hot_items_documents": hot_items_documents,
+    "unique_visitor_lines": unique_visitor_lines,
 }
 
 flagship = hot_items_top5

@@ -175,4 +175,41 @@ ORACLE_SQL: dict[str, str] = {
         SELECT event_id, user_id, {_ITEM} AS item_id, CAST({_ITEM} % 10 AS INTEGER) AS category_id,
                event_type AS behavior, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s
         FROM events""",
+    "behaviour_lines_trimmed": f"""
+        SELECT event_id, user_id, {_ITEM} AS item_id, CAST(7 AS INTEGER) AS category_id,
+               event_type AS behavior, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s
+        FROM events""",
+    "access_log_lines": f"""
+        SELECT event_id, '10.0.0.1' AS ip, CAST(user_id AS VARCHAR) AS user_id,
+               CASE WHEN event_type = 'click' THEN 'GET' ELSE upper(event_type) END AS method,
+               '/item/' || CAST({_ITEM} AS VARCHAR) AS url, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s
+        FROM events""",
+    "login_lines": """
+        SELECT event_id, user_id, '10.0.0.1' AS ip,
+               CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type,
+               CAST(floor(epoch(ts)) AS BIGINT) AS ts_s
+        FROM events WHERE user_id % 7 <> 0""",
+    "order_lines_paid": """
+        SELECT o_orderkey AS order_id, 'pay' AS event_type, 'tx' || CAST(o_orderkey AS VARCHAR) AS tx_id,
+               CAST(floor(epoch(o_orderdate)) AS BIGINT) AS ts_s
+        FROM orders WHERE o_orderkey % 3 <> 0""",
+    "receipt_lines": """
+        SELECT 'tx' || CAST(l_orderkey AS VARCHAR) AS tx_id, l_returnflag AS pay_channel,
+               CAST(floor(epoch(l_shipdate)) AS BIGINT) AS ts_s, l_linenumber
+        FROM lineitem""",
+    "hot_urls_corrected": f"""
+        SELECT window_start, window_end, CAST(rk AS INTEGER) AS rank, url, hits
+        FROM (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY hits DESC, url) AS rk
+              FROM ({_sliding(_GETS, "url", "6 hour", "30 minute", "hits")})) WHERE rk <= 5""",
+    "hot_items_documents": f"""
+        SELECT w || '-' || CAST(rk AS VARCHAR) AS id,
+               '{{"window":"' || w || '","rank":' || CAST(rk AS VARCHAR) || ',"item_id":' || CAST(item_id AS VARCHAR)
+               || ',"view_count":' || CAST(view_count AS VARCHAR) || '}}' AS doc
+        FROM (SELECT *, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS w,
+                     row_number() OVER (PARTITION BY window_end ORDER BY view_count DESC, item_id) AS rk
+              FROM ({_ITEM_COUNTS})) WHERE rk <= 5""",
+    "unique_visitor_lines": """
+        SELECT strftime(time_bucket(INTERVAL 1 day, ts) + INTERVAL 1 day, '%Y-%m-%d %H:%M:%S') || ','
+               || CAST(count(DISTINCT user_id) AS VARCHAR) AS value
+        FROM events WHERE event_type = 'view' GROUP BY time_bucket(INTERVAL 1 day, ts)""",
 }
