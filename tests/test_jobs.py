@@ -1,21 +1,11 @@
 """Reference jobs end to end on text-line streams."""
 
-import os
 import tempfile
 
-import pytest
-
 from tidemark.sources import read_lines
 from tidemark.streaming import jobs
 from tidemark.streaming.runner import run_available
 
-# Paths of the three small sample inputs (login, order, receipt lines), given by
-# the environment; the tests are skipped when they are not set.
-LOGIN = os.environ.get("TIDEMARK_LOGIN_SAMPLE", "")
-ORDER = os.environ.get("TIDEMARK_ORDER_SAMPLE", "")
-RECEIPT = os.environ.get("TIDEMARK_RECEIPT_SAMPLE", "")
-
-
 def _lines_dir(spark, chunks):
     d = tempfile.mkdtemp(prefix="tidemark-jobs-")
     for i, chunk in enumerate(chunks):
@@ -41,28 +31,41 @@ def test_hot_items_job_from_lines(spark):
     assert [r["line"] for r in spark.table("hot_bad").collect()] == ["bad,line"]
 
 
-@pytest.mark.skipif(not (ORDER and os.path.exists(ORDER)), reason="sample files not present")
-def test_tx_and_order_jobs_on_sample_files(spark):
-    import shutil
-
-    def folder(path):        # a file stream reads a folder
-        d = tempfile.mkdtemp(prefix="tidemark-sample-")
-        shutil.copy(path, d)
-        return d
-    ORDER_D, RECEIPT_D, LOGIN_D = folder(ORDER), folder(RECEIPT), folder(LOGIN)
-    orders = read_lines(spark, ORDER_D, stream=True)
-    receipts = read_lines(spark, RECEIPT_D, stream=True)
-    out, _ = jobs.tx_match(orders, receipts, bound="5 seconds")
-    run_available(out, "tx_job", checkpoint=tempfile.mkdtemp())
-    tags = dict(spark.table("tx_job").groupBy("tag").count().collect())
-    assert tags.get("matched", 0) >= 1
-    res, _ = jobs.order_timeout(read_lines(spark, ORDER_D, stream=True), within="15 minutes")
+def _tx_lines(spark):
+    """Order and receipt lines (seconds): in range, out of range, missing on either side, no tx id."""
+    t = 1704067200
+    orders = [(1, "create", "", 0), (1, "pay", "a", 10), (2, "create", "", 5), (2, "pay", "b", 20), (3, "pay", "c", 30),
+              (4, "create", "", 40), (9, "create", "", 5000), (9, "pay", "z", 5001)]
+    recs = [("a", "card", 12), ("b", "bank", 40), ("d", "card", 50), ("z", "card", 5002)]
+    o = _lines_dir(spark, [[f"{i},{k},{x},{t + s}" for i, k, x, s in orders]])
+    r = _lines_dir(spark, [[f"{x},{c},{t + s},extra" for x, c, s in recs]])
+    return o, r
+
+
+def test_tx_and_order_jobs_from_lines(spark):
+    o, r = _tx_lines(spark)
+    for one_to_one, name in ((True, "tx_job"), (False, "tx_interval_job")):
+        out, bad = jobs.tx_match(read_lines(spark, o, stream=True), read_lines(spark, r, stream=True), bound="5 seconds", one_to_one=one_to_one)
+        run_available(out, name, checkpoint=tempfile.mkdtemp())
+        key = "tx_id" if one_to_one else "coalesce(p_tx_id, r_tx_id)"
+        got = {(x[0], x[1]) for x in spark.table(name).selectExpr("tag", f"{key} AS tx").where("tx <> 'z'").collect()}
+        assert got == {("matched", "a"), ("unmatched_pay", "b"), ("unmatched_receipt", "b"), ("unmatched_pay", "c"), ("unmatched_receipt", "d")}
+    res, _ = jobs.order_timeout(read_lines(spark, o, stream=True), within="15 minutes")
     run_available(res, "order_job", checkpoint=tempfile.mkdtemp())
-    counts = dict(spark.table("order_job").groupBy("result").count().collect())
-    assert counts["payed successfully"] == 37 and counts["payed but already timeout"] == 2
-    warn, _ = jobs.login_failures(read_lines(spark, LOGIN_D, stream=True))
+    assert {(x["order_id"], x["result"]) for x in spark.table("order_job").collect()} == {
+        (1, "payed successfully"), (2, "payed successfully"), (3, "already pay but not found create"), (4, "order timeout")}
+
+
+def test_login_job_from_lines(spark):
+    t = 1704067200
+    rows = [(5, "fail", 1), (5, "fail", 2), (6, "fail", 1), (6, "success", 2), (6, "fail", 2), (7, "success", 900)]
+    d = _lines_dir(spark, [[f"{u},10.0.0.1,{k},{t + s}" for u, k, s in rows] + ["broken line"]])
+    warn, bad = jobs.login_failures(read_lines(spark, d, stream=True))
     run_available(warn, "login_job", checkpoint=tempfile.mkdtemp())
-    assert spark.table("login_job").count() >= 1
+    got = spark.table("login_job").collect()
+    assert (5, (t + 1) * 1000, (t + 2) * 1000) in {(r["key"], r["start_ms"], r["end_ms"]) for r in got}
+    run_available(bad, "login_bad", checkpoint=tempfile.mkdtemp())
+    assert [r["line"] for r in spark.table("login_bad").collect()] == ["broken line"]
 
 
 def test_hot_urls_job_from_access_log(spark):
@@ -74,8 +77,8 @@ def test_hot_urls_job_from_access_log(spark):
     counts, bad = jobs.hot_urls(src, size="60 seconds", slide="60 seconds")
     from tidemark.streaming.windows import change_log_writer, corrected_top_n
     log = tempfile.mkdtemp(prefix="tidemark-urls-")
-    run_available(counts, "urls_job", mode="update", foreach_batch=change_log_writer(log), checkpoint=tempfile.mkdtemp())
-    top = corrected_top_n(spark.read.parquet(log), 5, "url")
+    run_available(counts, "urls_job", mode="update", foreach_batch=change_log_writer(log, "url", "cnt"), checkpoint=tempfile.mkdtemp())
+    top = corrected_top_n(spark.read.parquet(log).drop("level", "upto"), 5, "url")
     got = sorted((r["window_end"].isoformat()[11:19], r["rank"], r["url"], r["cnt"]) for r in top.collect())
     assert got == [("00:01:00", 1, "/b", 2), ("00:01:00", 2, "/a", 1), ("00:02:00", 1, "/a", 1),
                    ("00:04:00", 1, "/a", 1)]
@@ -93,20 +96,6 @@ def test_filtered_rows_still_move_the_watermark(spark):
     assert [(r["item_id"], r["cnt"]) for r in spark.table("d23_counts").collect()] == [(7, 1)]
 
 
-@pytest.mark.skipif(not (ORDER and os.path.exists(ORDER)), reason="sample files not present")
-def test_tx_interval_job_on_sample_files(spark):
-    import shutil
-    dirs = []
-    for path in (ORDER, RECEIPT):
-        d = tempfile.mkdtemp(prefix="tidemark-sample-")
-        shutil.copy(path, d)
-        dirs.append(d)
-    out, _ = jobs.tx_match(read_lines(spark, dirs[0], stream=True), read_lines(spark, dirs[1], stream=True),
-                           bound="5 seconds", one_to_one=False)
-    run_available(out, "tx_interval_job", checkpoint=tempfile.mkdtemp())
-    assert spark.table("tx_interval_job").where("tag = 'matched'").count() == 5
-
-
 def _behaviour_lines_dir(spark):
     """sf0.001 events as behaviour lines (user,item,category,behavior,ts_s), 4 time-ordered files;
     'view' is written as the reference's 'pv'."""

@@ -74,10 +74,11 @@ def marketing(events: DataFrame, size: str = "1 hour", slide: str = "10 seconds"
 def ad_clicks(clicks: DataFrame, cap: int = 10, size: str = "1 hour", slide: str = "5 seconds"):
     """Q10: (tagged click-cap stream, passing clicks counted per province and sliding window).
 
-    Both come from one stateful step; start the tagged stream for the
+    The cap is decided on arrival here (ascending input), because its rows go on
+    ahead of the watermark into the counts.  Both come from one stateful step; start the tagged stream for the
     warnings (tag ``warning``) and the counts as a second query, or write both
     from one ``foreachBatch``."""
-    tagged = processors.click_cap_stream(_seq(clicks), cap)
+    tagged = processors.click_cap_stream(_seq(clicks), cap, decide="arrival")
     passed = tagged.where(F.col("tag") == "pass")
     counts = windows.windowed_counts(passed, size, slide, keys=["province"], out="cnt", upstream_watermark=True)
     return tagged, counts

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.eventtime import interval, watermark
+from tidemark.functions.eventtime import ASCENDING, interval, watermark
 
 
 def match_streams(pays: DataFrame, receipts: DataFrame, key: str, lower: str, upper: str,
-                  ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
+                  ts: str = "ts", delay: str = ASCENDING) -> DataFrame:
     """Full outer interval join; ``tag`` is matched / unmatched_pay / unmatched_receipt."""
     p = watermark(pays, ts, delay)
     r = watermark(receipts, ts, delay)
@@ -35,7 +35,7 @@ def _bucket_secs(ts_col, width_s: int):
 
 
 def match_streams_bucketed(pays: DataFrame, receipts: DataFrame, key: str, lower: str, upper: str,
-                           ts: str = "ts", delay: str = "0 seconds", width: str | None = None) -> DataFrame:
+                           ts: str = "ts", delay: str = ASCENDING, width: str | None = None) -> DataFrame:
     """J1/J3/J4 with range-join buckets on streams: a hot key's state is split by time.
 
     Two left-outer stream-stream joins keyed by (key, bucket): pays keep one

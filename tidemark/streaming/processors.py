@@ -1,10 +1,17 @@
 """Keyed stateful processors for streams (ST1-ST13, C7) on ``transformWithStateInPandas``.
 
-Rows reach a processor in Arrow batches per key; state lives in the
-checkpointed state store (RocksDB provider), timers are event-time timers.
-Times enter as ``ts_ms`` (epoch milliseconds, LONG) so nothing depends on
-a time zone.  Within a micro-batch rows are sorted by (ts_ms, seq) per key;
-results are decided by event time, not by which callback ran first (7.5.4).
+Event time decides, not arrival: rows of a key wait in list state until the
+watermark passes them and are then taken in (ts_ms, seq) order, so results do not
+depend on how the input was cut into micro-batches.  Times enter as ``ts_ms`` (epoch
+milliseconds, LONG); nothing depends on a time zone.
+
+Late rows are never dropped unseen: the time column that carries the watermark is
+not passed on to the processor, so Spark does not filter by it, and a row at or
+behind the watermark comes out with the tag ``late`` (or ``late_<side>``).
+
+State per key: the waiting rows (list state, appended to, read and rewritten once
+per release) and one packed value with everything else, the pending timer
+included, read and written once per callback.  One timer is pending per key.
 """
 
 from __future__ import annotations
@@ -15,512 +22,582 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.eventtime import keep_for_watermark, watermark
+from tidemark.functions.eventtime import ASCENDING, keep_for_watermark, watermark
 from tidemark.operators import limits, patterns
 from tidemark.operators.windows import seconds
 
 DAY_MS = 86_400_000
-# Above this many rows in one callback a processor switches to vectorised pandas;
-# below it a plain loop is cheaper than building frames.
-VECTOR_MIN_ROWS = 64
+LATE = "late"
 
 
 def _frame(batches) -> pd.DataFrame:
     parts = [b for b in batches if len(b)]
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+    return (parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)) if parts else pd.DataFrame()
 
 
 def _with_ms(stream: DataFrame, ts: str, delay: str) -> DataFrame:
-    s = watermark(stream, ts, delay)
-    return s.withColumn("ts_ms", F.unix_millis(F.col(ts)))
+    return watermark(stream, ts, delay).withColumn("ts_ms", F.unix_millis(F.col(ts)))
 
 
-class _OneTimer:
-    """One pending event-time timer per key, moved earlier when needed and re-armed
-    after each callback; callbacks work up to the current watermark.  This keeps
-    Python callbacks to about one per key and micro-batch instead of one per row."""
+def _typed(rows: list[tuple], cols: list[str], types: dict) -> pd.DataFrame:
+    """Rows as a frame; whole-number columns stay whole where values are missing."""
+    return pd.DataFrame(rows, columns=cols).astype({c: t for c, t in types.items() if c in cols})
 
-    def _init_timer(self, handle: StatefulProcessorHandle) -> None:
-        self._pending = handle.getValueState("pending_timer", "t LONG")
 
-    def _arm(self, t) -> None:
-        if t is None:
-            return
-        cur = self._pending.get()[0] if self._pending.exists() else None
-        if cur is None or t < cur:
-            if cur is not None:
-                self.handle.deleteTimer(cur)
-            self.handle.registerTimer(int(t))
-            self._pending.update((int(t),))
+def _type(df: DataFrame, col: str) -> str:
+    return df.schema[col].dataType.simpleString()
 
-    def _fired(self, timerValues, expiredTimerInfo) -> int:
-        self._pending.clear()
-        return max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
 
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _plain(col: pd.Series, kind: str) -> list:
+    """Values for the state store: missing ones as None, whole numbers whole."""
+    if kind in _WHOLE:
+        return [None if v is None or v != v else int(v) for v in col]
+    return [None if v is None or v != v else v for v in col.tolist()]
+
+
+def _in_micros(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Timestamps as microseconds: exact in the state store and in no time zone."""
+    return df.withColumns({c: F.unix_micros(F.col(c)) for c in cols if _type(df, c) == "timestamp"})
 
-# ---------------------------------------------------------------- ST5 order machine
-ORDER_OUT = "order_id LONG, result STRING, ts_ms LONG"
 
+def _from_micros(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.withColumns({c: F.timestamp_micros(F.col(c)) for c in cols})
 
-class OrderMachine(StatefulProcessor):
-    """Create/pay per order with a deadline (Q12b), event-time timers (ST6, ST7, ST9).
 
-    A create arms a timer at create + deadline (a newer create replaces it,
-    D13).  A pay before the deadline is ``payed successfully``, at or after it
-    ``payed but already timeout``.  A pay with no create waits ``pay_wait``
-    for one (D2).  After ``order timeout`` fires, a pay that still arrives
-    within ``retention`` is reported as late (D14).  Once a pay has decided an
-    order, its later events are ignored for ``retention`` (one pay result per
-    order, as in the batch form), so extra pays do not open a new wait.
+def _stamps(df: DataFrame, cols: list[str]) -> list[str]:
+    return [c for c in cols if _type(df, c) == "timestamp"]
+
+
+class _Released(StatefulProcessor):
+    """Rows wait for the watermark; subclasses say what to do with released ones.
+
+    ``held``: DDL of a waiting row, ``ts_ms`` and ``seq`` first; ``packed``: DDL of
+    the rest of the state; ``start``: that rest for a new key.
     """
 
-    def __init__(self, deadline_ms: int, pay_wait_ms: int | None = None, retention_ms: int | None = None):
-        self.deadline_ms = deadline_ms
-        self.pay_wait_ms = pay_wait_ms if pay_wait_ms is not None else deadline_ms
-        self.retention_ms = retention_ms if retention_ms is not None else deadline_ms
+    held: str
+    packed: str
+    start: tuple
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.deadline = handle.getValueState("deadline", "v LONG")
-        self.paid = handle.getValueState("paid", "v LONG")
-        self.expired = handle.getValueState("expired", "v LONG")
-        self.done = handle.getValueState("done", "v LONG")
-
-    def _get(self, st):
-        return st.get()[0] if st.exists() else None
-
-    def _finish(self, t: int) -> None:
-        self.done.update((t,))
-        self.handle.registerTimer(t + self.retention_ms)
+        self.waiting = handle.getListState("held", self.held)
+        self.state = handle.getValueState("packed", f"timer LONG, {self.packed}")
+
+    def _load(self) -> tuple[int | None, list]:
+        got = self.state.get()
+        return (None, list(self.start)) if got is None else (got[0], list(got[1:]))
+
+    def _arm(self, old: int | None, new: int | None) -> int | None:
+        """Move the pending timer to ``new`` if that is earlier (or none is pending)."""
+        if new is None or (old is not None and old <= new):
+            return old
+        if old is not None:
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(int(new))
+        return int(new)
+
+    def rows_of(self, pdf: pd.DataFrame) -> list[tuple]:
+        """Input rows as waiting rows."""
+        raise NotImplementedError
+
+    def late(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
+        """Output rows for input at or behind the watermark."""
+        raise NotImplementedError
+
+    def release(self, key, ready: list[tuple], rest: list, t: int) -> tuple[list[tuple], int | None]:
+        """Take ``ready`` (sorted, all up to ``t``), change ``rest`` in place; returns output
+        rows and the next time something falls due without input."""
+        raise NotImplementedError
+
+    def frame(self, rows: list[tuple]) -> pd.DataFrame:
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        order_id = int(key[0])
         pdf = _frame(rows)
-        out = []
+        if not len(pdf):
+            return
+        behind = pdf["ts_ms"] <= timerValues.getCurrentWatermarkInMs()
+        if behind.any():
+            yield self.late(key, pdf[behind])
+            pdf = pdf[~behind]
         if len(pdf):
-            pdf = pdf.assign(_o=(pdf["event_type"] != "create").astype(int)).sort_values(["ts_ms", "_o", "seq"])
-            for kind, t in zip(pdf["event_type"], pdf["ts_ms"]):
-                t = int(t)
-                if self.done.exists():
-                    continue
-                deadline, paid, expired = self._get(self.deadline), self._get(self.paid), self._get(self.expired)
-                if kind == "create":
-                    if paid is not None:
-                        out.append((order_id, patterns.PAY_BEFORE_CREATE, t))
-                        self.handle.deleteTimer(paid + self.pay_wait_ms)
-                        self.paid.clear()
-                        self._finish(t)
-                        continue
-                    if deadline is not None:
-                        self.handle.deleteTimer(deadline)
-                    self.deadline.update((t + self.deadline_ms,))
-                    self.handle.registerTimer(t + self.deadline_ms)
-                elif kind == "pay":
-                    if deadline is not None:
-                        msg = patterns.PAYED_SUCCESSFULLY if t < deadline else patterns.PAYED_LATE
-                        out.append((order_id, msg, t))
-                        self.handle.deleteTimer(deadline)
-                        self.deadline.clear()
-                        self._finish(t)
-                    elif expired is not None:
-                        out.append((order_id, patterns.PAYED_LATE, t))
-                        self.handle.deleteTimer(expired + self.retention_ms)
-                        self.expired.clear()
-                        self._finish(t)
-                    elif paid is None:
-                        self.paid.update((t,))
-                        self.handle.registerTimer(t + self.pay_wait_ms)
-        yield pd.DataFrame(out, columns=["order_id", "result", "ts_ms"])
+            self.waiting.appendList(self.rows_of(pdf))
+            timer, rest = self._load()
+            moved = self._arm(timer, int(pdf["ts_ms"].min()))
+            if moved != timer:
+                self.state.update((moved, *rest))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        order_id = int(key[0])
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        deadline, paid = self._get(self.deadline), self._get(self.paid)
-        expired, done = self._get(self.expired), self._get(self.done)
-        out = []
-        if deadline is not None and deadline == t:
-            out.append((order_id, patterns.ORDER_TIMEOUT, t))
-            self.deadline.clear()
-            self.expired.update((t,))
-            self.handle.registerTimer(t + self.retention_ms)
-        elif paid is not None and paid + self.pay_wait_ms == t:
-            out.append((order_id, patterns.PAY_WITHOUT_CREATE, t))
-            self.paid.clear()
-            self._finish(t)
-        elif expired is not None and expired + self.retention_ms == t:
-            self.expired.clear()
-        elif done is not None and done + self.retention_ms == t:
-            self.done.clear()
-        yield pd.DataFrame(out, columns=["order_id", "result", "ts_ms"])
+        # Work up to the current watermark, not only to this timer.
+        t = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        _, rest = self._load()
+        held = sorted((tuple(v) for v in self.waiting.get()), key=lambda v: v[:2])
+        cut = next((i for i, v in enumerate(held) if v[0] > t), len(held))
+        out, due = self.release(key, held[:cut], rest, t)
+        if cut:
+            self.waiting.put(held[cut:]) if cut < len(held) else self.waiting.clear()
+        times = [x for x in (held[cut][0] if cut < len(held) else None, due) if x is not None]
+        timer = self._arm(None, min(times)) if times else None
+        if timer is None and tuple(rest) == tuple(self.start):
+            self.state.clear()
+        else:
+            self.state.update((timer, *rest))
+        if out:
+            yield self.frame(out)
 
     def close(self) -> None:
-        pass
+        """Nothing is held outside the state store."""
+
+
+# ---------------------------------------------------------------- ST5 order machine
+
+class OrderMachine(_Released):
+    """Create/pay per order with a deadline (Q12b) on event time (ST6, ST7, ST9).
+
+    A create sets the deadline at create + deadline (a newer create replaces it, D13).
+    A pay before the deadline is ``payed successfully``, at it or later ``payed but
+    already timeout``; when time passes the deadline with no pay, ``order timeout``
+    comes out first and a later pay is still reported as late (D14).  A pay with no
+    create waits ``pay_wait`` for one (D2).  Once a pay has decided an order its later
+    events are ignored, for ``retention``: that bounds the state, and events of an
+    order that come later than that begin a new create/pay cycle.
+    """
+
+    held = "ts_ms LONG, seq LONG, create BOOLEAN"
+    packed = "deadline LONG, paid LONG, expired LONG, done LONG"
+    start = (None, None, None, None)
+
+    def __init__(self, deadline_ms: int, pay_wait_ms: int | None = None, retention_ms: int | None = None):
+        self.deadline_ms = deadline_ms
+        self.pay_wait_ms = pay_wait_ms if pay_wait_ms is not None else deadline_ms
+        self.retention_ms = retention_ms if retention_ms is not None else deadline_ms
+
+    def rows_of(self, pdf):
+        mine = pdf[pdf["event_type"].isin(["create", "pay"])]
+        return [(int(t), int(s), k == "create") for t, s, k in zip(mine["ts_ms"], mine["seq"], mine["event_type"])]
+
+    def late(self, key, pdf):
+        return self.frame([(key[0], LATE, int(t)) for t in pdf["ts_ms"]])
+
+    def frame(self, rows):
+        return pd.DataFrame(rows, columns=["order_id", "result", "ts_ms"])
+
+    def _dues(self, s: list) -> list[tuple[int, int]]:
+        add = (0, self.pay_wait_ms, self.retention_ms, self.retention_ms)
+        return [(v + d, i) for i, (v, d) in enumerate(zip(s, add)) if v is not None]
+
+    def release(self, key, ready, rest, t):
+        out, order = [], key[0]
+        # creates before pays at one time, as in the batch form
+        for ts, _, create in [*sorted(ready, key=lambda v: (v[0], not v[2], v[1])), (t + 1, 0, None)]:
+            while True:                                   # what fell due before this row
+                due, what = min(self._dues(rest), default=(ts, -1))
+                if due >= ts:
+                    break
+                if what == 0:
+                    out.append((order, patterns.ORDER_TIMEOUT, due))
+                    rest[2] = due
+                elif what == 1:
+                    out.append((order, patterns.PAY_WITHOUT_CREATE, due))
+                    rest[3] = due
+                rest[what] = None
+            if create is None or rest[3] is not None:
+                continue
+            deadline, paid, expired, _ = rest
+            result = None
+            if create:
+                if paid is not None:
+                    result = patterns.PAY_BEFORE_CREATE
+                else:
+                    rest[0] = ts + self.deadline_ms
+            elif deadline is not None:
+                result = patterns.PAYED_SUCCESSFULLY if ts < deadline else patterns.PAYED_LATE
+            elif expired is not None:
+                result = patterns.PAYED_LATE
+            elif paid is None:
+                rest[1] = ts
+            if result:
+                out.append((order, result, ts))
+                rest[:] = [None, None, None, ts]
+        return out, min(self._dues(rest), default=(None, 0))[0]
 
 
 def order_outcomes_stream(stream: DataFrame, deadline: str, key: str = "order_id", ts: str = "ts",
-                          delay: str = "0 seconds", pay_wait: str | None = None,
+                          delay: str = ASCENDING, pay_wait: str | None = None,
                           retention: str | None = None) -> DataFrame:
-    """Q12b on a stream: input (key, event_type, ts, seq) -> (order_id, result, ts_ms).
+    """Q12b on a stream: input (key, event_type, ts, seq) -> (order_id, result, ts_ms); result
+    ``late`` marks rows behind the watermark.
 
-    ``retention`` (default: the deadline) is how long a decided order keeps a
-    marker that swallows its later events; it bounds the state.  Events of an
-    order that come later than that start a new create/pay cycle."""
-    s = _with_ms(stream, ts, delay).select(F.col(key).alias("order_id"), "event_type", "ts_ms", "seq", ts)
+    ``retention`` (default: the deadline) is how long a decided order swallows its later events."""
+    s = _with_ms(stream, ts, delay).select(F.col(key).alias("order_id"), "event_type", "ts_ms", "seq")
     proc = OrderMachine(seconds(deadline) * 1000, seconds(pay_wait) * 1000 if pay_wait else None,
                         seconds(retention) * 1000 if retention else None)
     return s.groupBy("order_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=ORDER_OUT, outputMode="Append", timeMode="EventTime")
+        statefulProcessor=proc, outputStructType=f"order_id {_type(s, 'order_id')}, result STRING, ts_ms LONG",
+        outputMode="Append", timeMode="EventTime")
 
 
 # ---------------------------------------------------------------- ST1-ST3 click cap
-CAP_OUT = "user_id LONG, ad_id LONG, province STRING, ts_ms LONG, seq LONG, tag STRING, msg STRING, ts TIMESTAMP"
-_CAP_COLS = ["user_id", "ad_id", "province", "ts_ms", "seq", "tag", "msg", "ts"]
 
+class ClickCap(_Released):
+    """Pass the first ``cap`` clicks per (user, ad, UTC day) by event time; warn once at the next.
 
-class ClickCap(StatefulProcessor):
-    """Pass the first ``cap`` clicks per (user, ad, UTC day); warn once at the next (ST1, ST2).
+    The day is part of the key; an event-time timer at its end (plus ``grace``) clears
+    the state: the daily reset of ST3 on event time (D7).  Of the waiting rows only the
+    ``cap + 1`` earliest can pass or warn, so no more are kept, however hot the key.
+    """
 
-    The day is part of the key and an event-time timer at the end of the day
-    (plus ``grace``) clears the state: the daily reset of ST3 on event time (D7).
+    packed = "n LONG, warned BOOLEAN"
+    start = (0, False)
+
+    def __init__(self, cap: int, types: dict[str, str], held: str, grace_ms: int = 0):
+        self.cap, self.types, self.held, self.grace_ms = cap, types, held, grace_ms
+        self.cols = list(types)
+
+    def _out(self, pdf, tag, msg=None):
+        return pdf[self.cols].assign(tag=tag, msg=msg)
+
+    def frame(self, rows):
+        return pd.concat([self._out(_typed([v[2:] for v in rs], self.cols, {c: "Int64" for c, t in self.types.items() if t in _WHOLE}), tag,
+                                    limits.WARNING_TEXT.format(cap=self.cap) if tag == "warning" else None) for tag, rs in rows], ignore_index=True)
+
+    def late(self, key, pdf):
+        return self._out(pdf, LATE)
+
+    def rows_of(self, pdf):
+        return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(), *[_plain(pdf[c], t) for c, t in self.types.items()]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        timer, rest = self._load()
+        room = max(self.cap - rest[0], 0) + (not rest[1])
+        best: pd.DataFrame | None = None
+        for pdf in rows:                                   # Arrow batch by batch: a hot key is not gathered
+            behind = pdf["ts_ms"] <= wm
+            if behind.any():
+                yield self.late(key, pdf[behind])
+                pdf = pdf[~behind]
+            best = pdf if best is None else pd.concat([best, pdf])
+            best = best.sort_values(["ts_ms", "seq"], kind="stable").head(room)
+        if best is None or not len(best):
+            return
+        held = sorted([*(tuple(v) for v in self.waiting.get()), *self.rows_of(best)], key=lambda v: v[:2])[:room]
+        self.waiting.put(held)
+        moved = self._arm(timer, min(held[0][0], (int(key[2]) + 1) * DAY_MS + self.grace_ms))
+        if moved != timer:
+            self.state.update((moved, *rest))
+
+    def release(self, key, ready, rest, t):
+        out = []
+        room = max(self.cap - rest[0], 0)
+        if ready[:room]:
+            out.append(("pass", ready[:room]))
+        if not rest[1] and len(ready) > room:
+            out.append(("warning", ready[room:room + 1]))
+            rest[1] = True
+        rest[0] += len(ready[:room])
+        end = (int(key[2]) + 1) * DAY_MS + self.grace_ms
+        if end <= t:
+            rest[:] = list(self.start)
+            return out, None
+        return out, end
+
+
+class ClickCapNow(StatefulProcessor):
+    """The cap decided as rows arrive (rows of one micro-batch in event-time order).
+
+    For ascending input this is the event-time answer.  It is what a windowed count
+    chained behind the cap in the same query needs (rows must come out ahead of the
+    watermark), and with ``processing_reset`` the wall-clock reset of ST8.
     """
 
-    def __init__(self, cap: int, grace_ms: int = 0, processing_reset: bool = False):
-        self.cap = cap
-        self.grace_ms = grace_ms
-        self.processing_reset = processing_reset      # ST8: reset at wall-clock UTC midnight
+    def __init__(self, cap: int, cols: list[str], grace_ms: int = 0, processing_reset: bool = False):
+        self.cap, self.cols, self.grace_ms, self.processing_reset = cap, cols, grace_ms, processing_reset
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "n LONG")
-        self.warned = handle.getValueState("warned", "w BOOLEAN")
+        self.state = handle.getValueState("packed", "n LONG, warned BOOLEAN")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        user, ad = int(key[0]), int(key[1])
-        pdf = _frame(rows)
-        if not len(pdf):
-            yield pd.DataFrame([], columns=_CAP_COLS)
+        got = self.state.get()
+        n, warned = got if got is not None else (0, False)
+        room = max(self.cap - n, 0)
+        best = None
+        for pdf in rows:
+            best = pdf if best is None else pd.concat([best, pdf])
+            best = best.sort_values(["ts_ms", "seq"], kind="stable").head(room + 1)
+        if best is None or not len(best):
             return
-        pdf = pdf.sort_values(["ts_ms", "seq"], kind="stable")
-        n = self.count.get()[0] if self.count.exists() else 0
-        warned = self.warned.get()[0] if self.warned.exists() else False
-        if n == 0 and not warned:
+        if got is None:
             if self.processing_reset:
                 now = timerValues.getCurrentProcessingTimeInMs()
                 self.handle.registerTimer((now // DAY_MS + 1) * DAY_MS)
             else:
                 self.handle.registerTimer((int(key[2]) + 1) * DAY_MS + self.grace_ms)
-        # Vectorised: the first (cap - n) rows pass, the next one warns once, the rest drop,
-        # so a hot key costs one sort and two slices, not a Python loop per row.
-        room = max(self.cap - n, 0)
-        parts = [pdf.iloc[:room].assign(tag="pass", msg=None)]
-        if not warned and len(pdf) > room:
-            parts.append(pdf.iloc[room:room + 1].assign(tag="warning", msg=limits.WARNING_TEXT.format(cap=self.cap)))
+        out = [best[self.cols].head(room).assign(tag="pass", msg=None)]
+        if not warned and len(best) > room:
+            out.append(best[self.cols].iloc[room:].assign(tag="warning", msg=limits.WARNING_TEXT.format(cap=self.cap)))
             warned = True
-        out = pd.concat(parts, ignore_index=True).assign(user_id=user, ad_id=ad)
-        self.count.update((n + min(room, len(pdf)),))
-        self.warned.update((warned,))
-        yield out[_CAP_COLS]
+        self.state.update((n + min(room, len(best)), bool(warned)))
+        yield pd.concat(out, ignore_index=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.count.clear()
-        self.warned.clear()
-        yield pd.DataFrame([], columns=_CAP_COLS)
+        self.state.clear()
+        return iter(())
 
     def close(self) -> None:
-        pass
+        """Nothing is held outside the state store."""
 
 
-def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = "0 seconds",
-                     grace: str = "0 seconds", reset: str = "event") -> DataFrame:
-    """Q10 on a stream: tagged output rows ``pass`` / ``warning`` (one query, split by tag, ST13).
+def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = ASCENDING,
+                     grace: str = "0 seconds", reset: str = "event", decide: str = "event") -> DataFrame:
+    """Q10 on a stream: all input columns with ``ts_ms``, ``tag`` (``pass`` / ``warning`` / ``late``)
+    and ``msg`` (one query, split by tag, ST13).
 
-    ``reset='event'`` (default, D7) keys the state by the event's UTC day and
-    clears it with an event-time timer; ``reset='processing'`` keys by
-    (user, ad) only and clears at the next wall-clock UTC midnight (ST8), as
-    the reference does, at the price of answers that depend on when it runs.
+    ``reset='event'`` (default, D7) keys the state by the event's UTC day and clears it with an
+    event-time timer.  ``decide='event'`` waits for the watermark, so arrival order does not matter;
+    ``decide='arrival'`` answers at once and keeps the event time, so windowed counts can follow in
+    the same query.  ``reset='processing'`` keys by (user, ad) only and clears at the next wall-clock
+    UTC midnight (ST8), as the reference does, at the price of answers that depend on when it runs.
     """
     s = _with_ms(stream, ts, delay)
+    names = [*stream.columns, "ts_ms"]
+    types = [f"`{c}` {_type(s, c)}" for c in names]
+    out = ", ".join(types) + ", tag STRING, msg STRING"
     if reset == "processing":
-        s = s.select("user_id", "ad_id", "province", "ts_ms", "seq", F.col(ts).alias("ts"))
         return s.groupBy("user_id", "ad_id").transformWithStateInPandas(
-            statefulProcessor=ClickCap(cap, processing_reset=True), outputStructType=CAP_OUT,
+            statefulProcessor=ClickCapNow(cap, names, processing_reset=True), outputStructType=out,
             outputMode="Append", timeMode="ProcessingTime")
-    s = (s.withColumn("day", F.floor(F.col("ts_ms") / DAY_MS).cast("long"))
-         .select("user_id", "ad_id", "day", "province", "ts_ms", "seq", F.col(ts).alias("ts")))
-    # The output keeps its event time, so windowed counts can follow in the same query.
-    return s.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
-        statefulProcessor=ClickCap(cap, seconds(grace) * 1000), outputStructType=CAP_OUT,
-        outputMode="Append", timeMode="EventTime", eventTimeColumnName="ts")
+    s = s.withColumn("day", F.floor(F.col("ts_ms") / DAY_MS).cast("long"))
+    if decide == "arrival":
+        return s.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
+            statefulProcessor=ClickCapNow(cap, names, seconds(grace) * 1000), outputStructType=out,
+            outputMode="Append", timeMode="EventTime", eventTimeColumnName=ts)
+    # The watermarked column stays behind; its value travels as a number and comes back after.
+    plain = _in_micros(s, names)
+    kinds = {c: _type(plain, c) for c in names}
+    typed = ", ".join(f"`{c}` {t}" for c, t in kinds.items())
+    got = plain.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
+        statefulProcessor=ClickCap(cap, kinds, f"w_ms LONG, w_seq LONG, {typed}", seconds(grace) * 1000),
+        outputStructType=f"{typed}, tag STRING, msg STRING", outputMode="Append", timeMode="EventTime")
+    return _from_micros(got, _stamps(s, names))
 
 
 # ---------------------------------------------------------------- ST4 login failures
-LOGIN_OUT = "user_id LONG, first_fail_ms LONG, last_fail_ms LONG, warning STRING"
 
-
-class LoginFailPairs(_OneTimer, StatefulProcessor):
+class LoginFailPairs(_Released):
     """Two failures in a row per user less than ``within`` apart, in event-time order (ST4, C7).
 
-    Rows wait in list state until the watermark passes them (a timer at
-    their time), then are walked in (ts, seq) order against the last
-    released event of the user, kept in value state.
-    """
+    Only the time of the last released row is carried, and only if it is a failure that can
+    still pair."""
+
+    held = "ts_ms LONG, seq LONG, fail BOOLEAN"
+    packed = "last LONG"
+    start = (None,)
 
     def __init__(self, within_ms: int, message: str):
-        self.within_ms = within_ms
-        self.message = message
+        self.within_ms, self.message = within_ms, message
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", "ts_ms LONG, seq LONG, fail BOOLEAN")
-        self.last = handle.getValueState("last", "ts_ms LONG, seq LONG, fail BOOLEAN")
-        self._init_timer(handle)
+    def rows_of(self, pdf):
+        return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(), (pdf["event_type"] == "fail").tolist()))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows)
-        if len(pdf):
-            vals = [(int(t), int(s), bool(e == "fail")) for t, s, e in zip(pdf["ts_ms"], pdf["seq"], pdf["event_type"])]
-            self.buffer.appendList(vals)
-            self._arm(min(v[0] for v in vals))
-        yield pd.DataFrame([], columns=["user_id", "first_fail_ms", "last_fail_ms", "warning"])
+    def late(self, key, pdf):
+        return self.frame([(key[0], int(t), None, LATE) for t in pdf["ts_ms"]])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        user = int(key[0])
-        t_exp = self._fired(timerValues, expiredTimerInfo)
-        held = sorted(self.buffer.get()) if self.buffer.exists() else []
-        ready = [v for v in held if v[0] <= t_exp]
-        rest = [v for v in held if v[0] > t_exp]
-        last = self.last.get() if self.last.exists() else None
-        cols = ["user_id", "first_fail_ms", "last_fail_ms", "warning"]
-        out = pd.DataFrame([], columns=cols)
-        if len(ready) > VECTOR_MIN_ROWS:
-            # Many rows (a hot user): a vectorised walk, each released row against the
-            # row before it; the last released row of the user carries over.
-            seq = ([tuple(last)] if last is not None else []) + ready
-            arr = pd.DataFrame(seq, columns=["ts_ms", "seq", "fail"])
-            prev_t, prev_f = arr["ts_ms"].shift(1), arr["fail"].shift(1, fill_value=False).astype(bool)
-            gap = arr["ts_ms"] - prev_t
-            hit = arr["fail"].astype(bool) & prev_f & (gap >= 0) & (gap < self.within_ms)
-            out = pd.DataFrame({"user_id": user, "first_fail_ms": prev_t[hit].astype("int64"),
-                                "last_fail_ms": arr["ts_ms"][hit].astype("int64"), "warning": self.message})
-            last = ready[-1]
-        elif ready:
-            # A few rows (the common case): a plain walk is cheaper than building frames.
-            found = []
-            for v in ready:
-                if last is not None and last[2] and v[2] and 0 <= v[0] - last[0] < self.within_ms:
-                    found.append((user, int(last[0]), int(v[0]), self.message))
-                last = v
-            out = pd.DataFrame(found, columns=cols)
-        if rest:
-            self.buffer.put(rest)
-            self._arm(rest[0][0])
-        else:
-            self.buffer.clear()
-        if last is not None:
-            # Once the watermark is past last + limit, no later row can pair with it
-            # (it would be at least the limit away): drop it, so state tracks active users.
-            if last[0] + self.within_ms <= t_exp:
-                self.last.clear()
-            else:
-                self.last.update(tuple(last))
-                self._arm(last[0] + self.within_ms)
-        yield out[["user_id", "first_fail_ms", "last_fail_ms", "warning"]]
+    def frame(self, rows):
+        return _typed(rows, ["user_id", "first_fail_ms", "last_fail_ms", "warning"], {"first_fail_ms": "Int64", "last_fail_ms": "Int64"})
 
-    def close(self) -> None:
-        pass
+    def release(self, key, ready, rest, t):
+        out, last = [], rest[0]
+        for ts, _, fail in ready:
+            if fail and last is not None and ts - last < self.within_ms:
+                out.append((key[0], last, ts, self.message))
+            last = ts if fail else None
+        # once the watermark is past last + limit no later row can pair with it
+        rest[0] = last if last is not None and last + self.within_ms > t else None
+        return out, rest[0] + self.within_ms if rest[0] is not None else None
 
 
-def login_fail_stream(stream: DataFrame, within: str, ts: str = "ts", delay: str = "0 seconds",
+def login_fail_stream(stream: DataFrame, within: str, ts: str = "ts", delay: str = ASCENDING,
                       message: str = patterns.LOGIN_WARNING) -> DataFrame:
-    """Q11 on a stream: input (user_id, event_type, ts, seq) -> warnings.
-
-    A user's last row is kept only until the watermark passes it by the limit,
-    so state is bounded by recently active users."""
-    s = _with_ms(stream, ts, delay).select("user_id", "event_type", "ts_ms", "seq", ts)
+    """Q11 on a stream: input (user_id, event_type, ts, seq) -> (user_id, first_fail_ms, last_fail_ms,
+    warning); warning ``late`` marks rows behind the watermark (their time in first_fail_ms)."""
+    s = _with_ms(stream, ts, delay).select("user_id", "event_type", "ts_ms", "seq")
     return s.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=LoginFailPairs(seconds(within) * 1000, message), outputStructType=LOGIN_OUT,
+        statefulProcessor=LoginFailPairs(seconds(within) * 1000, message),
+        outputStructType=f"user_id {_type(s, 'user_id')}, first_fail_ms LONG, last_fail_ms LONG, warning STRING",
         outputMode="Append", timeMode="EventTime")
 
 
 # ---------------------------------------------------------------- C1-C7 two-step pattern
-PATTERN_OUT = "key LONG, start_ms LONG, end_ms LONG, outcome STRING"
-
 
-class TwoStepPattern(_OneTimer, StatefulProcessor):
+class TwoStepPattern(_Released):
     """``begin(first).<next|followedBy>(second).within(limit)`` per key, with timeouts.
 
-    Events wait in list state.  A start is decided when the watermark passes
-    start + limit (a timer there): by then every event that could complete
-    it has arrived, so the answer equals the batch form's.  Events older than
-    every undecided start's window are dropped from state.
+    Released rows are walked once in order.  The state is the times of undecided starts: a
+    start is decided by the next row (strict) or the next ``second`` row (relaxed), or when the
+    watermark passes its limit.  Rows that start nothing leave no state behind.
     """
 
-    def __init__(self, first: str, second: str, within_ms: int, strict: bool = False):
-        self.first, self.second = first, second
-        self.within_ms = within_ms
-        self.strict = strict
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("events", "ts_ms LONG, seq LONG, kind STRING, decided BOOLEAN")
-        self._init_timer(handle)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows)
-        if len(pdf):
-            vals = [(int(t), int(s), str(k), False) for t, s, k in zip(pdf["ts_ms"], pdf["seq"], pdf["event_type"])]
-            self.buffer.appendList(vals)
-            starts = [v[0] for v in vals if v[2] == self.first]
-            if starts:
-                self._arm(min(starts) + self.within_ms)
-        yield pd.DataFrame([], columns=["key", "start_ms", "end_ms", "outcome"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        k = int(key[0])
-        t = self._fired(timerValues, expiredTimerInfo)
-        ev = sorted(self.buffer.get()) if self.buffer.exists() else []
-        out, kept = [], []
-        for i, (ts, seq, kind, decided) in enumerate(ev):
-            if kind == self.first and not decided and ts + self.within_ms <= t:
-                later = ev[i + 1:]
-                if self.strict:
-                    nxt = later[0] if later else None
-                    ok = nxt is not None and nxt[2] == self.second
-                else:
-                    nxt = next((e for e in later if e[2] == self.second), None)
-                    ok = nxt is not None
-                in_time = nxt is not None and nxt[0] < ts + self.within_ms
-                if ok and in_time:
-                    out.append((k, ts, nxt[0], patterns.MATCH))
-                elif not (self.strict and nxt is not None and not ok and in_time):
-                    out.append((k, ts, None, patterns.TIMEOUT))
-                decided = True
-            ev[i] = (ts, seq, kind, decided)
-        pending = [e[0] for e in ev if e[2] == self.first and not e[3]]
-        horizon = min(pending) if pending else t
-        kept = [e for e in ev if e[0] >= horizon or (e[2] == self.first and not e[3])]
-        if kept:
-            self.buffer.put(kept)
-        else:
-            self.buffer.clear()
-        if pending:
-            self._arm(min(pending) + self.within_ms)
-        yield pd.DataFrame(out, columns=["key", "start_ms", "end_ms", "outcome"]).astype(
-            {"key": "int64", "start_ms": "int64", "end_ms": "Int64"})
+    held = "ts_ms LONG, seq LONG, first BOOLEAN, second BOOLEAN"
+    packed = "open ARRAY<LONG>"
+    start = ([],)
 
-    def close(self) -> None:
-        pass
+    def __init__(self, first: str, second: str, within_ms: int, strict: bool = False):
+        self.first, self.second, self.within_ms, self.strict = first, second, within_ms, strict
+
+    def rows_of(self, pdf):
+        kind = pdf["event_type"]
+        return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(),
+                        (kind == self.first).tolist(), (kind == self.second).tolist()))
+
+    def late(self, key, pdf):
+        return self.frame([(key[0], int(t), None, LATE) for t in pdf["ts_ms"]])
+
+    def frame(self, rows):
+        return _typed(rows, ["key", "start_ms", "end_ms", "outcome"], {"start_ms": "Int64", "end_ms": "Int64"})
+
+    def release(self, key, ready, rest, t):
+        out, open_, k = [], list(rest[0]), key[0]
+        for ts, _, first, second in ready:
+            if open_ and (second or self.strict):
+                for s in open_:
+                    if ts >= s + self.within_ms:
+                        out.append((k, s, None, patterns.TIMEOUT))
+                    elif second:
+                        out.append((k, s, ts, patterns.MATCH))
+                open_ = []
+            if first:
+                open_.append(ts)
+        over = [s for s in open_ if s + self.within_ms <= t]
+        out += [(k, s, None, patterns.TIMEOUT) for s in over]
+        rest[0] = open_[len(over):]
+        return out, rest[0][0] + self.within_ms if rest[0] else None
 
 
 def pattern_stream(stream: DataFrame, key: str, first: str, second: str, within: str,
-                   strict: bool = False, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
-    """C1-C7 on a stream: input (key, event_type, ts, seq) -> (key, start_ms, end_ms, outcome)."""
-    s = _with_ms(stream, ts, delay).select(key, "event_type", "ts_ms", "seq", ts)
+                   strict: bool = False, ts: str = "ts", delay: str = ASCENDING) -> DataFrame:
+    """C1-C7 on a stream: input (key, event_type, ts, seq) -> (key, start_ms, end_ms, outcome);
+    outcome ``late`` marks rows behind the watermark (their time in start_ms)."""
+    s = _with_ms(stream, ts, delay)
     if not strict:
         # Only starts and partners matter under relaxed contiguity: drop the rest
         # JVM-side, in a filter that still lets them move the watermark.
         s = s.where(keep_for_watermark(F.col("event_type").isin(first, second), ts))
-    return s.groupBy(key).transformWithStateInPandas(
+    s = s.select(F.col(key).alias("key"), "event_type", "ts_ms", "seq")
+    return s.groupBy("key").transformWithStateInPandas(
         statefulProcessor=TwoStepPattern(first, second, seconds(within) * 1000, strict),
-        outputStructType=PATTERN_OUT, outputMode="Append", timeMode="EventTime")
+        outputStructType=f"key {_type(s, 'key')}, start_ms LONG, end_ms LONG, outcome STRING",
+        outputMode="Append", timeMode="EventTime")
 
 
 # ---------------------------------------------------------------- J2-J4 one-to-one matching
-TX_OUT = "tx_id STRING, pay_ms LONG, receipt_ms LONG, tag STRING"
-
 
-class OneToOneMatch(_OneTimer, StatefulProcessor):
+class OneToOneMatch(_Released):
     """k-th pay with k-th receipt of a tx, within [lower, upper] (J2), with both
     unmatched outputs (J3, J4) on a tagged union of the two streams.
 
-    Rows are released in (ts, seq) order once the watermark passes them.  A
-    released row pairs with the oldest waiting row of the other side (that is
-    the k-th pairing); a pair out of range reports both sides unmatched.  A
-    waiting row whose range has closed under the watermark is reported
-    unmatched at once and keeps its place, so the k-th row of the other side
-    that comes later is still paired with it (and is unmatched too), exactly as
-    in the batch form.  Every row ends as matched or unmatched (D15).
+    A released row pairs with the oldest waiting row of the other side (that is the
+    k-th pairing); a pair out of range reports both sides unmatched.  A waiting row whose
+    range the watermark has closed is reported unmatched at once and leaves only a count
+    behind (``owed``): the k-th row of the other side that comes later still takes its place
+    and is unmatched too, exactly as in the batch form.  So full records are kept no longer
+    than their range.  Every row ends as matched or unmatched (D15).
     """
 
-    def __init__(self, lower_ms: int, upper_ms: int, retention_ms: int | None = None):
-        self.lower_ms, self.upper_ms = lower_ms, upper_ms
-        self.retention_ms = retention_ms   # None: keep reported rows for exact k-th pairing
+    packed = "owed LONG, owed_pay BOOLEAN, queued BOOLEAN"
+    start = (0, False, False)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("held", "ts_ms LONG, seq LONG, side STRING")
-        self.waiting = handle.getListState("waiting", "ts_ms LONG, side STRING, reported BOOLEAN")
-        self._init_timer(handle)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows)
-        if len(pdf):
-            vals = [(int(t), int(s), str(d)) for t, s, d in zip(pdf["ts_ms"], pdf["seq"], pdf["side"])]
-            self.buffer.appendList(vals)
-            self._arm(min(v[0] for v in vals))
-        yield pd.DataFrame([], columns=["tx_id", "pay_ms", "receipt_ms", "tag"])
-
-    def _closes(self, ts: int, side: str) -> int:
-        # after this time no row of the other side can fall in range
-        return ts + self.upper_ms + 1 if side == "pay" else ts - self.lower_ms + 1
+    def __init__(self, lower_ms: int, upper_ms: int, types: dict[str, dict[str, str]], held: str):
+        self.lower_ms, self.upper_ms, self.cols, self.held = lower_ms, upper_ms, types, held
+        self.types = {**types["pay"], **types["receipt"]}
+        self.names = list(self.types)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        tx = str(key[0])
-        # Release and expire up to the current watermark, not only this timer:
-        # a range that closed before this callback must not wait for a later batch.
-        t = self._fired(timerValues, expiredTimerInfo)
-        held = sorted(self.buffer.get()) if self.buffer.exists() else []
-        ready, rest = [v for v in held if v[0] <= t], [v for v in held if v[0] > t]
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        out = []
-        for ts, _, side in ready:
-            if waiting and waiting[0][1] != side:
-                other_ts, other_side, reported = waiting.pop(0)
-                p, r = (ts, other_ts) if side == "pay" else (other_ts, ts)
-                if p + self.lower_ms <= r <= p + self.upper_ms and not reported:
-                    out.append((tx, p, r, "matched"))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.queue = handle.getListState("queue", self.held)      # released, unreported, all of one side
+
+    def rows_of(self, pdf):
+        return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(), pdf["side"].tolist(), *[_plain(pdf[c], t) for c, t in self.types.items()]))
+
+    def _row(self, tx, pay, receipt, tag):
+        n = len(self.cols["pay"])
+        return (tx, pay[0] if pay else None, receipt[0] if receipt else None, tag,
+                *(pay[3:3 + n] if pay else [None] * n), *(receipt[3 + n:] if receipt else [None] * len(self.cols["receipt"])))
+
+    def _alone(self, tx, row, prefix="unmatched"):
+        return self._row(tx, row if row[2] == "pay" else None, row if row[2] == "receipt" else None, f"{prefix}_{row[2]}")
+
+    def late(self, key, pdf):
+        return self.frame([self._alone(key[0], r, LATE) for r in self.rows_of(pdf)])
+
+    def frame(self, rows):
+        whole = ["pay_ms", "receipt_ms", *[c for c, t in self.types.items() if t in _WHOLE]]
+        return _typed(rows, ["tx_id", "pay_ms", "receipt_ms", "tag", *self.names], dict.fromkeys(whole, "Int64"))
+
+    def _closes(self, row) -> int:
+        # from this time on no row of the other side can fall in range
+        return row[0] + (self.upper_ms if row[2] == "pay" else -self.lower_ms) + 1
+
+    def release(self, key, ready, rest, t):
+        tx, out = key[0], []
+        queue = [tuple(v) for v in self.queue.get()] if rest[2] else []
+        at = 0
+        for row in ready:
+            other = queue[at] if at < len(queue) and queue[at][2] != row[2] else None
+            if rest[0] and rest[1] != (row[2] == "pay"):
+                rest[0] -= 1                              # its partner was reported before
+                out.append(self._alone(tx, row))
+            elif other is not None and not rest[0]:
+                at += 1
+                pay, receipt = (row, other) if row[2] == "pay" else (other, row)
+                if self.lower_ms <= receipt[0] - pay[0] <= self.upper_ms:
+                    out.append(self._row(tx, pay, receipt, "matched"))
                 else:
-                    if not reported:
-                        out.append((tx, p if other_side == "pay" else None,
-                                    r if other_side == "receipt" else None, f"unmatched_{other_side}"))
-                    out.append((tx, p if side == "pay" else None, r if side == "receipt" else None,
-                                f"unmatched_{side}"))
+                    out += [self._alone(tx, other), self._alone(tx, row)]
             else:
-                waiting.append((ts, side, False))
-        for i, (ts, side, reported) in enumerate(waiting):
-            if not reported and self._closes(ts, side) <= t:
-                out.append((tx, ts if side == "pay" else None, ts if side == "receipt" else None, f"unmatched_{side}"))
-                waiting[i] = (ts, side, True)
-        if self.retention_ms is not None:
-            # Bound the state: reported rows older than the retention give up their
-            # place in the k-th pairing (a later row of the other side pairs further on).
-            waiting = [v for v in waiting if not (v[2] and v[0] < t - self.retention_ms)]
-        self.buffer.put(rest) if rest else self.buffer.clear()
-        self.waiting.put(waiting) if waiting else self.waiting.clear()
-        nxt = [v[0] for v in rest] + [self._closes(ts, side) for ts, side, rep in waiting if not rep]
-        self._arm(min(nxt) if nxt else None)
-        yield pd.DataFrame(out, columns=["tx_id", "pay_ms", "receipt_ms", "tag"]).astype(
-            {"pay_ms": "Int64", "receipt_ms": "Int64"})
-
-    def close(self) -> None:
-        pass
+                queue.append(row)
+        queue = queue[at:]
+        done = next((i for i, r in enumerate(queue) if self._closes(r) > t), len(queue))
+        if done:
+            out += [self._alone(tx, r) for r in queue[:done]]
+            rest[0], rest[1] = rest[0] + done, queue[0][2] == "pay"
+            queue = queue[done:]
+        if queue:
+            self.queue.put(queue)
+        elif rest[2]:
+            self.queue.clear()
+        rest[2] = bool(queue)
+        if not rest[0]:
+            rest[1] = False
+        return out, self._closes(queue[0]) if queue else None
 
 
 def one_to_one_stream(pays: DataFrame, receipts: DataFrame, key: str, lower: str, upper: str,
-                      ts: str = "ts", delay: str = "0 seconds", retention: str | None = None) -> DataFrame:
-    """J2-J4 on streams: tagged union of both inputs -> matched / unmatched_pay / unmatched_receipt.
-
-    ``retention`` bounds the state of keys whose other side never comes; without
-    it the pairing is exactly the batch k-th pairing."""
-    def side(df, name):
-        return df.select(F.col(key).cast("string").alias("tx_id"), F.col(ts).alias("ts"),
-                         F.col("seq"), F.lit(name).alias("side"))
-    u = side(pays, "pay").unionByName(side(receipts, "receipt"))
-    s = _with_ms(u, "ts", delay)
+                      ts: str = "ts", delay: str = ASCENDING) -> DataFrame:
+    """J2-J4 on streams -> (tx_id, pay_ms, receipt_ms, tag, p_*, r_*) with the full records of both sides.
+
+    Tags: matched, unmatched_pay, unmatched_receipt, late_pay, late_receipt.  Each input has its own
+    watermark and the slower one governs (``multipleWatermarkPolicy=min``, Spark's default)."""
+    def side(df, name, prefix):
+        w = _with_ms(df, ts, delay)
+        mine = [c for c in df.columns if c not in (key, "seq")]
+        return w.select(F.col(key).alias("tx_id"), "ts_ms", "seq", F.lit(name).alias("side"), *[F.col(c).alias(prefix + c) for c in mine])
+    p, r = side(pays, "pay", "p_"), side(receipts, "receipt", "r_")
+    stamps = _stamps(p, p.columns[4:]) + _stamps(r, r.columns[4:])
+    p, r = _in_micros(p, p.columns[4:]), _in_micros(r, r.columns[4:])
+    u = p.unionByName(r, allowMissingColumns=True)
+    types = {"pay": {c: _type(p, c) for c in p.columns[4:]}, "receipt": {c: _type(r, c) for c in r.columns[4:]}}
+    payload = ", ".join(f"`{c}` {t}" for one in types.values() for c, t in one.items())
     sign = lambda d: -1 if d.strip().startswith("-") else 1
     lo = sign(lower) * seconds(lower.strip().lstrip("-")) * 1000
     hi = sign(upper) * seconds(upper.strip().lstrip("-")) * 1000
-    return s.groupBy("tx_id").transformWithStateInPandas(
-        statefulProcessor=OneToOneMatch(lo, hi, seconds(retention) * 1000 if retention else None),
-        outputStructType=TX_OUT,
+    got = u.groupBy("tx_id").transformWithStateInPandas(
+        statefulProcessor=OneToOneMatch(lo, hi, types, f"ts_ms LONG, seq LONG, side STRING, {payload}"),
+        outputStructType=f"tx_id {_type(u, 'tx_id')}, pay_ms LONG, receipt_ms LONG, tag STRING, {payload}",
         outputMode="Append", timeMode="EventTime")
+    return _from_micros(got, stamps)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import checkpoint_location
@@ -10,13 +12,15 @@ from tidemark.session import checkpoint_location
 def run_available(df: DataFrame, name: str, mode: str = "append", sink: str = "memory",
                   foreach_batch=None, path: str | None = None, checkpoint: str | None = None,
                   available_now: bool = True, until=None, poll_seconds: float = 1.0,
-                  max_seconds: float = 120.0) -> None:
+                  max_seconds: float | None = None) -> None:
     """Process everything available, then stop.
 
     ``availableNow`` by default.  A query with pending processing-time timers
     (ST8) never becomes idle, under ``availableNow`` or ``processAllAvailable``;
     pass ``available_now=False`` and ``until``, a callable that says when the
-    output is complete (polled every ``poll_seconds``, at most ``max_seconds``).
+    output is complete (polled every ``poll_seconds``).  With ``max_seconds`` a
+    ``TimeoutError`` is raised if that does not happen in time: an incomplete
+    output is never returned as if it were whole.
     The checkpoint lives under the shared checkpoint folder, so a restarted
     query resumes from the last committed micro-batch.
     """
@@ -35,10 +39,13 @@ def run_available(df: DataFrame, name: str, mode: str = "append", sink: str = "m
     if available_now:
         q.awaitTermination()
     else:
-        import time
-        deadline = time.monotonic() + max_seconds
+        if until is None:
+            raise ValueError("without available_now, until must say when the output is complete")
+        deadline = None if max_seconds is None else time.monotonic() + max_seconds
         try:
-            while q.isActive and time.monotonic() < deadline and not (until and until()):
+            while q.isActive and not until():
+                if deadline is not None and time.monotonic() > deadline:
+                    raise TimeoutError(f"{name}: the output was not complete after {max_seconds} s")
                 time.sleep(poll_seconds)
         finally:
             q.stop()

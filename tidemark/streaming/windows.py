@@ -18,9 +18,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.eventtime import watermark
+from tidemark.functions.eventtime import ASCENDING, watermark
 from tidemark.operators import topn
 from tidemark.operators.windows import seconds
+from tidemark.streaming import folders
 
 # In a stream the pane form chains a second stateful operator (its own state
 # store per partition and micro-batch), so plain copies stay cheaper for
@@ -30,7 +31,7 @@ STREAM_PANE_THRESHOLD = 48
 
 
 def windowed_counts(stream: DataFrame, size: str, slide: str | None = None, keys=(), ts: str = "ts",
-                    delay: str = "0 seconds", out: str = "cnt", panes: bool | None = None,
+                    delay: str = ASCENDING, out: str = "cnt", panes: bool | None = None,
                     weight: Column | None = None, upstream_watermark: bool = False) -> DataFrame:
     """Counts per key and window; ``upstream_watermark`` reuses the event time an
     earlier stateful operator propagates (no second ``withWatermark``)."""
@@ -65,22 +66,28 @@ def parquet_epoch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return _write
 
 
-def change_log_writer(path: str) -> Callable[[DataFrame, int], None]:
+def change_log_writer(path: str, key: str = "url", count: str = "cnt", window_end: str = "window_end") -> Callable[[DataFrame, int], None]:
     """K2 / T4: append this micro-batch's updated counts, stamped with the epoch.
 
     Run the counts in ``update`` mode with a watermark of out-of-orderness +
     allowed lateness; a late row re-emits its window's count, and the newest
     epoch per (window, key) is the corrected value.  A replayed epoch
-    overwrites its own folder, so the log is exactly-once.
+    overwrites its own folder, so the log is exactly-once.  Superseded values
+    are folded away as folders are merged (:mod:`tidemark.streaming.folders`).
     """
     def _write(df: DataFrame, epoch_id: int) -> None:
-        (df.withColumn("epoch", F.lit(epoch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={epoch_id}"))
+        spark, target = df.sparkSession, folders.epoch_folder(path, 0, epoch_id)
+        df.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(target)
+        folders.fold(spark, path, epoch_id, lambda log: newest_counts(log, key, count, window_end))
     return _write
 
 
+def newest_counts(log: DataFrame, key: str, count: str = "cnt", window_end: str = "window_end") -> DataFrame:
+    """The newest row per (window, key) of a change log."""
+    return topn.newest_per_key(log, [window_end, key], "epoch", [count, "window_start"])
+
+
 def corrected_top_n(log: DataFrame, n: int, key: str, count: str = "cnt",
                     window_end: str = "window_end", rank: str = "rank") -> DataFrame:
     """K2: the current top-N per window from a change log (newest epoch per key wins)."""
-    latest = topn.newest_per_key(log, [window_end, key], "epoch", [count, "window_start"])
-    return topn.top_n_by_count(latest.drop("epoch"), n, key, count, window_end, rank)
+    return topn.top_n_by_count(newest_counts(log, key, count, window_end).drop("epoch"), n, key, count, window_end, rank)
