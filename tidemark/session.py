@@ -40,8 +40,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     # Scan splits sized to fit an executor core's memory comfortably.
     "spark.sql.files.maxPartitionBytes": "512m",
-    # Broadcast only what is measured small; the one hand-placed broadcast (the hot
-    # list of ordered.with_buckets) holds at most max_hot rows.
+    # Broadcast only what is measured small; no broadcast is placed by hand.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     # Streams: RocksDB state with changelog checkpoints (small incremental uploads).
     "spark.sql.streaming.stateStore.providerClass":
@@ -51,13 +50,19 @@ CLUSTER_CONF = {
 }
 
 
-def tune_for_cluster(spark: SparkSession, overrides: dict | None = None) -> dict:
-    """Apply :data:`CLUSTER_CONF` (plus ``overrides``) to a session; returns what was set.
+# Streams: every shuffle partition is a state store per stateful operator, committed each
+# micro-batch, so a stream takes a few per core of its own executors, not a batch job's count.
+STREAM_CONF = {"spark.sql.shuffle.partitions": "512"}
+
+
+def tune_for_cluster(spark: SparkSession, overrides: dict | None = None, streaming: bool = False) -> dict:
+    """Apply :data:`CLUSTER_CONF` (for streams :data:`STREAM_CONF` on top, then ``overrides``) to a
+    session; returns what was set.
 
     The shuffle partition count of a streaming query is fixed at its first
     start (it sizes the state store), so set it before starting streams.
     """
-    conf = dict(CLUSTER_CONF)
+    conf = {**CLUSTER_CONF, **(STREAM_CONF if streaming else {})}
     conf.update(overrides or {})
     for k, v in conf.items():
         spark.conf.set(k, v)
@@ -84,7 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a scratch one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    always respected.  Only a test session without one gets a fresh temp dir.
+    always respected.  Only a local session without one gets a fresh temp dir;
+    on a cluster an unset folder is an error, as executors share no local disk.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -92,6 +98,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

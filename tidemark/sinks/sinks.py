@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -64,15 +65,18 @@ def jdbc_upsert_writer(url: str, table: str, key: list[str], version: str, cols:
     """``foreachBatch`` writer doing staging write + one MERGE per micro-batch.
 
     Executors write the staging table in parallel through Spark's JDBC writer;
-    the driver sends one MERGE statement (metadata, not data).  Credentials
+    the driver sends one MERGE statement (metadata, not data) and drops the
+    staging table.  Credentials
     come from ``properties`` (D20).  Replays are idempotent: the MERGE keeps
     the stored row when it is newer than the incoming one.
     """
     props = dict(properties or {})
+    run = uuid.uuid4().hex[:12]
 
     def _write(df: DataFrame, epoch_id: int) -> None:
         staged = upsert_rows(df, key, version, cols)
-        stage = f"{table}_stage"
+        # a staging table per query (by its table and checkpointed run) and epoch: writers never share one
+        stage = f"{table}_stage_{run}_{epoch_id}"
         staged.write.jdbc(url, stage, mode="overwrite", properties=props)
         merge = merge_statement(table, stage, key, version, cols)
         jvm = df.sparkSession.sparkContext._jvm
@@ -84,6 +88,7 @@ def jdbc_upsert_writer(url: str, table: str, key: list[str], version: str, cols:
             stmt = conn.createStatement()
             try:
                 stmt.executeUpdate(merge)
+                stmt.executeUpdate(f"DROP TABLE {stage}")
             finally:
                 stmt.close()
         finally:
@@ -93,16 +98,19 @@ def jdbc_upsert_writer(url: str, table: str, key: list[str], version: str, cols:
 
 def documents(df: DataFrame, id_cols: list[str], cols: list[str]) -> DataFrame:
     """One document per row: ``id`` (key columns joined by '-') and a JSON body."""
-    doc_id = F.concat_ws("-", *[F.col(c).cast("string") for c in id_cols])
-    return df.select(doc_id.alias("id"), encode_json(*cols).alias("doc"))
+    return df.select(_document_id(id_cols), encode_json(*cols).alias("doc"))
+
+
+def _document_id(id_cols: list[str]) -> Column:
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in id_cols]).alias("id")
 
 
 def document_writer(path: str, id_cols: list[str], cols: list[str],
                     fmt: str = "json") -> Callable[[DataFrame, int], None]:
     """S5 ``foreachBatch`` writer: NDJSON per epoch; a replayed epoch overwrites itself."""
     def _write(df: DataFrame, epoch_id: int) -> None:
-        docs = documents(df, id_cols, cols).select("id", F.from_json("doc", df.select(*cols).schema).alias("d"))
-        docs.select("id", "d.*").write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/epoch={epoch_id}")
+        typed = df.select(_document_id(id_cols), *cols)      # typed columns: the format writes them whole
+        typed.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/epoch={epoch_id}")
     return _write
 
 

@@ -32,8 +32,9 @@ def parse_delimited(lines: DataFrame, fields: list[Field], sep: str = ",",
 
     One ``from_csv`` call per line (Spark's CSV tokenizer, JVM-side) with
     quoting switched off, so a line splits exactly as a plain string split
-    does.  Empty inner fields stay "" (P5).  A line is rejected when its
-    field count is wrong or a numeric field is empty or does not parse.
+    does.  Empty inner fields stay "" (P5).  Fields beyond the layout are
+    ignored.  A line is rejected when it has too few fields or a numeric field
+    is empty or does not parse.
     Output: ``keep`` columns, the typed fields, the raw line and ``_rejected``.
     """
     trim = any(f.trim for f in fields)
@@ -45,7 +46,7 @@ def parse_delimited(lines: DataFrame, fields: list[Field], sep: str = ",",
     # reject split) stay above it, so the line is parsed once, not once per
     # referenced field after predicate pushdown inlines the parse.
     parsed = lines.select(*keep, F.col(value).alias("_line"),
-                          F.explode(F.array(F.from_csv(F.col(value), schema, opts))).alias("_r"))
+                          F.explode(F.array(F.from_csv(F.substring_index(F.col(value), sep, len(fields)), schema, opts))).alias("_r"))
     typed = []
     rejected = F.col("_r._corrupt").isNotNull() | F.col("_line").isNull()
     for f in fields:

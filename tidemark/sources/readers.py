@@ -1,27 +1,28 @@
 """S1 text-file source and S2 Kafka source, batch or stream.
 
-Both yield one ``value`` string column plus ``seq``, a tie-break for rows
-with equal event times: the arrival position in a batch file read, the
-message offset from Kafka, a content hash on a file stream.  Kafka needs the connector jar on the cluster's
-classpath; it is not bundled here, so only the reader options are set.
+Both yield one ``value`` string column plus ``seq``, a tie-break for rows with
+equal event times.  Lines of files get one rule in batch and stream: a hash of the
+file's path and the line (equal lines of one file are interchangeable), so both
+order ties alike.  Kafka rows get partition and offset packed into one number,
+unique in the topic.  Kafka needs the connector jar on the cluster's classpath;
+it is not bundled here, so only the reader options are set.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# A Kafka offset takes the low 48 bits of ``seq``, the partition the bits above.
+OFFSET_BITS = 48
+
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Lines of text files.  In a stream each new file is new input."""
-    if stream:
-        r = spark.readStream.format("text")
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        # Row ids are refused on streams; a content hash is a deterministic
-        # tie-break for rows with equal times (identical lines are interchangeable).
-        return r.load(path).withColumn("seq", F.xxhash64("value"))
-    return spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
+    r = (spark.readStream if stream else spark.read).format("text")
+    if stream and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path).withColumn("seq", F.xxhash64(F.col("_metadata.file_path"), F.col("value")))
 
 
 def read_kafka(spark: SparkSession, bootstrap: str, topic: str, stream: bool = True,
@@ -36,4 +37,4 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic: str, stream: bool = T
     for k, v in (extra or {}).items():
         r = r.option(k, v)
     return r.load().select(F.col("value").cast("string").alias("value"), "timestamp",
-                           F.col("offset").alias("seq"))
+                           (F.shiftleft(F.col("partition").cast("long"), OFFSET_BITS) + F.col("offset")).alias("seq"))
