@@ -4,8 +4,8 @@
 2. Nodes are dealt to shards by hash; each shard's graph is built in a task and written.  A shard
    has at most about ``SHARD_ROWS`` nodes whatever the table's size.
 3. Every node queries every shard, in blocks (block x shard is a task's unit).  A block first
-   audits itself: a fixed share of its queries is compared with all of the shard, and the beam is
-   widened until the links found reach ``AUDIT_RECALL``.  Queries whose beam comes back full of
+   audits itself: up to ``AUDIT_QUERIES`` of its queries are compared with all of the shard, and the
+   beam is widened until the links found reach ``AUDIT_RECALL``.  Queries whose beam comes back full of
    links search again with a wider one; past ``MOST_BEAM`` (a dense group) they are answered
    by blocked products with the whole shard, so no group is cut off.
 4. Found pairs are kept if their cosine, computed in double precision from the stored numbers, is
@@ -40,7 +40,8 @@ SHARDS = 8                 # at least
 SHARD_ROWS = 50_000        # nodes per shard beyond that
 BLOCK_ROWS = 8_000         # queries per block
 BEAM, MOST_BEAM = 32, 256
-AUDIT_RECALL, AUDIT_QUERIES = 0.99, 48
+AUDIT_QUERIES, AUDIT_RECALL = 512, 0.99
+AUDIT_LINKS, AUDIT_NEAREST = 30, 0.9
 _SLACK = 1e-4              # float32 similarities this far below the threshold are checked too
 
 
@@ -102,19 +103,22 @@ def _verified(q, x, a, b, threshold):
 
 
 def audited_beam(shard: dict, q: np.ndarray, threshold: float, beam: int = BEAM) -> int:
-    """The first beam whose links of some queries, and their ten nearest, reach the audit's recall."""
+    """The first beam whose links of some queries reach the audit's recall against the whole shard.
+
+    Where the sample has hardly any link to judge by, its nearest nodes are looked at instead."""
     some = q[np.unique(np.linspace(0, len(q) - 1, min(len(q), AUDIT_QUERIES)).astype(int))]
     sim = some @ shard["x"].T
     links = set(zip(*map(np.ndarray.tolist, np.nonzero(sim >= threshold))))
-    k = min(10, sim.shape[1])
-    tenth = -np.partition(-sim, k - 1, axis=1)[:, k - 1:k]
+    best = sim.max(axis=1)
     while beam < len(shard["x"]):
-        found = set()
-        for a, b in _links(shard, some, threshold, beam):
-            found.update(zip(a.tolist(), b.tolist()))
-        got = shard["graph"].search(some.astype(np.float32), beam)[1][:, :k]
-        near = (got >= tenth - 1e-5).sum() / (k * len(some))
-        if len(found & links) >= AUDIT_RECALL * len(links) and near >= 0.9:
+        if len(links) >= AUDIT_LINKS:
+            found = set()
+            for a, b in _links(shard, some, threshold, beam):
+                found.update(zip(a.tolist(), b.tolist()))
+            reached = len(found & links) / len(links) >= AUDIT_RECALL
+        else:
+            reached = (shard["graph"].search(some.astype(np.float32), beam)[1][:, 0] >= best - 1e-5).mean() >= AUDIT_NEAREST
+        if reached:
             break
         beam *= 2
     return beam

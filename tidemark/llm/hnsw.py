@@ -11,7 +11,7 @@ import numpy as np
 
 LINKS = 12                 # per node in upper layers, twice that in the lowest
 BUILD_BEAM = 40
-CELLS = 4_000_000          # queries x nodes per lockstep block: bounds memory
+CELLS = 2_000_000          # queries x nodes per lockstep block: bounds memory
 STEP = 3                   # nodes expanded per query and step
 
 
@@ -124,7 +124,7 @@ class Graph:
         ids = np.full((b, beam), -1, np.int32)
         sim = np.full((b, beam), -3.0, np.float32)
         opened = np.zeros((b, beam), bool)               # expanded already
-        seen = np.full((b, n), -1, np.int32)             # which candidate first brought the node
+        seen = np.full((b, n), -1, np.int8)              # which of a step's candidates first brought the node
         ids[:, 0], sim[:, 0] = start, np.einsum("ij,ij->i", self.x[start], q)
         seen[np.arange(b), start] = 0
         live = np.arange(b)
@@ -145,8 +145,10 @@ class Graph:
             row = np.broadcast_to(live[:, None], new.shape)
             fresh = (new >= 0) & (seen[row, np.maximum(new, 0)] < 0)
             r, c = np.nonzero(fresh)
-            seen[live[r], new[r, c]] = c                 # the last of equal ones stays
-            only = seen[live[r], new[r, c]] == c
+            who = live[r] * n + new[r, c]
+            flat = seen.reshape(-1)
+            flat[who] = c                                # the last of equal ones stays
+            only = flat[who] == c
             r, c = r[only], c[only]
             v = np.full(new.shape, -3.0, np.float32)
             v[r, c] = np.einsum("ij,ij->i", self.x[new[r, c]], q[live[r]])
