@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +12,21 @@ from pyspark.sql import functions as F
 from tidemark.session import ensure_checkpoint_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package where the driver runs it from its source folder.
+
+    On a cluster the package is installed or shipped with ``--py-files``; the extra path is harmless.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,6 +43,7 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     the work.  The folder is the one the cluster names in ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
+    importable(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

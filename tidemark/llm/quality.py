@@ -1,7 +1,8 @@
 """Quality classifier by nearest-neighbour voting on latent-semantic vectors (operator 8).
 
-Features of a whole text: hashed byte trigrams, and style terms (share of upper case, of marks,
-of repeated words and lines, mean word length, size) as buckets.  TF-IDF with document counts
+Features of a whole text: hashed byte trigrams, and style terms (share of upper case, of marks, of
+repeated words and lines, of words like the one before and of one byte, mean word length, size) as
+buckets.  TF-IDF with document counts
 over all documents; truncated SVD of a bounded labelled sample gives the latent space.  The
 sample's unit vectors (``sample_rows`` x ``dims``, a fixed bound) go to every task; each document's
 exact cosine with all of them is one blocked matrix product, and the ``neighbours`` most similar
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import ngrams
 from tidemark.llm.common import bounded_sample
 
-BITS, STYLE = 12, 48
+BITS, STYLE = 12, 64
 WIDTH = (1 << BITS) + STYLE
 SAMPLE_ROWS = 3000         # labelled rows learned from
 DIMS = 64
-NEIGHBOURS = 25
+NEIGHBOURS = 15
 BLOCK = 256                # documents per matrix product
-STYLE_WEIGHT = 6.0
+STYLE_WEIGHT = 0.35        # of each style term, beside trigrams of length 1
 _IS_UPPER = np.array([65 <= c <= 90 for c in range(256)], np.uint8)
 _IS_MARK = np.array([33 <= c <= 47 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c <= 126 for c in range(256)], np.uint8)
 
@@ -46,13 +48,21 @@ def vector(text: str | None) -> np.ndarray:
     out = np.zeros(WIDTH, np.int64)
     out[:1 << BITS] = np.bincount(ngrams.hashed(a, 3, BITS), minlength=1 << BITS)
     n, w, lines = max(1, len(a)), data.split(), [x for x in data.split(b"\n") if x]
-    shares = (_IS_UPPER[a].sum() / n, _IS_MARK[a].sum() / n, 1 - len(set(w)) / max(1, len(w)),
-              1 - len(set(lines)) / max(1, len(lines)), min(1.0, n / max(1, len(w)) / 16), min(1.0, np.log1p(len(w)) / 10))
+    m = max(1, len(w))
+    shares = (_IS_UPPER[a].sum() / n, _IS_MARK[a].sum() / n, 1 - len(set(w)) / m, 1 - len(set(lines)) / max(1, len(lines)),
+              min(1.0, n / m / 16), min(1.0, np.log1p(len(w)) / 10), sum(map(eq, w[1:], w)) / m, list(map(len, w)).count(1) / m)
     for k, s in enumerate(shares):
-        out[(1 << BITS) + k * 8 + min(7, int(s * 8))] = 1
+        out[(1 << BITS) + k * 8 + min(7, int(s ** 0.5 * 8))] = 1
     return out
 
 
+def weighted(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
+    """Feature rows: TF-IDF of the trigrams at length 1, then the style terms."""
+    counts = np.stack([vector(t) for t in texts]).astype(np.float32) if texts else np.zeros((0, WIDTH), np.float32)
+    grams = ngrams.unit(np.log1p(counts[:, :1 << BITS]) * idf[:1 << BITS])
+    return np.concatenate([grams, counts[:, 1 << BITS:] * np.float32(STYLE_WEIGHT)], axis=1)
+
+
 @dataclass
 class Model:
     idf: np.ndarray
@@ -62,7 +72,7 @@ class Model:
     neighbours: int = NEIGHBOURS
 
     def project(self, texts: list[str | None]) -> np.ndarray:
-        return ngrams.unit(ngrams.tf_idf(texts, vector, self.idf) @ self.axes).astype(np.float32)
+        return ngrams.unit(weighted(texts, self.idf) @ self.axes).astype(np.float32)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest neighbours."""
@@ -86,8 +96,7 @@ def fit_model(texts: list[str | None], labels: list[int], df: np.ndarray, n: int
               neighbours: int = NEIGHBOURS, seed: int = 8) -> Model:
     """Latent space and labelled points from a sample (randomised truncated SVD)."""
     idf = ngrams.inverse(df, n)
-    idf[1 << BITS:] = STYLE_WEIGHT
-    rows = ngrams.tf_idf(texts, vector, idf)
+    rows = weighted(texts, idf)
     y = np.array(labels, np.float64)
     if not len(y):
         return Model(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), y, neighbours)
