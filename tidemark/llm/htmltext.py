@@ -245,3 +245,14 @@ def extract(pages: DataFrame, paths: int = PATHS, drop_html: bool = True) -> Dat
     types = dict(pages.dtypes)
     return (known.select(*pages.columns, won_paths)
             .mapInArrow(run, ", ".join([f"`{c}` {types[c]}" for c in names] + ["text string, n_chars long"])))
+
+
+# What the given pages' articles hold, stated by their own markup (article, h1 and p elements).
+ORACLE = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS x FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(replace(x, '<br>', ' '), '</?(?:p|h1)>'),
+        lambda t: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(t, '<[^>]*>', '', 'g'),
+          '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts FROM a),
+c AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda t: t <> ''), chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c
+"""

@@ -100,4 +100,5 @@ ORACLE_SQL = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op4_embedding_groups": embeddings.ORACLE,
     "op7_repeats": repeats.ORACLE,
+    "op9_html_text": htmltext.ORACLE,
 }
