@@ -71,8 +71,8 @@ def running_distinct(df: DataFrame, size: str, user: str = "user_id", ts: str =
     ``bucket``; the count before a bucket is the number of first sightings in
     earlier ones, read off the same aggregate.
 
-    Rows may tie in (ts, seq): one row per (window, user) is the first
-    sighting, and it stands before the rows it ties with.
+    Rows that tie in (ts, seq) go by user, and a user's rows that tie are one
+    sighting: the first of them counts.
     """
     base = _tumble(df, size, ts)
     base = base.withColumn("_u", bitmap_offset(user) if key == "offset" else F.col(user))
@@ -80,21 +80,20 @@ def running_distinct(df: DataFrame, size: str, user: str = "user_id", ts: str =
              .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))).alias("_first")))
     totals = (first.groupBy("window_end", F.window(F.col("_first.t"), bucket).start.alias("_bk"))
               .agg(F.count(F.lit(1)).alias("_tot")))
-    earliest = ((F.col("_first.t") == F.col(ts)) & F.col("_first.s").eqNullSafe(F.col(seq)))
-    joined = base.join(first, ["window_end", "_u"]).withColumn("_e", earliest).withColumn("_b", F.window(ts, bucket).start)
-    # Of rows that tie for first only one counts; the tie is looked at inside its bucket, which the
-    # running sum's window needs together anyway.
-    tied = Window.partitionBy("window_end", "_b", "_u").orderBy(F.col("_e").desc())
-    flagged = (joined.drop("_first").repartition("window_end", "_b")
-               .withColumn("_is_first", F.col("_e") & (F.row_number().over(tied) == 1)).drop("_e"))
+    earliest = (F.col("_first.t") == F.col(ts)) & F.col("_first.s").eqNullSafe(F.col(seq))
+    joined = base.join(first, ["window_end", "_u"]).withColumn("_e", earliest).drop("_first")
+    # The row before in the order of the running sum, whose window and sort this one shares.
+    here = F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), F.col("_u").alias("u"))
+    before = Window.partitionBy("window_end", "_bk").orderBy(ts, seq, "_u")
+    flagged = (joined.withColumn("_bk", F.window(ts, bucket).start)
+               .withColumn("_is_first", F.col("_e") & ~F.lag(here).over(before).eqNullSafe(here)).drop("_e"))
     # One row per window and bucket (a window has size / bucket of them), so that buckets without
     # a first sighting of their own get the count before them.
     grid = (totals.select("window_end").distinct()
             .withColumn("_lo", F.window(F.col("window_end") - interval(size), bucket).start)
             .select("window_end", F.explode(F.sequence("_lo", F.col("window_end") - interval("1 second"), interval(bucket))).alias("_bk")))
     edges = grid.join(totals, ["window_end", "_bk"], "left").fillna(0, ["_tot"])
-    counted = running_sum(flagged, ["window_end"], [F.col(ts), F.col(seq), F.col("_is_first").desc()],
-                          F.col("_is_first").cast("long"), out, bucket, ts=ts, totals=edges)
+    counted = running_sum(flagged, ["window_end"], [ts, seq, "_u"], F.col("_is_first").cast("long"), out, bucket, totals=edges)
     if repeats_only:
         counted = counted.where(~F.col("_is_first"))
-    return counted.drop("_u", "_is_first", "_b")
+    return counted.drop("_u", "_is_first")

@@ -28,10 +28,11 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str | Column], value
     """Inclusive running sum of ``value`` per key in ``order`` (its first column is the time column).
 
     With ``value = lit(1)`` this is ``row_number()`` per key, exactly, when ``order`` is total.
-    ``totals`` may give the sums per (keys, ``_bk``) as column ``_tot`` where the caller has them.
+    ``totals`` may give the sums per (keys, ``_bk``) as column ``_tot`` where the caller has them; a
+    column ``_bk`` in ``df`` is taken as the bucket.
     """
     ts = ts or order[0]
-    based = df.withColumn("_bk", _bucket(ts, bucket)).withColumn("_val", value)
+    based = (df if "_bk" in df.columns else df.withColumn("_bk", _bucket(ts, bucket))).withColumn("_val", value)
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     b = based.withColumn("_in", F.sum("_val").over(inner))
     if totals is None:
