@@ -89,7 +89,7 @@ def running_distinct(df: DataFrame, size: str, user: str = "user_id", ts: str =
                .withColumn("_is_first", F.col("_e") & ~F.lag(here).over(before).eqNullSafe(here)).drop("_e"))
     # One row per window and bucket (a window has size / bucket of them), so that buckets without
     # a first sighting of their own get the count before them.
-    grid = (totals.select("window_end").distinct()
+    grid = (base.select("window_end").distinct()
             .withColumn("_lo", F.window(F.col("window_end") - interval(size), bucket).start)
             .select("window_end", F.explode(F.sequence("_lo", F.col("window_end") - interval("1 second"), interval(bucket))).alias("_bk")))
     edges = grid.join(totals, ["window_end", "_bk"], "left").fillna(0, ["_tot"])
