@@ -37,8 +37,9 @@ from tidemark.llm.simhash import _stars
 
 THRESHOLD = 0.9
 SHARDS = 8                 # at least
-SHARD_ROWS = 50_000        # nodes per shard beyond that
-BLOCK_ROWS = 8_000         # queries per block
+SHARD_ROWS = 200_000       # nodes per shard beyond that: an index of some 200 MB at 64 numbers
+BLOCKS = 3                 # blocks of queries, at least
+BLOCK_ROWS = 100_000       # queries per block beyond that; a shard's index is sent once per block
 BEAM, MOST_BEAM = 32, 256
 AUDIT_QUERIES, AUDIT_RECALL = 512, 0.99
 AUDIT_LINKS, AUDIT_NEAREST = 30, 0.9
@@ -156,7 +157,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shards: in
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding)."""
     rows, nodes = nodes_of(vectors)
     n = nodes.count()
-    n_shards, n_blocks = max(shards, -(-n // SHARD_ROWS)), max(3, -(-n // BLOCK_ROWS))
+    n_shards, n_blocks = max(shards, -(-n // SHARD_ROWS)), max(BLOCKS, -(-n // BLOCK_ROWS))
     dealt = nodes.select("node", "n", "v", F.size("v").alias("dim"),
                          F.pmod(F.xxhash64("node"), F.lit(n_shards)).cast("int").alias("shard"),
                          F.pmod(F.xxhash64("node", F.lit(3)), F.lit(n_blocks)).cast("int").alias("block"))
