@@ -34,7 +34,7 @@ BITS, STYLE = 12, 64
 WIDTH = (1 << BITS) + STYLE
 SAMPLE_ROWS = 3000         # labelled rows learned from
 DIMS = 64
-NEIGHBOURS = 15
+NEIGHBOURS = 15            # at most; one in fifty of a smaller sample, three at least
 BLOCK = 256                # documents per matrix product
 STYLE_WEIGHT = 0.35        # of each style term, beside trigrams of length 1
 _IS_UPPER = np.array([65 <= c <= 90 for c in range(256)], np.uint8)
@@ -93,8 +93,9 @@ class Model:
 
 
 def fit_model(texts: list[str | None], labels: list[int], df: np.ndarray, n: int, dims: int = DIMS,
-              neighbours: int = NEIGHBOURS, seed: int = 8) -> Model:
+              neighbours: int | None = None, seed: int = 8) -> Model:
     """Latent space and labelled points from a sample (randomised truncated SVD)."""
+    neighbours = neighbours or min(NEIGHBOURS, max(3, len(labels) // 50))
     idf = ngrams.inverse(df, n)
     rows = weighted(texts, idf)
     y = np.array(labels, np.float64)
