@@ -89,3 +89,42 @@ def test_dense_groups_are_not_cut_off(spark, clustered, monkeypatch):
     have = {r[0]: r for r in got(spark, rows)}
     assert sum(have[i][1] for i in have) >= 0.99 * want.sum() and all(have[i][1] <= want[i] for i in have)
     assert {have[i][2] for i in range(2400, 3100)} == {2400} and have[2500][1] == 699
+
+
+class HalfBlind:
+    """A graph that finds a query's pair only with a beam of 64 or more; all else it finds."""
+
+    def __init__(self, x, pairs):
+        self.x, self.pairs = x.astype(np.float32), pairs
+
+    def search(self, q, beam):
+        sim = q @ self.x.T
+        if beam < 64:
+            sim[:, self.pairs:] = np.where(sim[:, self.pairs:] > 0.9999, sim[:, self.pairs:], -2.0)
+        order = np.argsort(-sim, axis=1, kind="stable")[:, :beam]
+        return order.astype(np.int32), np.take_along_axis(sim, order, 1)
+
+
+def test_audit_sees_pairs_beside_a_dense_group():
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=64) + rng.normal(size=(600, 64)) * 0.02
+    pairs = np.repeat(rng.normal(size=(300, 64)), 2, axis=0) + rng.normal(size=(600, 64)) * 0.1
+    x = np.concatenate([dense, pairs])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    shard = {"graph": HalfBlind(x, 600), "x": x}
+    assert em.audited_beam(shard, x, 0.9, np.arange(len(x))) >= 64
+    assert em.audited_beam(shard, x[:600], 0.9, np.arange(600)) == em.BEAM      # a dense group is answered exactly
+
+
+def test_small_groups_reach_recall_apart_from_the_dense_one(spark):
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=32) + rng.normal(size=(1500, 32)) * 0.02
+    pairs = np.repeat(rng.normal(size=(1500, 32)), 2, axis=0) + rng.normal(size=(3000, 32)) * 0.12
+    rows = [(i, f32(v)) for i, v in enumerate(np.concatenate([dense, pairs]))]
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    have = {r[0]: r for r in got(spark, rows, shards=2)}
+    small = [i for i in range(1500, 4500) if want[i]]
+    assert np.mean([have[i][1] == want[i] for i in small]) >= 0.99
+    assert all(have[i][1] == 1499 for i in range(1500))

@@ -5,7 +5,8 @@
    has at most about ``SHARD_ROWS`` nodes whatever the table's size.
 3. Every node queries every shard, in blocks (block x shard is a task's unit).  A block first
    audits itself: up to ``AUDIT_QUERIES`` of its queries are compared with all of the shard, and the
-   beam is widened until the links found reach ``AUDIT_RECALL``.  Queries whose beam comes back full of
+   beam is widened until those not in dense groups reach ``AUDIT_RECALL`` of their links and
+   ``AUDIT_NEAREST`` of their nearest nodes.  Queries whose beam comes back full of
    links search again with a wider one; past ``MOST_BEAM`` (a dense group) they are answered
    by blocked products with the whole shard, so no group is cut off.
 4. Found pairs are kept if their cosine, computed in double precision from the stored numbers, is
@@ -42,7 +43,7 @@ BLOCKS = 3                 # blocks of queries, at least
 BLOCK_ROWS = 100_000       # queries per block beyond that; a shard's index is sent once per block
 BEAM, MOST_BEAM = 32, 256
 AUDIT_QUERIES, AUDIT_RECALL = 512, 0.99
-AUDIT_LINKS, AUDIT_NEAREST = 30, 0.9
+AUDIT_NEAREST = 0.9
 _SLACK = 1e-4              # float32 similarities this far below the threshold are checked too
 
 
@@ -78,8 +79,9 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({"dim": pa.array([dim], pa.int32()), "shard": table.column("shard").slice(0, 1), "index": pa.array([pickle.dumps(shard, 5)], pa.binary())})
 
 
-def _links(shard: dict, q: np.ndarray, threshold: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(query number, node number in the shard) of all links found, verified in double precision."""
+def _links(shard: dict, q: np.ndarray, threshold: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query number, node number in the shard) of all links found, verified in double precision, and the
+    queries answered by exact products there (none for links of a search)."""
     graph, x = shard["graph"], shard["x"]
     low, todo = threshold - _SLACK, np.arange(len(q))
     q32 = q.astype(np.float32)
@@ -88,13 +90,13 @@ def _links(shard: dict, q: np.ndarray, threshold: float, beam: int) -> Iterator[
             for i in range(0, len(todo), 256):
                 mine = todo[i:i + 256]
                 a, b = np.nonzero(q32[mine] @ graph.x.T >= low)
-                yield _verified(q, x, mine[a], b, threshold)
+                yield *_verified(q, x, mine[a], b, threshold), mine
             return
         ids, sim = graph.search(q32[todo], beam)
         hit = (sim >= low) & (ids >= 0)
         full = hit.all(axis=1)
         a, b = np.nonzero(hit & ~full[:, None])
-        yield _verified(q, x, todo[a], ids[a, b], threshold)
+        yield *_verified(q, x, todo[a], ids[a, b], threshold), todo[:0]
         todo, beam = todo[full], beam * 4
 
 
@@ -103,23 +105,28 @@ def _verified(q, x, a, b, threshold):
     return a[keep], b[keep]
 
 
-def audited_beam(shard: dict, q: np.ndarray, threshold: float, beam: int = BEAM) -> int:
-    """The first beam whose links of some queries reach the audit's recall against the whole shard.
+def audited_beam(shard: dict, q: np.ndarray, threshold: float, own: np.ndarray | None = None, beam: int = BEAM) -> int:
+    """The first beam that reaches the audit's recall against the whole shard.
 
-    Where the sample has hardly any link to judge by, its nearest nodes are looked at instead."""
-    some = q[np.unique(np.linspace(0, len(q) - 1, min(len(q), AUDIT_QUERIES)).astype(int))]
+    Queries that end in exact products and a query's own node (``own``: its number in the shard, or -1)
+    are left out.  The others must find ``AUDIT_RECALL`` of their links, taken per query so that no
+    large group outweighs the small ones, and ``AUDIT_NEAREST`` of them their nearest node."""
+    pick = np.unique(np.linspace(0, len(q) - 1, min(len(q), AUDIT_QUERIES)).astype(int))
+    some, own = q[pick], np.full(len(pick), -1) if own is None else own[pick]
     sim = some @ shard["x"].T
-    links = set(zip(*map(np.ndarray.tolist, np.nonzero(sim >= threshold))))
-    best = sim.max(axis=1)
+    here = np.flatnonzero(own >= 0)
+    sim[here, own[here]] = -3.0
+    links, best = (sim >= threshold).sum(axis=1), sim.max(axis=1)
     while beam < len(shard["x"]):
-        if len(links) >= AUDIT_LINKS:
-            found = set()
-            for a, b in _links(shard, some, threshold, beam):
-                found.update(zip(a.tolist(), b.tolist()))
-            reached = len(found & links) / len(links) >= AUDIT_RECALL
-        else:
-            reached = (shard["graph"].search(some.astype(np.float32), beam)[1][:, 0] >= best - 1e-5).mean() >= AUDIT_NEAREST
-        if reached:
+        found, searched = np.zeros(len(some), int), np.ones(len(some), bool)
+        for a, b, mine in _links(shard, some, threshold, beam):
+            searched[mine] = False
+            np.add.at(found, a[own[a] != b], 1)
+        ids, near = shard["graph"].search(some.astype(np.float32), beam)
+        nearest = np.where(ids == own[:, None], -3.0, near).max(axis=1) >= best - 1e-5
+        judged = searched & (links > 0)
+        if ((not judged.any() or (found[judged] / links[judged]).mean() >= AUDIT_RECALL)
+                and (not searched.any() or nearest[searched].mean() >= AUDIT_NEAREST)):
             break
         beam *= 2
     return beam
@@ -134,9 +141,10 @@ def _query(threshold: float):
         right = right.sort_by("node")
         node, q = right.column("node").to_numpy(), _unit(_matrix(right.column("v"), shard["x"].shape[1]))
         count, pairs = np.zeros(len(q), np.int64), []
-        beam = audited_beam(shard, q, threshold)
+        at = np.minimum(np.searchsorted(shard["node"], node), len(shard["node"]) - 1)
+        beam = audited_beam(shard, q, threshold, np.where(shard["node"][at] == node, at, -1))
         for i in range(0, len(q), 1024):
-            for a, b in _links(shard, q[i:i + 1024], threshold, beam):
+            for a, b, _ in _links(shard, q[i:i + 1024], threshold, beam):
                 other = shard["node"][b] != node[a + i]
                 a, b = a[other] + i, b[other]
                 np.add.at(count, a, shard["n"][b])
