@@ -128,3 +128,49 @@ def test_small_groups_reach_recall_apart_from_the_dense_one(spark):
     small = [i for i in range(1500, 4500) if want[i]]
     assert np.mean([have[i][1] == want[i] for i in small]) >= 0.99
     assert all(have[i][1] == 1499 for i in range(1500))
+
+
+def test_links_found_from_one_end_count_for_both(spark, monkeypatch):
+    """Searches that miss every node numbered lower than the query's own in the shard's order by first number."""
+    rng = np.random.default_rng(11)
+    dense = rng.normal(size=16) + rng.normal(size=(700, 16)) * 0.1
+    pairs = np.repeat(rng.normal(size=(300, 16)), 2, axis=0) + rng.normal(size=(600, 16)) * 0.05
+    rows = [(i, f32(v)) for i, v in enumerate(np.concatenate([dense, dense[:40], pairs, pairs[:50]]))]
+
+    def half(self, q, beam):
+        sim = q @ self.x.T
+        sim[q[:, :1] > self.x[None, :, 0] + 1e-7] = -2.0
+        order = np.argsort(-sim, axis=1, kind="stable")[:, :beam]
+        return order.astype(np.int32), np.take_along_axis(sim, order, 1)
+
+    monkeypatch.setattr(Graph, "search", half)
+    monkeypatch.setattr(em, "audited_beam", lambda *_: em.BEAM)
+    spark_rows = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    _, nodes = em.nodes_of(spark_rows)
+    nodes = nodes.toPandas()
+    x = np.stack(nodes["v"])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    node, n = nodes["node"].to_numpy(), nodes["n"].to_numpy()
+    home = node % 3
+    import pickle
+
+    import pyarrow as pa
+    order = np.argsort(node)
+    x, node, n, home = x[order], node[order], n[order], home[order]
+    parts = []
+    for s in range(3):
+        k = np.flatnonzero(home == s)
+        shard = {"graph": Graph(x[k]), "x": x[k], "node": node[k], "n": n[k]}
+        left = pa.table({"shard": pa.array([s], pa.int32()), "index": pa.array([pickle.dumps(shard, 5)], pa.binary())})
+        for c in range(2):
+            q = np.flatnonzero(node // 3 % 2 == c)
+            right = pa.table({"node": node[q], "n": n[q], "home": pa.array(home[q], pa.int32()), "v": pa.array(list(x[q]), pa.list_(pa.float64()))})
+            parts.append(em._query(0.9)((), left, right).to_pandas().astype(object).where(lambda d: d.notna(), None))
+    found = spark.createDataFrame([tuple(None if v is None else int(v) for v in r) for p in parts for r in p.itertuples(index=False)],
+                                  "a long, b long, home int, n long, m long")
+    have = {r["node"]: r["links"] for r in em.linked(found).collect()}
+    link = x @ x.T >= 0.9
+    np.fill_diagonal(link, False)
+    want = link @ n
+    assert found.where("n is not null and b is null").count() and found.where("b is not null and home is not null").count()
+    assert [have.get(v, 0) for v in node.tolist()] == want.tolist()

@@ -10,10 +10,11 @@
    links search again with a wider one; past ``MOST_BEAM`` (a dense group) they are answered
    by blocked products with the whole shard, so no group is cut off.
 4. Found pairs are kept if their cosine, computed in double precision from the stored numbers, is
-   at least the threshold.  A task sends on counts per node and a spanning forest of its links,
-   not the pairs; components come from the forest.
+   at least the threshold.  A task sends on the links its searches found, counts for the queries
+   answered by products (not their pairs) and a spanning forest of all its links; components come
+   from the forest.
 
-``n_links`` counts the rows a vector's own searches found.
+``n_links`` counts a link for both ends, whichever of the two searches found it.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite numbers have no links
 and are their own component; vectors of different length never link; repeated rows are links of
@@ -133,34 +134,75 @@ def audited_beam(shard: dict, q: np.ndarray, threshold: float, own: np.ndarray |
 
 
 def _query(threshold: float):
+    """Answers of a block to a shard, rows (a, b, home, n, m); home: a shard's number.
+
+    (a, b, -, -, -)         a link of the block's spanning forest
+    (a, -, shard, n, -)     rows of ``shard`` linked with a, by exact products
+    (a, -, home, -, m)      rows linked with a of the shard ``home`` that were asked by exact products
+    (a, b, home of a, n, m) a link that a's search found; rows at a and at b"""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         if not left.num_rows or not right.num_rows:
-            return empty
-        shard = pickle.loads(left.column("index")[0].as_py())
-        right = right.sort_by("node")
+            return _rows()
+        shard, asked = pickle.loads(left.column("index")[0].as_py()), left.column("shard")[0].as_py()
+        right = right.sort_by([("home", "ascending"), ("node", "ascending")])
         node, q = right.column("node").to_numpy(), _unit(_matrix(right.column("v"), shard["x"].shape[1]))
-        count, pairs = np.zeros(len(q), np.int64), []
+        home, n = right.column("home").to_numpy(), right.column("n").to_numpy()
         at = np.minimum(np.searchsorted(shard["node"], node), len(shard["node"]) - 1)
         beam = audited_beam(shard, q, threshold, np.where(shard["node"][at] == node, at, -1))
-        for i in range(0, len(q), 1024):
-            for a, b, _ in _links(shard, q[i:i + 1024], threshold, beam):
-                other = shard["node"][b] != node[a + i]
-                a, b = a[other] + i, b[other]
-                np.add.at(count, a, shard["n"][b])
-                if len(a):
-                    pairs.append(_stars(node[a], shard["node"][b]))
-        x, y = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.empty(0, np.int64),) * 2
-        if len(x):
-            x, y = _stars(x, y)
-        some = np.flatnonzero(count)
-        return pa.table({"a": pa.array(np.concatenate([node[some], x])),
-                         "b": pa.array([None] * len(some), pa.int64()) if not len(x) else pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(y)]),
-                         "n": pa.array(np.concatenate([count[some], np.zeros(len(x), np.int64)]))})
+        count, stars, out = np.zeros(len(q), np.int64), [], []
+        for h in np.unique(home):                              # sorted: a home's queries follow each other
+            back = np.zeros(len(shard["x"]), np.int64)
+            first, last = np.searchsorted(home, [h, h + 1])
+            for i in range(first, last, 1024):
+                for a, b, exact in _links(shard, q[i:min(i + 1024, last)], threshold, beam):
+                    other = shard["node"][b] != node[a + i]
+                    a, b = a[other] + i, b[other]
+                    if not len(a):
+                        continue
+                    stars.append(_stars(node[a], shard["node"][b]))
+                    if len(exact):
+                        np.add.at(count, a, shard["n"][b])
+                        np.add.at(back, b, n[a])
+                    else:
+                        out.append(_rows(node[a], shard["node"][b], home[a], n[a], shard["n"][b]))
+            hit = np.flatnonzero(back)
+            out.append(_rows(shard["node"][hit], None, np.full(len(hit), h), None, back[hit]))
+        hit = np.flatnonzero(count)
+        out.append(_rows(node[hit], None, np.full(len(hit), asked), count[hit], None))
+        if stars:
+            out.append(_rows(*_stars(*(np.concatenate(p) for p in zip(*stars))), None, None, None))
+        return pa.concat_tables(out)
 
     return run
 
 
+def _rows(a=(), b=None, home=None, n=None, m=None) -> pa.Table:
+    return pa.table({k: pa.nulls(len(a), t) if c is None else pa.array(c, t) for k, c, t in
+                     zip(("a", "b", "home", "n", "m"), (a, b, home, n, m), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()))})
+
+
+def linked(found: DataFrame) -> DataFrame:
+    """(node, links): rows linked with each node, every link counted for both ends however it was found.
+
+    Per node and shard the exact answer counts where there is one; otherwise what the shard's exactly
+    answered nodes found, and the distinct links between searched nodes that either search found."""
+    alone = found.where("b is null")
+    whole = alone.groupBy("a", "home").agg(F.coalesce(F.sum("n"), F.sum("m")).alias("links")).select(F.col("a").alias("node"), "links")
+    exact = alone.where("n is not null").select("a", "home")
+    pairs = (found.where("b is not null and home is not null")
+             .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a", "b", "home",
+                     F.when(F.col("a") < F.col("b"), F.col("n")).otherwise(F.col("m")).alias("nx"),
+                     F.when(F.col("a") < F.col("b"), F.col("m")).otherwise(F.col("n")).alias("ny"))
+             .groupBy("x", "y").agg(F.count("*").alias("ways"), F.first("nx").alias("nx"), F.first("ny").alias("ny"),
+                                    F.first("b").alias("b"), F.first("home").alias("home")))
+    # a link only one end's search found: the other end's exact answer, if it gave one, has it already
+    one = pairs.where("ways = 1").join(exact.select(F.col("a").alias("b"), "home"), ["b", "home"], "left_anti")
+    both = pairs.where("ways > 1").unionByName(one.select(*pairs.columns))
+    ends = both.select(F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("ny").alias("links")),
+                                         F.struct(F.col("y").alias("node"), F.col("nx").alias("links")))).alias("e")).select("e.*")
+    return whole.unionByName(ends).groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding)."""
     rows, nodes = nodes_of(vectors)
@@ -171,13 +213,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shards: in
                          F.pmod(F.xxhash64("node", F.lit(3)), F.lit(n_blocks)).cast("int").alias("block"))
     index = scratch(dealt.groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, index binary"), "hnsw-index")
     units = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    asked = (dealt.select("dim", "block", "node", "v")
+    asked = (dealt.select("dim", "block", "node", "n", "v", F.col("shard").alias("home"))
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))))
     keys = ["dim", "shard", "block"]
     found = scratch(units.groupBy(*keys).cogroup(asked.groupBy(*keys))
-                    .applyInArrow(_query(threshold), "a long, b long, n long"), "hnsw-links")
-    counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
-    roots = components(found.where("b is not null").select("a", "b")).select(F.col("id").alias("node"), "root")
+                    .applyInArrow(_query(threshold), "a long, b long, home int, n long, m long"), "hnsw-links")
+    counts = linked(found)
+    roots = components(found.where("b is not null and home is null").select("a", "b")).select(F.col("id").alias("node"), "root")
     known = (nodes.select("node", "k1", "k2", "n", "vec_id").join(counts, "node", "left").join(roots, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))
     least = known.groupBy("root").agg(F.min("vec_id").alias("component_id"))
