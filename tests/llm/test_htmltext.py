@@ -65,3 +65,14 @@ def test_whole_small_table_is_the_article(spark):
                   for b in re.split("</?(?:p|h1)>", article)]
         assert r["text"].split("\n\n") == [b for b in blocks if b]
         assert r["n_chars"] == len(r["text"])
+
+
+def test_a_teaser_on_the_top_path_does_not_hide_a_minor_template(spark):
+    body = "".join(f"<p>{LONG} {k}</p>" for k in range(8))
+    main = [(i, "http://h/x", f"<html><body><div><h1>{i}</h1>{body}</div></body></html>") for i in range(6)]
+    minor = [(10 + i, "http://h/y", f"<html><body><div><p>Read on, {i}</p></div><section class='story{'abc'[i]}'>{body}</section></body></html>") for i in range(3)]
+    df = spark.createDataFrame(main + minor, "page_id long, url string, html string")
+    want = [f"{LONG} {k}" for k in range(8)]
+    for paths in (8, 1):                                        # the minor paths among the winners, and beyond them
+        for r in ht.extract(df, paths).collect():
+            assert r["text"].split("\n\n") == ([str(r["page_id"])] if r["page_id"] < 10 else []) + want

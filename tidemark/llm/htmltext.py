@@ -6,7 +6,8 @@
 2. Spark counts the votes per (host, path), partial sums first, and keeps each host's
    ``PATHS`` best paths (most votes, then path text).
 3. Every page is read again and its blocks are taken from the elements on the first winning path
-   that holds text; a page with none of them uses its own best container.
+   that holds text, at least ``SHARE`` of the mean its voters hold there; a page with none of them
+   uses its own best container.
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and reader comments
 are left out by tag, role and class wherever they stand.  Block text has its character references
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fresh, lookup, scratch
 
 PATHS = 8                  # winning paths kept per host; other pages use their own best container
+SHARE = 0.25               # of a path's usual text that a page must hold there to be read by it
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
@@ -181,23 +183,36 @@ class Page:
                 up = self.parent[up]
         return max(score, key=lambda i: (score[i], -i)) if score and max(score.values()) > 0 else 0
 
-    def within(self, wanted: set[int]) -> list[str]:
-        """Blocks of the elements ``wanted``, in page order."""
+    def _inside(self, wanted: set[int]) -> list[bool]:
         inside = [False] * len(self.parent)
         for i in range(len(self.parent)):
             inside[i] = i in wanted or (i > 0 and inside[self.parent[i]])
+        return inside
+
+    def worth(self, inside: list[bool]) -> int:
+        """Characters of text outside links in the blocks ``inside``."""
+        return sum(max(0, len(t) - 2 * links) for o, t, links in self.blocks if inside[o])
+
+    def within(self, wanted: set[int]) -> list[str]:
+        """Blocks of the elements ``wanted``, in page order."""
+        inside = self._inside(wanted)
         return [t for o, t, _ in self.blocks if inside[o]]
 
-    def vote(self) -> str | None:
+    def vote(self) -> tuple[str | None, int]:
+        """The path of the best container and the text outside links it holds."""
         at = self.best()
-        return self.path[at] if at else None
+        return (self.path[at], self.worth(self._inside({at}))) if at else (None, 0)
 
-    def text(self, paths: list[str]) -> str:
-        for p in paths:
+    def text(self, paths: list[str], usual: list[float] | None = None) -> str:
+        """Text by the first path that holds text, and at least ``SHARE`` of what it holds on pages that
+        voted for it (``usual``): a teaser on the path of another template's article is passed over."""
+        for p, n in zip(paths, usual or [0.0] * len(paths)):
             on = {i for i, q in enumerate(self.path) if q == p and not self.out[i]}
-            found = self.within(on) if on else []
-            if found:
-                return "\n\n".join(found)
+            inside = self._inside(on) if on else []
+            if on and self.worth(inside) >= SHARE * n:
+                found = [t for o, t, _ in self.blocks if inside[o]]
+                if found:
+                    return "\n\n".join(found)
         return "\n\n".join(self.within({self.best()}))
 
 
@@ -207,43 +222,45 @@ def host(url: Column) -> Column:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path): the vote of every page (url, html) that has text."""
+    """(host, path, held): the vote of every page (url, html) that has text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([Page(h.as_py()).vote() for h in b.column(1)], pa.string())],
-                                             names=["host", "path"])
+            cast = [Page(h.as_py()).vote() for h in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p for p, _ in cast], pa.string()), pa.array([n for _, n in cast], pa.int64())],
+                                             names=["host", "path", "held"])
 
-    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string").where("path is not null")
+    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, held long").where("path is not null")
 
 
 def winners(cast: DataFrame, paths: int = PATHS) -> DataFrame:
-    """(host, paths): each host's paths of most votes, best first."""
-    counted = cast.groupBy("host", "path").agg(F.count("*").alias("n"))
+    """(host, paths, usual): each host's paths of most votes, best first, and the mean text their voters hold there."""
+    counted = cast.groupBy("host", "path").agg(F.count("*").alias("n"), F.avg("held").alias("usual"))
     first = Window.partitionBy("host").orderBy(F.col("n").desc(), "path")
     top = counted.withColumn("k", F.row_number().over(first)).where(F.col("k") <= paths)
-    listed = top.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("k", "path"))).alias("p"))
-    return listed.select("host", F.col("p.path").alias("paths"))
+    listed = top.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("k", "path", "usual"))).alias("p"))
+    return listed.select("host", F.col("p.path").alias("paths"), F.col("p.usual").alias("usual"))
 
 
 def extract(pages: DataFrame, paths: int = PATHS, drop_html: bool = True) -> DataFrame:
     """``pages`` (page_id, url, html, ...) with ``text`` and ``n_chars`` (code points)."""
     pages = pages.drop("text", "n_chars")
-    at, won_paths = fresh(pages, "_host"), fresh(pages, "_paths")
+    at, won_paths, won_usual = fresh(pages, "_host"), fresh(pages, "_paths"), fresh(pages, "_usual")
     won = scratch(winners(votes(pages), paths), "html-paths")
-    won = won.select(F.col("host").alias(at), F.col("paths").alias(won_paths))
+    won = won.select(F.col("host").alias(at), F.col("paths").alias(won_paths), F.col("usual").alias(won_usual))
     known = lookup(pages.withColumn(at, host(F.col("url"))), won, [at], F.xxhash64("url", "page_id"))
     names = [c for c in pages.columns if not (drop_html and c == "html")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             source, ways = b.column(b.schema.get_field_index("html")), b.column(b.schema.get_field_index(won_paths))
-            texts = [Page(h.as_py()).text(w.as_py() or []) for h, w in zip(source, ways)]
+            usual = b.column(b.schema.get_field_index(won_usual))
+            texts = [Page(h.as_py()).text(w.as_py() or [], u.as_py()) for h, w, u in zip(source, ways, usual)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(c)) for c in names]
                 + [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=[*names, "text", "n_chars"])
 
     types = dict(pages.dtypes)
-    return (known.select(*pages.columns, won_paths)
+    return (known.select(*pages.columns, won_paths, won_usual)
             .mapInArrow(run, ", ".join([f"`{c}` {types[c]}" for c in names] + ["text string, n_chars long"])))
 
 
