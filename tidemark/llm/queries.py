@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embeddings, htmltext, langid, lattice, mixing, quality, repeats, secretscan, simhash
+from tidemark.llm import conversations, decontaminate, embeddings, htmltext, langid, lattice, linededup, merkle, mixing, quality, repeats, secretscan, simhash
 from tidemark.llm.common import fold, table
 
 
@@ -82,6 +82,32 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(docs.select("doc_id", "text", (fold("doc_id", 10) == 0).alias("held_out")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and recomputed root of every document; every seventh leaf (by crc32 of the id) is tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in merkle.FIELDS]
+    changed = [F.col(c) + F.lit(1) if c == "n_chars" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % F.lit(7) == 0, F.lit(False))
+    start = F.when(tampered, merkle.leaf_of(changed)).otherwise(merkle.leaf_of(fields))
+    made = merkle.manifest(docs, also={"start": start})
+    return (made.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                        merkle.folded(F.col("start"), F.col("path")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 40 code points or more that stand in 5 or more documents, kept in the last of them."""
+    return (linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
+            .select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after planted damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return (conversations.repair(conversations.damage(rows), every=rows.select("conv_id"))
+            .select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_secret_scan": op2_secret_scan,
@@ -93,6 +119,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_lm_score": op10_lm_score,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL = {
@@ -101,4 +130,7 @@ ORACLE_SQL = {
     "op4_embedding_groups": embeddings.ORACLE,
     "op7_repeats": repeats.ORACLE,
     "op9_html_text": htmltext.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_line_dedup": linededup.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
 }
