@@ -1,0 +1,127 @@
+"""Look-ahead over range partitions, layout positions, line order of files."""
+
+import os
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from helpers import frame
+from tidemark.operators import carry, layout, patterns
+from tidemark.plans.catalog import LOGIN_WITHIN, ORDER_WITHIN
+from tidemark.sources import read_lines, read_numbered_lines, tables
+from tidemark.streaming import jobs
+from tidemark.streaming.runner import run_available
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def wide(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _burst(spark):
+    """A third of all events are one user's, all within two hours: one (key, bucket) group."""
+    ev = tables.table(spark, SF, "events").withColumnRenamed("event_id", "seq")
+    hot = F.col("seq") % 3 == 0
+    start = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    return ev.withColumns({"user_id": F.when(hot, F.lit(-1)).otherwise(F.col("user_id")),
+                           "ts": F.when(hot, start + F.make_dt_interval(secs=F.col("seq") % 7200)).otherwise(F.col("ts"))})
+
+
+def _same(a, b):
+    return a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_range_scan_equals_bucket_scan(spark, wide):
+    ev = _burst(spark)
+    logins = tables.logins(ev.withColumnRenamed("seq", "event_id"))
+    pairs = [patterns.login_fail_pairs(logins, LOGIN_WITHIN, max_group=m).select("user_id", "first_fail_time", "last_fail_time") for m in (0, 10**9)]
+    assert _same(*pairs)
+    found = [patterns.order_pattern(ev, ORDER_WITHIN, key="user_id", create=F.col("event_type") == "click",
+                                    pay=F.col("event_type") == "purchase", max_group=m) for m in (0, 10**9)]
+    assert _same(*found)
+
+
+def test_hot_bucket_is_spread_evenly(spark, wide):
+    ev = _burst(spark).select("user_id", "ts", "seq", "event_type")
+    got = carry.next_partner(ev, ["user_id"], ["ts", "seq"], F.col("event_type") == "purchase", ["ts", "seq"], "next")
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("next.ts")).collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    w = Window.partitionBy("user_id").orderBy("ts", "seq").rowsBetween(1, Window.unboundedFollowing)
+    plain = ev.withColumn("next", F.min(F.when(F.col("event_type") == "purchase", F.struct("ts", "seq"))).over(w))
+    assert _same(got.select("seq", "next"), plain.select("seq", "next"))
+
+
+def test_measured_group_decides_the_plan(spark):
+    ev = _burst(spark)
+    within = 3600 * 6
+    n = carry.largest_group(ev, ["user_id"], "ts", within)
+    assert n >= ev.where("user_id = -1").count()
+    for limit, partitioning in ((n, "hashpartitioning(user_id"), (n - 1, "rangepartitioning(_part")):
+        plan = carry.look_ahead(ev, ["user_id"], ["ts", "seq"], F.lit(True), ["ts"], "x", within, limit)._jdf.queryExecution().toString()
+        assert partitioning in plan
+
+
+def test_positions_of_keys_across_partitions(spark, wide):
+    rng = random.Random(1)
+    rows = [("hot" if rng.random() < 0.6 else rng.choice(["a", "b", None]), rng.randint(0, 9), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, v int, i int")
+    got = layout.positions(layout.lay_out(df, ["k", "v", "i"], "test"), ["k"]).collect()
+    by = {}
+    for k, v, i in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2])):
+        by.setdefault(k, []).append(i)
+    assert {(r["k"], r["i"]): (r["pos"], r["n"]) for r in got} == {(k, i): (p, len(ids)) for k, ids in by.items() for p, i in enumerate(ids)}
+
+
+def test_empty_and_null_keys(spark):
+    df = frame(spark, [(None, "fail", 1), (None, "fail", 2), (1, "fail", 1)], ["user_id", "event_type", "t"])
+    schema = df.select("user_id", "event_type", "ts", "seq")
+    got = carry.next_partner(schema, ["user_id"], ["ts", "seq"], F.lit(True), ["seq"], "n").select("seq", "n.seq").collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1), (1, None), (2, None)]
+    assert carry.next_partner(schema.limit(0), ["user_id"], ["ts", "seq"], F.lit(True), ["seq"], "n").count() == 0
+
+
+# --- line order -----------------------------------------------------------------------------------
+
+def _write(folder, name, lines):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("".join(x + "\n" for x in lines))
+
+
+def test_ties_go_by_line_order_in_any_folder(spark):
+    """User 2 fails and succeeds in one second; which came first is which stands first, wherever the file is."""
+    b = 1704067200
+    rows = [(1, "fail", 10), (1, "fail", 13), (1, "fail", 12), (2, "fail", 20), (2, "success", 20), (2, "fail", 21), (9, "success", 500)]
+    swapped = [*rows[:3], rows[4], rows[3], *rows[5:]]
+    for k, (order, want) in enumerate([(rows, [(1, 12, 13)]), (swapped, [(1, 12, 13), (2, 20, 21)])] * 2):
+        d = tempfile.mkdtemp(prefix=f"folder-{k}-")
+        _write(d, "login.txt", [f"{u},10.0.0.1,{e},{b + t}" for u, e, t in order])
+        warn, _ = jobs.login_failures(read_lines(spark, d, stream=True), within="2 seconds", disorder="5 seconds", strict_pattern=False)
+        run_available(warn, f"tie_order_{k}", checkpoint=tempfile.mkdtemp())
+        got = sorted((r["user_id"], r["first_fail_ms"] // 1000 - b, r["last_fail_ms"] // 1000 - b) for r in spark.table(f"tie_order_{k}").collect())
+        assert got == want, k
+
+
+def test_line_seq_ascends_with_lines_over_many_splits(spark):
+    d = tempfile.mkdtemp(prefix="tidemark-splits-")
+    _write(d, "big.txt", [f"{i:09d}" + "x" * (i % 50) for i in range(40_000)])
+    _write(d, "other.txt", [f"{i:09d}" for i in range(100)])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64k")
+    try:
+        lines = read_lines(spark, f"{d}/big.txt")
+        assert lines.rdd.getNumPartitions() > 5
+        assert [int(r["value"][:9]) for r in sorted(lines.collect(), key=lambda r: r["seq"])] == list(range(40_000))
+        got = read_numbered_lines(spark, d).collect()
+        assert len(got) == 40_100 and all(int(r["value"][:9]) == r["line_no"] for r in got)
+        both = read_lines(spark, d)
+        assert both.select("seq").distinct().count() == 40_100
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -1,0 +1,155 @@
+"""With a closing row a finished stream equals the batch form, row for row."""
+
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.eventtime import as_watermarkable
+from tidemark.operators import distinct, limits, matching, patterns, topn, windows
+from tidemark.sources import read_lines, tables
+from tidemark.streaming import distinct as sdistinct, jobs, matching as smatching, processors, windows as swindows
+from tidemark.streaming.ending import Ending, run_to_end
+
+SF = "/root/testdata/sf0.001"
+
+
+def _tmp(what):
+    return tempfile.mkdtemp(prefix=f"tidemark-{what}-")
+
+
+@pytest.fixture(scope="module")
+def parts(spark):
+    """sf0.001 events as four files in time order."""
+    d = _tmp("end")
+    ev = as_watermarkable(tables.table(spark, SF, "events"))
+    a, b = ev.select(F.min("ts"), F.max("ts")).first()
+    for i in range(4):
+        lo, hi = a + (b - a) / 4 * i, a + (b - a) / 4 * (i + 1)
+        ev.where((F.col("ts") >= lo) & ((F.col("ts") < hi) if i < 3 else F.lit(True))).coalesce(1).write.parquet(f"{d}/part={i}")
+    return f"{d}/part=*", ev
+
+
+def _stream(spark, parts):
+    return spark.readStream.schema(parts[1].schema).option("maxFilesPerTrigger", 1).parquet(parts[0])
+
+
+def _run(df, end, name, **kw):
+    run_to_end(df, name, end, _tmp("ck"), **kw)
+
+
+def _rows(df):
+    return sorted(df.collect(), key=str)
+
+
+@pytest.mark.parametrize("panes", [False, True])
+def test_window_counts(spark, parts, panes):
+    end = Ending(spark, _tmp("mark"))
+    s = end.attach(tables.behaviour(_stream(spark, parts)).where(F.col("behavior") == "view"))
+    _run(swindows.windowed_counts(s, "1 day", "1 hour", keys=["item_id"], panes=panes), end, f"end_counts_{panes}")
+    batch = windows.window_counts(tables.behaviour(parts[1]).where(F.col("behavior") == "view"), "1 day", "1 hour", keys=["item_id"])
+    assert _rows(spark.table(f"end_counts_{panes}")) == _rows(batch)
+
+
+def test_top_n(spark, parts):
+    end, out = Ending(spark, _tmp("mark")), _tmp("top")
+    s = end.attach(tables.behaviour(_stream(spark, parts)).where(F.col("behavior") == "view"))
+    _run(swindows.windowed_counts(s, "6 hours", "1 hour", keys=["item_id"]), end, "end_top",
+         foreach_batch=swindows.top_n_writer(3, "item_id", "cnt", swindows.parquet_epoch_writer(out)))
+    batch = topn.top_n_by_count(windows.window_counts(tables.behaviour(parts[1]).where(F.col("behavior") == "view"), "6 hours", "1 hour",
+                                                      keys=["item_id"]), 3, "item_id", "cnt")
+    assert _rows(spark.read.parquet(out).select(*batch.columns)) == _rows(batch)
+
+
+def test_unique_visitors(spark, parts):
+    end = Ending(spark, _tmp("mark"))
+    s = end.attach(_stream(spark, parts).where(F.col("event_type") == "view"))
+    _run(sdistinct.unique_visitors(s, "1 day"), end, "end_uv")
+    assert _rows(spark.table("end_uv")) == _rows(distinct.distinct_count(parts[1].where(F.col("event_type") == "view"), "1 day"))
+
+
+def test_login_pairs_and_pattern(spark, parts):
+    end = Ending(spark, _tmp("mark"))
+    _run(processors.login_fail_stream(end.attach(tables.logins(_stream(spark, parts))), "6 hours"), end, "end_login")
+    got = sorted((r["user_id"], r["first_fail_ms"], r["last_fail_ms"]) for r in spark.table("end_login").collect())
+    batch = patterns.login_fail_pairs(tables.logins(parts[1]), "6 hours")
+    assert got == sorted(tuple(r) for r in batch.select("user_id", F.unix_millis("first_fail_time"), F.unix_millis("last_fail_time")).collect())
+
+    end = Ending(spark, _tmp("mark"))
+    ev = end.attach(tables.behaviour(_stream(spark, parts)).withColumnRenamed("behavior", "event_type"))
+    _run(processors.pattern_stream(ev, "user_id", "click", "purchase", "1 day"), end, "end_pattern")
+    got = sorted([tuple(r) for r in spark.table("end_pattern").collect()], key=str)
+    b = patterns.order_pattern(tables.behaviour(parts[1]).withColumnRenamed("behavior", "event_type"), "1 day", key="user_id",
+                               create=F.col("event_type") == "click", pay=F.col("event_type") == "purchase")
+    assert got == sorted([tuple(r) for r in b.select("user_id", F.unix_millis("start_ts"), F.unix_millis("end_ts"), "outcome").collect()], key=str)
+
+
+def test_click_cap(spark, parts):
+    end = Ending(spark, _tmp("mark"))
+    _run(processors.click_cap_stream(end.attach(tables.ad_clicks(_stream(spark, parts))), 2), end, "end_cap")
+    got = spark.table("end_cap")
+    assert "_end" not in got.columns
+    kept = limits.capped_clicks(tables.ad_clicks(parts[1]), 2)
+    assert _rows(got.where("tag = 'pass'").select("seq")) == _rows(kept.select("seq"))
+    warned = limits.blacklist_warnings(tables.ad_clicks(parts[1]), 2)
+    assert got.where("tag = 'warning'").count() == warned.count() > 0
+
+
+def test_matching_both_forms(spark, parts):
+    cols = ["user_id", "ts", "event_id"]
+    b = {k: parts[1].where(F.col("event_type") == k).select(*cols) for k in ("purchase", "view")}
+    for bucketed in (False, True):
+        end, name = Ending(spark, _tmp("mark")), f"end_match_{bucketed}"
+        p, r = (end.attach(_stream(spark, parts).where(F.col("event_type") == k).select(*cols)) for k in ("purchase", "view"))
+        match = smatching.match_streams_bucketed if bucketed else smatching.match_streams
+        _run(match(p, r, "user_id", "-1 hour", "1 hour"), end, name)
+        got = spark.table(name)
+        assert _rows(got.where("tag = 'unmatched_pay'").select("p_event_id")) == _rows(
+            matching.unmatched_left(b["purchase"], b["view"], "user_id", "-1 hour", "1 hour").select("event_id"))
+        assert _rows(got.where("tag = 'unmatched_receipt'").select("r_event_id")) == _rows(
+            matching.unmatched_right(b["purchase"], b["view"], "user_id", "-1 hour", "1 hour").select("event_id"))
+        assert _rows(got.where("tag = 'matched'").select("p_event_id", "r_event_id")) == _rows(
+            matching.interval_join(b["purchase"], b["view"], "user_id", "-1 hour", "1 hour").select("p_event_id", "r_event_id"))
+    end = Ending(spark, _tmp("mark"))
+    p, r = (end.attach(_stream(spark, parts).where(F.col("event_type") == k).select(*cols).withColumn("seq", F.col("event_id")))
+            for k in ("purchase", "view"))
+    _run(processors.one_to_one_stream(p, r, "user_id", "-1 hour", "1 hour"), end, "end_one")
+    got = spark.table("end_one")
+    want = matching.one_to_one(b["purchase"], b["view"], "user_id", "-1 hour", "1 hour", left_order=["ts", "event_id"], right_order=["ts", "event_id"])
+    assert _rows(got.where("tag = 'matched'").select("p_event_id", "r_event_id")) == _rows(want["matched"].select("p_event_id", "r_event_id"))
+    assert _rows(got.where("tag = 'unmatched_pay'").select("p_event_id")) == _rows(want["unmatched_left"].select("event_id"))
+    assert _rows(got.where("tag = 'unmatched_receipt'").select("r_event_id")) == _rows(want["unmatched_right"].select("event_id"))
+
+
+def test_closing_twice_writes_one_row(spark):
+    end = Ending(spark, _tmp("mark"))
+    end.close()
+    end.close()
+    assert spark.read.json(end.folder).count() == 1
+
+
+def test_line_jobs_equal_batch(spark):
+    b = tables.behaviour(tables.table(spark, SF, "events"))
+    b = b.withColumn("behavior", F.when(F.col("behavior") == "view", F.lit("pv")).otherwise(F.col("behavior")))
+    d = _tmp("lines")
+    lines = b.select("ts", F.concat_ws(",", "user_id", "item_id", F.lit(1), "behavior", F.unix_timestamp("ts")).alias("value"))
+    lines.orderBy("ts").select("value").coalesce(1).write.text(f"{d}/f")
+    pv = b.where(F.col("behavior") == "pv")
+    end = Ending(spark, _tmp("mark"))
+    counts, _ = jobs.page_views(read_lines(spark, f"{d}/f", stream=True), size="1 hour", end=end)
+    _run(counts, end, "end_job_pv")
+    assert sorted((str(r["window_end"]), r["pv"]) for r in spark.table("end_job_pv").collect()) == sorted(
+        (str(r["window_end"]), r["pv"]) for r in windows.window_counts(pv, "1 hour", out="pv").collect())
+    end = Ending(spark, _tmp("mark"))
+    uv, _ = jobs.unique_visitors(read_lines(spark, f"{d}/f", stream=True), size="1 day", end=end)
+    _run(uv, end, "end_job_uv")
+    assert sorted((str(r["window_end"]), r["uv"]) for r in spark.table("end_job_uv").collect()) == sorted(
+        (str(r["window_end"]), r["uv"]) for r in distinct.distinct_count(pv, "1 day").collect())
+
+
+def test_marketing_job_equals_batch(spark, parts):
+    mk = lambda df: tables.marketing(df).withColumn("behavior", F.when(F.col("behavior") == "error", F.lit("uninstall")).otherwise(F.col("behavior")))
+    end = Ending(spark, _tmp("mark"))
+    _run(jobs.marketing(mk(_stream(spark, parts)), size="1 day", slide="1 hour", end=end), end, "end_mk")
+    batch = windows.window_counts(mk(parts[1]).where(F.col("behavior") != "uninstall"), "1 day", "1 hour", keys=["channel", "behavior"])
+    assert _rows(spark.table("end_mk").select(*batch.columns)) == _rows(batch)

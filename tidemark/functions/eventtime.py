@@ -55,13 +55,19 @@ def as_watermarkable(df: DataFrame, ts: str = "ts") -> DataFrame:
 ASCENDING = "1 millisecond"
 
 
+# Column that marks the closing row of a bounded stream (tidemark.streaming.ending).
+END = "_end"
+
+
 def watermark(df: DataFrame, ts: str = "ts", delay: str = ASCENDING) -> DataFrame:
     """Ascending time is a delay of 1 ms; bounded disorder a longer one.
 
     Allowed lateness (T4) has no separate knob in Spark: pass delay =
     out-of-orderness + lateness and run the query in ``update`` mode.
+    A closing row (column ``_end``, T6) moves the watermark and goes no further.
     """
-    return as_watermarkable(df, ts).withWatermark(ts, delay)
+    w = as_watermarkable(df, ts).withWatermark(ts, delay)
+    return w.where(keep_for_watermark(~F.col(END), ts)).drop(END) if END in df.columns else w
 
 
 def keep_for_watermark(predicate: Column, ts: str = "ts") -> Column:

@@ -8,6 +8,7 @@ every key by time, always, without looking for hot keys first:
 * :func:`next_within` finds a partner at most ``within`` later.  A row near the start of a
   bucket is copied into the bucket before it, so every partner stands in the same
   (key, bucket) group as the row that looks for it: one scan, one exchange, no join back.
+  A group too large for a task goes through :mod:`tidemark.operators.carry` instead.
 """
 
 from __future__ import annotations
@@ -46,6 +47,16 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str | Column], value
             .drop("_bk", "_val", "_in", "_off"))
 
 
+def bucket_of(df: DataFrame, ts: str, within_seconds: int, lookahead: int = LOOKAHEAD) -> Column:
+    """Number of the time bucket that :func:`next_within` puts a row in."""
+    return F.floor(_seconds_of(df, ts) / (max(1, within_seconds) * lookahead))
+
+
+def _seconds_of(df: DataFrame, ts: str) -> Column:
+    return F.unix_timestamp(ts) if dict(df.dtypes)[ts] == "timestamp" else F.timestamp_diff(
+        "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+
+
 def next_within(df: DataFrame, keys: list[str], order: list[str], cond: Column, payload: list[str], out: str,
                 within_seconds: int, lookahead: int = LOOKAHEAD) -> DataFrame:
     """Add ``out``: struct of ``payload`` of the nearest later row of the key (in ``order``, time
@@ -55,13 +66,11 @@ def next_within(df: DataFrame, keys: list[str], order: list[str], cond: Column,
     """
     ts = order[0]
     width = max(1, within_seconds) * lookahead
-    at = F.unix_timestamp(ts) if dict(df.dtypes)[ts] == "timestamp" else F.timestamp_diff(
-        "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
     own = F.floor(F.col("_at") / width)
     # <=: a time cut down to its second may hide up to one second of the distance
     early = F.col("_at") - own * width <= within_seconds
     copies = F.when(early, F.array(own, own - 1)).otherwise(F.array(own))
-    spread = (df.withColumn("_at", at).select("*", F.posexplode(copies).alias("_copy", "_bk"))
+    spread = (df.withColumn("_at", _seconds_of(df, ts)).select("*", F.posexplode(copies).alias("_copy", "_bk"))
               .withColumn("_cand", F.when(cond, F.struct(*[F.col(c).alias(c) for c in payload]))))
     w = Window.partitionBy(*keys, "_bk").orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     return (spread.withColumn(out, F.last("_cand", ignorenulls=True).over(w)).where("_copy = 0")

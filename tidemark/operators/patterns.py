@@ -7,7 +7,8 @@ its own partial match (C1).  Events are ordered by (ts, seq) per key (C7).
 The limit is strict: second.ts - first.ts < within (D22).
 
 Batch evaluation is one look-ahead scan per (key, time bucket) (see
-:mod:`tidemark.operators.ordered`): no automaton, no pairs within a key.
+:mod:`tidemark.operators.ordered`), or over range partitions with a carry where a key's bucket is too
+large for a task (:mod:`tidemark.operators.carry`): no automaton, no pairs within a key.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.eventtime import interval
-from tidemark.operators.ordered import next_within
+from tidemark.operators.carry import MAX_GROUP, look_ahead
 from tidemark.operators.windows import seconds
 
 MATCH = "match"
@@ -24,23 +25,25 @@ TIMEOUT = "timeout"
 
 def two_step(df: DataFrame, keys: list[str], first: Column, second: Column, within: str,
              contiguity: str = "relaxed", ts: str = "ts", seq: str = "seq",
-             payload: list[str] | None = None) -> DataFrame:
+             payload: list[str] | None = None, max_group: int = MAX_GROUP) -> DataFrame:
     """Evaluate ``begin(first).<next|followedBy>(second).within(within)``.
 
     Returns one row per start event with ``second_`` (struct of the partner's
     ``payload`` or NULL) and ``outcome``: ``match``, or ``timeout`` when no
     partner came within the limit (C6).  Under strict contiguity a start
     whose very next event, in time, fails ``second`` is discarded, not timed out.
+    ``max_group``: rows of one key and time bucket that one task may take (beyond it, see
+    :mod:`tidemark.operators.carry`).
     """
     payload = payload or [ts, seq]
     limit = seconds(within)
     if contiguity == "relaxed":
-        scanned = next_within(df, keys, [ts, seq], second, payload, "_partner", limit)
+        scanned = look_ahead(df, keys, [ts, seq], second, payload, "_partner", limit, max_group)
         ok_partner = F.col("_partner").isNotNull()
         discarded = F.lit(False)
     elif contiguity == "strict":
         marked = df.withColumn("_ok2", F.coalesce(second, F.lit(False)))
-        scanned = next_within(marked, keys, [ts, seq], F.lit(True), payload + ["_ok2"], "_partner", limit)
+        scanned = look_ahead(marked, keys, [ts, seq], F.lit(True), payload + ["_ok2"], "_partner", limit, max_group)
         ok_partner = F.col("_partner").isNotNull() & F.col("_partner._ok2")
         discarded = F.col("_partner").isNotNull() & ~F.col("_partner._ok2")
     else:
@@ -63,24 +66,25 @@ LOGIN_WARNING = "login fail in 2 seconds"
 
 
 def login_fail_pairs(logins: DataFrame, within: str = "2 seconds", user: str = "user_id",
-                     ts: str = "ts", seq: str = "seq", message: str = LOGIN_WARNING) -> DataFrame:
+                     ts: str = "ts", seq: str = "seq", message: str = LOGIN_WARNING,
+                     max_group: int = MAX_GROUP) -> DataFrame:
     """ST4 / Q11: a failure directly followed (next event of the user) by another
     failure less than ``within`` later, in event-time order (D9)."""
     is_fail = F.col("event_type") == "fail"
-    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq])
+    m = two_step(logins, [user], is_fail, is_fail, within, "strict", ts, seq, [ts, seq], max_group)
     return (m.where(F.col("outcome") == MATCH)
             .select(user, F.col(ts).alias("first_fail_time"),
                     F.col(f"second_.{ts}").alias("last_fail_time"), F.lit(message).alias("warning")))
 
 
 def order_pattern(orders: DataFrame, within: str, key: str = "order_id", ts: str = "ts", seq: str = "seq",
-                  create: Column | None = None, pay: Column | None = None) -> DataFrame:
+                  create: Column | None = None, pay: Column | None = None, max_group: int = MAX_GROUP) -> DataFrame:
     """Create followedBy pay within the limit; matches and timeouts.
 
     Rows that are neither cannot matter under relaxed contiguity; they are left at the scan."""
     create = create if create is not None else F.col("event_type") == "create"
     pay = pay if pay is not None else F.col("event_type") == "pay"
-    m = two_step(orders.where(create | pay), [key], create, pay, within, "relaxed", ts, seq, [ts, seq])
+    m = two_step(orders.where(create | pay), [key], create, pay, within, "relaxed", ts, seq, [ts, seq], max_group)
     return m.select(key, F.col(ts).alias("start_ts"), F.col(f"second_.{ts}").alias("end_ts"), "outcome")
 
 

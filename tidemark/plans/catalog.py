@@ -8,6 +8,7 @@ columns are aliased to the names used by :mod:`tidemark.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +19,9 @@ from tidemark.operators import distinct, limits, matching, patterns, topn, windo
 from tidemark.sources import tables
 from tidemark.sources.lines import (
     ACCESS_LOG_TIME, parse_access_log, parse_behaviour, parse_login, parse_order, parse_receipt, split_rejects)
-from tidemark.streaming.windows import corrected_top_n
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.streaming.corrections import rank_changes_writer
+from tidemark.streaming.windows import corrected_top_n, parquet_epoch_writer
 
 # Parameters of the catalog (longer than the reference's because `events`
 # averages one row per 259 s over 30 days).
@@ -31,6 +34,8 @@ LOGIN_WITHIN = "6 hours"
 ORDER_WITHIN = "1 day"
 ORDER_DEADLINE = "365 days"
 TX_BOUND = "60 days"
+PART_BOUND = "10 days"
+RANK_EPOCHS = 3
 
 
 # The channel and behaviour labels of the reference's total row.
@@ -219,6 +224,67 @@ def tx_unmatched_receipts_one_to_one(spark, sf):
         "tx_id", "ts", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def _by_part(spark, sf):
+    """Returned and accepted line items per part: keys repeat on both sides."""
+    li = tables.table(spark, sf, "lineitem")
+    row = [F.col("l_partkey").alias("part"), F.col("l_shipdate").alias("ts"), "l_orderkey", "l_linenumber", "l_suppkey"]
+    return li.where("l_returnflag = 'R'").select(*row), li.where("l_returnflag = 'A'").select(*row)
+
+
+def part_interval_join(spark, sf):
+    """J1 in general form: all (returned, accepted) pairs of a part within +-bound."""
+    r, a = _by_part(spark, sf)
+    j = matching.interval_join(r, a, "part", f"-{PART_BOUND}", PART_BOUND)
+    return j.select(F.col("p_part").alias("part"), *[F.col(p + c).alias(p + c) for p in ("p_", "r_") for c in ("ts", "l_orderkey", "l_linenumber", "l_suppkey")])
+
+
+def _part_one_to_one(spark, sf):
+    r, a = _by_part(spark, sf)
+    order = ["ts", "l_orderkey", "l_linenumber", "l_suppkey"]
+    return matching.one_to_one(r, a, "part", f"-{PART_BOUND}", PART_BOUND, left_order=order, right_order=order)
+
+
+def part_one_to_one(spark, sf):
+    """J2 in general form: the k-th returned item of a part with its k-th accepted one, within +-bound."""
+    m = _part_one_to_one(spark, sf)["matched"]
+    return m.select(F.col("p_part").alias("part"), *[F.col(p + c).alias(p + c) for p in ("p_", "r_") for c in ("ts", "l_orderkey", "l_linenumber", "l_suppkey")])
+
+
+def part_unmatched_left(spark, sf):
+    """J3 in general form: returned items with no accepted one of the part within +-bound."""
+    r, a = _by_part(spark, sf)
+    return matching.unmatched_left(r, a, "part", f"-{PART_BOUND}", PART_BOUND)
+
+
+def part_unmatched_right(spark, sf):
+    """J4 in general form: accepted items with no returned one of the part within +-bound."""
+    r, a = _by_part(spark, sf)
+    return matching.unmatched_right(r, a, "part", f"-{PART_BOUND}", PART_BOUND)
+
+
+def part_unmatched_one_to_one(spark, sf):
+    """J3 and J4 of the k-th pairing, both sides."""
+    o = _part_one_to_one(spark, sf)
+    return (o["unmatched_left"].withColumn("side", F.lit("returned"))
+            .unionByName(o["unmatched_right"].withColumn("side", F.lit("accepted"))))
+
+
+def hot_url_rank_changes(spark, sf):
+    """K2: the top 5 urls per day kept by the incremental writer over three epochs (clicks dealt by event id, so
+    every epoch corrects every day); the rank changes of each epoch."""
+    clicks = (tables.web_log(_events(spark, sf)).where(F.col("method") == "GET")
+              .withColumn("ep", F.pmod(F.col("seq"), F.lit(RANK_EPOCHS))))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-ranks/{uuid.uuid4().hex}"
+    write = rank_changes_writer(f"{base}/counts", HOT_URLS["n"], "url", parquet_epoch_writer(f"{base}/changes"), "hits")
+    w = F.window("ts", "1 day")
+    for epoch in range(RANK_EPOCHS):
+        counts = (clicks.where(F.col("ep") <= epoch).groupBy("url", w.alias("w")).agg(F.count(F.lit(1)).alias("hits"), F.max("ep").alias("last"))
+                  .where(F.col("last") == epoch))
+        write(counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "url", "hits"), epoch)
+    changes = spark.read.parquet(*[f"{base}/changes/epoch={e}" for e in range(RANK_EPOCHS)])
+    return changes.select("epoch", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "rank", "url", "hits")
+
+
 def topic_lines(spark, sf):
     """S7 + P1: events encoded as behaviour lines, then parsed back by position."""
     b = tables.behaviour(_events(spark, sf))
@@ -339,6 +405,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_urls_corrected": hot_urls_corrected,
     "hot_items_documents": hot_items_documents,
     "unique_visitor_lines": unique_visitor_lines,
+    "part_interval_join": part_interval_join,
+    "part_one_to_one": part_one_to_one,
+    "part_unmatched_left": part_unmatched_left,
+    "part_unmatched_right": part_unmatched_right,
+    "part_unmatched_one_to_one": part_unmatched_one_to_one,
+    "hot_url_rank_changes": hot_url_rank_changes,
 }
 
 flagship = hot_items_top5

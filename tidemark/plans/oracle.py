@@ -47,6 +47,14 @@ _PAIRED = f"""SELECT o.o_orderkey AS tx_id, l.k FROM orders o JOIN ({_FIRST_LINE
               ON o.o_orderkey = l.l_orderkey AND l.k = 1
              AND l.l_shipdate BETWEEN o.o_orderdate - INTERVAL 60 day AND o.o_orderdate + INTERVAL 60 day"""
 
+_PARTS = """WITH s AS (SELECT l_partkey AS part, l_shipdate AS ts, l_orderkey, l_linenumber, l_suppkey, l_returnflag,
+                  row_number() OVER (PARTITION BY l_partkey, l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) AS k
+           FROM lineitem WHERE l_returnflag IN ('R', 'A')),
+     r AS (SELECT * FROM s WHERE l_returnflag = 'R'), a AS (SELECT * FROM s WHERE l_returnflag = 'A')"""
+_NEAR = "r.part = a.part AND a.ts BETWEEN r.ts - INTERVAL 10 day AND r.ts + INTERVAL 10 day"
+_PAIR = ", ".join(f"{t}.{c} AS {p}{c}" for p, t in (("p_", "r"), ("r_", "a")) for c in ("ts", "l_orderkey", "l_linenumber", "l_suppkey"))
+_BARE = "part, ts, l_orderkey, l_linenumber, l_suppkey"
+
 ORACLE_SQL: dict[str, str] = {
     "hot_items_top5": f"""
         SELECT window_start, window_end, CAST(rk AS INTEGER) AS rank, item_id, view_count
@@ -212,4 +220,19 @@ ORACLE_SQL: dict[str, str] = {
         SELECT strftime(time_bucket(INTERVAL 1 day, ts) + INTERVAL 1 day, '%Y-%m-%d %H:%M:%S') || ','
                || CAST(count(DISTINCT user_id) AS VARCHAR) AS value
         FROM events WHERE event_type = 'view' GROUP BY time_bucket(INTERVAL 1 day, ts)""",
+    "part_interval_join": f"{_PARTS} SELECT r.part, {_PAIR} FROM r JOIN a ON {_NEAR}",
+    "part_one_to_one": f"{_PARTS} SELECT r.part, {_PAIR} FROM r JOIN a ON {_NEAR} AND r.k = a.k",
+    "part_unmatched_left": f"{_PARTS} SELECT {_BARE} FROM r WHERE NOT EXISTS (SELECT 1 FROM a WHERE {_NEAR})",
+    "part_unmatched_right": f"{_PARTS} SELECT {_BARE} FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE {_NEAR})",
+    "part_unmatched_one_to_one": f"""{_PARTS}
+        SELECT {_BARE}, 'returned' AS side FROM r WHERE NOT EXISTS (SELECT 1 FROM a WHERE {_NEAR} AND r.k = a.k)
+        UNION ALL
+        SELECT {_BARE}, 'accepted' AS side FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE {_NEAR} AND r.k = a.k)""",
+    "hot_url_rank_changes": f"""
+        WITH c AS (SELECT '/item/' || CAST({_ITEM} AS VARCHAR) AS url, event_id % 3 AS ep, time_bucket(INTERVAL 1 day, ts) AS w
+                   FROM events WHERE event_type = 'click'),
+             n AS (SELECT e AS epoch, w, url, count(*) AS hits FROM c JOIN (VALUES (0), (1), (2)) v(e) ON c.ep <= e GROUP BY ALL),
+             t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY epoch, w ORDER BY hits DESC, url) AS rk FROM n) WHERE rk <= 5)
+        SELECT CAST(t.epoch AS BIGINT) AS epoch, t.w AS window_start, t.w + INTERVAL 1 day AS window_end, CAST(t.rk AS INTEGER) AS rank, t.url, t.hits
+        FROM t WHERE NOT EXISTS (SELECT 1 FROM t o WHERE o.epoch = t.epoch - 1 AND o.w = t.w AND o.rk = t.rk AND o.url = t.url AND o.hits = t.hits)""",
 }

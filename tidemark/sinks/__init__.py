@@ -4,3 +4,4 @@ from tidemark.sinks.sinks import (  # noqa: F401
     console, report_text, upsert_rows, merge_statement, jdbc_upsert_writer, documents, document_writer, topic_lines,
     write_topic,
 )
+from tidemark.sinks.tagged import tagged_writer  # noqa: F401

@@ -27,11 +27,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)
 
 
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers of the folders ``<name>=<number>`` right under ``path``, ascending."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    found = (s.getPath().getName() for s in fs.listStatus(p))
+    return sorted(int(f.split("=", 1)[1]) for f in found if f.startswith(f"{name}="))
+
+
 def epoch_folder(path: str, level: int, epoch: int) -> str:
     """Holds the RADIX ** level epochs up to ``epoch``."""
     return f"{path.rstrip('/')}/level={level}/upto={epoch}"

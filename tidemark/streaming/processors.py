@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.eventtime import ASCENDING, keep_for_watermark, watermark
+from tidemark.functions.eventtime import ASCENDING, END, keep_for_watermark, watermark
 from tidemark.operators import limits, patterns
 from tidemark.operators.windows import seconds
 
@@ -365,7 +365,7 @@ def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = A
     UTC midnight (ST8), as the reference does, at the price of answers that depend on when it runs.
     """
     s = _with_ms(stream, ts, delay)
-    names = [*stream.columns, "ts_ms"]
+    names = list(s.columns)
     types = [f"`{c}` {_type(s, c)}" for c in names]
     out = ", ".join(types) + ", tag STRING, msg STRING"
     if reset == "processing":
@@ -585,7 +585,7 @@ def one_to_one_stream(pays: DataFrame, receipts: DataFrame, key: str, lower: str
     watermark and the slower one governs (``multipleWatermarkPolicy=min``, Spark's default)."""
     def side(df, name, prefix):
         w = _with_ms(df, ts, delay)
-        mine = [c for c in df.columns if c not in (key, "seq")]
+        mine = [c for c in df.columns if c not in (key, "seq", END)]
         return w.select(F.col(key).alias("tx_id"), "ts_ms", "seq", F.lit(name).alias("side"), *[F.col(c).alias(prefix + c) for c in mine])
     p, r = side(pays, "pay", "p_"), side(receipts, "receipt", "r_")
     stamps = _stamps(p, p.columns[4:]) + _stamps(r, r.columns[4:])

@@ -4,11 +4,27 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tidemark.session import checkpoint_location
 
 
+def start(df: DataFrame, name: str, mode: str = "append", sink: str = "memory", foreach_batch=None, path: str | None = None,
+          checkpoint: str | None = None, available_now: bool = False):
+    """Start a query on a named sink or a ``foreachBatch`` function; its checkpoint is in the shared folder."""
+    w = (df.writeStream.outputMode(mode).queryName(name)
+         .option("checkpointLocation", checkpoint or checkpoint_location(df.sparkSession, name)))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    if foreach_batch is not None:
+        w = w.foreachBatch(foreach_batch)
+    else:
+        w = w.format(sink)
+        if path:
+            w = w.option("path", path)
+    return w.start()
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append", sink: str = "memory",
                   foreach_batch=None, path: str | None = None, checkpoint: str | None = None,
                   available_now: bool = True, until=None, poll_seconds: float = 1.0,
@@ -24,18 +40,7 @@ def run_available(df: DataFrame, name: str, mode: str = "append", sink: str = "m
     The checkpoint lives under the shared checkpoint folder, so a restarted
     query resumes from the last committed micro-batch.
     """
-    spark: SparkSession = df.sparkSession
-    w = (df.writeStream.outputMode(mode).queryName(name)
-         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name)))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    if foreach_batch is not None:
-        w = w.foreachBatch(foreach_batch)
-    else:
-        w = w.format(sink)
-        if path:
-            w = w.option("path", path)
-    q = w.start()
+    q = start(df, name, mode, sink, foreach_batch, path, checkpoint, available_now)
     if available_now:
         q.awaitTermination()
     else:
