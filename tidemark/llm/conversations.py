@@ -186,7 +186,8 @@ def _schema(conv: T.DataType) -> T.StructType:
 class _Run:
     """What one pass gathers of one conversation in one partition."""
 
-    def __init__(self, conv):
+    def __init__(self, conv, segment):
+        self.segment_rows = segment
         self.conv, self.counts = conv, dict.fromkeys(COUNTS, 0)
         self.lo = self.hi = self.head = self.tail = None
         self.rows, self.chars, self.parts = [], 0, []
@@ -217,7 +218,7 @@ class _Run:
         self.chars += len(text)
 
     def full(self):
-        return len(self.rows) >= SEGMENT or self.chars >= SEGMENT_CHARS
+        return len(self.rows) >= self.segment_rows or self.chars >= SEGMENT_CHARS
 
     def base(self, kind, part, seg=None):
         return {"conv_id": self.conv, "kind": kind, "part": part, "seg": seg}
@@ -263,7 +264,7 @@ def _batches(records, schema: pa.Schema, size: int = 200):
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def _scan(schema: T.StructType, texts: bool):
+def _scan(schema: T.StructType, texts: bool, segment: int):
     def records(batches):
         from pyspark import TaskContext
 
@@ -280,7 +281,7 @@ def _scan(schema: T.StructType, texts: bool):
                         yield run.solved(part, texts)
                     run, first = None, False
                 if run is None:
-                    run = _Run(conv)
+                    run = _Run(conv, segment)
                 elif run.full():
                     yield run.segment(part)
                 run.add(turn, role, text, copies, seen)
@@ -385,10 +386,10 @@ def _ordered(rows: DataFrame) -> DataFrame:
 KEPT = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
 
 
-def _solve(rows: DataFrame, texts: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _solve(rows: DataFrame, texts: bool, segment: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of one pass; conversations merged from partitions; the repaired rows of their stretches."""
     schema = _schema(rows.schema["conv_id"].dataType)
-    out = scratch(_ordered(rows).mapInArrow(_scan(schema, texts), schema), "conv-scan")
+    out = scratch(_ordered(rows).mapInArrow(_scan(schema, texts, segment), schema), "conv-scan")
     merged_schema = T.StructType([schema["conv_id"], *[schema[c] for c in [*COUNTS, "lo", "hi", "cost", "audit"]],
                                   T.StructField("parts", T.ArrayType(T.IntegerType())), T.StructField("trace", T.StringType())])
     sums = out.where("kind = 'sum'").select("conv_id", "part", *COUNTS, "lo", "hi", "head", "tail", "items")
@@ -411,20 +412,20 @@ def _solve(rows: DataFrame, texts: bool) -> tuple[DataFrame, DataFrame, DataFram
     return out, merged, pieces
 
 
-def repaired_rows(rows: DataFrame) -> DataFrame:
+def repaired_rows(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """The repaired rows (conv_id, part, seg, at, role, text); a conversation's rows go by (part, seg, at)."""
-    out, _, pieces = _solve(rows, texts=True)
+    out, _, pieces = _solve(rows, True, segment)
     whole = out.where("kind = 'whole'").select("conv_id", "part", "seg", F.transform("rows", lambda r: F.struct(r["role"], r["text"])).cast(KEPT).alias("kept"))
     every = whole.unionByName(pieces.select("conv_id", "part", "seg", "kept"))
     return every.select("conv_id", "part", "seg", F.posexplode("kept").alias("at", "row")).select("conv_id", "part", "seg", "at", "row.role", "row.text")
 
 
-def repair(rows: DataFrame, every: DataFrame | None = None) -> DataFrame:
+def repair(rows: DataFrame, every: DataFrame | None = None, segment: int = SEGMENT) -> DataFrame:
     """One row per conversation: gaps in its turns, faults, cost, audit and hash of the repaired rows.
 
     ``rows`` has conv_id, turn, role, text and maybe ``copies`` (how often a row stands there);
-    ``every`` (conv_id) adds the conversations that have no rows."""
-    out, merged, pieces = _solve(rows, texts=False)
+    ``every`` (conv_id) adds the conversations that have no rows; ``segment`` rows are solved at once."""
+    out, merged, pieces = _solve(rows, False, segment)
     conv = rows.schema["conv_id"]
     hash_schema = T.StructType([T.StructField("conv_id", conv.dataType), T.StructField("sha", T.StringType())])
     hashed = (pieces.drop("kept").repartition("conv_id").sortWithinPartitions("conv_id", "part", "seg")
