@@ -174,3 +174,28 @@ def test_links_found_from_one_end_count_for_both(spark, monkeypatch):
     want = link @ n
     assert found.where("n is not null and b is null").count() and found.where("b is not null and home is not null").count()
     assert [have.get(v, 0) for v in node.tolist()] == want.tolist()
+
+
+def test_work_per_search_is_flat_in_shard_size(monkeypatch):
+    """Nodes compared per query, at 2,000 and 16,000 nodes."""
+    from tidemark.llm import hnsw
+    seen = []
+    real = hnsw._only_new
+
+    def counted(held, new):
+        out = real(held, new)
+        seen.append(int((out >= 0).sum()))
+        return out
+
+    rng, per = np.random.default_rng(2), {}
+    for n in (2000, 16000):
+        x = rng.normal(size=(n, 32))
+        graph = hnsw.Graph(x / np.linalg.norm(x, axis=1, keepdims=True))
+        monkeypatch.setattr(hnsw, "_only_new", counted)
+        seen.clear()
+        q = graph.x[:500] + 0.02 * rng.normal(size=(500, 32)).astype(np.float32)
+        ids, _ = graph.search(q / np.linalg.norm(q, axis=1, keepdims=True), 32)
+        monkeypatch.setattr(hnsw, "_only_new", real)
+        per[n] = sum(seen) / 500
+        assert (ids[:, 0] == np.arange(500)).mean() >= 0.99
+    assert per[16000] < 1.5 * per[2000]

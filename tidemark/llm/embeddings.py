@@ -5,8 +5,8 @@
    has at most about ``SHARD_ROWS`` nodes whatever the table's size.
 3. Every node queries every shard, in blocks (block x shard is a task's unit).  A block first
    audits itself: up to ``AUDIT_QUERIES`` of its queries are compared with all of the shard, and the
-   beam is widened until those not in dense groups reach ``AUDIT_RECALL`` of their links and
-   ``AUDIT_NEAREST`` of their nearest nodes.  Queries whose beam comes back full of
+   beam is widened until those not in dense groups reach ``AUDIT_RECALL`` of their links and, where the
+   nearest node is near the threshold or above, ``AUDIT_NEAREST`` of their nearest nodes.  Queries whose beam comes back full of
    links search again with a wider one; past ``MOST_BEAM`` (a dense group) they are answered
    by blocked products with the whole shard, so no group is cut off.
 4. Found pairs are kept if their cosine, computed in double precision from the stored numbers, is
@@ -44,7 +44,7 @@ BLOCKS = 3                 # blocks of queries, at least
 BLOCK_ROWS = 100_000       # queries per block beyond that; a shard's index is sent once per block
 BEAM, MOST_BEAM = 32, 256
 AUDIT_QUERIES, AUDIT_RECALL = 512, 0.99
-AUDIT_NEAREST = 0.9
+AUDIT_NEAREST, AUDIT_NEAR = 0.9, 0.05   # judged where the nearest node is no farther below the threshold
 _SLACK = 1e-4              # float32 similarities this far below the threshold are checked too
 
 
@@ -111,7 +111,8 @@ def audited_beam(shard: dict, q: np.ndarray, threshold: float, own: np.ndarray |
 
     Queries that end in exact products and a query's own node (``own``: its number in the shard, or -1)
     are left out.  The others must find ``AUDIT_RECALL`` of their links, taken per query so that no
-    large group outweighs the small ones, and ``AUDIT_NEAREST`` of them their nearest node."""
+    large group outweighs the small ones, and ``AUDIT_NEAREST`` of those that have a node near the threshold
+    or above their nearest one (a query whose nearest node is far below can lose no link)."""
     pick = np.unique(np.linspace(0, len(q) - 1, min(len(q), AUDIT_QUERIES)).astype(int))
     some, own = q[pick], np.full(len(pick), -1) if own is None else own[pick]
     sim = some @ shard["x"].T
@@ -125,9 +126,9 @@ def audited_beam(shard: dict, q: np.ndarray, threshold: float, own: np.ndarray |
             np.add.at(found, a[own[a] != b], 1)
         ids, near = shard["graph"].search(some.astype(np.float32), beam)
         nearest = np.where(ids == own[:, None], -3.0, near).max(axis=1) >= best - 1e-5
-        judged = searched & (links > 0)
+        judged, close = searched & (links > 0), searched & (best >= threshold - AUDIT_NEAR)
         if ((not judged.any() or (found[judged] / links[judged]).mean() >= AUDIT_RECALL)
-                and (not searched.any() or nearest[searched].mean() >= AUDIT_NEAREST)):
+                and (not close.any() or nearest[close].mean() >= AUDIT_NEAREST)):
             break
         beam *= 2
     return beam

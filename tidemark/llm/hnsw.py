@@ -1,8 +1,10 @@
 """A hierarchical navigable small-world graph over unit vectors, searched for many queries at once.
 
-Layers are built from the top: a layer's nodes are put in by batches, each node linked to a diverse
-choice of the nearest ones already there (found by beam search) and of its own batch.  Searches
-move a whole block of queries in lockstep, so the work is numpy calls on blocks, not per query.
+Layers are built from the top: a layer takes over the links of the layer above, then its own nodes are put
+in by batches, each node linked to a diverse choice of the nearest ones already there (found by beam search)
+and of its own batch.  Searches move a whole block of queries in lockstep, so the work is numpy calls
+on blocks, not per query.  What a search costs follows from its beam and its steps: nothing is as large as
+the graph, neither the blocks nor the marks of visited nodes.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ import numpy as np
 
 LINKS = 12                 # per node in upper layers, twice that in the lowest
 BUILD_BEAM = 40
-CELLS = 2_000_000          # queries x nodes per lockstep block: bounds memory
+BLOCK = 1024               # queries in lockstep
+SMALL = 512                # so many nodes present are all compared
 STEP = 3                   # nodes expanded per query and step
 
 
@@ -34,12 +37,13 @@ class Graph:
 
     def _build(self, nodes: np.ndarray, width: int, above: int, upper: int) -> None:
         near = np.full((len(self.x), width), -1, np.int32)
+        if upper:
+            near[:, :LINKS] = self.layers[-1]
         self.layers.append(near)
-        done, size = 1, 32
+        done, size = max(upper, 1), 32
         while done < len(nodes):
             new = nodes[done:done + size]
-            block = max(1, CELLS // len(self.x))
-            found = [self._nearest(self.x[new[i:i + block]], nodes[:done], above, upper) for i in range(0, len(new), block)]
+            found = [self._nearest(self.x[new[i:i + BLOCK]], nodes[:done], above) for i in range(0, len(new), BLOCK)]
             ids, sim = (np.concatenate(p) for p in zip(*found))
             mates = self.x[new] @ self.x[new].T
             np.fill_diagonal(mates, -2.0)
@@ -52,8 +56,8 @@ class Graph:
             done += len(new)
             size = min(1024, done)
 
-    def _nearest(self, q: np.ndarray, present: np.ndarray, layer: int, upper: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(present) <= max(2 * BUILD_BEAM, upper):   # the nodes of the layers above go in first, against all
+    def _nearest(self, q: np.ndarray, present: np.ndarray, layer: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(present) <= SMALL:
             sim = q @ self.x[present].T
             return np.broadcast_to(present.astype(np.int32), sim.shape), sim
         return self._beam(q, self._down(q, layer), layer, BUILD_BEAM)
@@ -119,14 +123,11 @@ class Graph:
 
     def _beam(self, q: np.ndarray, start: np.ndarray, layer: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, similarities) of up to ``beam`` nodes per query, nearest first; -1 where fewer."""
-        n, b = len(self.x), len(q)
-        near = self.layers[layer]
+        b, near = len(q), self.layers[layer]
         ids = np.full((b, beam), -1, np.int32)
         sim = np.full((b, beam), -3.0, np.float32)
         opened = np.zeros((b, beam), bool)               # expanded already
-        seen = np.full((b, n), -1, np.int8)              # which of a step's candidates first brought the node
         ids[:, 0], sim[:, 0] = start, np.einsum("ij,ij->i", self.x[start], q)
-        seen[np.arange(b), start] = 0
         live = np.arange(b)
         while len(live):
             i, s, o = ids[live], sim[live], opened[live]
@@ -142,17 +143,12 @@ class Graph:
             mark = np.take_along_axis(o, pick, 1) | good
             np.put_along_axis(o, pick, mark, 1)
             new = np.where(at[:, :, None] >= 0, near[np.maximum(at, 0)], -1).reshape(len(live), -1)
-            row = np.broadcast_to(live[:, None], new.shape)
-            fresh = (new >= 0) & (seen[row, np.maximum(new, 0)] < 0)
-            r, c = np.nonzero(fresh)
-            who = live[r] * n + new[r, c]
-            flat = seen.reshape(-1)
-            flat[who] = c                                # the last of equal ones stays
-            only = flat[who] == c
-            r, c = r[only], c[only]
+            new = _only_new(i, new)
+            # A node seen before and out of the beam since is nearer to nothing now: it falls out again.
+            r, c = np.nonzero(new >= 0)
             v = np.full(new.shape, -3.0, np.float32)
-            v[r, c] = np.einsum("ij,ij->i", self.x[new[r, c]], q[live[r]])
-            new = np.where(v > -2.5, new, -1)
+            for k in range(0, len(r), 65536):
+                v[r[k:k + 65536], c[k:k + 65536]] = np.einsum("ij,ij->i", self.x[new[r[k:k + 65536], c[k:k + 65536]]], q[live[r[k:k + 65536]]])
             i, s = np.concatenate([i, new], axis=1), np.concatenate([s, v], axis=1)
             o = np.concatenate([o, np.zeros(new.shape, bool)], axis=1)
             best = np.argpartition(-s, beam - 1, axis=1)[:, :beam]
@@ -171,7 +167,16 @@ class Graph:
             order = np.argsort(-sim, axis=1, kind="stable")
             return order.astype(np.int32), np.take_along_axis(sim, order, 1)
         q = np.ascontiguousarray(q, np.float32)
-        block = max(1, CELLS // n)
         last = len(self.layers) - 1
-        parts = [self._beam(p, self._down(p, last), last, beam) for p in (q[i:i + block] for i in range(0, len(q), block))]
+        parts = [self._beam(p, self._down(p, last), last, beam) for p in (q[i:i + BLOCK] for i in range(0, len(q), BLOCK))]
         return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _only_new(held: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """``new`` with -1 for ids that its row holds already or names before."""
+    both = np.concatenate([held, new], axis=1)
+    order = np.argsort(both, axis=1, kind="stable")     # of equal ids the held one comes first
+    ranked = np.take_along_axis(both, order, 1)
+    again = np.zeros(both.shape, bool)
+    np.put_along_axis(again, order[:, 1:], ranked[:, 1:] == ranked[:, :-1], 1)
+    return np.where(again[:, held.shape[1]:], -1, new)
