@@ -1,3 +1,5 @@
+import pytest
+
 from tidemark.llm import htmltext as ht
 
 SF = "/root/testdata/sf0.01"
@@ -76,3 +78,57 @@ def test_a_teaser_on_the_top_path_does_not_hide_a_minor_template(spark):
     for paths in (8, 1):                                        # the minor paths among the winners, and beyond them
         for r in ht.extract(df, paths).collect():
             assert r["text"].split("\n\n") == ([str(r["page_id"])] if r["page_id"] < 10 else []) + want
+
+
+BODY = "".join(f"<p>{LONG} {k}</p>" for k in range(8))
+WANT = [f"{LONG} {k}" for k in range(8)]
+AROUND = "<div class='sidebar'><p>Old posts and so on stand here</p></div><nav><a href='/'>Home</a></nav>"
+
+
+def blocks(inner):
+    return text(f"<html><body>{AROUND}{inner}<footer>the end</footer></body></html>").split("\n\n")
+
+
+@pytest.mark.parametrize("name", ["page has-sidebar", "content no-comments", "post related-on", "entry with-share", "layout-sidebar-right",
+                                  "single comment-open", "social-science", "login-guide", "alert-level-article"])
+def test_a_class_that_only_contains_a_boilerplate_word_keeps_its_article(name):
+    assert blocks(f"<div class='{name}'>{BODY}</div>") == WANT
+    assert blocks(f"<div class='{name}'><div class='sidebar-widgets'><p>Side</p></div><div class='entry'>{BODY}</div></div>") == WANT
+    assert blocks(f"<article>{BODY}<div class='{name}'><p>small thing</p></div></article>") == WANT
+
+
+def test_a_body_in_one_form_is_read_and_small_forms_are_not():
+    assert text(f"<html><body><form action='/x'>{AROUND}<div class='c'>{BODY}</div></form></body></html>").split("\n\n") == WANT
+    assert blocks(f"<form class='search'><p>Find it</p></form><div class='c'>{BODY}</div>") == WANT
+
+
+def test_headline_and_lead_beside_the_body_belong_to_the_article():
+    for inner in (f"<article><h1>Head</h1><p>the lead</p><div class='body'>{BODY}</div></article>",
+                  f"<div class='story'><h1>Head</h1><p>the lead</p><div class='body'>{BODY}</div></div>"):
+        assert blocks(inner) == ["Head", "the lead", *WANT]
+    assert blocks(f"<article><header><h1>Head</h1></header><div class='body'>{BODY}</div></article>") == ["Head", *WANT]
+    assert blocks(f"<div class='x'><div class='teasers'><p>Read this too</p></div><div class='body'>{BODY}</div></div>") == WANT
+
+
+def test_named_parts_go_however_long_they_are():
+    for name in ("comments-area", "comments", "site-footer", "related-posts"):
+        assert blocks(f"<div class='x'>{BODY}</div><div class='{name}'>{BODY}{BODY}{BODY}</div>") == WANT
+        assert blocks(f"<div class='x'>{BODY}</div><div id='{name}'>{BODY}{BODY}</div>") == WANT
+
+
+def test_two_templates_per_host_with_the_headline_outside_the_body(spark):
+    one = [(i, "http://h/a", f"<html><body>{AROUND}<article class='a{i}'><h1>Head {i}</h1><p>lead {i}</p><div class='body'>{BODY}</div></article></body></html>")
+           for i in range(5)]
+    two = [(10 + i, "http://h/b", f"<html><body class='has-sidebar'>{AROUND}<div class='news with-share'><h2>Head {10 + i}</h2><p>lead {10 + i}</p>"
+            f"<div class='text'>{BODY}</div></div><div class='comment-list'><p>{LONG}</p></div></body></html>") for i in range(3)]
+    df = spark.createDataFrame(one + two, "page_id long, url string, html string").withColumnRenamed("html", "HTML")
+    for r in ht.extract(df).collect():
+        assert r["text"].split("\n\n") == [f"Head {r['page_id']}", f"lead {r['page_id']}", *WANT]
+
+
+def test_very_long_page_and_absent_column(spark):
+    long = "".join(f"<p>{LONG} {k}</p>" for k in range(20_000))
+    df = spark.createDataFrame([(1, "http://h", f"<html><body>{AROUND}<div class='no-comments'>{long}</div></body></html>")], "page_id long, url string, html string")
+    assert ht.extract(df).first()["n_chars"] == sum(len(f"{LONG} {k}") + 2 for k in range(20_000)) - 2
+    with pytest.raises(ValueError):
+        ht.extract(df.drop("html"))

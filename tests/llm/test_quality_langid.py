@@ -53,7 +53,7 @@ def test_quality_edges(spark):
     assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
     lab = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (9, 1, 1), (4, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     m = quality.fit(docs, lab, F.lit(True))
-    assert sorted(m.labels) == [0, 0, 1]                    # a repeated document is learned from as often
+    assert sorted(m.labels) == [0, 1]                       # a repeated document is learned from once
     assert quality.keep_good(docs.limit(0), m).count() == 0
     assert quality.fit(docs.limit(0), lab, F.lit(True)).scores(["x"])[0] == 1.0
 
@@ -80,3 +80,36 @@ def test_language_edges(spark):
     assert langid.predict(df.limit(0), m).count() == 0
     empty = langid.fit(spark.createDataFrame([], "text string, lang string"))
     assert empty.predict(["one two"])[0] == ["und"]
+
+
+def test_language_is_the_definition():
+    """Centroids are means of their clusters, the prediction the centroid of largest cosine (the first of equal
+    ones), rejected below its language's radius."""
+    rng = np.random.default_rng(4)
+    samples = {lang: ["".join(rng.choice(list(letters)) for _ in range(80)) for _ in range(30)]
+               for lang, letters in (("aa", "abcdef "), ("bb", "cdefgh "), ("cc", "xyzuvw "))}
+    texts = [t for ts in samples.values() for t in ts]
+    df = sum((langid.vector(t) > 0).astype(int) for t in texts)
+    m = langid.fit_model(samples, df, len(texts), centroids=3)
+    idf = ngrams.inverse(df, len(texts))
+    rows = {k: ngrams.tf_idf(ts, langid.vector, idf) for k, ts in samples.items()}
+    for k, lang in enumerate(m.langs):
+        mine = m.centroids[m.owner == k]
+        near = (rows[lang] @ mine.T).argmax(axis=1)
+        for c in range(len(mine)):
+            mean = rows[lang][near == c].sum(axis=0)
+            assert np.abs(mine[c] - mean / np.linalg.norm(mean)).max() < 1e-3
+    asked = [*texts[::7], "漢字 漢字", "abc xyz", "z" * 100_000]
+    pred, score, rejected = m.predict(asked)
+    for t, p, s, r in zip(asked, pred, score, rejected):
+        v = ngrams.tf_idf([t], langid.vector, idf)[0]
+        cos = m.centroids @ v
+        best = int(np.flatnonzero(cos == cos.max())[0])
+        assert p == m.langs[m.owner[best]] and abs(s - max(0.0, min(1.0, float(cos[best])))) < 1e-5
+        edge = m.radius[m.owner[best]]
+        assert r == (cos[best] < edge) or abs(cos[best] - edge) < 1e-6
+
+
+def test_equal_cosines_go_to_the_first_language():
+    m = langid.fit_model({"bb": ["same words here"], "aa": ["same words here"]}, np.ones(langid.WIDTH, int), 2)
+    assert m.predict(["same words here"])[0] == ["aa"]

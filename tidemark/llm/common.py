@@ -62,18 +62,32 @@ def share_below(h: Column, share: float | Column) -> Column:
     return (h.cast("double") + F.lit(2.0**63)) < F.lit(2.0**64) * share
 
 
+def resolve(df: DataFrame, name: str) -> str:
+    """The column of ``df`` called ``name``, found as Spark finds it (case does not matter unless the session
+    says so); ``ValueError`` if there is none or more than one, so no other column is read in its place."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    found = [c for c in df.columns if c == name or (not exact and c.lower() == name.lower())]
+    if len(found) != 1:
+        raise ValueError(f"{'no' if not found else 'more than one'} column {name!r} among {df.columns}")
+    return found[0]
+
+
 def bounded_sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
-    """The ``rows`` rows of smallest hash of ``by`` (all rows if there are fewer), in hash order.
+    """The ``rows`` rows of smallest hash of ``by``, in hash order: rows equal in ``by`` count once (all
+    distinct ones if there are fewer).
 
     A first cut by hash, set from the row count to let about twice as many through, keeps what
-    tasks send on near ``rows`` in total however many tasks there are.
+    tasks send on near ``rows`` in total however many tasks there are.  Where copies leave too few
+    behind the cut, it is widened until there are enough or all rows have passed.
     """
-    total = df.count()
-    hashed = df.withColumn(fresh(df, "_h"), F.xxhash64(*by))
-    h = hashed.columns[-1]
-    if total > 4 * rows:
-        hashed = hashed.where(share_below(F.col(h), (2.0 * rows + 100) / total))
-    return hashed.orderBy(h, *by).limit(rows).drop(h)
+    h = fresh(df, "_h")
+    hashed = df.withColumn(h, F.xxhash64(*by))
+    share = (2.0 * rows + 100) / max(1, df.count())
+    while share < 0.5 and hashed.where(share_below(F.col(h), share)).select(h).distinct().limit(rows).count() < rows:
+        share *= 8
+    if share < 0.5:
+        hashed = hashed.where(share_below(F.col(h), share))
+    return hashed.dropDuplicates([h]).orderBy(h, *by).limit(rows).drop(h)
 
 
 def salt(key: Column, n: int) -> Column:
@@ -81,20 +95,33 @@ def salt(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
+def within_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size of ``df`` is under the session's broadcast threshold."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def lookup(df: DataFrame, small: DataFrame, on: list[str], spread: Column, n_salts: int = 32,
            how: str = "left") -> DataFrame:
-    """Equi-join ``df`` with a table of at most one row per key, hot keys split.
+    """Equi-join ``df`` with a table of at most one row per key, hot keys split.  Keys compare null-safe.
 
-    ``small`` is copied ``n_salts`` times and ``df`` is dealt by (key, salt of ``spread``), so
-    a key holding a third of all rows still lands in ``n_salts`` tasks.  No broadcast is asked
-    for; the session's size-checked threshold decides.  Keys compare null-safe.
+    A ``small`` under the session's broadcast threshold (a written table: by its size) is joined as it is, so
+    Spark's own size-checked broadcast applies.  Beyond it ``small`` is copied ``n_salts`` times and ``df``
+    is dealt by (key, salt of ``spread``): a key holding a third of all rows still lands in ``n_salts`` tasks.
+    The copies are never broadcast, as the planner does not count them.
     """
-    df = df.drop("_salt")
-    left = df.withColumn("_salt", salt(spread, n_salts))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
-    right = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], F.col("_salt").alias("_r_salt"),
-                         *[c for c in small.columns if c not in on])
-    cond = left["_salt"] == right["_r_salt"]
-    for c in on:
-        cond = cond & left[c].eqNullSafe(right[f"_r_{c}"])
-    return left.join(right, cond, how).drop("_salt", "_r_salt", *[f"_r_{c}" for c in on])
+    keys = {c: fresh(df, f"_key_{i}") for i, c in enumerate(on)}
+    rest = [c for c in small.columns if c not in on]
+    right = small.select(*[F.col(c).alias(k) for c, k in keys.items()], *rest)
+    cond = F.lit(True)
+    for c, k in keys.items():
+        cond = cond & df[c].eqNullSafe(F.col(k))
+    if within_broadcast(small):
+        return df.join(right, cond, how).drop(*keys.values())
+    part, there = fresh(df, "_salt"), fresh(df, "_there")
+    left = df.withColumn(part, salt(spread, n_salts))
+    right = right.withColumn(there, F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1)))).hint("merge")
+    cond = F.col(part) == F.col(there)
+    for c, k in keys.items():
+        cond = cond & left[c].eqNullSafe(F.col(k))
+    return left.join(right, cond, how).drop(part, there, *keys.values())

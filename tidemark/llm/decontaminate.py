@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import resolve
+
 WIDTH = 10
 PART_BYTES = 4_000_000     # pattern text per automaton: some hundred MB of nodes in a worker
 RESULT = ["n_words", "n_hit", "items", "spans"]
@@ -106,7 +108,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, text: str =
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").alias("t"))
     n_bytes = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_parts = max(1, -(-n_bytes * (width + 1) // PART_BYTES))
-    docs = docs.drop(*RESULT)
+    docs, text = docs.drop(*RESULT), resolve(docs, text)
     names = docs.columns
     for part in range(n_parts):
         mine = items.where(F.pmod(F.xxhash64("i"), F.lit(n_parts)) == part).collect()

@@ -1,8 +1,9 @@
 """Main text of web pages by consensus host paths (operator 9).
 
 1. Every page is read into elements and text blocks; containers are scored by the text that
-   stands in them outside links (half of it counts for the next container up).  The page votes
-   for the path of its best container: tags with classes from the root, numbers generalised.
+   stands in them outside links (half of it counts for the next container up).  The best one is widened
+   to an article around it, and to its parent while that adds text of its own (a headline, a lead).  The page
+   votes for its path: tags with classes from the root, numbers generalised.
 2. Spark counts the votes per (host, path), partial sums first, and keeps each host's
    ``PATHS`` best paths (most votes, then path text).
 3. Every page is read again and its blocks are taken from the elements on the first winning path
@@ -10,7 +11,10 @@
    uses its own best container.
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and reader comments
-are left out by tag, role and class wherever they stand.  Block text has its character references
+are left out by tag, role and class wherever they stand.  A class names one of these if all its words do
+(``site-footer``, ``comments-area``); then its element goes, unless an article in it holds most of the page's
+text.  Where only a word of a class does (``has-sidebar``, ``no-comments``), or the tag is a form, the
+element goes unless it holds most of the page's text itself.  Block text has its character references
 decoded and its white space joined to single spaces; blocks are joined by two line feeds.
 
 The winning paths are written as a small table first: under the session's size-checked threshold
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, lookup, scratch
+from tidemark.llm.common import fresh, lookup, resolve, scratch
 
 PATHS = 8                  # winning paths kept per host; other pages use their own best container
 SHARE = 0.25               # of a path's usual text that a page must hold there to be read by it
@@ -45,13 +49,19 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
                    "strike strong sub sup time tt u var picture map td th img wbr".split())
 CONTAINERS = frozenset("article body div main section td center blockquote html".split())
-OUT_TAGS = frozenset("head title nav footer aside form script style noscript iframe button select textarea template svg dialog menu "
+OUT_TAGS = frozenset("head title nav footer aside script style noscript iframe button select textarea template svg dialog menu "
                      "object canvas audio video input".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 OUT_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar "
                       "navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer masthead topbar cookie cookies consent gdpr "
                       "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments disqus reply "
                       "replies respond share sharing social related recommended pagination pager copyright toolbar form".split())
+# Words that a class adds to one of the above without changing what it names.
+PLAIN_WORDS = frozenset("area bar block body bottom box btn button buttons center col column container content fixed global group header holder icon "
+                        "icons inner item items large left level line link links list lists main mobile outer page panel post posts primary "
+                        "region right row secondary section site slot small sticky text thread title top unit wrap wrapper zone".split())
+HEADLINES = frozenset("h1 h2".split())
+MOST = 0.5                 # of the page's text outside links
 _ENDS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr", ("table",)),
          "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 
@@ -62,25 +72,36 @@ class Page:
     def __init__(self, source: str | None):
         self.parent, self.path, self.out, self.tag = [-1], [""], [False], [""]
         self.blocks: list[tuple[int, str, int]] = []           # owner element, text, characters in links
+        self.doubts: dict[int, str] = {}                       # elements that their class or tag may leave out
         self._read(source or "")
+        self._settle()
 
     def _open(self, tag: str, attributes: str, at: int) -> int:
-        name, out = tag, self.out[at]
+        name, out, doubt = tag, self.out[at], ""
         if attributes and not attributes.isspace():
             found = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attributes)}
             classes = sorted(set(_NUMBER.sub("#", found.get("class", "")).split()))
             name = ".".join([tag, *classes])
             if not out and tag not in ("html", "body", "main"):
-                words = {w.lower() for w in _HINT_WORD.findall(found.get("class", "") + " " + found.get("id", ""))}
-                out = (not OUT_WORDS.isdisjoint(words) or found.get("role", "").lower() in OUT_ROLES or "hidden" in found
-                       or ("header" in words and not self._in_article(at)))
+                out = found.get("role", "").lower() in OUT_ROLES or "hidden" in found
+                doubt = max((self._named(c, at) for c in [*found.get("class", "").split(), found.get("id", "")]), default="")
         out = out or tag in OUT_TAGS or (tag == "header" and not self._in_article(at))
         self.parent.append(at)
         self.path.append(f"{self.path[at]}>{name}")
         self.out.append(out)
         self.tag.append(tag)
+        if not out and (doubt or tag == "form"):
+            self.doubts[len(self.parent) - 1] = doubt or "form"
         return len(self.parent) - 1
 
+    def _named(self, name: str, at: int) -> str:
+        """Whether a class or id names something to leave out: ``whole``, in ``part`` only, or not ("")."""
+        words = [w.lower() for w in _HINT_WORD.findall(name)]
+        named = [w in OUT_WORDS or (w == "header" and not self._in_article(at)) for w in words]
+        if not any(named):
+            return ""
+        return "whole" if all(n or w in PLAIN_WORDS for n, w in zip(named, words)) else "part"
+
     def _in_article(self, at: int) -> bool:
         while at > 0:
             if self.tag[at] in ("article", "main"):
@@ -171,8 +192,68 @@ class Page:
                     pos = end.start() if end else len(source)
         flush()
 
+    def _settle(self) -> None:
+        """Leave out the doubtful elements that do not hold most of the page's text, and what is in them."""
+        if not self.doubts:
+            return
+        held, article = [0] * len(self.parent), [0] * len(self.parent)
+        for owner, text, links in self.blocks:
+            worth, up, inside = max(0, len(text) - 2 * links), owner, 0
+            while up > 0:
+                held[up] += worth
+                inside = worth if self.tag[up] == "article" else inside
+                if up in self.doubts:
+                    article[up] += inside
+                up = self.parent[up]
+        # what is named as a whole does not count as the page's text, unless an article stands in it
+        named = [i for i, d in self.doubts.items() if d == "whole"]
+        outer = [i for i in named if not self._under(i, set(named))]
+        total = sum(max(0, len(t) - 2 * links) for _, t, links in self.blocks) - sum(held[i] - article[i] for i in outer)
+        for i, doubt in self.doubts.items():
+            mine = article[i] if doubt == "whole" else held[i]
+            if total <= 0 or mine < MOST * total:
+                self.out[i] = True
+        for i in range(1, len(self.parent)):
+            self.out[i] = self.out[i] or self.out[self.parent[i]]
+        self.blocks = [b for b in self.blocks if not self.out[b[0]]]
+
+    def _under(self, at: int, some: set[int]) -> bool:
+        at = self.parent[at]
+        while at > 0:
+            if at in some:
+                return True
+            at = self.parent[at]
+        return False
+
     def best(self) -> int:
-        """The container that holds most text outside links."""
+        """The container that holds most text outside links, widened to what belongs to it."""
+        return self._widened(self._densest())
+
+    def _widened(self, at: int) -> int:
+        own: dict[int, list[tuple[str, int, bool]]] = {}       # blocks by the container they stand in directly
+        for owner, text, links in self.blocks:
+            up = owner
+            while up > 0 and self.tag[up] not in CONTAINERS:
+                up = self.parent[up]
+            own.setdefault(up, []).append((text, links, self.tag[owner] in HEADLINES))
+        wide, up = at, self.parent[at] if at > 0 else 0
+        while up > 0:
+            mine = [b for b in own.get(up, []) if len(b[0]) > 2 * b[1]]
+            if self.tag[up] == "article" or (mine and (self.tag[up] not in ("body", "html") or any(b[2] for b in mine))):
+                wide = up
+            elif self.tag[up] in CONTAINERS and not self._article_above(up):
+                break
+            up = self.parent[up]
+        return wide
+
+    def _article_above(self, at: int) -> bool:
+        while at > 0:
+            if self.tag[at] == "article":
+                return True
+            at = self.parent[at]
+        return False
+
+    def _densest(self) -> int:
         score: dict[int, float] = {}
         for owner, text, links in self.blocks:
             worth, up = float(max(0, len(text) - 2 * links)), owner
@@ -244,15 +325,16 @@ def winners(cast: DataFrame, paths: int = PATHS) -> DataFrame:
 def extract(pages: DataFrame, paths: int = PATHS, drop_html: bool = True) -> DataFrame:
     """``pages`` (page_id, url, html, ...) with ``text`` and ``n_chars`` (code points)."""
     pages = pages.drop("text", "n_chars")
+    source_column = resolve(pages, "html")
     at, won_paths, won_usual = fresh(pages, "_host"), fresh(pages, "_paths"), fresh(pages, "_usual")
     won = scratch(winners(votes(pages), paths), "html-paths")
     won = won.select(F.col("host").alias(at), F.col("paths").alias(won_paths), F.col("usual").alias(won_usual))
     known = lookup(pages.withColumn(at, host(F.col("url"))), won, [at], F.xxhash64("url", "page_id"))
-    names = [c for c in pages.columns if not (drop_html and c == "html")]
+    names = [c for c in pages.columns if not (drop_html and c == source_column)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            source, ways = b.column(b.schema.get_field_index("html")), b.column(b.schema.get_field_index(won_paths))
+            source, ways = b.column(b.schema.get_field_index(source_column)), b.column(b.schema.get_field_index(won_paths))
             usual = b.column(b.schema.get_field_index(won_usual))
             texts = [Page(h.as_py()).text(w.as_py() or [], u.as_py()) for h, w, u in zip(source, ways, usual)]
             yield pa.RecordBatch.from_arrays(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
-from tidemark.llm.common import share_below
+from tidemark.llm.common import lookup, resolve, scratch, share_below
 
 BITS = 12
 WIDTH = 2 << BITS
@@ -98,14 +98,18 @@ def fit_model(samples: dict[str, list[str]], df: np.ndarray, n: int, centroids:
 
 def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTROIDS) -> Model:
     """Learn from ``train`` (text, lang): document counts over all its rows, centroids from the
-    ``sample_rows`` rows of smallest text hash per language (a documented bound)."""
+    ``sample_rows`` different texts of smallest hash per language (a documented bound; the model is that bound
+    times the languages, which are collected with it)."""
     train = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
     df, n = ngrams.document_counts(train, WIDTH, vector)
-    # a first cut by hash lets about twice sample_rows of each language through, however many tasks
-    total = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}    # one row per language
-    share = F.create_map(*[F.lit(x) for lang, c in total.items() for x in (lang, min(1.0, (2.0 * sample_rows + 100) / c))])[F.col("lang")] if total else F.lit(1.0)
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (train.withColumn("h", F.xxhash64("text")).where(share_below(F.col("h"), share)).withColumn("r", F.row_number().over(first))
+    # Copies count once.  A first cut by hash lets about twice sample_rows texts of each language through,
+    # however many tasks; a language of few texts passes whole.
+    hashed = train.withColumn("h", F.xxhash64("text"))
+    texts = hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    share = F.lit(2.0 * sample_rows + 100) / F.col("texts")
+    passed = lookup(hashed, scratch(texts, "lang-texts"), ["lang"], F.col("h")).where((share >= 1) | share_below(F.col("h"), share))
+    first = Window.partitionBy("lang").orderBy("h")
+    sample = (passed.groupBy("lang", "h").agg(F.min("text").alias("text")).withColumn("r", F.row_number().over(first))
               .where(F.col("r") <= sample_rows).select("lang", "text").orderBy("lang", "text").collect())
     by_lang: dict[str, list[str]] = {}
     for r in sample:
@@ -115,7 +119,7 @@ def fit(train: DataFrame, sample_rows: int = SAMPLE_ROWS, centroids: int = CENTR
 
 def predict(docs: DataFrame, model: Model, text: str = "text", drop_text: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` (string), ``score`` (cosine, 0 to 1) and ``rejected`` (boolean)."""
-    docs = docs.drop(*RESULT)
+    docs, text = docs.drop(*RESULT), resolve(docs, text)
     kept = [c for c in docs.columns if not (drop_text and c == text)]
     shared = docs.sparkSession.sparkContext.broadcast(model)       # bounded: centroids x features
 

@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
-from tidemark.llm.common import bounded_sample
+from tidemark.llm.common import bounded_sample, resolve
 
 BITS, STYLE = 12, 64
 WIDTH = (1 << BITS) + STYLE
 SAMPLE_ROWS = 3000         # labelled rows learned from
 DIMS = 64
-NEIGHBOURS = 15            # at most; one in fifty of a smaller sample, three at least
+NEIGHBOURS = 15            # at every size of the sample (all of a smaller one)
 BLOCK = 256                # documents per matrix product
 STYLE_WEIGHT = 0.35        # of each style term, beside trigrams of length 1
 _IS_UPPER = np.array([65 <= c <= 90 for c in range(256)], np.uint8)
@@ -93,9 +93,8 @@ class Model:
 
 
 def fit_model(texts: list[str | None], labels: list[int], df: np.ndarray, n: int, dims: int = DIMS,
-              neighbours: int | None = None, seed: int = 8) -> Model:
+              neighbours: int = NEIGHBOURS, seed: int = 8) -> Model:
     """Latent space and labelled points from a sample (randomised truncated SVD)."""
-    neighbours = neighbours or min(NEIGHBOURS, max(3, len(labels) // 50))
     idf = ngrams.inverse(df, n)
     rows = weighted(texts, idf)
     y = np.array(labels, np.float64)
@@ -126,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: "object", sample_rows: int
 
 def score(docs: DataFrame, model: Model, text: str = "text", drop_text: bool = False, to: str = "score") -> DataFrame:
     """``docs`` with the score in column ``to`` (double)."""
-    docs = docs.drop(to)
+    docs, text = docs.drop(to), resolve(docs, text)
     kept = [c for c in docs.columns if not (drop_text and c == text)]
     shared = docs.sparkSession.sparkContext.broadcast(model)       # bounded: sample_rows x dims and features x dims
 
@@ -144,5 +143,5 @@ def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """``docs`` without the documents scored under ``least``; columns as they are."""
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    text = f"c{[n.lower() for n in names].index('text')}"
+    text = f"c{names.index(resolve(docs, 'text'))}"
     return score(plain, model, text=text).where(F.col("score") >= least).drop("score").toDF(*names)

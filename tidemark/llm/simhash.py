@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, scratch
+from tidemark.llm.common import fresh, resolve, scratch
 from tidemark.llm.graph import components
 
 HOT_HOMES = 2048          # homes at one anchor beyond which it is dealt out by the other half's bytes
@@ -60,7 +60,7 @@ def fingerprint(text: str | None, k: int = 3) -> int:
 
 def with_fingerprints(docs: DataFrame, k: int = 3, text: str = "text", to: str = "fp") -> DataFrame:
     """``docs`` with the fingerprint as a signed long in column ``to`` (replaced if there)."""
-    docs = docs.drop(to)
+    docs, text = docs.drop(to), resolve(docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
