@@ -81,3 +81,19 @@ def test_console_sink_starts(spark):
     q = sinks.console(s, "agg").option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start()
     q.awaitTermination()
     assert q.exception() is None and q.name == "agg"
+
+
+def test_staging_table_follows_the_query_and_the_epoch():
+    from tidemark.sinks.sinks import stage_table
+    a, b = "0f1e2d3c-4b5a-6978-8796-a5b4c3d2e1f0", "aaaaaaaa-4b5a-6978-8796-a5b4c3d2e1f0"
+    assert stage_table("t", a, 3) == stage_table("t", a, 3) == "t_stage_0f1e2d3c4b5a_3"
+    assert len({stage_table("t", a, 3), stage_table("t", a, 4), stage_table("t", b, 3), stage_table("u", a, 3)}) == 4
+
+
+def test_promised_unique_keys_can_be_checked(spark):
+    import pytest
+    from tidemark.operators.matching import require_unique
+    ok = spark.createDataFrame([(1,), (2,), (None,), (None,)], "k int")
+    assert require_unique(ok, "k") is ok
+    with pytest.raises(ValueError, match="2 times"):
+        require_unique(ok.unionByName(ok.where("k = 2")), "k")

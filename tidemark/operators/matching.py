@@ -70,10 +70,22 @@ def _sides(L: DataFrame, R: DataFrame, l_ts: str, r_ts: str, lower: str, upper:
     return L, R, F.col("_b") == F.col("_rb")
 
 
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """``df``, if no two of its rows share a (non-null) ``key``; else ``ValueError`` naming one that they do.
+
+    One aggregation of the keys.  Call it once where a table's key is not known to be unique, before
+    ``left_unique=True``: that promise is taken as given, and a repeated key would give wrong pairs."""
+    twice = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{key} is not unique: {twice[0][0]!r} comes {twice[0][1]} times")
+    return df
+
+
 def interval_join(left: DataFrame, right: DataFrame, key: str, lower: str, upper: str,
                   ts: str = "ts", lp: str = "p_", rp: str = "r_", width: int | None = None,
                   left_unique: bool = False, spread: str = "right") -> DataFrame:
-    """Inner interval join; columns are prefixed ``lp`` / ``rp``."""
+    """Inner interval join; columns are prefixed ``lp`` / ``rp``.  ``left_unique`` promises that no left key
+    repeats (see :func:`require_unique`)."""
     L, R, met = _sides(_prefixed(left, lp), _prefixed(right, rp), lp + ts, rp + ts, lower, upper, width, left_unique, spread)
     cond = ((F.col(lp + key) == F.col(rp + key)) & met
             & _in_interval(F.col(lp + ts), F.col(rp + ts), lower, upper))

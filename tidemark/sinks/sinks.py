@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -60,6 +59,12 @@ def merge_statement(table: str, stage: str, key: list[str], version: str, cols:
             f"VALUES ({', '.join('s.' + n for n in names)})")
 
 
+def stage_table(table: str, query_id: str | None, epoch: int) -> str:
+    """The staging table of a micro-batch.  The id is the checkpoint's, so a restarted query writes over what a
+    crash left, and two queries never share a table."""
+    return f"{table}_stage_{(query_id or 'batch').replace('-', '')[:12]}_{epoch}"
+
+
 def jdbc_upsert_writer(url: str, table: str, key: list[str], version: str, cols: list[str],
                        properties: dict | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer doing staging write + one MERGE per micro-batch.
@@ -71,12 +76,10 @@ def jdbc_upsert_writer(url: str, table: str, key: list[str], version: str, cols:
     the stored row when it is newer than the incoming one.
     """
     props = dict(properties or {})
-    run = uuid.uuid4().hex[:12]
 
     def _write(df: DataFrame, epoch_id: int) -> None:
         staged = upsert_rows(df, key, version, cols)
-        # a staging table per query (by its table and checkpointed run) and epoch: writers never share one
-        stage = f"{table}_stage_{run}_{epoch_id}"
+        stage = stage_table(table, df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), epoch_id)
         staged.write.jdbc(url, stage, mode="overwrite", properties=props)
         merge = merge_statement(table, stage, key, version, cols)
         jvm = df.sparkSession.sparkContext._jvm

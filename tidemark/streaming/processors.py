@@ -7,7 +7,8 @@ milliseconds, LONG); nothing depends on a time zone.
 
 Late rows are never dropped unseen: the time column that carries the watermark is
 not passed on to the processor, so Spark does not filter by it, and a row at or
-behind the watermark comes out with the tag ``late`` (or ``late_<side>``).
+behind the watermark comes out with the tag ``late`` (or ``late_<side>``).  So does a row without an
+event time (its time null); a missing ``seq`` counts as 0.
 
 State per key: the waiting rows (list state, appended to, read and rewritten once
 per release) and one packed value with everything else, the pending timer
@@ -22,8 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.functions.eventtime import ASCENDING, END, keep_for_watermark, watermark
+from tidemark.functions.eventtime import ASCENDING, END, watermark
 from tidemark.operators import limits, patterns
+from tidemark.operators.ordered import LOOKAHEAD
 from tidemark.operators.windows import seconds
 
 DAY_MS = 86_400_000
@@ -35,8 +37,18 @@ def _frame(batches) -> pd.DataFrame:
     return (parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)) if parts else pd.DataFrame()
 
 
+# Stands for a missing event time inside a processor: behind every watermark, so such rows come out ``late``.
+NO_TIME = -(1 << 62)
+
+
 def _with_ms(stream: DataFrame, ts: str, delay: str) -> DataFrame:
-    return watermark(stream, ts, delay).withColumn("ts_ms", F.unix_millis(F.col(ts)))
+    s = watermark(stream, ts, delay).withColumn("ts_ms", F.coalesce(F.unix_millis(F.col(ts)), F.lit(NO_TIME)))
+    return s.withColumn("seq", F.coalesce(F.col("seq"), F.lit(0)).cast("long")) if "seq" in s.columns else s
+
+
+def _timed(out: DataFrame, *cols: str) -> DataFrame:
+    """Missing event times as nulls again."""
+    return out.withColumns({c: F.nullif(F.col(c), F.lit(NO_TIME)) for c in cols})
 
 
 def _typed(rows: list[tuple], cols: list[str], types: dict) -> pd.DataFrame:
@@ -153,6 +165,22 @@ class _Released(StatefulProcessor):
         """Nothing is held outside the state store."""
 
 
+def _copies(pdf: pd.DataFrame) -> pd.Series:
+    return pdf["copy"].astype(bool) if "copy" in pdf else pd.Series(False, index=pdf.index)
+
+
+def _split_by_time(s: DataFrame, key: str, within_ms: int) -> DataFrame:
+    """Rows with ``bucket`` and ``copy``: a key's rows are dealt out by time, and a row near the start of its
+    bucket goes to the bucket before as well, as a copy that may end a pattern there but starts none.  The
+    stream form of ``operators.ordered.next_within``: what is ahead by at most the limit is in the same bucket."""
+    width = max(1, within_ms) * LOOKAHEAD
+    own = F.floor(F.col("ts_ms") / width).cast("long")
+    here, before = (F.struct(b.alias("bucket"), F.lit(c).alias("copy")) for b, c in ((own, False), (own - 1, True)))
+    early = F.col("ts_ms") - own * width <= within_ms
+    return s.withColumn("_to", F.explode(F.when(early, F.array(here, before)).otherwise(F.array(here)))).select(
+        *s.columns, "_to.bucket", "_to.copy")
+
+
 # ---------------------------------------------------------------- ST5 order machine
 
 class OrderMachine(_Released):
@@ -236,9 +264,9 @@ def order_outcomes_stream(stream: DataFrame, deadline: str, key: str = "order_id
     s = _with_ms(stream, ts, delay).select(F.col(key).alias("order_id"), "event_type", "ts_ms", "seq")
     proc = OrderMachine(seconds(deadline) * 1000, seconds(pay_wait) * 1000 if pay_wait else None,
                         seconds(retention) * 1000 if retention else None)
-    return s.groupBy("order_id").transformWithStateInPandas(
+    return _timed(s.groupBy("order_id").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=f"order_id {_type(s, 'order_id')}, result STRING, ts_ms LONG",
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime"), "ts_ms")
 
 
 # ---------------------------------------------------------------- ST1-ST3 click cap
@@ -333,11 +361,7 @@ class ClickCapNow(StatefulProcessor):
         if best is None or not len(best):
             return
         if got is None:
-            if self.processing_reset:
-                now = timerValues.getCurrentProcessingTimeInMs()
-                self.handle.registerTimer((now // DAY_MS + 1) * DAY_MS)
-            else:
-                self.handle.registerTimer((int(key[2]) + 1) * DAY_MS + self.grace_ms)
+            self.begin(key, timerValues)
         out = [best[self.cols].head(room).assign(tag="pass", msg=None)]
         if not warned and len(best) > room:
             out.append(best[self.cols].iloc[room:].assign(tag="warning", msg=limits.WARNING_TEXT.format(cap=self.cap)))
@@ -345,6 +369,13 @@ class ClickCapNow(StatefulProcessor):
         self.state.update((n + min(room, len(best)), bool(warned)))
         yield pd.concat(out, ignore_index=True)
 
+    def begin(self, key, timerValues) -> None:
+        if self.processing_reset:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer((now // DAY_MS + 1) * DAY_MS)
+        else:
+            self.handle.registerTimer((int(key[2]) + 1) * DAY_MS + self.grace_ms)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.state.clear()
         return iter(())
@@ -353,18 +384,38 @@ class ClickCapNow(StatefulProcessor):
         """Nothing is held outside the state store."""
 
 
+class ClickCapTtl(ClickCapNow):
+    """The same per (user, ad, UTC day of the click), with state that expires ``ttl_ms`` after the key's last
+    change: the store drops it by itself, no timer is set."""
+
+    def __init__(self, cap: int, cols: list[str], ttl_ms: int):
+        super().__init__(cap, cols)
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("packed", "n LONG, warned BOOLEAN", self.ttl_ms)
+
+    def begin(self, key, timerValues) -> None:
+        """Nothing to set."""
+
+
 def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = ASCENDING,
-                     grace: str = "0 seconds", reset: str = "event", decide: str = "event") -> DataFrame:
+                     grace: str = "0 seconds", reset: str = "event", decide: str = "event", ttl: str = "2 days") -> DataFrame:
     """Q10 on a stream: all input columns with ``ts_ms``, ``tag`` (``pass`` / ``warning`` / ``late``)
     and ``msg`` (one query, split by tag, ST13).
 
     ``reset='event'`` (default, D7) keys the state by the event's UTC day and clears it with an
     event-time timer.  ``decide='event'`` waits for the watermark, so arrival order does not matter;
     ``decide='arrival'`` answers at once and keeps the event time, so windowed counts can follow in
-    the same query.  ``reset='processing'`` keys by (user, ad) only and clears at the next wall-clock
+    the same query (rows without an event time are left out there).  ``reset='processing'`` keys by (user, ad) only and clears at the next wall-clock
     UTC midnight (ST8), as the reference does, at the price of answers that depend on when it runs.
+    ``reset='ttl'`` decides at once per event day and lets the state expire ``ttl`` of wall-clock time after the
+    key's last click (ST3): a day must be over for longer than that before late clicks of it start anew.
     """
     s = _with_ms(stream, ts, delay)
+    if reset in ("processing", "ttl") or decide == "arrival":           # decided now, by a time there must be
+        s = s.where(F.col("ts_ms") != NO_TIME)
     names = list(s.columns)
     types = [f"`{c}` {_type(s, c)}" for c in names]
     out = ", ".join(types) + ", tag STRING, msg STRING"
@@ -373,6 +424,9 @@ def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = A
             statefulProcessor=ClickCapNow(cap, names, processing_reset=True), outputStructType=out,
             outputMode="Append", timeMode="ProcessingTime")
     s = s.withColumn("day", F.floor(F.col("ts_ms") / DAY_MS).cast("long"))
+    if reset == "ttl":
+        return s.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
+            statefulProcessor=ClickCapTtl(cap, names, seconds(ttl) * 1000), outputStructType=out, outputMode="Append", timeMode="ProcessingTime")
     if decide == "arrival":
         return s.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
             statefulProcessor=ClickCapNow(cap, names, seconds(grace) * 1000), outputStructType=out,
@@ -384,7 +438,7 @@ def click_cap_stream(stream: DataFrame, cap: int, ts: str = "ts", delay: str = A
     got = plain.groupBy("user_id", "ad_id", "day").transformWithStateInPandas(
         statefulProcessor=ClickCap(cap, kinds, f"w_ms LONG, w_seq LONG, {typed}", seconds(grace) * 1000),
         outputStructType=f"{typed}, tag STRING, msg STRING", outputMode="Append", timeMode="EventTime")
-    return _from_micros(got, _stamps(s, names))
+    return _timed(_from_micros(got, _stamps(s, names)), "ts_ms")
 
 
 # ---------------------------------------------------------------- ST4 login failures
@@ -393,9 +447,9 @@ class LoginFailPairs(_Released):
     """Two failures in a row per user less than ``within`` apart, in event-time order (ST4, C7).
 
     Only the time of the last released row is carried, and only if it is a failure that can
-    still pair."""
+    still pair.  A copy from the next bucket ends a pair here and starts none."""
 
-    held = "ts_ms LONG, seq LONG, fail BOOLEAN"
+    held = "ts_ms LONG, seq LONG, fail BOOLEAN, copy BOOLEAN"
     packed = "last LONG"
     start = (None,)
 
@@ -403,34 +457,38 @@ class LoginFailPairs(_Released):
         self.within_ms, self.message = within_ms, message
 
     def rows_of(self, pdf):
-        return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(), (pdf["event_type"] == "fail").tolist()))
+        return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(), (pdf["event_type"] == "fail").tolist(),
+                        _copies(pdf).tolist()))
 
     def late(self, key, pdf):
-        return self.frame([(key[0], int(t), None, LATE) for t in pdf["ts_ms"]])
+        return self.frame([(key[0], int(t), None, LATE) for t in pdf["ts_ms"][~_copies(pdf)]])
 
     def frame(self, rows):
         return _typed(rows, ["user_id", "first_fail_ms", "last_fail_ms", "warning"], {"first_fail_ms": "Int64", "last_fail_ms": "Int64"})
 
     def release(self, key, ready, rest, t):
         out, last = [], rest[0]
-        for ts, _, fail in ready:
+        for ts, _, fail, copy in ready:
             if fail and last is not None and ts - last < self.within_ms:
                 out.append((key[0], last, ts, self.message))
-            last = ts if fail else None
+            last = ts if fail and not copy else None
         # once the watermark is past last + limit no later row can pair with it
         rest[0] = last if last is not None and last + self.within_ms > t else None
         return out, rest[0] + self.within_ms if rest[0] is not None else None
 
 
 def login_fail_stream(stream: DataFrame, within: str, ts: str = "ts", delay: str = ASCENDING,
-                      message: str = patterns.LOGIN_WARNING) -> DataFrame:
+                      message: str = patterns.LOGIN_WARNING, split: bool = True) -> DataFrame:
     """Q11 on a stream: input (user_id, event_type, ts, seq) -> (user_id, first_fail_ms, last_fail_ms,
-    warning); warning ``late`` marks rows behind the watermark (their time in first_fail_ms)."""
+    warning); warning ``late`` marks rows behind the watermark (their time in first_fail_ms).
+
+    ``split`` keys the state by (user, time bucket), so a hot user is spread over its buckets."""
     s = _with_ms(stream, ts, delay).select("user_id", "event_type", "ts_ms", "seq")
-    return s.groupBy("user_id").transformWithStateInPandas(
+    s = _split_by_time(s, "user_id", seconds(within) * 1000) if split else s.withColumns({"bucket": F.lit(0).cast("long"), "copy": F.lit(False)})
+    return _timed(s.groupBy("user_id", "bucket").transformWithStateInPandas(
         statefulProcessor=LoginFailPairs(seconds(within) * 1000, message),
         outputStructType=f"user_id {_type(s, 'user_id')}, first_fail_ms LONG, last_fail_ms LONG, warning STRING",
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime"), "first_fail_ms")
 
 
 # ---------------------------------------------------------------- C1-C7 two-step pattern
@@ -440,7 +498,8 @@ class TwoStepPattern(_Released):
 
     Released rows are walked once in order.  The state is the times of undecided starts: a
     start is decided by the next row (strict) or the next ``second`` row (relaxed), or when the
-    watermark passes its limit.  Rows that start nothing leave no state behind.
+    watermark passes its limit.  Rows that start nothing leave no state behind.  Copies from the next
+    bucket start nothing.
     """
 
     held = "ts_ms LONG, seq LONG, first BOOLEAN, second BOOLEAN"
@@ -453,10 +512,10 @@ class TwoStepPattern(_Released):
     def rows_of(self, pdf):
         kind = pdf["event_type"]
         return list(zip(pdf["ts_ms"].astype(int).tolist(), pdf["seq"].astype(int).tolist(),
-                        (kind == self.first).tolist(), (kind == self.second).tolist()))
+                        ((kind == self.first) & ~_copies(pdf)).tolist(), (kind == self.second).tolist()))
 
     def late(self, key, pdf):
-        return self.frame([(key[0], int(t), None, LATE) for t in pdf["ts_ms"]])
+        return self.frame([(key[0], int(t), None, LATE) for t in pdf["ts_ms"][~_copies(pdf)]])
 
     def frame(self, rows):
         return _typed(rows, ["key", "start_ms", "end_ms", "outcome"], {"start_ms": "Int64", "end_ms": "Int64"})
@@ -480,19 +539,23 @@ class TwoStepPattern(_Released):
 
 
 def pattern_stream(stream: DataFrame, key: str, first: str, second: str, within: str,
-                   strict: bool = False, ts: str = "ts", delay: str = ASCENDING) -> DataFrame:
+                   strict: bool = False, ts: str = "ts", delay: str = ASCENDING, split: bool = True) -> DataFrame:
     """C1-C7 on a stream: input (key, event_type, ts, seq) -> (key, start_ms, end_ms, outcome);
-    outcome ``late`` marks rows behind the watermark (their time in start_ms)."""
+    outcome ``late`` marks rows behind the watermark (their time in start_ms).
+
+    ``split`` keys the state by (key, time bucket), so a hot key is spread over its buckets."""
     s = _with_ms(stream, ts, delay)
     if not strict:
         # Only starts and partners matter under relaxed contiguity: drop the rest
         # JVM-side, in a filter that still lets them move the watermark.
-        s = s.where(keep_for_watermark(F.col("event_type").isin(first, second), ts))
+        # Rows without a time pass too, to come out late.
+        s = s.where(F.when(F.col(ts).isNull(), F.lit(True)).otherwise(F.col("event_type").isin(first, second)))
     s = s.select(F.col(key).alias("key"), "event_type", "ts_ms", "seq")
-    return s.groupBy("key").transformWithStateInPandas(
+    s = _split_by_time(s, "key", seconds(within) * 1000) if split else s.withColumns({"bucket": F.lit(0).cast("long"), "copy": F.lit(False)})
+    return _timed(s.groupBy("key", "bucket").transformWithStateInPandas(
         statefulProcessor=TwoStepPattern(first, second, seconds(within) * 1000, strict),
         outputStructType=f"key {_type(s, 'key')}, start_ms LONG, end_ms LONG, outcome STRING",
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime"), "start_ms")
 
 
 # ---------------------------------------------------------------- J2-J4 one-to-one matching
@@ -600,4 +663,4 @@ def one_to_one_stream(pays: DataFrame, receipts: DataFrame, key: str, lower: str
         statefulProcessor=OneToOneMatch(lo, hi, types, f"ts_ms LONG, seq LONG, side STRING, {payload}"),
         outputStructType=f"tx_id {_type(u, 'tx_id')}, pay_ms LONG, receipt_ms LONG, tag STRING, {payload}",
         outputMode="Append", timeMode="EventTime")
-    return _from_micros(got, stamps)
+    return _timed(_from_micros(got, stamps), "pay_ms", "receipt_ms")
