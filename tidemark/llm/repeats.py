@@ -316,7 +316,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     # anchors that come more than once, and their segments
     anchors = (cut.groupBy("key").agg(F.count("*").alias("t"), F.min("s1").alias("a"), F.max("s1").alias("b"))
                .where("t > 1").select("key", (F.col("a") != F.col("b")).alias("several")))
-    near = scratch(cut.join(anchors, "key"), "repeat-candidates")
+    # Written first: the join then has its own exchange, and adaptive execution splits a very common anchor.
+    near = scratch(cut.join(scratch(anchors, "repeat-anchors"), "key"), "repeat-candidates")
     kinds = (near.groupBy("key", "s1", "s2", "several")
              .agg(F.count("*").alias("times"), F.max("n").alias("n"), F.min(F.struct("d1", "d2", "at")).alias("where")))
     kinds = scratch(kinds, "repeat-kinds")
