@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_sample
+from tidemark.llm.common import bounded_sample, resolve
 
 KINDS = ("assign", "access", "hex", "crf")
 SAMPLE_DOCS = 100
@@ -325,6 +325,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 2) -> Field
     return train(*training_set([r["text"] for r in sample], seed))
 
 
+_SOLID = re.compile(rb"[0-9A-Za-z\x80-\xff]")
+
+
 # ---- the operator --------------------------------------------------------------------------
 
 def _code_points(data: bytes, spans: list[tuple[int, int, int]]) -> list[dict]:
@@ -342,14 +345,20 @@ def scan_texts(field: Field, texts: list[bytes]) -> list[list[dict]]:
     np.maximum.at(longest, tokens.doc, tokens.hi - tokens.lo)
     spans = [base_spans(t, bool(longest[d] >= 20)) for d, t in enumerate(texts)]
     for d, a, b in field.tag(tokens):
-        if not any(x < b and a < y for x, k, y in spans[d] if k < 3):
-            spans[d].append((a, 3, b))
+        # what the base spans leave of a tagged span is a span: a secret's rest stays one
+        at = a
+        for x, _, y in sorted(s for s in spans[d] if s[1] < 3 and s[0] < b and a < s[2]):
+            if at < x and _SOLID.search(texts[d], at, x):
+                spans[d].append((at, 3, x))
+            at = max(at, y)
+        if at == a or (at < b and _SOLID.search(texts[d], at, b)):
+            spans[d].append((at, 3, b))
     return [_code_points(t, s) if s else [] for t, s in zip(texts, spans)]
 
 
 def find(docs: DataFrame, field: Field, drop_text: bool = False, text: str = "text") -> DataFrame:
     """``docs`` with ``spans``: array of (kind, start, end)."""
-    docs = docs.drop("spans")
+    docs, text = docs.drop("spans"), resolve(docs, text)
     kept = [n for n in docs.columns if not (drop_text and n == text)]
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -380,21 +389,33 @@ def joined(spans, kinds: tuple[str, ...] = KINDS):
 
 def redact(docs: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mark``; n_chars follows."""
-    names = docs.columns
+    names, at = docs.columns, docs.columns.index(resolve(docs, "text"))
+    chars = [i for i, n in enumerate(names) if n.lower() == "n_chars"][:1]
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    at = [n.lower() for n in names].index("text")
-    text, chars = f"c{at}", [i for i, n in enumerate(names) if n.lower() == "n_chars"]
-    found = find(plain, field, text=text)
-    # left to right: keep what lies between the end of the last span and the start of the next
-    state = F.aggregate(
-        "spans", F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("end")),
-        lambda s, x: F.struct(
-            F.when(x["start"] < s["end"], s["done"])
-            .otherwise(F.concat(s["done"], F.substring(F.col(text), (s["end"] + 1).cast("int"), (x["start"] - s["end"]).cast("int")), F.lit(mark))).alias("done"),
-            F.greatest(s["end"], x["end"]).alias("end")),
-        lambda s: F.concat(s["done"], F.substring(F.col(text), (s["end"] + 1).cast("int"), F.lit(2**31 - 1))))
-    out = found.withColumn("_new", F.when(F.size("spans") > 0, state).otherwise(F.col(text)))
-    if chars:
-        out = out.withColumn(f"c{chars[0]}", F.when(F.size("spans") > 0, F.length("_new").cast(dict(plain.dtypes)[f"c{chars[0]}"]))
-                             .otherwise(F.col(f"c{chars[0]}")))
-    return out.withColumn(text, F.col("_new")).select(*plain.columns).toDF(*names)
+    found = find(plain, field, text=f"c{at}")
+    types, width = dict(plain.dtypes), len(names)
+    renamed = [*plain.columns, "changed"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(at).to_pylist()
+            new = [_cut_out(t, s, mark) if s else t for t, s in zip(texts, b.column(width).to_pylist())]
+            columns = list(b.columns[:width])
+            columns[at] = pa.array(new, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([None if t is n else len(n) for t, n in zip(texts, new)], pa.int64())],
+                                             names=renamed)
+
+    out = found.mapInArrow(run, ", ".join([f"`{c}` {types[c]}" for c in plain.columns] + ["changed long"]))
+    for i in chars:
+        out = out.withColumn(f"c{i}", F.coalesce(F.col("changed").cast(types[f"c{i}"]), F.col(f"c{i}")))
+    return out.drop("changed").toDF(*names)
+
+
+def _cut_out(text: str, spans: list[dict], mark: str) -> str:
+    """``text`` with its spans replaced; spans that overlap or touch at no character between are as one."""
+    pieces, end = [], 0
+    for s in spans:                                        # by start
+        if s["start"] >= end:
+            pieces += [text[end:s["start"]], mark]
+        end = max(end, s["end"])
+    return "".join([*pieces, text[end:]])
