@@ -110,3 +110,9 @@ def test_whole_small_table_and_held_out_gain(spark, monkeypatch):
     own = {(r[0], r[5]): r[6] for r in run(spark, rows)}
     held = [r for r in got if r[1]]
     assert sum(r[6] for r in held) > 0.8 * sum(own[r[0], r[5]] for r in held)
+
+
+def test_ids_of_any_type(spark):
+    rows = [(f"id-{i}" if i else None, f"some words number {i}", i % 10 == 0) for i in range(20)]
+    got = lt.score(spark.createDataFrame(rows, "doc_id string, text string, held_out boolean")).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in rows)

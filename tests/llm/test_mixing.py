@@ -40,9 +40,10 @@ def test_plan_against_brute_force(spark, seed):
         per[s] += size[-1]
     target = brute_targets(per)
     want = []
-    for (i, _, s), n in zip(rows, size):
+    for (i, t, s), n in zip(rows, size):
         rate = target[s] / per[s] if per[s] else 0.0
-        u = int(hashlib.md5(f"mix-1:{'' if i is None else i}".encode()).hexdigest()[:13], 16) / 2**52
+        own = hashlib.md5((t or "").encode()).hexdigest()
+        u = int(hashlib.md5(f"mix-1:{'' if i is None else i}:{own}".encode()).hexdigest()[:13], 16) / 2**52
         want.append((i, n, per[s], target[s], n * (int(rate) + (u < rate - int(rate)))))
     got = [tuple(r) for r in mixing.plan_mix(df).select("doc_id", "size", "source_size", "target", "taken").collect()]
     key = lambda r: (str(r[0]), r[1], r[2], r[4])

@@ -86,7 +86,8 @@ def test_mix_stage(run):
     target, want = brute_targets(per), {}
     for r in every:
         rate = target[r["source"]] / per[r["source"]] if per[r["source"]] else 0
-        u = int(hashlib.md5(f"mix-1:{r['doc_id']}".encode()).hexdigest()[:13], 16) / 2**52
+        own = hashlib.md5((r["text"] or "").encode()).hexdigest()
+        u = int(hashlib.md5(f"mix-1:{r['doc_id']}:{own}".encode()).hexdigest()[:13], 16) / 2**52
         want[r["doc_id"]] = int(rate) + (u < rate - int(rate))
     got = {}
     for r in after.collect():
@@ -97,6 +98,6 @@ def test_mix_stage(run):
 def test_all_queries_are_registered(spark):
     import __spark_entry__ as entry
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(names)

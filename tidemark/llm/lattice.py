@@ -20,7 +20,7 @@ Buckets hold about ``BUCKET_WORDS`` words, blocks about ``BLOCK_BYTES`` of text,
 corpus; the driver sees sums and the piece table only.
 
 Defined cases: null and empty texts have the end token only; null ids are scored like others
-(their fold counts the id as empty text); repeated rows count and are scored each; an empty
+(their fold counts the id as empty text), ids may be of any type; repeated rows count and are scored each; an empty
 table gives no rows; with no training rows every count is 0 and the vocabulary's own scores
 hold; other columns are not looked at.
 """
@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import scratch
 
@@ -168,7 +169,7 @@ def _ready(pieces: Pieces):
 
 # ---- blocks and buckets --------------------------------------------------------------------
 
-_BLOCK = ("block long, bucket array<int>, n_words array<int>, words array<binary>, train array<int>, doc_id array<long>, "
+_BLOCK = ("block long, bucket array<int>, n_words array<int>, words array<binary>, train array<int>, doc_id array<{id}>, "
           "held_out array<boolean>, n_tokens array<long>, kinds array<int>, word_no binary, times binary, train_tokens long, train_docs long")
 
 
@@ -205,6 +206,9 @@ def _block(number: int, docs: list[tuple], n_buckets: int) -> dict:
 
 def blocks(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Blocks of (doc_id, text, held_out) rows; numbered by task, so they must be written before use."""
+    kind = docs.schema["doc_id"].dataType
+    types = {**_TYPES, "doc_id": pa.list_(to_arrow_type(kind))}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, some, size = TaskContext.get().partitionId() << 32, [], 0
         for b in batches:
@@ -212,22 +216,22 @@ def blocks(docs: DataFrame, n_buckets: int) -> DataFrame:
                 some.append((i, (t.as_py() or "").encode("utf-8", "surrogatepass"), h))
                 size += len(some[-1][1]) + 100
                 if size >= BLOCK_BYTES:
-                    yield _batch(_block(number, some, n_buckets))
+                    yield _batch(_block(number, some, n_buckets), types)
                     number, some, size = number + 1, [], 0
         if some:
-            yield _batch(_block(number, some, n_buckets))
+            yield _batch(_block(number, some, n_buckets), types)
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, _BLOCK)
+    return docs.select("doc_id", "text", "held_out").mapInArrow(run, _BLOCK.replace("{id}", kind.simpleString()))
 
 
 _TYPES = {"block": pa.int64(), "bucket": pa.list_(pa.int32()), "n_words": pa.list_(pa.int32()), "words": pa.list_(pa.binary()),
-          "train": pa.list_(pa.int32()), "doc_id": pa.list_(pa.int64()), "held_out": pa.list_(pa.bool_()),
+          "train": pa.list_(pa.int32()), "doc_id": None, "held_out": pa.list_(pa.bool_()),
           "n_tokens": pa.list_(pa.int64()), "kinds": pa.list_(pa.int32()), "word_no": pa.binary(), "times": pa.binary(),
           "train_tokens": pa.int64(), "train_docs": pa.int64()}
 
 
-def _batch(row: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([row[c]], t) for c, t in _TYPES.items()], names=list(_TYPES))
+def _batch(row: dict, types: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[c]], t) for c, t in types.items()], names=list(types))
 
 
 def _by_bucket(cut: DataFrame) -> DataFrame:
@@ -339,5 +343,5 @@ def score(docs: DataFrame, vocabulary_file: str = VOCABULARY, rounds: int = 1) -
 
     rows = cut.select("block", "doc_id", "held_out", "n_tokens", "kinds", "word_no", "times")
     return (rows.groupBy("block").cogroup(looked.groupBy("block"))
-            .applyInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+            .applyInArrow(add_up, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                   "base_score double, score double"))

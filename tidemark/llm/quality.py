@@ -34,7 +34,7 @@ BITS, STYLE = 12, 64
 WIDTH = (1 << BITS) + STYLE
 SAMPLE_ROWS = 3000         # labelled rows learned from
 DIMS = 64
-NEIGHBOURS = 15            # at every size of the sample (all of a smaller one)
+NEIGHBOURS = 5             # at every size of the sample (all of a smaller one)
 BLOCK = 256                # documents per matrix product
 STYLE_WEIGHT = 0.35        # of each style term, beside trigrams of length 1
 _IS_UPPER = np.array([65 <= c <= 90 for c in range(256)], np.uint8)
