@@ -1,8 +1,8 @@
-"""Removal of long repeated byte strings by merging Burrows-Wheeler orders (operator 7).
+"""Removal of long repeated byte strings: counted segments, interleave refinement of the rest (operator 7).
 
 A byte goes if a ``length``-byte string that covers it starts anywhere else, in the same text or
-another.  A Burrows-Wheeler order of everything would need ``length`` passes over all text to
-merge, so only text that can be repeated is ordered, and only as far as it matters:
+another.  No Burrows-Wheeler transform of a shard is built and none are merged: that would take
+``length`` passes over all text.  Only text that can be repeated is ordered, and only as far as it matters:
 
 1. **Anchors.**  Every window of ``length`` bytes is anchored at the 64-byte gram of least hash in
    it (leftmost of equals).  Equal windows have equal grams at equal offsets.  Windows in a row with
