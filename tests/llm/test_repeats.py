@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -94,3 +96,48 @@ def test_hot_anchors_pieces_and_small_blocks_change_nothing(spark, monkeypatch):
 def test_whole_small_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(400).collect()]
     assert got(spark, rows) == brute(rows, 400)
+
+
+def peak_of(f):
+    """Bytes that a call takes at most beyond what there was (numpy's arrays count)."""
+    tracemalloc.start()
+    try:
+        f()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_merge_is_a_few_times_its_text():
+    rng = np.random.default_rng(1)
+    n = 4000
+    sizes, group = rng.integers(400, 737, n), np.sort(rng.integers(0, n // 5, n))
+    a = np.array([rng.integers(max(0, z - 400), 337) for z in sizes])
+    texts = [rng.integers(97, 123, z, dtype=np.uint8).tobytes() for z in sizes]
+    assert peak_of(lambda: rp.merge(group, a, texts)) < 6 * sum(sizes)
+
+
+def test_memory_of_a_task_does_not_follow_batch_or_text_size():
+    rng = np.random.default_rng(2)
+    text = rng.integers(97, 123, 12_000_000, dtype=np.uint8).tobytes()
+    for data in ([text], [text[i:i + 4000] for i in range(0, len(text), 4000)]):
+        k = len(data)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(k), pa.int64()), pa.array([0] * k, pa.int64()), pa.array(data, pa.binary())], names=["d1", "d2", "data"])
+        del data
+        assert peak_of(lambda: sum(b.num_rows for b in rp._cut_rows(400, 64)(iter([batch])))) < 140_000_000
+
+
+def test_slices_of_a_batch_give_every_row_once_and_in_order(monkeypatch):
+    data = [b"abc" * 30, None, b"", b"x" * 700, b"abcd" * 40, b"y", None]
+    found = [[{"at": 0, "runs": [{"lo": 0, "hi": 2}]}], None, None, [{"at": 5, "runs": [{"lo": 0, "hi": 9}]}], None, None, None]
+    runs = pa.list_(pa.struct([("at", pa.int32()), ("runs", rp._RUN)]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7), pa.int64()), pa.array(data, pa.binary()), pa.array(["s"] * 7), pa.array(found, runs)],
+                                       names=["doc_id", "data", "sha", "found"])
+    cut = pa.RecordBatch.from_arrays([pa.array(range(7), pa.int64()), pa.array(range(7, 14), pa.int64()), pa.array(data, pa.binary())], names=["d1", "d2", "data"])
+    seen = []
+    for block in (1, 100, 800, 1 << 40):
+        monkeypatch.setattr(rp, "BLOCK_BYTES", block)
+        jobs = [(rp._finish(40), batch), (rp._cut_rows(40, 8), cut), (rp._cut_rows(40, 8), cut.slice(2, 3)), (rp._cut_rows(40, 8), cut.slice(0, 0))]
+        seen.append([pa.Table.from_batches(f(iter([b]))).to_pylist() if b.num_rows else [x for x in f(iter([b])) if x.num_rows] for f, b in jobs])
+    assert [r["doc_id"] for r in seen[0][0]] == list(range(7))
+    assert seen[0][0][3]["n_removed"] == 48 and all(s == seen[0] for s in seen)
